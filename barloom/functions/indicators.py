@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import partial
 
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -16,18 +17,48 @@ FORGET = 64 * math.log(2)
 OVERFLOW = 650
 
 
-def _rows(window: WindowSpec, n: int) -> WindowSpec:
-    return window.rowsBetween(-(n - 1), Window.currentRow)
+def _shifted(col: str, k: int, w: WindowSpec) -> Column:
+    return F.lag(col, k).over(w) if k else F.col(col)
 
 
-def sma(col: str, n: int, out: str) -> Indicator:
-    """Mean of the last n rows; missing until n known values exist."""
+def _power_sums(col: str, n: int) -> list[dict]:
+    """Sums of the last 2, 4, 8, .. rows, each from the one before it, up to n rows."""
+    steps = []
+    name, size = col, 1
+    while size * 2 <= n:
+        double = f"_{col.lstrip('_')}_sum{size * 2}"
+        steps.append({double: partial(_doubled, name, size)})
+        name, size = double, size * 2
+    return steps
 
-    def value(w: WindowSpec) -> Column:
-        frame = _rows(w, n)
-        return F.when(F.count(col).over(frame) == n, F.avg(col).over(frame))
 
-    return Indicator(({out: value},), before=n - 1)
+def _doubled(name: str, size: int, w: WindowSpec) -> Column:
+    return F.col(name) + _shifted(name, size, w)
+
+
+def _rolling_sum(col: str, n: int, w: WindowSpec, skip: int = 0) -> Column:
+    """Sum of the n rows that end `skip` rows back, put together from the power sums.
+
+    Null when a value is missing or the series is too short. A frame of n rows would be added up
+    again for every row; this costs log2(n) lags instead, and keeps the precision of short sums,
+    which a difference of running totals would lose.
+    """
+    total, offset = None, skip
+    size = 1 << (n.bit_length() - 1)
+    while size:
+        if n & size:
+            name = col if size == 1 else f"_{col.lstrip('_')}_sum{size}"
+            part = _shifted(name, offset, w)
+            total = part if total is None else total + part
+            offset += size
+        size >>= 1
+    return total
+
+
+def sma(col: str, n: int, out: str) -> Indicator:
+    """Mean of the last n rows; missing until n known values exist."""
+    value = {out: lambda w: _rolling_sum(col, n, w) / n}
+    return Indicator((*_power_sums(col, n), value), before=n - 1)
 
 
 def lagged(col: str, k: int, out: str) -> Indicator:
@@ -40,12 +71,8 @@ def lead(col: str, k: int, out: str) -> Indicator:
 
 def trailing_mean(col: str, n: int, out: str) -> Indicator:
     """Mean of the n rows before the current one; missing until n exist."""
-
-    def value(w: WindowSpec) -> Column:
-        frame = w.rowsBetween(-n, -1)
-        return F.when(F.count(col).over(frame) == n, F.avg(col).over(frame))
-
-    return Indicator(({out: value},), before=n)
+    value = {out: lambda w: _rolling_sum(col, n, w, skip=1) / n}
+    return Indicator((*_power_sums(col, n), value), before=n)
 
 
 def diff(col: str, out: str, order: int = 1) -> Indicator:
@@ -77,34 +104,44 @@ def rsi(col: str, out: str, n: int = 14) -> Indicator:
     The first row has no difference and counts as neither gain nor loss, so values start at the
     n-th row. Written as gain / (gain + loss), which is the same number and needs no infinity.
     """
-    delta = f"_{col}_delta"
+    delta, gain, loss = (f"_{col}_{name}" for name in ("delta", "gain", "loss"))
+    change = F.col(delta)
+    moves = {
+        gain: lambda w: F.when(change > 0, change).otherwise(0.0),
+        loss: lambda w: F.when(change < 0, -change).otherwise(0.0),
+    }
+    sums = [
+        {**g, **lo}
+        for g, lo in zip(_power_sums(gain, n), _power_sums(loss, n), strict=True)
+    ]
 
     def value(w: WindowSpec) -> Column:
-        frame = _rows(w, n)
-        gain = F.avg(F.when(F.col(delta) > 0, F.col(delta)).otherwise(0.0)).over(frame)
-        loss = F.avg(F.when(F.col(delta) < 0, -F.col(delta)).otherwise(0.0)).over(frame)
-        return F.when(F.col(POSITION) >= n - 1, 100 * F.try_divide(gain, gain + loss))
+        gained, lost = _rolling_sum(gain, n, w), _rolling_sum(loss, n, w)
+        return 100 * F.try_divide(gained, gained + lost)
 
-    return Indicator(
-        ({delta: lambda w: F.col(col) - F.lag(col, 1).over(w)}, {out: value}), before=n
-    )
+    first = {delta: lambda w: F.col(col) - F.lag(col, 1).over(w)}
+    return Indicator((first, moves, *sums, {out: value}), before=n)
 
 
 def _decay(span: int) -> float:
     return 1 - 2 / (span + 1)
 
 
-def _ema_step(col: str, span: int):
-    """Running sum of weighted rows in a block; the block's first row seeds the average."""
+def _ema_steps(col: str, span: int, out: str) -> list[dict]:
+    """A running sum of rows over their weight, times the weight, in each block.
+
+    The block's first row seeds the average. The weight q^step is taken once per row.
+    """
     q = _decay(span)
+    weight = f"_weight{span}"
+    step = F.col("_step")
 
     def value(w: WindowSpec) -> Column:
-        step = F.col("_step")
         term = F.when(step == 0, F.col(col)).otherwise(F.col(col) * (1 - q))
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return F.sum(term * F.pow(F.lit(q), -step)).over(so_far) * F.pow(F.lit(q), step)
+        return F.sum(term / F.col(weight)).over(so_far) * F.col(weight)
 
-    return value
+    return [{weight: lambda w: F.pow(F.lit(q), step)}, {out: value}]
 
 
 def _ema_frame(spans: list[int]) -> dict[str, int]:
@@ -122,7 +159,7 @@ def ema(col: str, span: int, out: str) -> Indicator:
     """
     if span < 2:
         return Indicator(({out: lambda w: F.col(col)},))
-    return Indicator(({out: _ema_step(col, span)},), **_ema_frame([span]))
+    return Indicator(tuple(_ema_steps(col, span, out)), **_ema_frame([span]))
 
 
 def macd(
@@ -151,14 +188,19 @@ def macd(
         mixed = F.col(name[span]) * ((1 - qs) * q) - F.col(name[signal]) * ((1 - q) * qs)
         return mixed / F.lit(q - qs)
 
-    lines = {out: lambda w: F.col(name[fast]) - F.col(name[slow])}
-    if signal_out or histogram_out:
-        signal_name = signal_out or "_signal"
-        lines[signal_name] = lambda w: smoothed(fast) - smoothed(slow)
-    steps = [{name[span]: _ema_step(col, span) for span in name}, lines]
-    if histogram_out:
-        steps.append({histogram_out: lambda w: F.col(out) - F.col(signal_name)})
-    return Indicator(tuple(steps), **_ema_frame([fast, slow, signal]))
+    line = F.col(name[fast]) - F.col(name[slow])
+    signal_line = smoothed(fast) - smoothed(slow)
+    lines = {out: line, signal_out: signal_line, histogram_out: line - signal_line}
+    averages: list[dict] = [{}, {}]
+    for span, helper in name.items():
+        for step, columns in zip(averages, _ema_steps(col, span, helper), strict=True):
+            step.update(columns)
+    outputs = {n: partial(_given, value) for n, value in lines.items() if n}
+    return Indicator((*averages, outputs), **_ema_frame([fast, slow, signal]))
+
+
+def _given(value: Column, _: WindowSpec) -> Column:
+    return value
 
 
 def windows(cols: list[str], length: int, out: str) -> Indicator:

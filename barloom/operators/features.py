@@ -40,6 +40,10 @@ def bfill(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return fill(df, cols or names, forward=False)
 
 
+# Columns that start late or have gaps; the others are known wherever the bars are.
+GAPPED = ["ma5", "ma20", "ma60", "volume_ma5", "daily_return", "weekly_return", "rsi"]
+
+
 def training(df: DataFrame, backfill: bool = True) -> DataFrame:
     """Training features of the tree model. Back-fill lets the first rows see later ones."""
     out = measure(
@@ -53,7 +57,7 @@ def training(df: DataFrame, backfill: bool = True) -> DataFrame:
         keep_position=backfill,
     )
     out = price_features(out)
-    return without_position(bfill(out)) if backfill else out
+    return without_position(bfill(out, GAPPED)) if backfill else out
 
 
 def serving(df: DataFrame, as_of=None, days: int = 90, backfill: bool = True) -> DataFrame:
@@ -66,7 +70,7 @@ def serving(df: DataFrame, as_of=None, days: int = 90, backfill: bool = True) ->
         I.macd("close", "macd", "signal_line", None),
         keep_position=backfill,
     )
-    return without_position(bfill(out)) if backfill else out
+    return without_position(bfill(out, GAPPED[:4])) if backfill else out
 
 
 def indicators(df: DataFrame, complete: bool = True) -> DataFrame:

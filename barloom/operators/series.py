@@ -81,15 +81,13 @@ def _with_blocks(
     if max(before, after) > rows:
         raise ValueError(f"frames reach {max(before, after)} rows, more than a block of {rows}")
     home = block_of(rows)
-    spots = [home]
-    offset = F.col(POSITION) % rows
-    if before:
+    if before or after:
+        offset = F.col(POSITION) % rows
         last = F.floor((F.col(LENGTH) - 1) / F.lit(rows))
-        spots.append(F.when((offset >= rows - before) & (home < last), home + 1))
-    if after:
-        spots.append(F.when((offset < after) & (home > 0), home - 1))
-    block = F.explode(F.array_compact(F.array(*spots))) if len(spots) > 1 else home
-    return df.withColumn(BLOCK, block).repartition(key, BLOCK)
+        to_previous = ((offset < after) & (home > 0)).cast("long")
+        to_next = ((offset >= rows - before) & (home < last)).cast("long")
+        home = F.explode(F.sequence(home - to_previous, home + to_next))
+    return df.withColumn(BLOCK, home).repartition(key, BLOCK)
 
 
 @dataclass(frozen=True)
@@ -97,7 +95,7 @@ class Indicator:
     """A set of output columns and the frame they need.
 
     `steps` are dictionaries of column expressions; a later step may use columns of an earlier
-    one. Names that start with an underscore are helpers and do not reach the result, and equal
+    one. Names that start with an underscore are helpers and do not reach the result; equal
     helpers of several indicators are computed once. `before` and `after` are the rows looked at
     on either side; `reach` limits the rows of a block including its copies.
     """
@@ -176,13 +174,12 @@ def _measure_pass(
     start = F.greatest(F.col(BLOCK) * rows - before, F.lit(0))
     out = out.withColumn("_step", F.col(POSITION) - start)
     for level in range(max(len(item.steps) for item in group)):
-        columns: dict[str, Column] = {}
+        columns: dict[str, Expr] = {}
         for item in group:
-            if level < len(item.steps):
-                for name, build in item.steps[level].items():
-                    if name not in out.columns:
-                        columns[name] = build(window)
-        out = out.withColumns(columns)
+            columns.update(item.steps[level] if level < len(item.steps) else {})
+        out = out.withColumns(
+            {name: build(window) for name, build in columns.items() if name not in out.columns}
+        )
     outputs = [name for item in group for name in item.outputs]
     return out.where(F.col(BLOCK) == block_of(rows)).select(
         *carried, BLOCK, *dict.fromkeys(outputs)
@@ -225,6 +222,8 @@ def _known(
         edges = edges.withColumn(outer, block_of(rows, block))
         edges = _known(edges, edge_cols, key, block, outer, forward, rows, levels - 1).drop(outer)
     edges = edges.withColumn(block, F.col(block) + (1 if forward else -1))
+    # Already unique; said so that the join goes away where no filled column is used.
+    edges = edges.dropDuplicates([key, block])
     out = df.withColumns(_last_seen(cols, [key, block], pos, forward))
     out = out.join(edges, [key, block], "left")
     return out.withColumns(

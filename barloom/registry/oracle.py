@@ -31,7 +31,7 @@ def with_bars(body: str, *ctes: str, recursive: bool = False) -> str:
 
 
 def r4(expr: str, name: str) -> str:
-    return f"floor(({expr}) * 10000 + 0.5) / 10000 AS {name}"
+    return f"floor(({expr}) * 10000 + 0.50001) / 10000 AS {name}"
 
 
 def cols(names=OHLCV) -> str:
@@ -283,7 +283,7 @@ WHERE last_date IS NULL OR date > last_date""", OVERLAP),
     "ind_rsi_flags": with_bars(
         """SELECT symbol, date, rsi, CASE WHEN rsi > 70 THEN 'overbought'
   WHEN rsi < 30 THEN 'oversold' END AS level
-FROM (SELECT symbol, date, floor(rsi * 10000 + 0.5) / 10000 AS rsi FROM rsis)""", *rsi()),
+FROM (SELECT symbol, date, floor(rsi * 10000 + 0.50001) / 10000 AS rsi FROM rsis)""", *rsi()),
     "ind_ema": with_bars("SELECT symbol, date, " + ", ".join(
         r4(f"e{n}", f"ema_{n}") for n in (9, 12, 26)) + " FROM ema", *ema(), recursive=True),
     "ind_macd": with_bars(

@@ -1,7 +1,7 @@
 """Queries over the given tables, one per operator. Oracle SQL is in `oracle.py`.
 
 Doubles are rounded to four digits: two engines add them up in different orders. The rounding is
-spelled out with `floor` on both sides, because the engines' own `round` differ on halves.
+spelled out with `floor` on both sides, and a hair above one half sends exact halves one way.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ RSI_SET = ["sma_5", "sma_20", "sma_60", "rsi", "macd", "hl_ratio"]
 
 def r4(c: str | Column, name: str | None = None) -> Column:
     column = F.col(c) if isinstance(c, str) else c
-    return (F.floor(column * 10000 + 0.5) / 10000).alias(name or c)
+    return (F.floor(column * 10000 + 0.50001) / 10000).alias(name or c)
 
 
 def tidy(df: DataFrame) -> DataFrame:
