@@ -105,10 +105,9 @@ def rsi(col: str, out: str, n: int = 14) -> Indicator:
     n-th row. Written as gain / (gain + loss), which is the same number and needs no infinity.
     """
     delta, gain, loss = (f"_{col}_{name}" for name in ("delta", "gain", "loss"))
-    change = F.col(delta)
     moves = {
-        gain: lambda w: F.when(change > 0, change).otherwise(0.0),
-        loss: lambda w: F.when(change < 0, -change).otherwise(0.0),
+        gain: lambda w: F.when(F.col(delta) > 0, F.col(delta)).otherwise(0.0),
+        loss: lambda w: F.when(F.col(delta) < 0, -F.col(delta)).otherwise(0.0),
     }
     sums = [
         {**g, **lo}
@@ -134,14 +133,13 @@ def _ema_steps(col: str, span: int, out: str) -> list[dict]:
     """
     q = _decay(span)
     weight = f"_weight{span}"
-    step = F.col("_step")
 
     def value(w: WindowSpec) -> Column:
-        term = F.when(step == 0, F.col(col)).otherwise(F.col(col) * (1 - q))
+        term = F.when(F.col("_step") == 0, F.col(col)).otherwise(F.col(col) * (1 - q))
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return F.sum(term / F.col(weight)).over(so_far) * F.col(weight)
 
-    return [{weight: lambda w: F.pow(F.lit(q), step)}, {out: value}]
+    return [{weight: lambda w: F.pow(F.lit(q), F.col("_step"))}, {out: value}]
 
 
 def _ema_frame(spans: list[int]) -> dict[str, int]:
@@ -188,21 +186,25 @@ def macd(
         mixed = F.col(name[span]) * ((1 - qs) * q) - F.col(name[signal]) * ((1 - q) * qs)
         return mixed / F.lit(q - qs)
 
-    line = F.col(name[fast]) - F.col(name[slow])
-    signal_line = smoothed(fast) - smoothed(slow)
-    lines = {out: line, signal_out: signal_line, histogram_out: line - signal_line}
+    def line() -> Column:
+        return F.col(name[fast]) - F.col(name[slow])
+
+    def signal_line() -> Column:
+        return smoothed(fast) - smoothed(slow)
+
     averages: list[dict] = [{}, {}]
     for span, helper in name.items():
         for step, columns in zip(averages, _ema_steps(col, span, helper), strict=True):
             step.update(columns)
-    outputs = {n: partial(_given, value) for n, value in lines.items() if n}
+    lines = {
+        out: lambda w: line(),
+        signal_out: lambda w: signal_line(),
+        histogram_out: lambda w: line() - signal_line(),
+    }
+    outputs = {n: build for n, build in lines.items() if n}
     return Indicator((*averages, outputs), **_ema_frame([fast, slow, signal]))
 
 
-def _given(value: Column, _: WindowSpec) -> Column:
-    return value
-
-
 def windows(cols: list[str], length: int, out: str) -> Indicator:
     """The `length` rows before the current one, oldest first; missing until that many exist."""
 

@@ -137,3 +137,10 @@ def latest(df: DataFrame) -> DataFrame:
     return df.groupBy("symbol").agg(newest).select("symbol", *[f"_row.{c}" for c in rest])
 
 
+
+
+def change(df: DataFrame, col: str, out: str, k: int = 1) -> DataFrame:
+    """Percent change of a column with gaps: a missing value stands for the last known one."""
+    known = f"_{col}_known"
+    rows = fill(df.withColumn(known, F.col(col)), [known], forward=True)
+    return measure(rows, I.pct_change(known, out, k)).drop(known)
