@@ -11,31 +11,35 @@ THRESHOLD = 1.0
 ALERT_TYPE = "intraday_price_difference"
 
 
-def _timed(ticks: DataFrame, predictions: DataFrame) -> DataFrame:
+def _timed(ticks: DataFrame, predictions: DataFrame, salts: int) -> DataFrame:
     """Each tick with the prediction made for its own day."""
-    days = predictions.select(
-        F.col("symbol"), F.col("prediction_date").alias("_day"), F.col("predicted")
-    )
-    day = F.to_date("ts")
-    return ticks.withColumn("_day", day).join(days, ["symbol", "_day"]).withColumnRenamed(
-        "_day", "prediction_date"
-    )
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    days = predictions.select("symbol", "prediction_date", "predicted", copies.alias("_salt"))
+    salt = F.pmod(F.xxhash64("ts", "price"), F.lit(salts)).cast("int")
+    keyed = ticks.withColumns({"prediction_date": F.to_date("ts"), "_salt": salt})
+    return keyed.join(days, ["symbol", "prediction_date", "_salt"]).drop("_salt")
 
 
-def diverging(ticks: DataFrame, predictions: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Ticks whose price is at least `threshold` percent away from the day's prediction."""
+def diverging(
+    ticks: DataFrame, predictions: DataFrame, threshold: float = THRESHOLD, salts: int = 1
+) -> DataFrame:
+    """Ticks whose price is at least `threshold` percent away from the day's prediction.
+
+    The planner broadcasts predictions when they are small. Where they are not, one symbol's day
+    may hold much of a batch: `salts` copies of each prediction then spread it over as many tasks.
+    """
     return (
-        _timed(ticks, predictions)
+        _timed(ticks, predictions, salts)
         .withColumn("price_diff_percent", C.deviation_pct("predicted", "price"))
         .where(F.col("price_diff_percent") >= threshold)
     )
 
 
 def messages(
-    ticks: DataFrame, predictions: DataFrame, as_of, threshold: float = THRESHOLD
+    ticks: DataFrame, predictions: DataFrame, as_of, threshold: float = THRESHOLD, salts: int = 1
 ) -> DataFrame:
     """Alert fields, one row per diverging tick."""
-    return as_messages(diverging(ticks, predictions, threshold), as_of)
+    return as_messages(diverging(ticks, predictions, threshold, salts), as_of)
 
 
 def as_messages(marked: DataFrame, as_of) -> DataFrame:

@@ -131,10 +131,14 @@ def last_window(df: DataFrame, cols: list[str], length: int = 120, skip: int = 3
 
 
 def latest(df: DataFrame) -> DataFrame:
-    """The newest row per symbol."""
-    rest = [c for c in df.columns if c != "symbol"]
-    newest = F.max_by(F.struct(*rest), "date").alias("_row")
-    return df.groupBy("symbol").agg(newest).select("symbol", *[f"_row.{c}" for c in rest])
+    """The newest row per symbol.
+
+    One aggregate per column: buffers of fixed width stay in a hash aggregate, where a whole row
+    as one struct would have every task sort its input.
+    """
+    rest = [c for c in df.columns if c not in ("symbol", "date")]
+    newest = [F.max_by(c, "date").alias(c) for c in rest]
+    return df.groupBy("symbol").agg(F.max("date").alias("date"), *newest)
 
 
 

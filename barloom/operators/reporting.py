@@ -6,17 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions import columns as C
+from barloom.operators import merge
 from barloom.schemas import OHLCV
 from barloom.sources.readers import lookback
 
 
 def chart_feed(df: DataFrame) -> DataFrame:
-    """Chart rows: the day as text, five numbers (also from text), the bar's colour."""
+    """Chart rows in date order: the day as text, five numbers (also from text), the colour."""
     numbers = {name: C.to_number(name) for name in OHLCV}
     return (
         df.withColumns(numbers)
         .withColumn("time", C.day_text("date"))
         .select("symbol", "time", *OHLCV, C.bar_color().alias("color"))
+        .orderBy("symbol", "time")
     )
 
 
@@ -58,9 +60,9 @@ def prediction_response(
 ) -> DataFrame:
     """Prediction, current close and the bars of the last `days` days, nested per symbol.
 
-    One bar per symbol and day, so the nested history holds at most `days` rows.
+    Copies of a day are merged first, so the nested history holds at most `days` rows.
     """
-    recent = lookback(bars, as_of, days)
+    recent = merge.combine(lookback(bars, as_of, days), [])
     history = recent.groupBy("symbol").agg(
         F.array_sort(F.collect_list(F.struct("date", *OHLCV))).alias("historical_data"),
         F.max_by("close", "date").alias("current_close"),

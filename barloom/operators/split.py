@@ -25,14 +25,17 @@ def tail(df: DataFrame, test: int = 30, train: int = 420) -> DataFrame:
     return without_position(out).drop("_back")
 
 
-def random(df: DataFrame, share: float = 0.2, seed: int = 42) -> DataFrame:
+def random(
+    df: DataFrame, share: float = 0.2, seed: int = 42, digits: int = 2
+) -> DataFrame:
     """Exactly ceil(share * n) rows of each series as test, chosen by a hash of their key.
 
-    The order is the hash, so its leading digits cut a series into 4,096 even chunks.
+    The order is the hash, so its leading hex `digits` cut each series into even chunks, 256 by
+    default. More digits suit series of very many rows, fewer suit very many short series.
     """
     key = F.concat_ws("|", "symbol", F.date_format("date", "yyyy-MM-dd"), F.lit(seed))
     hashed = without_position(df).withColumn("_hash", F.md5(key))
-    ranked = with_position(hashed, order="_hash", chunk=F.substring("_hash", 1, 3))
+    ranked = with_position(hashed, order="_hash", chunk=F.substring("_hash", 1, digits))
     # The product is rounded before the ceiling, so that 0.2 * 10 stays 2.
     held_out = F.ceil(F.round(F.col(LENGTH) * F.lit(share), 6))
     part = F.when(F.col(POSITION) < held_out, "test").otherwise("train")

@@ -225,9 +225,7 @@ ORACLE = {
         f"SELECT symbol, date, {cols()} FROM bars "
         "WHERE date >= DATE '2001-11-05' - 90 AND date < DATE '2001-11-05'"),
     "src_monthly_json": with_bars(f"SELECT symbol, date, {cols()} FROM bars"),
-    "src_jsonl_roundtrip": with_bars(
-        f"SELECT date, count(*) AS symbols, {r4('sum(close)', 'close')}, "
-        f"{r4('sum(volume)', 'volume')} FROM bars GROUP BY date"),
+    "src_jsonl_roundtrip": with_bars(f"SELECT symbol, date, {cols()} FROM bars"),
     "src_csv_roundtrip": with_bars(f"SELECT symbol, date, {cols()} FROM bars"),
     "src_ticker_from_path": with_bars(
         "SELECT '^' || symbol AS symbol, count(*) AS bars, "

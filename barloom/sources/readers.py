@@ -26,14 +26,19 @@ def lookback(df: DataFrame, as_of, days: int = 90) -> DataFrame:
     return df.where((F.col("date") >= F.date_sub(until, days)) & (F.col("date") < until))
 
 
-def read_records(spark: SparkSession, path: str | list[str], glob: str = "*.json") -> DataFrame:
+def read_records(
+    spark: SparkSession,
+    path: str | list[str],
+    glob: str = "*.json",
+    schema: T.StructType = RECORDS,
+) -> DataFrame:
     """Landed JSON: one array of records or one record per line, as text dates and doubles.
 
     Adds `_corrupt`, the text of an unreadable line, and `_file`, where the row came from.
     """
-    schema = T.StructType([*RECORDS.fields, T.StructField(CORRUPT, T.StringType())])
+    fields = [*schema.fields, T.StructField(CORRUPT, T.StringType())]
     return (
-        spark.read.schema(schema)
+        spark.read.schema(T.StructType(fields))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
@@ -68,14 +73,17 @@ def normalise(df: DataFrame) -> DataFrame:
 
 
 def read_combined(spark: SparkSession, path: str) -> DataFrame:
-    """Combined JSON lines in date order. Unreadable lines are skipped; no row at all is an error."""
-    records = read_records(spark, path)
+    """Combined JSON lines in order. Unreadable lines are skipped; no row at all is an error."""
+    symbol = T.StructField("symbol", T.StringType())
+    records = read_records(spark, path, schema=T.StructType([symbol, *RECORDS.fields]))
     rows = records.where(F.col(CORRUPT).isNull()).select(
-        C.to_day("Date").alias("date"), *[C.known(n).alias(n.lower()) for n in RECORDS.names[1:]]
+        "symbol",
+        C.to_day("Date").alias("date"),
+        *[C.known(n).alias(n.lower()) for n in RECORDS.names[1:]],
     ).where(F.col("date").isNotNull())
     if rows.isEmpty():
         raise ValueError(f"no valid record below {path}")
-    return rows.orderBy("date")
+    return rows.orderBy("symbol", "date")
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:

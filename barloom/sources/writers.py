@@ -66,9 +66,10 @@ def _records(df: DataFrame, *extra: str) -> DataFrame:
 def publish_months(df: DataFrame, path: str) -> None:
     """One JSON file per symbol and month, each a one-line array of records in date order.
 
-    (symbol, date) is unique in bars, so an array holds at most 31 records.
+    Copies of a date are merged first, so an array holds at most 31 records.
     """
-    records = _records(df.withColumn(MONTH, C.month_key()), "symbol", MONTH)
+    unique = merge.combine(df, [])
+    records = _records(unique.withColumn(MONTH, C.month_key()), "symbol", MONTH)
     record = F.struct("Date", *[c.capitalize() for c in OHLCV])
     (
         records.groupBy("symbol", MONTH)

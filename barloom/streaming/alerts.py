@@ -13,13 +13,15 @@ def stream(
     as_of,
     threshold: float = alerts.THRESHOLD,
     once_within: str | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Key and JSON alert per diverging tick; a stateless join with the static predictions.
 
     `once_within` keeps one alert per symbol and day within that time, which needs state.
     """
     if once_within:
-        marked = alerts.diverging(ticks.withWatermark("ts", once_within), predictions, threshold)
+        watched = ticks.withWatermark("ts", once_within)
+        marked = alerts.diverging(watched, predictions, threshold, salts)
         first = marked.dropDuplicatesWithinWatermark(["symbol", "prediction_date"])
         return alerts.as_topic_rows(alerts.as_messages(first, as_of))
-    return alerts.as_topic_rows(alerts.messages(ticks, predictions, as_of, threshold))
+    return alerts.as_topic_rows(alerts.messages(ticks, predictions, as_of, threshold, salts))

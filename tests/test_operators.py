@@ -201,6 +201,13 @@ def test_alert_at_exactly_the_threshold(prices):
     assert out[0]["last_update"] == "2024-01-02 10:00:00"
 
 
+def test_salting_changes_no_alert(prices):
+    plain = alerts.messages(*prices, "2024-01-02 12:00:00", threshold=0.1)
+    salted = alerts.messages(*prices, "2024-01-02 12:00:00", threshold=0.1, salts=5)
+    assert plain.count() == 2
+    assert plain.exceptAll(salted).isEmpty() and salted.exceptAll(plain).isEmpty()
+
+
 def test_one_frame_alone_never_raises_an_alert(frame):
     rows = frame(bar("A", "2024-01-02", 1), bar("B", "2024-01-05", 1))
     assert not any(r["is_intraday"] for r in alerts.single_frame_intraday(rows).collect())
