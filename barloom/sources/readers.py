@@ -87,16 +87,16 @@ def read_combined(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Saved models below `path`, one row per readable metadata file."""
+    """Saved models below `path`, one row per readable metadata file, absent keys as Unknown."""
     meta = (
-        spark.read.schema(T.StructType([*MODEL_META.fields, T.StructField(CORRUPT, T.StringType())]))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
+        spark.read.schema(MODEL_META)
+        .option("mode", "DROPMALFORMED")
+        .option("multiLine", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .json(path)
     )
-    return meta.where(F.col(CORRUPT).isNull()).select(
+    return meta.select(
         C.or_unknown("ticker").alias("ticker"),
         C.or_unknown("feature_set").alias("feature_set"),
         C.or_unknown("created_date").alias("created_date"),

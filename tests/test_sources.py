@@ -153,7 +153,8 @@ def test_missing_model_is_an_error(spark, tmp_path):
 
 
 def test_catalog_fills_absent_keys_and_skips_bad_files(spark, tmp_path):
-    (tmp_path / "a_meta.json").write_text(json.dumps({"ticker": "^IXIC", "features": ["close"]}))
+    meta = {"ticker": "^IXIC", "features": ["close"]}
+    (tmp_path / "a_meta.json").write_text(json.dumps(meta, indent=4))
     (tmp_path / "b_meta.json").write_text("{broken")
     out = readers.read_catalog(spark, str(tmp_path)).collect()
     assert [(r["ticker"], r["feature_set"], r["created_date"]) for r in out] == [
