@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from functools import partial
+import operator
+from functools import partial, reduce
 
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from barloom.operators.series import POSITION, Indicator
 # rounding of a double; block weights stay below e^650, inside a double's range.
 FORGET = 64 * math.log(2)
 OVERFLOW = 650
+# Rolling sums are built from sums of 4, 16, 64, .. rows.
+RADIX = 4
 
 
 def _shifted(col: str, k: int, w: WindowSpec) -> Column:
@@ -22,37 +25,41 @@ def _shifted(col: str, k: int, w: WindowSpec) -> Column:
 
 
 def _power_sums(col: str, n: int) -> list[dict]:
-    """Sums of the last 2, 4, 8, .. rows, each from the one before it, up to n rows."""
+    """Sums of the last 4, 16, 64, .. rows, each from the one before it, up to n rows."""
     steps = []
     name, size = col, 1
-    while size * 2 <= n:
-        double = f"_{col.lstrip('_')}_sum{size * 2}"
-        steps.append({double: partial(_doubled, name, size)})
-        name, size = double, size * 2
+    while size * RADIX <= n:
+        wider = _sum_name(col, size * RADIX)
+        steps.append({wider: partial(_pieces, name, size, 0, RADIX)})
+        name, size = wider, size * RADIX
     return steps
 
 
-def _doubled(name: str, size: int, w: WindowSpec) -> Column:
-    return F.col(name) + _shifted(name, size, w)
+def _sum_name(col: str, size: int) -> str:
+    return col if size == 1 else f"_{col.lstrip('_')}_sum{size}"
+
+
+def _pieces(name: str, size: int, skip: int, count: int, w: WindowSpec) -> Column:
+    parts = [_shifted(name, skip + i * size, w) for i in range(count)]
+    return reduce(operator.add, parts)
 
 
 def _rolling_sum(col: str, n: int, w: WindowSpec, skip: int = 0) -> Column:
     """Sum of the n rows that end `skip` rows back, put together from the power sums.
 
     Null when a value is missing or the series is too short. A frame of n rows would be added up
-    again for every row; this costs log2(n) lags instead, and keeps the precision of short sums,
-    which a difference of running totals would lose.
+    again for every row; this takes a few lags, and keeps the precision of short sums, which a
+    difference of running totals would lose.
     """
-    total, offset = None, skip
-    size = 1 << (n.bit_length() - 1)
+    pieces = []
+    size = RADIX ** len(_power_sums(col, n))
     while size:
-        if n & size:
-            name = col if size == 1 else f"_{col.lstrip('_')}_sum{size}"
-            part = _shifted(name, offset, w)
-            total = part if total is None else total + part
-            offset += size
-        size >>= 1
-    return total
+        count, n = divmod(n, size)
+        if count:
+            pieces.append(_pieces(_sum_name(col, size), size, skip, count, w))
+            skip += count * size
+        size //= RADIX
+    return reduce(operator.add, pieces)
 
 
 def sma(col: str, n: int, out: str) -> Indicator:

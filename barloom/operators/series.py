@@ -23,12 +23,16 @@ Expr = Callable[[WindowSpec], Column]
 
 
 def _default_chunk(df: DataFrame, order: str) -> Column:
-    """Calendar chunk of the order column: one row per day gives at most 366 rows per chunk."""
+    """Calendar chunk of the order column.
+
+    A year of daily rows is at most 366, a month of minute rows at most 44,640. Denser series
+    should be given a finer chunk.
+    """
     kind = df.schema[order].dataType
     if isinstance(kind, T.DateType):
         return F.year(order)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.to_date(order)
+        return F.year(order) * 100 + F.month(order)
     raise TypeError(f"give a chunk for order column {order!r} of type {kind.simpleString()}")
 
 
