@@ -160,13 +160,61 @@ def _ema_frame(spans: list[int]) -> dict[str, int]:
 def ema(col: str, span: int, out: str) -> Indicator:
     """Exponential average with weight 2 / (span + 1), seeded by the first value.
 
-    `col` must be known on every row.
+    `col` must be known on every row; `features.ema_over_gaps` is for columns with gaps.
     """
     if span < 2:
         return Indicator(({out: lambda w: F.col(col)},))
     return Indicator(tuple(_ema_steps(col, span, out)), **_ema_frame([span]))
 
 
+def _gap_log(span: int, gap: float) -> float:
+    """Logarithm of what an average keeps of itself at a value that comes `gap` rows later."""
+    rate = -math.log(_decay(span))
+    return -gap * rate - math.log(math.exp(-gap * rate) + 1 - _decay(span))
+
+
+def ema_known_rows(col: str, span: int, out: str) -> Indicator:
+    """Exponential average of a column with gaps, for use by `features.ema_over_gaps`.
+
+    After a gap of g rows the old average counts q^g against 1 - q for the new value. That share
+    differs from row to row, so the weights are running products of it, kept as logarithms.
+    """
+    q = _decay(span)
+    at, last, gap, keep, log = (f"_{out}_{n}" for n in ("at", "last", "gap", "keep", "log"))
+
+    def kept(_: WindowSpec) -> Column:
+        aged = F.col(gap) * math.log(q)
+        share = aged - F.ln(F.exp(aged) + (1 - q))
+        # A share under 2^-64 changes nothing any more; the bound keeps the products in range.
+        return F.when(F.col(gap).isNotNull(), F.greatest(share, F.lit(-FORGET)))
+
+    def average(w: WindowSpec) -> Column:
+        new = F.coalesce(1 - F.exp(F.col(keep)), F.lit(1.0))
+        term = F.col(col) * new * F.exp(-F.col(log))
+        return F.sum(term).over(so_far(w)) * F.exp(F.col(log))
+
+    def so_far(w: WindowSpec) -> WindowSpec:
+        return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def seen(w: WindowSpec) -> Column:
+        earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+        return F.last(at, ignorenulls=True).over(earlier)
+
+    slowest = min(-_gap_log(span, g) / g for g in range(1, 50 * span))
+    return Indicator(
+        (
+            {at: lambda w: F.when(F.col(col).isNotNull(), F.col(POSITION))},
+            {last: seen},
+            {gap: lambda w: F.col(at) - F.col(last)},
+            {keep: kept},
+            {log: lambda w: F.coalesce(F.sum(keep).over(so_far(w)), F.lit(0.0))},
+            {out: average},
+        ),
+        before=math.ceil(FORGET / slowest),
+        reach=math.floor(OVERFLOW / -math.log(q)),
+    )
+
+
 def macd(
     col: str,
     out: str = "macd",

@@ -148,3 +148,12 @@ def change(df: DataFrame, col: str, out: str, k: int = 1) -> DataFrame:
     known = f"_{col}_known"
     rows = fill(df.withColumn(known, F.col(col)), [known], forward=True)
     return measure(rows, I.pct_change(known, out, k)).drop(known)
+
+
+def ema_over_gaps(df: DataFrame, col: str, span: int, out: str) -> DataFrame:
+    """Exponential average of a column with gaps.
+
+    A gap ages the old average by its rows and repeats it; leading gaps stay missing.
+    """
+    rows = measure(df, I.ema_known_rows(col, span, out), keep_position=True)
+    return without_position(fill(rows, [out], forward=True))

@@ -30,6 +30,27 @@ def test_ema(series):
     assert column(out, "ema") == approx([10, 10.5, 9.75, 10.875])
 
 
+def test_ema_over_a_gap(series):
+    out = features.ema_over_gaps(series(A=[None, 1, None, 2, 3]), "close", 3, "ema")
+    assert column(out, "ema") == approx([None, 1, 1, 1.6667, 2.3333])
+
+
+@pytest.mark.parametrize("share", [0.5, 0.01, 0.0005])
+def test_ema_over_many_gaps_agrees_with_pandas(spark, share):
+    rng = np.random.default_rng(5)
+    n = 12000
+    close = pd.Series(100 + np.cumsum(rng.normal(size=n))).where(rng.random(n) < share)
+    dates = pd.date_range("1970-01-01", periods=n).date
+    frame = pd.DataFrame({"symbol": "A", "date": dates, "close": close}).astype(object)
+    df = spark.createDataFrame(
+        frame.where(frame.notna(), None), "symbol string, date date, close double")
+    for span in (3, 26):
+        out = features.ema_over_gaps(df, "close", span, "ema").toPandas().sort_values("date")
+        expected = close.ewm(span=span, adjust=False).mean()
+        np.testing.assert_allclose(
+            out["ema"].to_numpy(float), expected.to_numpy(float), rtol=1e-9, atol=1e-9)
+
+
 def test_percent_change(series):
     out = S.measure(
         series(A=[10, 11, 9, 12], B=[0, 5, 0, 0]), I.pct_change("close", "change")
