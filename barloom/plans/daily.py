@@ -20,8 +20,8 @@ def ingest(
     records = readers.symbol_from_path(readers.read_records(spark, landing, glob))
     good, bad = clean.bars(records)
     if rejects:
-        bad.write.mode("append").json(rejects)
-    unique = merge.combine(good, ["_file"])
+        bad.drop(*readers.FILE_ORDER[1:]).write.mode("append").json(rejects)
+    unique = merge.combine(good, readers.FILE_ORDER)
     new = cut(merge.new_rows(unique, writers.read_months(spark, store)), "ingest")
     writers.upsert_months(new, store)
     return new

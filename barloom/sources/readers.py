@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from barloom.functions import columns as C
 from barloom.schemas import BARS, CORRUPT, MODEL_META, PROVIDER_EXTRAS, RECORDS
 
+# File, first byte of the split, place in the split: the order in which records were landed.
+FILE_ORDER = ["_file", "_start", "_seq"]
+
 
 def read_bars(
     spark: SparkSession, path: str, fmt: str = "parquet", start=None, end=None
@@ -34,7 +37,9 @@ def read_records(
 ) -> DataFrame:
     """Landed JSON: one array of records or one record per line, as text dates and doubles.
 
-    Adds `_corrupt`, the text of an unreadable line, and `_file`, where the row came from.
+    Adds `_corrupt`, the text of an unreadable line, and the columns of `FILE_ORDER`. A split of a
+    file is read in order by one task, so these three give the order of records in their files
+    however splits are packed into tasks.
     """
     fields = [*schema.fields, T.StructField(CORRUPT, T.StringType())]
     return (
@@ -44,7 +49,11 @@ def read_records(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .json(path)
-        .withColumn("_file", F.col("_metadata.file_path"))
+        .withColumns({
+            "_file": F.col("_metadata.file_path"),
+            "_start": F.col("_metadata.file_block_start"),
+            "_seq": F.monotonically_increasing_id(),
+        })
     )
 
 
