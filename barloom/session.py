@@ -20,12 +20,26 @@ SETTINGS = {
 }
 
 
-def build_session(master: str | None = None, **extra: str) -> SparkSession:
-    """A session with the settings above. On a cluster leave `master` to spark-submit."""
+# Input per exchange partition. Windows hold one block at a time and sorts spill, so a partition
+# need not fit in memory; much smaller ones would make the exchange itself the burden at 100 TB.
+PARTITION_BYTES = 1024 * 1024 * 1024
+
+
+def build_session(
+    master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with the settings above. On a cluster leave `master` to spark-submit.
+
+    `input_bytes`, the size of the largest input, sets the number of exchange partitions; the
+    adaptive planner merges those that turn out small.
+    """
+    settings = dict(SETTINGS)
+    if input_bytes:
+        settings["spark.sql.shuffle.partitions"] = str(max(200, input_bytes // PARTITION_BYTES))
     builder = SparkSession.builder.appName("barloom")
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**settings, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

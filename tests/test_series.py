@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.functions import indicators as I
-from barloom.operators import features
+from barloom.operators import features, split
 from barloom.operators import series as S
 from barloom.session import cut
 
@@ -85,6 +85,26 @@ def test_unused_columns_and_joins_go_away(bars):
     assert "_edge" not in text
 
 
+def test_tails_are_cut_before_the_exchange(bars):
+    for df in (split.tail(bars), features.last_window(bars, ["close"]), features.latest(bars)):
+        lines = plan(df).splitlines()
+        below = [i for i, l in enumerate(lines) if "Exchange " in l][-1]
+        rest = "\n".join(lines[below:])
+        assert "WindowGroupLimit" in rest or "partial_max" in rest
+
+
+def test_no_exchange_between_a_block_and_its_fill(spark, bars):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = plan(features.training(bars)).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = next(i for i, l in enumerate(lines) if "SortMergeJoin" in l and "_block" in l)
+    main = lines[join + 1:]
+    first = next(l for l in main if "Exchange " in l)
+    assert "REPARTITION_BY_COL" in first
+
+
 def test_clashing_spans_take_several_passes():
     groups = S._passes([I.ema("close", 3, "a"), I.ema("close", 200, "b"), I.sma("close", 5, "c")])
     assert len(groups) == 2
