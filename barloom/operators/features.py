@@ -44,8 +44,11 @@ def bfill(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 GAPPED = ["ma5", "ma20", "ma60", "volume_ma5", "daily_return", "weekly_return", "rsi"]
 
 
-def training(df: DataFrame, backfill: bool = True) -> DataFrame:
-    """Training features of the tree model. Back-fill lets the first rows see later ones."""
+def training(df: DataFrame, backfill: bool = True, more: tuple = ()) -> DataFrame:
+    """Training features of the tree model. Back-fill lets the first rows see later ones.
+
+    `more` indicators, such as the target, ride along in the same pass and are not back-filled.
+    """
     out = measure(
         df,
         *moving_averages(),
@@ -54,6 +57,7 @@ def training(df: DataFrame, backfill: bool = True) -> DataFrame:
         I.pct_change("close", "weekly_return", 5),
         I.rsi("close", "rsi"),
         I.macd("close", "macd", "signal_line", None),
+        *more,
         keep_position=backfill,
     )
     out = price_features(out)

@@ -104,9 +104,17 @@ def _z(cols: list[str]) -> list[str]:
     return [f"{c}_z" for c in cols]
 
 
+def supervised(bars: DataFrame, cols: list[str]) -> DataFrame:
+    """Training features and the next close in one pass; the newest rows have no target."""
+    out = features.training(bars, more=(I.lead("close", 1, "target"),))
+    return features.select(out, [*cols, "target"])
+
+
 def holdout(rows: DataFrame, share: float = 0.2, seed: int = 42) -> DataFrame:
     """Features at t with the close of t + 1 as `target`, and an exact random hold-out."""
-    return split.random(features.target(rows, "close", 1), share, seed)
+    if "target" not in rows.columns:
+        rows = features.target(rows, "close", 1)
+    return split.random(rows.where(F.col("target").isNotNull()), share, seed)
 
 
 def fit_scalers(samples: DataFrame, cols: list[str]) -> DataFrame:

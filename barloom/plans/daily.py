@@ -56,7 +56,7 @@ def train(
     Pass one symbol's bars for a model of its own.
     """
     cols = features.FEATURE_SETS[feature_set]
-    rows = cut(features.select(features.training(bars), cols), "features")
+    rows = cut(forecast.supervised(bars, cols), "features")
     if rows.isEmpty():
         raise ValueError("no bars to train on")
     samples = cut(forecast.holdout(rows, share, seed), "holdout")

@@ -370,7 +370,7 @@ TREES, DEPTH = 10, 8
 
 
 def _forest(spark, sf):
-    rows = cut(features.select(features.training(stored(spark, sf)), RF), "features")
+    rows = cut(forecast.supervised(stored(spark, sf), RF), "features")
     samples = cut(forecast.holdout(rows), "holdout")
     params = cut(forecast.fit_scalers(samples, RF), "scalers")
     scaled = cut(forecast.scaled_samples(samples, params, RF), "scaled")
