@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import simhash
+from barloom.llm import quality, simhash
 from barloom.llm.text import table
 
 
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op8_quality": op8_quality,
     "op10_simhash": op10_simhash,
 }

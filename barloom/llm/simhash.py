@@ -130,8 +130,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataF
 def keep_first(docs: DataFrame, width: int = 3, max_bits: int = 2) -> DataFrame:
     """The rows of `docs` whose id is the smallest of their group, all columns as they were.
 
-    Of several rows with one id and one component the first by text and then any stays. Rows
-    without an id cannot be told apart and all stay.
+    Rows are told apart by id: rows that repeat a kept id stay with it, and rows without an id,
+    which no other can stand for, all stay.
     """
     grouped = near_duplicates(docs, width, max_bits)
     keep = grouped.where("doc_id = component_id").select("doc_id").distinct()

@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import simhash
+from barloom.llm import quality, simhash
 from barloom.llm.text import table
 from barloom.session import cut
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the rules reject go."""
+    return quality.keep(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each SimHash group stays."""
     return simhash.keep_first(docs)
 
 
 STAGES = [
+    ("quality_rules", quality_rules),
     ("simhash_near_dedup", near_duplicates),
 ]
 
