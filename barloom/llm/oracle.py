@@ -1,3 +1,26 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLE = {}
+OP4_URL_FILTER = r"""
+WITH parts AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule
+  FROM parts),
+hosts AS (SELECT DISTINCT host FROM ruled WHERE rule IN ('net/', 'example.com/de/'))
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+    WHEN rule IS NOT NULL THEN 'allow'
+    WHEN host IN (SELECT host FROM hosts) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+ORACLE = {
+    "op4_url_filter": OP4_URL_FILTER,
+}

@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import quality, simhash
+from barloom.llm import quality, shards, simhash, url_filter
 from barloom.llm.text import table
 
 
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shards.assign_documents(table(spark, folder, "documents"))
+
+
+def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(table(spark, folder, "pages"))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
@@ -17,6 +25,8 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op4_url_filter": op4_url_filter,
     "op8_quality": op8_quality,
     "op10_simhash": op10_simhash,
 }
