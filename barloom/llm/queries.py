@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import quality, shards, simhash, url_filter
+from barloom.llm import decontam, quality, shards, simhash, url_filter
 from barloom.llm.text import table
 
 
@@ -16,6 +16,10 @@ def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"))
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
@@ -27,6 +31,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_url_filter": op4_url_filter,
+    "op5_decontamination": op5_decontamination,
     "op8_quality": op8_quality,
     "op10_simhash": op10_simhash,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import quality, simhash
+from barloom.llm import decontam, quality, simhash
 from barloom.llm.text import table
 from barloom.session import cut
 
@@ -19,9 +19,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     return simhash.keep_first(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontam.keep_clean(docs, table(spark, folder, "benchmark"))
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("simhash_near_dedup", near_duplicates),
+    ("decontamination", decontamination),
 ]
 
 # The stages are not expressible in SQL; tests hold them against brute force.
