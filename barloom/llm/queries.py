@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barloom.llm import decontam, quality, shards, simhash, url_filter
+from barloom.llm import decontam, pieces, quality, shards, simhash, url_filter
 from barloom.llm.text import table
 
 
@@ -20,6 +21,13 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every text, and whether decoding them gives the text back."""
+    decoded = pieces.decode(pieces.encode(table(spark, folder, "documents")))
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return decoded.select("doc_id", "n_ids", "ids", same.alias("round_trip"))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
@@ -32,6 +40,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op4_url_filter": op4_url_filter,
     "op5_decontamination": op5_decontamination,
+    "op6_sentencepiece": op6_sentencepiece,
     "op8_quality": op8_quality,
     "op10_simhash": op10_simhash,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import decontam, quality, simhash
+from barloom.llm import decontam, pieces, quality, simhash
 from barloom.llm.text import table
 from barloom.session import cut
 
@@ -24,10 +24,16 @@ def decontamination(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     return decontam.keep_clean(docs, table(spark, folder, "benchmark"))
 
 
+def encoding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Ids of what is left, with its text."""
+    return pieces.encode(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("simhash_near_dedup", near_duplicates),
     ("decontamination", decontamination),
+    ("sentencepiece_encoding", encoding),
 ]
 
 # The stages are not expressible in SQL; tests hold them against brute force.
