@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontam, pieces, quality, shards, simhash, url_filter
+from barloom.llm import decontam, pieces, quality, shards, simhash, suffix_dedup, url_filter
 from barloom.llm.text import table
 
 
@@ -28,6 +28,10 @@ def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", "n_ids", "ids", same.alias("round_trip"))
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, folder, "documents"))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
@@ -41,6 +45,7 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_decontamination": op5_decontamination,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_quality": op8_quality,
     "op10_simhash": op10_simhash,
 }
