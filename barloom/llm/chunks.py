@@ -24,7 +24,7 @@ SCHEMA = "chunk long, doc_ids array<long>, ends array<long>, n_bytes long, packe
 
 
 def squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return zstandard.ZstdCompressor(level=5).compress(data)
 
 
 def expand(data: bytes) -> bytes:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontam, pieces, quality, shards, simhash, suffix_dedup, url_filter
+from barloom.llm import decontam, pieces, ppm, quality, shards, simhash, suffix_dedup, url_filter
 from barloom.llm.text import table
 
 
@@ -36,6 +36,10 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
 
+def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm.score(table(spark, folder, "documents"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -47,5 +51,6 @@ QUERIES = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_quality": op8_quality,
+    "op9_lm_score": op9_lm_score,
     "op10_simhash": op10_simhash,
 }
