@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontam, pieces, ppm, quality, shards, simhash, suffix_dedup, url_filter
+from barloom.llm import decontam, pieces, ppm, quality, secret_scan, shards, simhash, suffix_dedup, url_filter
 from barloom.llm.text import table
 
 
@@ -13,6 +13,10 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shards.assign_documents(table(spark, folder, "documents"))
 
 
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.report(table(spark, folder, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"))
 
@@ -46,6 +50,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_secrets": op2_secrets,
     "op4_url_filter": op4_url_filter,
     "op5_decontamination": op5_decontamination,
     "op6_sentencepiece": op6_sentencepiece,
