@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontam, pieces, ppm, quality, secret_scan, shards, simhash, suffix_dedup, url_filter
+from barloom.llm import decontam, line_dedup, pieces, ppm, quality, secret_scan, shards, simhash, suffix_dedup, url_filter
 from barloom.llm.text import table
 
 
@@ -17,6 +17,10 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.report(table(spark, folder, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.report(table(spark, folder, "documents"))
+
+
 def op4_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"))
 
@@ -51,6 +55,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_secrets": op2_secrets,
+    "op3_line_dedup": op3_line_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_decontamination": op5_decontamination,
     "op6_sentencepiece": op6_sentencepiece,
