@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import decontam, pieces, quality, simhash
+from barloom.llm import decontam, line_dedup, pieces, quality, simhash
 from barloom.llm.text import table
 from barloom.session import cut
 
@@ -14,6 +14,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
     return quality.keep(docs)
 
 
+def repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Lines that nearly equal an earlier line go; every document stays, with what is left."""
+    return line_dedup.trim(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each SimHash group stays."""
     return simhash.keep_first(docs)
@@ -31,6 +36,7 @@ def encoding(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("line_dedup", repeated_lines),
     ("simhash_near_dedup", near_duplicates),
     ("decontamination", decontamination),
     ("sentencepiece_encoding", encoding),
