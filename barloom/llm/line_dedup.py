@@ -22,11 +22,13 @@ FILTER_WORDS = 1 << 16
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, words): the lines of each text that hold a word, numbered from 0."""
+    """(doc_id, line, mark, words): the lines of each text that hold a word, numbered from 0; the
+    mark is a hash of the line as it is."""
     rows = T.texts(docs).where("doc_id IS NOT NULL AND text IS NOT NULL")
     lines = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
     words = F.filter(F.split("content", SPACES), lambda w: w != "")
-    return lines.select("doc_id", "line", words.alias("words")).where(F.size("words") > 0)
+    lines = lines.select("doc_id", "line", F.xxhash64("content").alias("mark"), words.alias("words"))
+    return lines.where(F.size("words") > 0)
 
 
 def _frequency_classes(docs: DataFrame) -> Column:
@@ -58,17 +60,17 @@ def _ceil(numerator: int, n: Column, denominator: int) -> Column:
 
 
 def _signed(docs: DataFrame, classes: Column, share: Fraction) -> DataFrame:
-    """(doc_id, line, n, sig, bits, prefix) of every line with a word.
+    """(doc_id, line, mark, n, sig, bits, prefix) of every line with a word.
 
     `sig` stands for the set of words; `bits` has a bit for each of 64 word classes that holds an
     odd number of its words. Two sets of enough overlap share a word of their prefixes.
     """
-    rows = _lines(docs).select("doc_id", "line", _tokens(F.col("words"), classes).alias("tokens"))
+    rows = _lines(docs).select("doc_id", "line", "mark", _tokens(F.col("words"), classes).alias("tokens"))
     n = F.size("tokens")
     prefix = n - _ceil(share.numerator, n, share.denominator) + 1
     odd = F.aggregate("tokens", F.lit(0).cast("long"), lambda done, t: done.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
-    return rows.select("doc_id", "line", n.alias("n"), F.xxhash64("tokens").alias("sig"), odd.alias("bits"),
+    return rows.select("doc_id", "line", "mark", n.alias("n"), F.xxhash64("tokens").alias("sig"), odd.alias("bits"),
                        F.slice("tokens", 1, prefix).alias("prefix"))
 
 
@@ -104,24 +106,13 @@ def _chosen(docs: DataFrame, wanted: DataFrame, classes: Column) -> DataFrame:
     words = place(wanted).groupBy("word").agg(F.bit_or(one).alias("filter"))
     held = F.call_function("shiftright", F.col("filter"), F.col("bit")).bitwiseAND(F.lit(1)) != 0
     lines = place(_lines(docs)).join(F.broadcast(words), "word").where(held)
-    return lines.select("doc_id", "line", "words").join(wanted, ["doc_id", "line"]).select(
-        "sig", _tokens(F.col("words"), classes).alias("tokens"))
+    lines = lines.select("doc_id", "line", _tokens(F.col("words"), classes).alias("tokens"))
+    lines = lines.withColumn("sig", F.xxhash64("tokens"))
+    return lines.join(wanted, ["doc_id", "line", "sig"]).groupBy("sig").agg(F.first("tokens").alias("tokens"))
 
 
-def matches(docs: DataFrame, share: Fraction = SIMILARITY) -> DataFrame:
-    """(doc_id, line, first_doc_id, first_line): the lines that go, each with the earliest line it
-    matches.
-
-    A line is the set of its words, runs of anything but ASCII white space. It goes if a line
-    before it, in order of document id and line, has a Jaccard similarity of `share` or more with
-    it; lines are judged on the input, so what goes itself still counts as earlier. Lines are
-    numbered from 0 and end at line feeds. Lines without a word, null texts and documents without
-    an id are left alone. Rows that repeat an id and a line are one line.
-
-    Lines of one word set are joined once, as their earliest. Words are ordered by the frequency
-    of their hash bucket, counted over all words, so frequent words hardly get into prefixes.
-    Words are told apart by 58 bits of a hash, sets by 64 of another.
-    """
+def _gone(docs: DataFrame, share: Fraction) -> DataFrame:
+    """(doc_id, line, mark, match): the lines that go, and the earliest line each matches."""
     classes = _frequency_classes(docs)
     lines = cut(_signed(docs, classes, share), "lines")
     sets = lines.groupBy("sig").agg(
@@ -136,15 +127,32 @@ def matches(docs: DataFrame, share: Fraction = SIMILARITY) -> DataFrame:
     right = sets.select(F.col("sig").alias("other"), F.col("tokens").alias("b"), F.col("first").alias("q"))
     both = F.size(F.array_intersect("a", "b"))
     alike = both * share.denominator >= (F.size("a") + F.size("b") - both) * share.numerator
-    links = pairs.join(left, "sig").join(right, "other").where(alike)
+    links = pairs.join(left, "sig").join(right, "other").where(alike & (F.col("p") != F.col("q")))
     later = F.when(F.col("p") < F.col("q"), F.col("other")).otherwise(F.col("sig"))
     before = links.groupBy(later.alias("sig")).agg(F.min(F.least("p", "q")).alias("match"))
     known = firsts.join(before, "sig", "left")
     match = F.coalesce("match", F.when((F.col("doc_id") != F.col("first.doc_id"))
                                        | (F.col("line") != F.col("first.line")), F.col("first")))
-    gone = lines.select("doc_id", "line", "sig").join(known, "sig").withColumn("match", match)
-    return gone.where("match IS NOT NULL").select(
-        "doc_id", "line", F.col("match.doc_id").alias("first_doc_id"), F.col("match.line").alias("first_line"))
+    gone = lines.select("doc_id", "line", "mark", "sig").join(known, "sig").withColumn("match", match)
+    return gone.where("match IS NOT NULL").select("doc_id", "line", "mark", "match")
+
+
+def matches(docs: DataFrame, share: Fraction = SIMILARITY) -> DataFrame:
+    """(doc_id, line, first_doc_id, first_line): the lines that go, each with the earliest line it
+    matches.
+
+    A line is the set of its words, runs of anything but ASCII white space. It goes if a line
+    before it, in order of document id and line, has a Jaccard similarity of `share` or more with
+    it; lines are judged on the input, so what goes itself still counts as earlier. Lines are
+    numbered from 0 and end at line feeds. Lines without a word, null texts and documents without
+    an id are left alone. Where rows repeat an id, lines of one number are equally early.
+
+    Lines of one word set are joined once, as their earliest. Words are ordered by the frequency
+    of their hash bucket, counted over all words, so frequent words hardly get into prefixes.
+    Words are told apart by 58 bits of a hash, sets by 64 of another.
+    """
+    return _gone(docs, share).select(
+        "doc_id", "line", F.col("match.doc_id").alias("first_doc_id"), F.col("match.line").alias("first_line")).distinct()
 
 
 def report(docs: DataFrame, share: Fraction = SIMILARITY) -> DataFrame:
@@ -163,10 +171,12 @@ def report(docs: DataFrame, share: Fraction = SIMILARITY) -> DataFrame:
 
 def trim(docs: DataFrame, share: Fraction = SIMILARITY) -> DataFrame:
     """`docs` without the lines that go, all other columns as they were."""
-    gone = matches(docs, share).groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
+    place = F.struct(F.col("line"), F.col("mark"))
+    gone = _gone(docs, share).groupBy("doc_id").agg(F.collect_set(place).alias("lines"))
     key, lines = T.fresh(docs, "gone_id"), T.fresh(docs, "gone_lines")
     gone = gone.toDF(key, lines)
-    kept = F.filter(F.split("text", "\n"), lambda line, at: ~F.array_contains(lines, at))
+    kept = F.filter(F.split("text", "\n"), lambda line, at: ~F.array_contains(
+        lines, F.struct(at.alias("line"), F.xxhash64(line).alias("mark"))))
     text = F.when(F.col(lines).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     joined = docs.join(gone, F.col("doc_id").cast("long") == F.col(key), "left")
     return joined.withColumn("text", text).select(*(F.col(f"`{c}`") for c in docs.columns))
