@@ -19,12 +19,13 @@ from barloom.llm import text as T
 from barloom.session import cut
 
 CHUNK_BYTES = 2 * 1024 * 1024
+TEXT_LEVEL = 5
 NO_ID = np.iinfo(np.int64).max
 SCHEMA = "chunk long, doc_ids array<long>, ends array<long>, n_bytes long, packed binary"
 
 
-def squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=5).compress(data)
+def squeeze(data: bytes, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(data)
 
 
 def expand(data: bytes) -> bytes:
@@ -37,7 +38,7 @@ def _pack(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBa
         texts = T.raw(batch)
         joined = b"".join(texts)
         ends = np.cumsum([len(t) for t in texts], dtype=np.int64).tolist()
-        columns = ([number], [batch.column("doc_id").to_pylist()], [ends], [len(joined)], [squeeze(joined)])
+        columns = ([number], [batch.column("doc_id").to_pylist()], [ends], [len(joined)], [squeeze(joined, TEXT_LEVEL)])
         kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary())
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "doc_ids", "ends", "n_bytes", "packed"])

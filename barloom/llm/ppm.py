@@ -6,6 +6,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -25,10 +26,11 @@ WORD_END = -1
 FOLDS, HELD_OUT = 7, 2
 CHUNK_BYTES = 4 * 1024 * 1024
 BUCKET_BYTES = 4 * 1024 * 1024
+SAMPLED = 16  # grams per bucket, to cut the ranges
 STEPS = 4096  # a gram's log10 probability is kept in steps of 1 / STEPS
 
 COUNTS = "key long, n long"
-VALUES = "key long, value double"
+VALUES = "bucket int, key long, value double"
 ASKED = "chunk long, bucket int, keys binary"
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
           "base_score double, score double")
@@ -44,12 +46,22 @@ def word_key(word: bytes) -> int:
     return -2 - (xxhash.xxh3_64_intdigest(word) >> 1)
 
 
-def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return np.mod(keys ^ (keys >> 20), buckets)
+@dataclass(frozen=True)
+class Buckets:
+    """Grams go to buckets by range, so that a chunk's sorted grams pack well; words by hash."""
 
+    cuts: np.ndarray
+    words: int
 
-def _bucket_column(key: Column, buckets: int) -> Column:
-    return F.pmod(key.bitwiseXOR(F.shiftright(key, 20)), F.lit(buckets)).cast("int")
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        out = np.searchsorted(self.cuts, keys, side="right")
+        word = keys < 0
+        out[word] = len(self.cuts) + 1 + np.mod(keys[word] ^ (keys[word] >> 20), self.words)
+        return out
+
+    def of_word(self, key: Column) -> Column:
+        place = F.pmod(key.bitwiseXOR(F.shiftright(key, 20)), F.lit(self.words))
+        return (place + F.lit(len(self.cuts) + 1)).cast("int")
 
 
 class Sequences:
@@ -62,20 +74,23 @@ class Sequences:
     def __init__(self, chunk: C.Chunk):
         self.chunk = chunk
         sizes = chunk.ends - chunk.starts
-        pad = ORDER + 1
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        symbols = np.full(len(chunk.text) + pad * len(sizes), START, np.int64)
         lower = chunk.text.lower()
-        symbols[np.arange(len(lower)) + owner * pad + ORDER] = np.frombuffer(lower, np.uint8)
-        last = chunk.ends + pad * np.arange(1, len(sizes) + 1) - 1
-        symbols[last] = END
-        gram = np.zeros(len(symbols) - ORDER, np.int64)
-        for back in range(ORDER + 1):
-            gram |= symbols[ORDER - back:len(symbols) - back] << (BITS * back)
+        data = np.frombuffer(lower, np.uint8)
+        spans = list(zip(chunk.starts.tolist(), chunk.ends.tolist()))
+        symbols = np.full(len(lower) + (ORDER + 1) * len(sizes), START, np.int64)
+        at = ORDER
+        for a, b in spans:
+            symbols[at:at + b - a] = data[a:b]
+            symbols[at + b - a] = END
+            at += b - a + 1 + ORDER
+        gram = symbols[: len(symbols) - ORDER].copy()
+        for ahead in range(1, ORDER + 1):
+            gram <<= BITS
+            gram |= symbols[ahead:len(symbols) - ORDER + ahead]
         # A start symbol predicted is no gram; each text gives its bytes and its end.
         self.grams = gram[symbols[ORDER:] != START]
         self.gram_ends = np.cumsum(sizes + 1)
-        self.words = [t.split() for t in (lower[a:b] for a, b in zip(chunk.starts.tolist(), chunk.ends.tolist()))]
+        self.words = [lower[a:b].split() for a, b in spans]
         self.held = [held_out(i) for i in chunk.doc_ids]
 
     def trained(self) -> np.ndarray:
@@ -86,13 +101,20 @@ class Sequences:
         return list({w for ws in self.words for w in ws})
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values in order; a sort is faster here than the hashing of `np.unique`."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])[: len(values)]]
+
+
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Training counts of a chunk's grams, with those it only asks for at 0, and of its words."""
     for chunk in C.each(batches):
         found = Sequences(chunk)
         train = found.trained()
         grams, n = np.unique(found.grams[train], return_counts=True)
-        other = np.setdiff1d(found.grams[~train], grams)
+        other = _distinct(found.grams[~train])
+        other = other[~_find(grams, other)[1]]
         words: Counter = Counter()
         for ws, held in zip(found.words, found.held):
             if not held:
@@ -172,13 +194,24 @@ def code_lengths(grams: np.ndarray, counts: np.ndarray, low: np.ndarray, low_cou
     return out
 
 
-def _price(group: pa.Table, low: np.ndarray, low_counts: np.ndarray) -> pa.Table:
+def _price(group: pa.Table, low: np.ndarray, low_counts: np.ndarray, buckets: Buckets) -> pa.Table:
     keys, counts = (group.column(c).to_numpy() for c in ("key", "n"))
-    return pa.table({"key": keys, "value": code_lengths(keys, counts, low, low_counts)})
+    return pa.table({"bucket": pa.array(buckets.of(keys), pa.int32()), "key": keys,
+                     "value": code_lengths(keys, counts, low, low_counts)})
+
+
+def _buckets(grams: DataFrame, number: int) -> Buckets:
+    """Ranges of about equally many grams, from a sample that grows with their number."""
+    n = grams.count()
+    some = grams.select("key").sample(min(1.0, SAMPLED * number / n), seed=3) if n else grams
+    keys = np.sort(some.toArrow().column("key").to_numpy())
+    cuts = np.unique(keys[np.arange(1, number) * len(keys) // number]) if len(keys) else keys
+    return Buckets(cuts, number)
 
 
-def model(chunks: DataFrame) -> tuple[DataFrame, int, int]:
-    """(key, value) for grams and words, and the number of training tokens and distinct ones.
+def model(chunks: DataFrame, number: int) -> tuple[DataFrame, Buckets, int, int]:
+    """(bucket, key, value) for grams and words, the buckets, and the number of training tokens
+    and of distinct ones.
 
     A gram's value is its log10 probability, at least 1e-15, a word's its training count. Counts are summed by
     key; grams are priced in groups that share two context symbols, at most 257 ** 3 grams. The
@@ -191,19 +224,21 @@ def model(chunks: DataFrame) -> tuple[DataFrame, int, int]:
     low = grams.where("n > 0").groupBy(pair.alias("key")).agg(F.sum("n").alias("n")).orderBy("key").toArrow()
     low_keys, low_counts = (low.column(c).to_numpy() for c in ("key", "n"))
     last = F.shiftright("key", BITS).bitwiseAND(F.lit((1 << 2 * BITS) - 1))
+    buckets = _buckets(grams, number)
     priced = grams.groupBy(last.alias("last")).applyInArrow(
-        lambda group: _price(group, low_keys, low_counts), VALUES)
-    return priced.unionAll(words.select("key", F.col("n").cast("double"))), tokens, distinct
+        lambda group: _price(group, low_keys, low_counts, buckets), VALUES)
+    words = words.select(buckets.of_word(F.col("key")).alias("bucket"), "key", F.col("n").cast("double"))
+    return priced.unionAll(words), buckets, tokens, distinct
 
 
-def _ask(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _ask(batches: Iterable[pa.RecordBatch], buckets: Buckets) -> Iterator[pa.RecordBatch]:
     for chunk in C.each(batches):
         found = Sequences(chunk)
         words = found.distinct_words()
         keys = np.concatenate([np.fromiter(map(word_key, words), np.int64, len(words)), [WORD_END],
-                               np.unique(found.grams)])
-        rows = [(b, C.squeeze(np.diff(np.unique(keys[at]), prepend=0).tobytes()))
-                for b, at in C.grouped(_bucket(keys, buckets))]
+                               _distinct(found.grams)])
+        rows = [(b, C.squeeze(np.diff(np.sort(keys[at]), prepend=0).tobytes()))
+                for b, at in C.grouped(buckets.of(keys))]
         numbers, packed = zip(*rows)
         yield pa.RecordBatch.from_arrays(
             [pa.array([chunk.number] * len(rows), pa.int64()), pa.array(numbers, pa.int32()),
@@ -233,7 +268,7 @@ def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
     return asked.select(["chunk", "bucket"]).append_column("keys", pa.array(out, pa.binary()))
 
 
-def _score(left: pa.Table, right: pa.Table, buckets: int, tokens: int, distinct: int) -> pa.Table:
+def _score(left: pa.Table, right: pa.Table, buckets: Buckets, tokens: int, distinct: int) -> pa.Table:
     rows = []
     if left.num_rows:
         found = Sequences(C.Chunk(left))
@@ -243,12 +278,11 @@ def _score(left: pa.Table, right: pa.Table, buckets: int, tokens: int, distinct:
         every = np.concatenate([word_keys, [WORD_END], grams])
         values = np.zeros(len(every))
         answers = dict(zip(right.column("bucket").to_pylist(), right.column("keys").to_pylist()))
-        for bucket, at in C.grouped(_bucket(every, buckets)):
-            own, back = np.unique(every[at], return_inverse=True)
-            n, data = int(np.searchsorted(own, 0)), C.expand(answers[bucket])
-            value = np.concatenate([np.frombuffer(data, np.int64, n),
-                                    np.frombuffer(data, np.uint16, len(own) - n, 8 * n) / -STEPS])
-            values[at] = value[back]
+        for bucket, at in C.grouped(buckets.of(every)):
+            at = at[np.argsort(every[at])]
+            n, data = int(np.searchsorted(every[at], 0)), C.expand(answers[bucket])
+            values[at[:n]] = np.frombuffer(data, np.int64, n)
+            values[at[n:]] = np.frombuffer(data, np.uint16, len(at) - n, 8 * n) / -STEPS
         ends = found.gram_ends
         total = np.add.reduceat(values[len(words) + 1:][place], np.concatenate([[0], ends[:-1]]))
         count = dict(zip(words, values[:len(words)].tolist()))
@@ -277,9 +311,7 @@ def score(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = B
     """
     chunks = C.pack(docs, chunk_bytes)
     size = chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    buckets = max(1, math.ceil(size / bucket_bytes))
-    values, tokens, distinct = model(chunks)
-    values = values.withColumn("bucket", _bucket_column(F.col("key"), buckets))
+    values, buckets, tokens, distinct = model(chunks, max(1, math.ceil(size / bucket_bytes)))
     asked = chunks.mapInArrow(partial(_ask, buckets=buckets), ASKED)
     answered = asked.groupBy("bucket").cogroup(values.groupBy("bucket")).applyInArrow(_answer, ASKED)
     return chunks.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(

@@ -177,7 +177,7 @@ def _send(left: pa.Table, right: pa.Table, cuts: np.ndarray) -> pa.Table:
                 strings = b"".join(suffixes.string(e) for e in at.tolist())
                 parts = (np.array([len(at)]), ids[at], suffixes.first[at], suffixes.count[at],
                          suffixes.anchor[at] - suffixes.first[at])
-                rows.append((bucket, C.squeeze(np.concatenate(parts).tobytes() + strings)))
+                rows.append((bucket, C.squeeze(np.concatenate(parts).tobytes() + strings, C.TEXT_LEVEL)))
     numbers, packed = zip(*rows) if rows else ((), ())
     number = left.column("chunk")[0].as_py() if left.num_rows else None
     return pa.table({"chunk": pa.array([number] * len(rows), pa.int64()),
