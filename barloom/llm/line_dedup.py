@@ -17,28 +17,35 @@ SPACES = r"[ \t\x0B\f\r]+"
 BUCKETS = 1 << 16
 CLASSES = 32
 HASH_BITS = 58
+# Words from which a line has 128 parity bits instead of 64.
+LONG = 64
 # 64-bit words of the filter that picks the lines to be verified; a bound on what is broadcast.
 FILTER_WORDS = 1 << 16
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, mark, words): the lines of each text that hold a word, numbered from 0; the
-    mark is a hash of the line as it is."""
+def _rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, line, content): the lines of each text, numbered from 0."""
     rows = T.texts(docs).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    lines = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    words = F.filter(F.split("content", SPACES), lambda w: w != "")
-    lines = lines.select("doc_id", "line", F.xxhash64("content").alias("mark"), words.alias("words"))
-    return lines.where(F.size("words") > 0)
+    return rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
+
+
+def _words() -> Column:
+    """The words of `content`; splitting at plain spaces, where that is enough, costs less."""
+    odd = F.col("content").rlike(r"[\t\x0B\f\r]")
+    split = F.when(odd, F.split("content", SPACES)).otherwise(F.split("content", " "))
+    return F.array_remove(split, "")
 
 
 def _frequency_classes(docs: DataFrame) -> Column:
-    """The class of each hash bucket, 0 for the rarest words, from the counts of all words."""
-    words = T.texts(docs).select(F.explode(F.split("text", r"[ \n\t\x0B\f\r]+")).alias("word"))
+    """The class of each hash bucket, 0 for the rarest words, from the counts of all words.
+
+    Any order of words serves; words are split at spaces alone here, which costs least.
+    """
+    words = T.texts(docs).select(F.explode(F.split("text", " ")).alias("word"))
     bucket = F.pmod(F.xxhash64("word"), F.lit(BUCKETS))
     counts = dict(tuple(r) for r in words.groupBy(bucket).agg(F.count("*")).collect())
-    classes = (min(CLASSES - 1, int(2 * math.log2(1 + counts.get(b, 0)))) for b in range(BUCKETS))
-    lowest = sorted(set(classes := list(classes)))
-    place = {c: i for i, c in enumerate(lowest)}
+    classes = [min(CLASSES - 1, int(2 * math.log2(1 + counts.get(b, 0)))) for b in range(BUCKETS)]
+    place = {c: i for i, c in enumerate(sorted(set(classes)))}
     # A foldable expression: the planner turns it into one array constant.
     return F.split(F.lit(",".join(str(place[c]) for c in classes)), ",").cast("array<int>")
 
@@ -46,12 +53,18 @@ def _frequency_classes(docs: DataFrame) -> Column:
 def _tokens(words: Column, classes: Column) -> Column:
     """The distinct words as numbers in ascending order, rare ones first."""
 
-    def token(h):
-        kind = F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long")
-        return F.shiftleft(kind, HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
+    def token(word):
+        kind = F.get(classes, F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")).cast("long")
+        return F.shiftleft(kind, HASH_BITS).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 64 - HASH_BITS))
+
+    return F.sort_array(F.array_distinct(F.transform(words, token)))
+
 
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-    return F.sort_array(F.array_distinct(F.transform(hashes, token)))
+def _parity(tokens: Column, counted) -> Column:
+    """A bit for each of 64 classes of tokens that holds an odd number of those counted."""
+    one = F.lit(1).cast("long")
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda done, t: done.bitwiseXOR(
+        counted(t, F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int")))))
 
 
 def _ceil(numerator: int, n: Column, denominator: int) -> Column:
@@ -60,17 +73,20 @@ def _ceil(numerator: int, n: Column, denominator: int) -> Column:
 
 
 def _signed(docs: DataFrame, classes: Column, share: Fraction) -> DataFrame:
-    """(doc_id, line, mark, n, sig, bits, prefix) of every line with a word.
+    """(doc_id, line, mark, n, sig, bits, more, prefix) of every line with a word.
 
-    `sig` stands for the set of words; `bits` has a bit for each of 64 word classes that holds an
-    odd number of its words. Two sets of enough overlap share a word of their prefixes.
+    `mark` is a hash of the line as it is, `sig` stands for its set of words. `bits` has the
+    parities of 64 word classes; those of long lines are told apart into 128, the odd half of them
+    in `more`. Two sets of enough overlap share a word of their prefixes.
     """
-    rows = _lines(docs).select("doc_id", "line", "mark", _tokens(F.col("words"), classes).alias("tokens"))
-    n = F.size("tokens")
+    rows = _rows(docs).select("doc_id", "line", F.xxhash64("content").alias("mark"),
+                              _tokens(_words(), classes).alias("tokens")).where(F.size("tokens") > 0)
+    n, tokens = F.size("tokens"), F.col("tokens")
     prefix = n - _ceil(share.numerator, n, share.denominator) + 1
-    odd = F.aggregate("tokens", F.lit(0).cast("long"), lambda done, t: done.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
-    return rows.select("doc_id", "line", "mark", n.alias("n"), F.xxhash64("tokens").alias("sig"), odd.alias("bits"),
+    more = F.when(n >= LONG, _parity(tokens, lambda t, bit: F.when(
+        t.bitwiseAND(F.lit(64)) != 0, bit).otherwise(F.lit(0).cast("long"))))
+    return rows.select("doc_id", "line", "mark", n.alias("n"), F.xxhash64("tokens").alias("sig"),
+                       _parity(tokens, lambda t, bit: bit).alias("bits"), more.alias("more"),
                        F.slice("tokens", 1, prefix).alias("prefix"))
 
 
@@ -81,22 +97,26 @@ def _candidates(sets: DataFrame, share: Fraction) -> DataFrame:
     the first word that two prefixes share, one more than the smaller rest must reach a; words in
     only one of the sets, at most n + m - 2 a, each flip one bit.
     """
-    index = sets.select("sig", "n", "bits", F.posexplode("prefix").alias("at", "token"))
+    index = sets.select("sig", "n", "bits", "more", F.posexplode("prefix").alias("at", "token"))
     x, y = index.alias("x"), index.alias("y")
     total = F.col("x.n") + F.col("y.n")
     common = _ceil(share.numerator, total, share.numerator + share.denominator)
     rest = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     once = (F.col("x.n") > F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.sig") < F.col("y.sig")))
-    near = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= total - 2 * common
+    flipped = F.col("x.bits").bitwiseXOR(F.col("y.bits"))
+    odd = F.col("x.more").bitwiseXOR(F.col("y.more"))
+    differ = F.coalesce(F.bit_count(odd) + F.bit_count(flipped.bitwiseXOR(odd)), F.bit_count(flipped))
     long_enough = F.col("y.n") * share.denominator >= F.col("x.n") * share.numerator
-    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & once & long_enough & (rest >= common) & near)
+    fits = once & long_enough & (rest >= common) & (differ <= total - 2 * common)
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & fits)
     return pairs.select(F.col("x.sig").alias("sig"), F.col("y.sig").alias("other")).distinct()
 
 
 def _chosen(docs: DataFrame, wanted: DataFrame, classes: Column) -> DataFrame:
     """(sig, tokens) of the wanted lines (doc_id, line, sig).
 
-    A filter of fixed size, one bit per hash, keeps most other lines out of the exchange.
+    A filter of fixed size, one bit per hash, keeps most other lines out of the exchange, and from
+    being split into words.
     """
     def place(df):
         h = F.xxhash64("doc_id", "line")
@@ -105,10 +125,10 @@ def _chosen(docs: DataFrame, wanted: DataFrame, classes: Column) -> DataFrame:
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))
     words = place(wanted).groupBy("word").agg(F.bit_or(one).alias("filter"))
     held = F.call_function("shiftright", F.col("filter"), F.col("bit")).bitwiseAND(F.lit(1)) != 0
-    lines = place(_lines(docs)).join(F.broadcast(words), "word").where(held)
-    lines = lines.select("doc_id", "line", _tokens(F.col("words"), classes).alias("tokens"))
-    lines = lines.withColumn("sig", F.xxhash64("tokens"))
-    return lines.join(wanted, ["doc_id", "line", "sig"]).groupBy("sig").agg(F.first("tokens").alias("tokens"))
+    lines = place(_rows(docs)).join(F.broadcast(words), "word").where(held)
+    lines = lines.select("doc_id", "line", "content").join(wanted.select("doc_id", "line").distinct(), ["doc_id", "line"])
+    tokens = lines.select(_tokens(_words(), classes).alias("tokens")).withColumn("sig", F.xxhash64("tokens"))
+    return tokens.join(wanted.select("sig"), "sig").groupBy("sig").agg(F.first("tokens").alias("tokens"))
 
 
 def _gone(docs: DataFrame, share: Fraction) -> DataFrame:
@@ -117,7 +137,7 @@ def _gone(docs: DataFrame, share: Fraction) -> DataFrame:
     lines = cut(_signed(docs, classes, share), "lines")
     sets = lines.groupBy("sig").agg(
         F.min(F.struct("doc_id", "line")).alias("first"), F.first("n").alias("n"),
-        F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
+        F.first("bits").alias("bits"), F.first("more").alias("more"), F.first("prefix").alias("prefix"))
     pairs = cut(_candidates(sets.where(F.size("prefix") > 0), share), "pairs")
     firsts = cut(lines.groupBy("sig").agg(F.min(F.struct("doc_id", "line")).alias("first")), "firsts")
     ends = pairs.select("sig").union(pairs.select("other")).distinct()
