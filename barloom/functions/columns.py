@@ -72,6 +72,11 @@ def to_number(c: str | Column) -> Column:
     return known(_col(c).try_cast("double"))
 
 
+def two_decimals(c: str | Column) -> Column:
+    """A number as text with two decimals; halves go up."""
+    return F.format_string("%.2f", F.floor(_col(c) * 100 + 0.50001) / 100)
+
+
 def to_day(c: str | Column) -> Column:
     """Date from text such as 2024-01-02 or 2024-01-02T00:00:00.000; null when unreadable."""
     return F.to_date(_col(c).try_cast("timestamp"))

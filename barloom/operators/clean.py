@@ -15,8 +15,10 @@ def mark_records(records: DataFrame) -> DataFrame:
     corrupt = F.col(CORRUPT) if CORRUPT in records.columns else F.lit(None).cast("string")
     typed = {"date": C.to_day("Date"), **{n: C.known(n.capitalize()) for n in OHLCV}}
     missing = F.greatest(*[F.col(name).isNull() for name in OHLCV])
+    nameless = F.coalesce(F.col("symbol"), F.lit("")) == "" if "symbol" in rest else F.lit(False)
     reason = (
-        F.when(F.col("_line").isNotNull(), "unreadable line")
+        F.when(nameless, "no symbol")
+        .when(F.col("_line").isNotNull(), "unreadable line")
         .when(F.col("date").isNull(), "no date")
         .when(missing, "missing value")
     )
@@ -30,8 +32,13 @@ def mark_records(records: DataFrame) -> DataFrame:
 
 def bars(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split landed records into bars and rejects. No record fails the job."""
-    marked = mark_records(records)
-    rest = [c for c in records.columns if c not in RECORDS.names and c != CORRUPT]
+    return parted(mark_records(records))
+
+
+def parted(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The good bars and the rejects of marked records."""
+    own = {"record", "_line", "reason", "date", *OHLCV}
+    rest = [c for c in marked.columns if c not in own]
     good = marked.where(F.col("reason").isNull()).select(*rest, "date", *OHLCV)
     rejects = marked.where(F.col("reason").isNotNull()).select(
         *rest, "record", F.col("_line").alias("line"), "reason"
@@ -39,8 +46,11 @@ def bars(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, rejects
 
 
-def pair_lines(lines: DataFrame, col: str = "value") -> DataFrame:
-    """Records from legacy `key<TAB>json` lines."""
+def pair_lines(lines: DataFrame, col: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """Records from legacy `key<TAB>json` lines, with the columns to `keep`."""
     values = F.from_json(C.pair_value(col), "Open double, High double, Low double, "
                                             "Close double, Volume double")
-    return lines.select(C.pair_key(col).alias("Date"), values.alias("v")).select("Date", "v.*")
+    kept = keep or []
+    return lines.select(*kept, C.pair_key(col).alias("Date"), values.alias("v")).select(
+        *kept, "Date", "v.*"
+    )

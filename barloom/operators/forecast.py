@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import logging
+import math
+
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -15,6 +20,8 @@ from barloom.operators import features, metrics, scale, split
 from barloom.operators.series import measure
 from barloom.session import cut
 
+log = logging.getLogger(__name__)
+
 BASELINES = ("last_close", "sma_5", "sma_20", "sma_60")
 TEST_ROWS, TRAIN_ROWS, WINDOW_ROWS = 30, 420, 120
 
@@ -57,9 +64,19 @@ def walk_forward_baseline(
 
 
 def rank_baselines(df: DataFrame, names: tuple[str, ...] = BASELINES, runs: int = 3) -> DataFrame:
-    """Baselines by mean MAPE. They have no randomness, so the runs agree."""
+    """Baselines by mean MAPE over runs; run r leaves out the test rows that its hash picks.
+
+    Baselines are not fitted, so their runs differ in the rows they are judged on.
+    """
+    rows = walk_forward_baseline(df, names)
     run = F.explode(F.sequence(F.lit(1), F.lit(runs)))
-    return metrics.rank(walk_forward_baseline(df, names).withColumn("run", run))
+    picked = F.pmod(_hash("symbol", C.day_text("date")), F.lit(runs)) + 1
+    return metrics.rank(rows.withColumn("run", run).where(picked != F.col("run")))
+
+
+def _hash(*parts) -> Column:
+    """28 bits of the MD5 of some values, the same on every engine and cluster."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 7), 16, 10).cast("long")
 
 
 def _tail_rows(df: DataFrame, test: int, before: int, item: Column) -> DataFrame:
@@ -104,10 +121,9 @@ def _z(cols: list[str]) -> list[str]:
     return [f"{c}_z" for c in cols]
 
 
-def supervised(bars: DataFrame, cols: list[str]) -> DataFrame:
-    """Training features and the next close in one pass; the newest rows have no target."""
-    out = features.training(bars, more=(I.lead("close", 1, "target"),))
-    return features.select(out, [*cols, "target"])
+def supervised(bars: DataFrame, cols: list[str], gaps: bool = False) -> DataFrame:
+    """Features and the next close in one pass; the newest rows have no target."""
+    return features.supervised(bars, cols, gaps)
 
 
 def holdout(rows: DataFrame, share: float = 0.2, seed: int = 42) -> DataFrame:
@@ -133,6 +149,7 @@ def fit_forest(
     depth: int = 15,
     min_leaf: int = 2,
     seed: int = 42,
+    bootstrap: bool = True,
 ) -> PipelineModel:
     """One forest over scaled rows of all given symbols; pass one symbol's rows for its own."""
     forest = RandomForestRegressor(
@@ -144,6 +161,7 @@ def fit_forest(
         minInstancesPerNode=min_leaf,
         featureSubsetStrategy="all",
         maxBins=256,
+        bootstrap=bootstrap,
         seed=seed,
     )
     vector = VectorAssembler(inputCols=_z(cols), outputCol="features")
@@ -171,7 +189,7 @@ def next_day(
     model: PipelineModel, rows: DataFrame, params: DataFrame, cols: list[str], calendar: str = "day"
 ) -> DataFrame:
     """The prediction from the newest feature row of each symbol."""
-    newest = features.latest(rows.select("symbol", "date", *cols))
+    newest = features.latest(rows.select("symbol", "date", *dict.fromkeys(["close", *cols])))
     scaled = scale.apply(newest, params, cols, suffix="_z")
     return predict_scaled(model, scaled, params, cols).select(
         "symbol",
@@ -213,12 +231,27 @@ def sequence_samples(
     )
 
 
-def fit_sequence(samples: DataFrame, penalty: float = 0.01) -> LinearRegressionModel:
+def fit_sequence(
+    samples: DataFrame, penalty: float = 0.01, weight: str | None = None
+) -> LinearRegressionModel:
     """Ridge regression on the flattened windows of the train part."""
+    kept = ["y"] if weight is None else ["y", weight]
     rows = samples.where(F.col("part") == "train").select(
-        array_to_vector(F.flatten("x")).alias("features"), "y"
+        array_to_vector(F.flatten("x")).alias("features"), *kept
     )
-    return LinearRegression(labelCol="y", regParam=penalty, standardization=False).fit(rows)
+    ridge = LinearRegression(labelCol="y", regParam=penalty, standardization=False)
+    return (ridge if weight is None else ridge.setWeightCol(weight)).fit(rows)
+
+
+def fit_final_sequence(
+    rows: DataFrame, cols: list[str], length: int = WINDOW_ROWS
+) -> tuple[LinearRegressionModel, DataFrame]:
+    """The model, and its scalers, for use: fitted on every row of every series."""
+    every = rows.select("symbol", "date", *dict.fromkeys([*cols, "close"])).withColumn(
+        "part", F.lit("train")
+    )
+    params = cut(fit_study_scalers(every, cols), "scalers")
+    return fit_sequence(cut(sequence_samples(every, params, cols, length), "samples")), params
 
 
 def predict_sequence(
@@ -306,18 +339,44 @@ def compare_feature_sets(
     train: int = TRAIN_ROWS,
     seed: int = 42,
 ) -> DataFrame:
-    """Mean test MAPE per feature set over runs that differ in the bootstrap of their samples."""
+    """Mean test MAPE per feature set over runs that differ in the bootstrap of their samples.
+
+    A run that fails is logged, skipped and counted; a set without a finished run is left out.
+    """
     long = None
     for name, wanted in sets.items():
-        cols = [c for c in wanted if c in df.columns]
-        rows = cut(study_rows(df, cols, test, train), "study")
-        params = fit_study_scalers(rows, cols)
-        samples = cut(sequence_samples(rows, params, cols, length), "samples")
+        missing = set(wanted) - set(df.columns)
+        if missing:
+            raise ValueError(f"feature set {name} lacks the columns {sorted(missing)}")
+        rows = cut(study_rows(df, wanted, test, train), "study")
+        params = fit_study_scalers(rows, wanted)
+        samples = cut(sequence_samples(rows, params, wanted, length), "samples")
         for run in range(1, runs + 1):
-            drawn = samples.where(F.col("part") == "train").sample(True, 1.0, seed + run)
-            guessed = walk_forward(fit_sequence(drawn), samples, params)
-            part = guessed.select(
+            try:
+                model = fit_sequence(bootstrap(samples, seed + run), weight="_times")
+            except (PySparkException, Py4JError) as error:
+                log.warning("run %d of feature set %s failed: %s", run, name, error)
+                continue
+            part = walk_forward(model, samples, params).select(
                 "*", F.lit(name).alias("feature_set"), F.lit(run).alias("run")
             )
             long = part if long is None else long.unionByName(part)
-    return metrics.rank(long)
+    if long is None:
+        raise ValueError("no run of any feature set succeeded")
+    ranked = metrics.rank(long)
+    return ranked.withColumn("failed", F.lit(runs) - F.col("runs"))
+
+
+def bootstrap(samples: DataFrame, seed: int) -> DataFrame:
+    """`samples` with `_times`, how often each is drawn; those drawn never are left out.
+
+    Counts follow a Poisson distribution of mean 1 by a hash of symbol, date and seed, so a draw
+    does not depend on how rows are spread over tasks.
+    """
+    share = _hash("symbol", C.day_text("date"), F.lit(seed)) / F.lit(1 << 28)
+    times, reached, chance = F.lit(0), 0.0, math.exp(-1)
+    for count in range(1, 9):
+        reached += chance
+        chance /= count
+        times = times + (share >= reached).cast("int")
+    return samples.withColumn("_times", times.cast("double")).where(F.col("_times") > 0)

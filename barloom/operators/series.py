@@ -16,13 +16,15 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.session import cut
+
 POSITION, LENGTH, BLOCK = "_pos", "_len", "_block"
 BLOCK_ROWS = 4096
 
 Expr = Callable[[WindowSpec], Column]
 
 
-def _default_chunk(df: DataFrame, order: str) -> Column:
+def default_chunk(df: DataFrame, order: str) -> Column:
     """Calendar chunk of the order column.
 
     A year of daily rows is at most 366, a month of minute rows at most 44,640. Denser series
@@ -47,7 +49,7 @@ def with_position(
     """
     if POSITION in df.columns:
         return df
-    chunked = df.withColumn("_chunk", _default_chunk(df, order) if chunk is None else chunk)
+    chunked = df.withColumn("_chunk", default_chunk(df, order) if chunk is None else chunk)
     sizes = chunked.groupBy(key, "_chunk").agg(F.count("*").alias("_rows"))
     series = Window.partitionBy(key)
     earlier = series.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -170,6 +172,11 @@ def _measure_pass(
     df: DataFrame, group: list[Indicator], key: str, block_rows: int | None
 ) -> DataFrame:
     before, after, rows = _frame(group)
+    reaches = [item.reach for item in group if item.reach is not None]
+    if block_rows and reaches and block_rows + before + after > min(reaches):
+        raise ValueError(
+            f"a block of {block_rows} rows and its copies pass the {min(reaches)} rows it may hold"
+        )
     rows = block_rows or rows
     carried = [c for c in df.columns if c != BLOCK]
     window = Window.partitionBy(key, BLOCK).orderBy(POSITION)
@@ -190,49 +197,44 @@ def _measure_pass(
     )
 
 
-def _last_seen(cols: list[str], keys: list[str], pos: str, forward: bool) -> dict[str, Column]:
-    # Always a frame that only grows: the "rest of the series" frame costs its square.
+def _in_block(cols: list[str], key: str, pos: str, block: str, forward: bool) -> dict[str, Column]:
+    # Always a frame that only grows: the "rest of the block" frame costs its square.
     towards = F.col(pos).asc() if forward else F.col(pos).desc()
-    seen = Window.partitionBy(*keys).orderBy(towards).rowsBetween(
+    seen = Window.partitionBy(key, block).orderBy(towards).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     return {c: F.last(c, ignorenulls=True).over(seen) for c in cols}
 
 
-def _known(
-    df: DataFrame,
-    cols: list[str],
-    key: str,
-    pos: str,
-    block: str,
-    forward: bool,
-    rows: int,
-    levels: int,
+def _from_neighbours(
+    rims: DataFrame, cols: list[str], key: str, block: str, forward: bool, rows: int, levels: int
 ) -> DataFrame:
-    """Replace nulls of `cols` by the nearest known value, level by level.
-
-    Inside a block by a window. A gap at the block's rim falls back on the neighbour's edge row,
-    and the table of edge rows is itself such a series, `rows` times shorter.
-    """
-    nearest = F.max_by if forward else F.min_by
-    edges = df.groupBy(key, block).agg(
-        *[nearest(c, F.when(F.col(c).isNotNull(), F.col(pos))).alias(f"{c}_edge") for c in cols]
-    )
-    edge_cols = [f"{c}_edge" for c in cols]
+    """Per block, the nearest known values outside of it, from one row per block."""
     if levels <= 1:
-        edges = edges.withColumns(_last_seen(edge_cols, [key], block, forward))
+        towards = F.col(block).asc() if forward else F.col(block).desc()
+        seen = Window.partitionBy(key).orderBy(towards).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        known = rims.withColumns({c: F.last(c, ignorenulls=True).over(seen) for c in cols})
     else:
-        outer = f"{block}_block"
-        edges = edges.withColumn(outer, block_of(rows, block))
-        edges = _known(edges, edge_cols, key, block, outer, forward, rows, levels - 1).drop(outer)
-    edges = edges.withColumn(block, F.col(block) + (1 if forward else -1))
-    # Already unique; said so that the join goes away where no filled column is used.
-    edges = edges.dropDuplicates([key, block])
-    out = df.withColumns(_last_seen(cols, [key, block], pos, forward))
-    out = out.join(edges, [key, block], "left")
-    return out.withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"{c}_edge")) for c in cols}
-    ).drop(*edge_cols)
+        outer = f"{block}_outer"
+        inner = rims.withColumn(outer, block_of(rows, block))
+        inner = inner.withColumns(_in_block(cols, key, block, outer, forward))
+        nearest = F.max_by if forward else F.min_by
+        edges = inner.groupBy(key, outer).agg(
+            *[nearest(c, F.when(F.col(c).isNotNull(), F.col(block))).alias(c) for c in cols]
+        )
+        edges = _from_neighbours(edges, cols, key, outer, forward, rows, levels - 1)
+        known = _filled(inner, edges, cols, [key, outer]).drop(outer)
+    return known.withColumn(block, F.col(block) + (1 if forward else -1))
+
+
+def _filled(df: DataFrame, edges: DataFrame, cols: list[str], on: list[str]) -> DataFrame:
+    named = edges.select(*on, *[F.col(c).alias(f"{c}_edge") for c in cols])
+    out = df.join(named, on, "left")
+    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}_edge")) for c in cols}).drop(
+        *[f"{c}_edge" for c in cols]
+    )
 
 
 def fill(
@@ -242,16 +244,22 @@ def fill(
     order: str = "date",
     chunk: Column | None = None,
     key: str = "symbol",
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     levels: int = 1,
 ) -> DataFrame:
     """Fill gaps from the previous (`forward`) or the next known row, however far away it is.
 
-    Blocks left by `measure(..., keep_position=True)` are used as they are, without another
-    exchange. `levels` nests the edge table for series of more than about 10^10 rows.
+    Gaps are filled inside blocks by a window, on the exchange that `measure(...,
+    keep_position=True)` left if there is one. That result is written once; the row at each
+    block's rim then says what neighbouring blocks need, so the chain before is not run again.
+    `levels` nests the table of rims for series of more than about 10^10 rows.
     """
     names = df.columns
     out = with_position(df, order, chunk, key)
     if BLOCK not in names:
-        out = out.withColumn(BLOCK, block_of(block_rows))
-    return _known(out, cols, key, POSITION, BLOCK, forward, block_rows, levels).select(*names)
+        out = out.withColumn(BLOCK, block_of(block_rows or BLOCK_ROWS))
+    out = cut(out.withColumns(_in_block(cols, key, POSITION, BLOCK, forward)), "filled")
+    nearest = F.max_by if forward else F.min_by
+    rims = out.groupBy(key, BLOCK).agg(*[nearest(c, POSITION).alias(c) for c in cols])
+    edges = _from_neighbours(rims, cols, key, BLOCK, forward, block_rows or BLOCK_ROWS, levels)
+    return _filled(out, edges, cols, [key, BLOCK]).select(*names)

@@ -5,38 +5,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.operators.series import LENGTH, POSITION, with_position, without_position
+from barloom.operators.series import default_chunk, without_position
 
-# Spark prunes ranks before the exchange up to this many rows per key.
-RANK_LIMIT = 1000
+# Leading hex digits of a hash that cut each series into chunks.
+DIGITS = 4
+
+
+def newest(df: DataFrame, n: int, order: str = "date") -> DataFrame:
+    """The last `n` rows of each series with `_back`, 1 for the newest.
+
+    Rows are counted per calendar chunk; only the chunks that reach into the last `n` rows are
+    ranked, each by itself, so no task holds more than a chunk whatever `n` and the series are.
+    Rows without a symbol or a date belong to no series and are left out.
+    """
+    chunked = without_position(df).withColumn("_chunk", default_chunk(df, order))
+    sizes = chunked.groupBy("symbol", "_chunk").agg(F.count("*").alias("_rows"))
+    later = Window.partitionBy("symbol").orderBy(F.desc("_chunk"))
+    later = later.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_rows").over(later), F.lit(0))
+    chunks = sizes.withColumn("_newer", before).where(F.col("_newer") < n).drop("_rows")
+    rank = F.row_number().over(Window.partitionBy("symbol", "_chunk").orderBy(F.desc(order)))
+    ranked = chunked.join(chunks, ["symbol", "_chunk"]).withColumn("_back", F.col("_newer") + rank)
+    return ranked.where(F.col("_back") <= n).drop("_chunk", "_newer")
 
 
 def tail(df: DataFrame, test: int = 30, train: int = 420) -> DataFrame:
     """The last `test` rows of a series as test, the `train` rows before them as train."""
-    if test + train <= RANK_LIMIT:
-        newest = Window.partitionBy("symbol").orderBy(F.col("date").desc())
-        ranked = df.withColumn("_back", F.row_number().over(newest))
-    else:
-        ranked = with_position(without_position(df)).withColumn(
-            "_back", F.col(LENGTH) - F.col(POSITION)
-        )
     part = F.when(F.col("_back") <= test, "test").otherwise("train")
-    out = ranked.where(F.col("_back") <= test + train).withColumn("part", part)
-    return without_position(out).drop("_back")
+    return newest(df, test + train).withColumn("part", part).drop("_back")
 
 
 def random(
-    df: DataFrame, share: float = 0.2, seed: int = 42, digits: int = 2
+    df: DataFrame, share: float = 0.2, seed: int = 42, digits: int = DIGITS
 ) -> DataFrame:
     """Exactly ceil(share * n) rows of each series as test, chosen by a hash of their key.
 
-    The order is the hash, so its leading hex `digits` cut each series into even chunks, 256 by
-    default. More digits suit series of very many rows, fewer suit very many short series.
+    The order is the hash. Its leading hex `digits` cut a series into chunks whose counts decide
+    all rows but those of the one chunk the border runs through; only these are ranked and moved.
+    `df` is read three times: cut it first if it is costly. Rows without a symbol are left out.
     """
     key = F.concat_ws("|", "symbol", F.date_format("date", "yyyy-MM-dd"), F.lit(seed))
     hashed = without_position(df).withColumn("_hash", F.md5(key))
-    ranked = with_position(hashed, order="_hash", chunk=F.substring("_hash", 1, digits))
+    hashed = hashed.withColumn("_chunk", F.substring("_hash", 1, digits))
+    sizes = hashed.groupBy("symbol", "_chunk").agg(F.count("*").alias("_rows"))
+    series = Window.partitionBy("symbol")
+    earlier = series.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     # The product is rounded before the ceiling, so that 0.2 * 10 stays 2.
-    held_out = F.ceil(F.round(F.col(LENGTH) * F.lit(share), 6))
-    part = F.when(F.col(POSITION) < held_out, "test").otherwise("train")
-    return without_position(ranked.withColumn("part", part)).drop("_hash")
+    limit = F.ceil(F.round(F.sum("_rows").over(series) * F.lit(share), 6))
+    left = limit - F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    part = F.when(F.col("_left") >= F.col("_rows"), "test").when(F.col("_left") <= 0, "train")
+    chunks = sizes.withColumn("_left", left).select("symbol", "_chunk", "_left", part.alias("part"))
+    placed = hashed.join(chunks, ["symbol", "_chunk"])
+    border = placed.where(F.col("part").isNull())
+    rank = F.row_number().over(Window.partitionBy("symbol").orderBy("_hash"))
+    border = border.withColumn("part", F.when(rank <= F.col("_left"), "test").otherwise("train"))
+    out = placed.where(F.col("part").isNotNull()).unionByName(border)
+    return out.drop("_hash", "_chunk", "_left")

@@ -4,32 +4,55 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import clean, features, forecast, merge, metrics, reporting
 from barloom.sources import models, readers, writers
-from barloom.session import cut
+from barloom.session import cut, size_exchanges
 
 
 def ingest(
     spark: SparkSession, landing: str, store: str, rejects: str | None = None, glob: str = "*.json"
 ) -> DataFrame:
-    """Landed files into the store: new dates only, bad records set aside. Returns what was new."""
+    """Landed files into the store: new dates only, bad records set aside. Returns what was new.
+
+    The files are parsed once. Rejects are known by their place in their file, and a retry does
+    not add them again.
+    """
     records = readers.symbol_from_path(readers.read_records(spark, landing, glob))
-    good, bad = clean.bars(records)
+    size_exchanges(records)
+    marked = cut(clean.mark_records(records), "marked")
+    good, bad = clean.parted(marked)
     if rejects:
-        bad.drop(*readers.FILE_ORDER[1:]).write.mode("append").json(rejects)
+        _add_rejects(bad, rejects)
     unique = merge.combine(good, readers.FILE_ORDER)
-    new = cut(merge.new_rows(unique, writers.read_months(spark, store)), "ingest")
+    new = cut(merge.new_rows(unique, writers.read_marks(spark, store)), "ingest")
     writers.upsert_months(new, store)
     return new
 
 
+def _add_rejects(bad: DataFrame, path: str) -> None:
+    """Append the rejects that are not there yet, told apart by file, reason and content."""
+    bad = bad.drop("_start", "_seq").dropDuplicates()
+    try:
+        known = bad.sparkSession.read.schema(bad.schema).json(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        same = [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in bad.columns]
+        bad = bad.alias("new").join(known.alias("old"), same, "left_anti")
+    cut(bad, "rejects").write.mode("append").json(path)
+
+
 def merge_store(spark: SparkSession, store: str, combined: str) -> None:
     """The whole store as one combined, ordered series per symbol."""
     rows = writers.read_months(spark, store).drop(writers.MONTH)
+    size_exchanges(rows)
     writers.write_combined(merge.combine(rows, []), combined)
 
 
@@ -49,6 +72,7 @@ def train(
     depth: int = 15,
     share: float = 0.2,
     seed: int = 42,
+    gaps: bool = False,
 ) -> Trained:
     """Features, hold-out, scaling, forest, errors and the next-day prediction.
 
@@ -56,7 +80,8 @@ def train(
     Pass one symbol's bars for a model of its own.
     """
     cols = features.FEATURE_SETS[feature_set]
-    rows = cut(forecast.supervised(bars, cols), "features")
+    size_exchanges(bars)
+    rows = cut(forecast.supervised(bars, cols, gaps), "features")
     if rows.isEmpty():
         raise ValueError("no bars to train on")
     samples = cut(forecast.holdout(rows, share, seed), "holdout")
@@ -81,8 +106,7 @@ def publish(trained: Trained, root: str, ticker: str, feature_set: str, created:
     models.save(trained.model, trained.params, root, ticker, feature_set, cols, created)
     importance = forecast.importance_map(trained.model, cols)
     document = reporting.result_document(trained.metrics, trained.next_day, created, importance)
-    writers.write_result(document, f"{root}/latest_results", f"{root}/results")
-    return document
+    return writers.write_result(document, f"{root}/latest_results", f"{root}/results")
 
 
 def predict(
@@ -101,13 +125,24 @@ def predict(
     return reporting.prediction_response(bars, guessed, as_of, stamp, days)
 
 
+@dataclass(frozen=True)
+class Study:
+    ranking: DataFrame
+    best: str
+    report: DataFrame
+    model: LinearRegressionModel
+    params: DataFrame
+
+
 def study(
     bars: DataFrame, sets: tuple[str, ...] = ("base", "base_tech"), runs: int = 3, best: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Rank feature sets, then report the recursive forecast of one of them.
+) -> Study:
+    """Rank feature sets, report the recursive forecast of one of them, and fit its final model.
 
-    The report uses the set ranked first for most symbols unless `best` names another.
+    The set ranked first for most symbols is used unless `best` names another. The report is on
+    rows its model has not seen; the final model is fitted on all rows.
     """
+    size_exchanges(bars)
     rows = cut(features.indicators(bars), "indicators")
     if rows.isEmpty():
         raise ValueError("no bars to study")
@@ -120,6 +155,7 @@ def study(
         best = winners.orderBy(F.desc("count"), "feature_set").first()["feature_set"]
     cols = features.FEATURE_SETS[best]
     tail = cut(forecast.study_rows(rows, cols), "study")
-    params = forecast.fit_study_scalers(tail, cols)
-    model = forecast.fit_sequence(cut(forecast.sequence_samples(tail, params, cols), "samples"))
-    return ranking, metrics.report(forecast.recursive(model, tail, params, cols))
+    tail_params = forecast.fit_study_scalers(tail, cols)
+    trial = forecast.fit_sequence(cut(forecast.sequence_samples(tail, tail_params, cols), "samples"))
+    report = metrics.report(forecast.recursive(trial, tail, tail_params, cols))
+    return Study(ranking, best, report, *forecast.fit_final_sequence(rows, cols))

@@ -119,6 +119,55 @@ def training(source: str = "bars") -> list[str]:
     ]
 
 
+GAPS = """gaps AS MATERIALIZED (SELECT * REPLACE (
+  CASE WHEN day(date) IN (3, 4, 17) THEN NULL ELSE close END AS close) FROM bars)"""
+PADDED = f"""padded AS (SELECT symbol, date, last_value(close IGNORE NULLS) OVER
+  ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS known FROM gaps)"""
+
+
+def ema_gaps() -> list[str]:
+    """Averages with spans 12, 26 and the signal line where closes are missing, row after row.
+
+    `age` counts the rows since the last known close; the old average keeps q ^ age against 1 - q.
+    """
+    def aged(old, q):
+        kept = f"power({q}, age + 1)"
+        return (f"CASE WHEN n.close IS NULL THEN {old} WHEN {old} IS NULL THEN n.close ELSE "
+                f"({kept} * {old} + (1 - {q}) * n.close) / ({kept} + 1 - {q}) END")
+
+    return [
+        f"numbered AS MATERIALIZED (SELECT *, row_number() OVER ({W}) AS rn FROM gaps)",
+        f"""ema AS (
+  SELECT symbol, date, rn, close AS e12, close AS e26, CAST(0 AS BIGINT) AS age,
+         CASE WHEN close IS NOT NULL THEN CAST(0 AS DOUBLE) END AS signal
+  FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT symbol, date, rn, e12, e26, age,
+         CASE WHEN signal IS NULL THEN e12 - e26 ELSE 0.2 * (e12 - e26) + 0.8 * signal END
+  FROM (SELECT n.symbol, n.date, n.rn,
+               {aged('e.e12', '(11.0 / 13)')} AS e12, {aged('e.e26', '(25.0 / 27)')} AS e26,
+               CASE WHEN n.close IS NULL THEN age + 1 ELSE 0 END AS age, e.signal
+        FROM ema e JOIN numbered n ON n.symbol = e.symbol AND n.rn = e.rn + 1))""",
+    ]
+
+
+def training_gaps() -> list[str]:
+    filled = [c for c in TRAINING_COLS]
+    return [
+        GAPS, PADDED, *ema_gaps(), *rsi("gaps"),
+        f"""raw AS (SELECT b.symbol, b.date, open, high, low, close, volume,
+  high - low AS price_range, close - open AS price_change,
+  {mean('close', 5)} AS ma5, {mean('close', 20)} AS ma20, {mean('close', 60)} AS ma60,
+  {mean('volume', 5)} AS volume_ma5 FROM gaps b)""",
+        f"""returns AS (SELECT symbol, date, {pct('known')} AS daily_return,
+  {pct('known', 5)} AS weekly_return FROM padded)""",
+        f"""training AS (SELECT symbol, date, {', '.join(f'{nextvalue(c)} AS {c}' for c in filled)}
+  FROM (SELECT raw.*, daily_return, weekly_return, rsi, e12 - e26 AS macd, signal AS signal_line
+        FROM raw JOIN returns USING (symbol, date) JOIN ema USING (symbol, date)
+        JOIN rsis USING (symbol, date)))""",
+    ]
+
+
 def indicators() -> list[str]:
     base = ["close", "open", "high", "low", "volume"]
     return [
@@ -177,6 +226,16 @@ def errors(by: str) -> str:
   {r4('avg(abs((actual - predicted) / nullif(actual, 0))) * 100', 'mape')}"""
 
 
+HELD = ["""targets AS (SELECT * FROM (SELECT symbol, date,
+  lead(close) OVER (PARTITION BY symbol ORDER BY date) AS target FROM bars) WHERE target IS NOT NULL)""",
+        """held AS (SELECT symbol, date, CASE WHEN place <= ceil(round(n * 0.2, 6)) THEN 'test' ELSE 'train' END
+  AS part
+FROM (SELECT symbol, date, count(*) OVER (PARTITION BY symbol) AS n,
+        row_number() OVER (PARTITION BY symbol
+          ORDER BY md5(symbol || '|' || strftime(date, '%Y-%m-%d') || '|42')) AS place
+      FROM targets))"""]
+
+
 PREDICTIONS = f"""predictions AS (SELECT * FROM (
   SELECT symbol, date + 1 AS prediction_date, {mean('close', 5)} AS predicted FROM daily)
   WHERE predicted IS NOT NULL)"""
@@ -225,6 +284,8 @@ ORACLE = {
         f"SELECT symbol, date, {cols()} FROM bars "
         "WHERE date >= DATE '2001-11-05' - 90 AND date < DATE '2001-11-05'"),
     "src_monthly_json": with_bars(f"SELECT symbol, date, {cols()} FROM bars"),
+    "src_landed_layout": with_bars(
+        f"SELECT symbol, date, {cols()}, strftime(date, '%Y-%m') AS year_month FROM bars"),
     "src_jsonl_roundtrip": with_bars(f"SELECT symbol, date, {cols()} FROM bars"),
     "src_csv_roundtrip": with_bars(f"SELECT symbol, date, {cols()} FROM bars"),
     "src_ticker_from_path": with_bars(
@@ -239,7 +300,7 @@ ORACLE = {
         "min(date) AS first_date, max(date) AS last_date, "
         f"{r4('sum(volume)', 'volume')} FROM bars GROUP BY ALL"),
     "publish_roundtrip": with_bars(
-        f"SELECT symbol, count(*) AS bars, {r4('sum(close)', 'close')} FROM bars GROUP BY symbol"),
+        f"SELECT symbol, date, {cols()}, strftime(date, '%Y-%m') AS year_month FROM bars"),
     "merge_combined": with_bars(f"SELECT symbol, date, {cols()} FROM merged", OVERLAP, MERGED),
     "result_document": with_bars(
         f"""SELECT symbol, rmse, mae, mape, {r4('predicted_close', 'pred_close')},
@@ -251,6 +312,13 @@ JOIN next_day USING (symbol)""", GUESSES, WALK, BACK, NEXT_DAY),
         f"""SELECT symbol, CASE day(date) WHEN 13 THEN 'no date' WHEN 7 THEN 'missing value'
   WHEN 9 THEN 'missing value' ELSE 'good' END AS reason,
   count(*) AS records, {r4('sum(volume)', 'volume')} FROM bars GROUP BY ALL"""),
+    "clean_lines": with_bars(
+        f"""SELECT symbol, CASE day(date) WHEN 13 THEN 'unreadable line' WHEN 9 THEN 'pair' ELSE 'good' END
+    AS reason,
+  CAST(sum(CASE day(date) WHEN 7 THEN 2 ELSE 1 END) AS BIGINT) AS records,
+  CASE WHEN max(day(date)) FILTER (day(date) = 13) = 13 THEN NULL ELSE
+  {r4('sum(CASE day(date) WHEN 7 THEN 2 ELSE 1 END * volume)', 'volume').removesuffix(' AS volume')} END AS volume
+FROM bars GROUP BY 1, 2"""),
     "incr_new_rows": with_bars(
         f"""SELECT symbol, date, {cols()} FROM incoming
 LEFT JOIN (SELECT symbol, max(date) AS last_date FROM old GROUP BY symbol) USING (symbol)
@@ -287,6 +355,14 @@ FROM (SELECT symbol, date, floor(rsi * 10000 + 0.50001) / 10000 AS rsi FROM rsis
     "ind_macd": with_bars(
         f"SELECT symbol, date, {r4('e12 - e26', 'macd')}, {r4('signal', 'signal')}, "
         f"{r4('e12 - e26 - signal', 'histogram')} FROM ema", *ema(), recursive=True),
+    "ind_ema_gaps": with_bars(
+        f"SELECT symbol, date, {r4('e12', 'ema_12')}, {r4('e26', 'ema_26')} FROM ema",
+        GAPS, *ema_gaps(), recursive=True),
+    "ind_pct_change_gaps": with_bars(
+        f"SELECT symbol, date, {r4(pct('known'), 'change_1')}, {r4(pct('known', 5), 'change_5')} "
+        "FROM padded", GAPS, PADDED),
+    "feat_training_gaps": with_bars(
+        f"SELECT symbol, date, {cols(TRAINING_COLS)} FROM training", *training_gaps(), recursive=True),
     "feat_bfill": with_bars(
         "SELECT symbol, date, " + ", ".join(
             r4(nextvalue(c), c) for c in ("ma20", "change", "low_seldom"))
@@ -345,10 +421,13 @@ FROM parts p JOIN (SELECT symbol, min(close) AS close_shift,
 FROM (SELECT symbol, actual, last_close AS predicted FROM guesses WHERE last_close IS NOT NULL)
 GROUP BY symbol""", GUESSES),
     "rank_feature_sets": with_bars(
-        f"""SELECT symbol, feature_set, {r4('mape', 'mape')}, CAST(3 AS BIGINT) AS runs,
+        f"""SELECT symbol, feature_set, {r4('mape', 'mape')}, runs,
   CAST(row_number() OVER (PARTITION BY symbol ORDER BY mape, feature_set) AS INTEGER) AS place
-FROM (SELECT symbol, feature_set, avg(abs((actual - predicted) / actual)) * 100 AS mape
-      FROM walk GROUP BY ALL)""", GUESSES, WALK),
+FROM (SELECT symbol, feature_set, avg(mape) AS mape, count(*) AS runs
+      FROM (SELECT symbol, feature_set, run, avg(abs((actual - predicted) / actual)) * 100 AS mape
+            FROM walk, range(1, 4) r(run)
+            WHERE CAST('0x' || substr(md5(symbol || '|' || strftime(date, '%Y-%m-%d')), 1, 7) AS BIGINT)
+                  % 3 + 1 <> run GROUP BY ALL) GROUP BY ALL)""", GUESSES, WALK),
     "next_day_baseline": with_bars(
         f"""SELECT symbol, prediction_date, {r4('current_close', 'current_close')},
   {r4('predicted_close', 'predicted_close')} FROM next_day""", BACK, NEXT_DAY),
@@ -371,7 +450,7 @@ FROM walk WHERE feature_set = 'sma_5'""", GUESSES, WALK),
     "prediction_response": with_bars(
         f"""SELECT symbol AS ticker, strftime(prediction_date, '%Y-%m-%d') AS prediction_date,
   {r4('predicted_close', 'predicted_close')}, {r4('current_close', 'current_close')},
-  {STAMP_TEXT} AS prediction_timestamp, false AS is_intraday,
+  {STAMP_TEXT} AS prediction_timestamp, max(date) = prediction_date AS is_intraday,
   CAST(count(*) AS INTEGER) AS history_rows, min(date) AS history_first,
   {r4('sum(volume)', 'history_volume')}
 FROM bars JOIN next_day USING (symbol)
@@ -388,6 +467,54 @@ GROUP BY symbol, next_day.prediction_date, predicted_close, current_close""", BA
   predicted_close - current_close > 0 AS is_positive FROM next_day""", BACK, NEXT_DAY),
     "safe_names": with_bars(
         "SELECT DISTINCT symbol, symbol || '_X_base_tech' AS safe_name FROM bars"),
+    "two_decimals": with_bars("SELECT symbol, date, " + ", ".join(
+        f"printf('%.2f', floor({c} * 100 + 0.50001) / 100) AS {c}_text" for c in OHLCV) + " FROM bars"),
+    "ml_rf_predict": with_bars(
+        "SELECT symbol, count(*) AS n, CAST(0 AS BIGINT) AS zero_actuals, true AS holds "
+        "FROM held WHERE part = 'test' GROUP BY symbol", *HELD),
+    "ml_rf_importance": with_bars(
+        """SELECT part, count(*) AS rows, feature, true AS sound
+FROM held, (SELECT unnest(['close', 'volume', 'macd', 'signal_line']) AS feature) GROUP BY ALL""", *HELD),
+    "ml_next_day": with_bars(
+        f"""SELECT symbol, date + 1 AS prediction_date, {r4('close', 'current_close')}, true AS near
+FROM back WHERE back = 1""", BACK),
+    "ml_model_roundtrip": with_bars(
+        f"""SELECT symbol, date + 1 AS prediction_date, {r4('close', 'current_close')}, true AS same
+FROM back WHERE back = 1""", BACK),
+    "ml_model_catalog": with_bars(
+        """SELECT '^ALL' AS ticker, 'rf' AS feature_set, '2024-01-31 12:00:00' AS created_date,
+  'close,volume,macd,signal_line' AS features, count(*) AS train_rows, count(DISTINCT symbol) AS symbols
+FROM held WHERE part = 'train'""", *HELD),
+    "ml_seq_regression": with_bars(
+        """SELECT symbol, count(*) - 120 AS n, CAST(0 AS BIGINT) AS zero_actuals, true AS holds
+FROM bars GROUP BY symbol"""),
+    "ml_walk_forward": with_bars(
+        f"SELECT symbol, date, {r4('close', 'actual')}, true AS holds FROM back WHERE back <= 30", BACK),
+    "ml_recursive_forecast": with_bars(
+        f"SELECT symbol, date, {r4('close', 'actual')}, true AS holds FROM back WHERE back <= 30", BACK),
+    "ml_rank": with_bars(
+        """SELECT DISTINCT symbol, feature_set, CAST(3 AS BIGINT) AS runs, CAST(0 AS BIGINT) AS failed,
+  true AS best_first, true AS sound
+FROM bars, (SELECT unnest(['base', 'base_tech']) AS feature_set)"""),
+    "ml_ridge_one_lag": with_bars(
+        f"""SELECT symbol, date, {r4('close', 'actual')},
+  {r4('(weight * x + bias) * scale + shift', 'predicted')}
+FROM pairs, fitted WHERE part = 'test'""", BACK, PARTS,
+        """spans AS (SELECT symbol, min(close) AS shift, max(close) - min(close) AS scale
+  FROM parts WHERE part = 'train' GROUP BY symbol)""",
+        f"""pairs AS (SELECT *, (close - shift) / scale AS y, lag((close - shift) / scale) OVER ({W}) AS x
+  FROM parts JOIN spans USING (symbol))""",
+        """fitted AS (SELECT weight, mean_y - weight * mean_x AS bias FROM (
+  SELECT covar_pop(x, y) / (var_pop(x) + 0.01 / stddev_pop(y)) AS weight, avg(x) AS mean_x, avg(y) AS mean_y
+  FROM pairs WHERE part = 'train' AND x IS NOT NULL))"""),
+    "ml_tree_one_split": with_bars(
+        f"""SELECT CAST(month AS INTEGER) AS month, {r4('CASE WHEN month <= border THEN low ELSE high END', 'predicted')}
+FROM (SELECT DISTINCT month FROM months), (
+  SELECT border, low, high FROM (
+    SELECT border, avg(volume) FILTER (month <= border) AS low, avg(volume) FILTER (month > border) AS high,
+           sum(volume) FILTER (month <= border) * low + sum(volume) FILTER (month > border) * high AS gain
+    FROM months, range(1, 12) r(border) GROUP BY border) ORDER BY gain DESC LIMIT 1)""",
+        "months AS (SELECT month(date) AS month, volume FROM bars)"),
     "alerts_batch": f"WITH {DAILY}, {PREDICTIONS}, {ALERTS} SELECT {ALERT_COLS} FROM alerts",
     "str_alerts":
         f"WITH {DAILY}, {PREDICTIONS}, {ALERTS} SELECT ticker AS key, {ALERT_COLS} FROM alerts",

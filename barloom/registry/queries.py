@@ -6,7 +6,7 @@ spelled out with `floor` on both sides, and a hair above one half sends exact ha
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.functions import columns as C
@@ -15,6 +15,7 @@ from barloom.operators import (
     alerts, clean, features, forecast, merge, metrics, reporting, scale, split,
 )
 from barloom.operators.series import measure
+from barloom.plans import daily
 from barloom.schemas import ALERT, ENVELOPE, MESSAGES, OHLCV, RESULT, TICKS
 from barloom.session import cut, scratch_path
 from barloom.sources import models, readers, tables, writers
@@ -26,7 +27,6 @@ from barloom.streaming import topics
 AS_OF, STAMP = "2001-11-05", "2024-01-31 12:00:00"
 # The split between stored and incoming bars; ten days of overlap follow it.
 STORED_UNTIL, INCOMING_FROM = "2000-06-30", "2000-06-21"
-RSI_SET = ["sma_5", "sma_20", "sma_60", "rsi", "macd", "hl_ratio"]
 
 
 def r4(c: str | Column, name: str | None = None) -> Column:
@@ -66,8 +66,7 @@ def range_90d(spark, sf):
 def monthly_json(spark, sf):
     path = scratch_path(spark, "monthly")
     writers.publish_months(tables.bars(spark, sf), path)
-    records = readers.symbol_from_path(readers.read_records(spark, path, "*.txt"))
-    good, _ = clean.bars(records)
+    good, _ = clean.bars(readers.symbol_from_path(readers.read_records(spark, path)))
     return tidy(good.select("symbol", "date", *OHLCV))
 
 
@@ -93,6 +92,19 @@ def ticker_from_path(spark, sf):
     ))
 
 
+def _ingested(spark, rows, folder):
+    """Rows published as landed files and ingested with default arguments."""
+    path = scratch_path(spark, "landing")
+    writers.publish_months(rows, f"{path}/in", folder)
+    daily.ingest(spark, f"{path}/in", f"{path}/store")
+    return tidy(writers.read_months(spark, f"{path}/store"))
+
+
+def landed_layout(spark, sf):
+    """Files `{symbol}/YYYY-MM.json` of several symbols."""
+    return _ingested(spark, tables.bars(spark, sf), "")
+
+
 def normalise(spark, sf):
     raw = tables.bars(spark, sf).withColumnsRenamed(
         {"date": "Date", **{c: f"{c.capitalize()}.X" for c in OHLCV}}
@@ -121,8 +133,10 @@ def upsert_month_merge(spark, sf):
 
 def month_split(spark, sf):
     path = scratch_path(spark, "months")
-    writers.write_months(tables.bars(spark, sf), path, mode="all")
-    return tidy(writers.read_months(spark, path).groupBy("symbol", writers.MONTH).agg(
+    writers.split_months(tables.bars(spark, sf), path)
+    rows = clean.bars(readers.symbol_from_path(readers.read_records(spark, path)))[0]
+    month = F.regexp_extract("_file", f"/{writers.MONTH}=([^/]+)/", 1).alias(writers.MONTH)
+    return tidy(rows.groupBy("symbol", month).agg(
         F.count("*").alias("bars"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
@@ -131,20 +145,13 @@ def month_split(spark, sf):
 
 
 def publish_roundtrip(spark, sf):
-    path = scratch_path(spark, "published")
-    rows = cut(tables.bars(spark, sf), "bars")
-    writers.publish_months(rows.withColumn("close", F.col("close") + 1), path)
-    writers.publish_months(rows, path)
-    records = readers.symbol_from_path(readers.read_records(spark, path, "*.txt"))
-    return tidy(clean.bars(records)[0].groupBy("symbol").agg(
-        F.count("*").alias("bars"), F.sum("close").alias("close")
-    ))
+    return _ingested(spark, stored(spark, sf), "monthly/")
 
 
 def merge_combined(spark, sf):
-    """Bars delivered by two overlapping sources; the source that sorts first wins."""
+    """Bars delivered by two overlapping sources; the first source wins."""
     old, new = _stored_and_incoming(spark, sf)
-    rows = old.withColumn("source", F.lit("a")).unionByName(new.withColumn("source", F.lit("b")))
+    rows = old.withColumn("source", F.lit(1)).unionByName(new.withColumn("source", F.lit(2)))
     return tidy(merge.combine(rows, ["source"]))
 
 
@@ -196,6 +203,42 @@ def clean_records(spark, sf):
     )
 
 
+def clean_lines(spark, sf):
+    """Landed lines, read back: objects, arrays of two records, cut lines, and pair lines.
+
+    The kind follows from the day. Pair lines lie in files of their own.
+    """
+    day = F.dayofmonth("date")
+    rows = tables.bars(spark, sf).withColumn("kind", F.when(day == 13, "cut").when(
+        day == 7, "array").when(day == 9, "pair").otherwise("object"))
+    stamp = F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("Date")
+    body = F.to_json(F.struct(stamp, *[F.col(c).alias(c.capitalize()) for c in OHLCV]))
+    line = (
+        F.when(F.col("kind") == "cut", F.substring(body, 1, 40))
+        .when(F.col("kind") == "array", F.concat(F.lit("["), body, F.lit(","), body, F.lit("]")))
+        .when(F.col("kind") == "pair", F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("\t"), body))
+        .otherwise(body)
+    )
+    path = scratch_path(spark, "lines")
+    texts = rows.select("symbol", (F.col("kind") == "pair").alias("pairs"), line.alias("value"))
+    texts.write.partitionBy("symbol", "pairs").text(path)
+    landed = readers.read_records(spark, path, "*.txt").where(~F.col("_file").contains("pairs=true"))
+    good, rejects = clean.bars(readers.symbol_from_path(landed))
+    lines = spark.read.schema("value string, symbol string, pairs boolean").text(path).where("pairs")
+    paired, lost = clean.bars(clean.pair_lines(lines.select("symbol", "value"), keep=["symbol"]))
+    kinds = [
+        good.select("symbol", F.lit("good").alias("reason"), "volume"),
+        rejects.select("symbol", "reason", F.lit(None).cast("double").alias("volume")),
+        paired.select("symbol", F.lit("pair").alias("reason"), "volume"),
+        lost.select("symbol", F.lit("lost pair").alias("reason"), F.lit(None).cast("double").alias("volume")),
+    ]
+    out = kinds[0]
+    for part in kinds[1:]:
+        out = out.unionByName(part)
+    return tidy(out.groupBy("symbol", "reason").agg(
+        F.count("*").alias("records"), F.sum("volume").alias("volume")))
+
+
 def incr_new_rows(spark, sf):
     old, new = _stored_and_incoming(spark, sf)
     return tidy(merge.new_rows(new, old))
@@ -225,6 +268,28 @@ def feat_bfill(spark, sf):
     return tidy(out.select("symbol", "date", "ma20", "change", "low_seldom"))
 
 
+def with_gaps(rows: DataFrame) -> DataFrame:
+    """Bars of which some closes are missing, by a rule on the day."""
+    return rows.withColumn("close", F.when(~F.dayofmonth("date").isin(3, 4, 17), F.col("close")))
+
+
+def ema_gaps(spark, sf):
+    rows = with_gaps(stored(spark, sf))
+    for span in (12, 26):
+        rows = features.ema_over_gaps(rows, "close", span, f"ema_{span}")
+    return tidy(rows.select("symbol", "date", "ema_12", "ema_26"))
+
+
+def pct_change_gaps(spark, sf):
+    rows = with_gaps(stored(spark, sf))
+    rows = features.change(features.change(rows, "close", "change_1"), "close", "change_5", 5)
+    return tidy(rows.select("symbol", "date", "change_1", "change_5"))
+
+
+def training_gaps(spark, sf):
+    return tidy(features.training(with_gaps(stored(spark, sf)), gaps=True))
+
+
 def feat_price(spark, sf):
     rows = features.price_features(tables.bars(spark, sf)).withColumn("hl_ratio", C.hl_ratio())
     return tidy(rows.select("symbol", "date", "price_range", "price_change", "hl_ratio"))
@@ -239,6 +304,11 @@ def change_info(spark, sf):
     return tidy(reporting.change_info(forecast.next_day_baseline(tables.bars(spark, sf), 5)))
 
 
+def two_decimals(spark, sf):
+    rows = tables.bars(spark, sf)
+    return rows.select("symbol", "date", *[C.two_decimals(c).alias(f"{c}_text") for c in OHLCV])
+
+
 def safe_names(spark, sf):
     rows = tables.bars(spark, sf).select("symbol").distinct()
     name = F.concat(F.lit("^"), "symbol", F.lit("/X base tech"))
@@ -262,7 +332,7 @@ def rsi_flags(spark, sf):
 
 def complete_rows(spark, sf):
     out = features.indicators(stored(spark, sf))
-    return tidy(out.select("symbol", "date", *[c for c in RSI_SET]))
+    return tidy(out.select("symbol", "date", *features.TECH))
 
 
 # --- splits, scaling, forecasting --------------------------------------------------------------
@@ -365,52 +435,85 @@ def prediction_response(spark, sf):
 
 # --- Spark ML ----------------------------------------------------------------------------------
 
+# SQL cannot fit these models. What it can say, rows, dates and actual values, is compared exactly,
+# and errors are held against those of a naive forecast. Two small models have closed forms.
+
 RF = features.FEATURE_SETS["rf"]
-TREES, DEPTH = 10, 8
+_FITTED: dict[tuple[str, str], tuple] = {}
 
 
 def _forest(spark, sf):
-    rows = cut(forecast.supervised(stored(spark, sf), RF), "features")
-    samples = cut(forecast.holdout(rows), "holdout")
-    params = cut(forecast.fit_scalers(samples, RF), "scalers")
-    scaled = cut(forecast.scaled_samples(samples, params, RF), "scaled")
-    train = scaled.where(F.col("part") == "train")
-    model = forecast.fit_forest(train, RF, trees=TREES, depth=DEPTH)
-    return rows, params, scaled, model
+    """The forest of the given tables, fitted once per application and shared by its queries."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        rows = cut(forecast.supervised(stored(spark, sf), RF), "features")
+        samples = cut(forecast.holdout(rows), "holdout")
+        params = cut(forecast.fit_scalers(samples, RF), "scalers")
+        scaled = cut(forecast.scaled_samples(samples, params, RF), "scaled")
+        model = forecast.fit_forest(scaled.where(F.col("part") == "train"), RF)
+        _FITTED[key] = rows, params, scaled, model
+    return _FITTED[key]
+
+
+def _held_against(model: DataFrame, naive: DataFrame, by: list[str], share: float) -> DataFrame:
+    """Row counts, and whether the model's MAE is at most `share` of the naive one."""
+    other = naive.select(*by, F.col("mae").alias("naive"))
+    return model.join(other, by).select(
+        *by, "n", "zero_actuals", (F.col("mae") <= F.col("naive") * share).alias("holds"))
 
 
 def ml_rf_predict(spark, sf):
     _, params, scaled, model = _forest(spark, sf)
-    tested = forecast.predict_scaled(model, scaled.where(F.col("part") == "test"), params, RF)
-    return tidy(metrics.evaluate(tested, actual="target"))
+    test = scaled.where(F.col("part") == "test")
+    tested = forecast.predict_scaled(model, test, params, RF)
+    naive = metrics.evaluate(test.withColumn("predicted", F.col("close")), actual="target")
+    return _held_against(metrics.evaluate(tested, actual="target"), naive, ["symbol"], 1.0)
 
 
 def ml_rf_importance(spark, sf):
     _, _, scaled, model = _forest(spark, sf)
-    names = scaled.groupBy().agg(F.count("*").alias("rows"))
-    return tidy(names.select("rows", F.explode(forecast.importance_map(model, RF)).alias(
-        "feature", "importance"
-    )))
+    pairs = F.explode(forecast.importance_map(model, RF)).alias("feature", "importance")
+    rows = scaled.groupBy("part").agg(F.count("*").alias("rows")).select("part", "rows", pairs)
+    total = F.sum("importance").over(Window.partitionBy("part"))
+    sound = (F.col("importance") >= 0) & (F.abs(total - 1) < 1e-9)
+    return rows.select("part", "rows", "feature", sound.alias("sound"))
 
 
 def ml_next_day(spark, sf):
+    """Dates, closes, and whether predictions lie within three deviations of the mean close."""
     rows, params, _, model = _forest(spark, sf)
-    return tidy(forecast.next_day(model, rows, params, RF))
+    out = forecast.next_day(model, rows, params, RF)
+    usual = rows.groupBy("symbol").agg(F.avg("close").alias("mean"), F.stddev_pop("close").alias("std"))
+    near = F.abs(F.col("predicted_close") - F.col("mean")) <= F.col("std") * 3
+    return tidy(out.join(usual, "symbol").select(
+        "symbol", "prediction_date", "current_close", near.alias("near")))
 
 
 def ml_model_roundtrip(spark, sf):
+    """The loaded model gives what the one in memory gives."""
     rows, params, _, model = _forest(spark, sf)
     root = scratch_path(spark, "models")
     models.save(model, params, root, "^ALL", "rf", RF, STAMP)
     loaded, loaded_params = models.load(spark, root, "^ALL", "rf")
-    return tidy(forecast.next_day(loaded, rows, loaded_params, RF))
+    first = forecast.next_day(model, rows, params, RF)
+    again = forecast.next_day(loaded, rows, loaded_params, RF).select(
+        "symbol", F.col("predicted_close").alias("again"))
+    return tidy(first.join(again, "symbol").select(
+        "symbol", "prediction_date", "current_close",
+        (F.col("predicted_close") == F.col("again")).alias("same")))
 
 
 def ml_model_catalog(spark, sf):
-    _, params, _, model = _forest(spark, sf)
+    _, params, scaled, model = _forest(spark, sf)
     root = scratch_path(spark, "models")
     models.save(model, params, root, "^ALL", "rf", RF, STAMP)
-    return readers.read_catalog(spark, f"{root}/meta").drop("path", "scaler_path")
+    trained = scaled.where(F.col("part") == "train").agg(F.count("*").alias("train_rows"))
+    scalers = spark.read.parquet(f"{root}/models/ALL_rf_scalers").agg(F.count("*").alias("symbols"))
+    catalog = readers.read_catalog(spark, f"{root}/meta").drop("path", "scaler_path")
+    one = F.lit(1).alias("_one")
+    counts = trained.withColumn("_one", one).join(scalers.withColumn("_one", one), "_one")
+    out = catalog.withColumn("_one", one).join(counts, "_one").drop("_one")
+    return out.withColumn("features", F.array_join("features", ","))
 
 
 def _sequence(spark, sf, cols):
@@ -420,28 +523,71 @@ def _sequence(spark, sf, cols):
     return rows, params, samples, forecast.fit_sequence(samples)
 
 
+def _naive(spark, sf) -> DataFrame:
+    out = measure(stored(spark, sf), I.trailing_mean("close", 1, "predicted"))
+    return out.select("symbol", "date", F.col("close").alias("actual"), "predicted")
+
+
 def ml_seq_regression(spark, sf):
-    _, params, samples, model = _sequence(spark, sf, ["close", "volume"])
-    return tidy(metrics.evaluate(
-        forecast.predict_sequence(model, samples, params), by=["symbol", "part"]
-    ))
+    """The final model, fitted on every row that has a window; its error on these rows."""
+    rows, cols = stored(spark, sf), ["close", "volume"]
+    model, params = forecast.fit_final_sequence(rows, cols)
+    every = rows.withColumn("part", F.lit("train"))
+    guessed = forecast.predict_sequence(model, forecast.sequence_samples(every, params, cols), params)
+    naive = _naive(spark, sf).join(guessed.select("symbol", "date"), ["symbol", "date"])
+    return _held_against(metrics.evaluate(guessed), metrics.evaluate(naive), ["symbol"], 1.0)
+
+
+def _judged(guessed: DataFrame, naive: DataFrame, share: float) -> DataFrame:
+    """Dates and actual values, and per symbol whether the error is bounded by the naive one."""
+    own = naive.join(guessed.select("symbol", "date"), ["symbol", "date"])
+    bound = _held_against(metrics.evaluate(guessed), metrics.evaluate(own), ["symbol"], share)
+    return tidy(guessed.join(bound, "symbol").select("symbol", "date", "actual", "holds"))
 
 
 def ml_walk_forward(spark, sf):
     _, params, samples, model = _sequence(spark, sf, ["close", "volume"])
-    return tidy(forecast.walk_forward(model, samples, params))
+    return _judged(forecast.walk_forward(model, samples, params), _naive(spark, sf), 1.0)
 
 
 def ml_recursive_forecast(spark, sf):
     cols = ["close", "volume"]
     rows, params, _, model = _sequence(spark, sf, cols)
-    return tidy(metrics.report(forecast.recursive(model, rows, params, cols)))
+    return _judged(forecast.recursive(model, rows, params, cols), _naive(spark, sf), 1.2)
 
 
 def ml_rank(spark, sf):
-    rows = cut(features.indicators(stored(spark, sf)), "indicators")
-    sets = {"base": features.FEATURE_SETS["base"], "close": ["close"]}
-    return tidy(forecast.compare_feature_sets(rows, sets, runs=2))
+    """Three runs of two sets: every run finishes, the better set comes first, and none is much
+    worse than repeating the last close."""
+    bars_ = stored(spark, sf)
+    rows = cut(features.indicators(bars_), "indicators")
+    last = metrics.evaluate(forecast.walk_forward_baseline(bars_, ("last_close",)))
+    last = last.select("symbol", F.col("mape").alias("last"))
+    sets = {n: features.FEATURE_SETS[n] for n in ("base", "base_tech")}
+    ranked = forecast.compare_feature_sets(rows, sets)
+    best = F.min("mape").over(Window.partitionBy("symbol"))
+    first = (F.col("place") == 1) == (F.col("mape") == best)
+    return ranked.withColumn("best_first", first).join(last, "symbol").select(
+        "symbol", "feature_set", "runs", F.col("failed").cast("long").alias("failed"),
+        "best_first", (F.col("mape") <= F.col("last") * 2).alias("sound"))
+
+
+def ml_ridge_one_lag(spark, sf):
+    """The sequence model with one lag of one column, which has a closed form."""
+    rows = cut(forecast.study_rows(stored(spark, sf), ["close"]), "study")
+    params = forecast.fit_study_scalers(rows, ["close"])
+    samples = cut(forecast.sequence_samples(rows, params, ["close"], length=1), "samples")
+    return tidy(forecast.walk_forward(forecast.fit_sequence(samples), samples, params))
+
+
+def ml_tree_one_split(spark, sf):
+    """One tree of one split on the month, without a bootstrap, which has a closed form."""
+    rows = tables.bars(spark, sf).select(
+        F.month("date").cast("double").alias("month_z"), F.col("volume").alias("target_z"))
+    model = forecast.fit_forest(cut(rows, "months"), ["month"], trees=1, depth=1, bootstrap=False)
+    months = rows.select("month_z").distinct()
+    return tidy(model.transform(months).select(
+        F.col("month_z").cast("int").alias("month"), "predicted"))
 
 
 # --- alerts and streams ------------------------------------------------------------------------
@@ -533,6 +679,7 @@ QUERIES = {
     "src_bars": bars,
     "src_range_90d": range_90d,
     "src_monthly_json": monthly_json,
+    "src_landed_layout": landed_layout,
     "src_jsonl_roundtrip": jsonl_roundtrip,
     "src_csv_roundtrip": csv_roundtrip,
     "src_ticker_from_path": ticker_from_path,
@@ -543,6 +690,7 @@ QUERIES = {
     "merge_combined": merge_combined,
     "result_document": result_document,
     "clean_records": clean_records,
+    "clean_lines": clean_lines,
     "incr_new_rows": incr_new_rows,
     "high_water": high_water,
     "feat_set_rf": feature_set("rf", features.training),
@@ -559,6 +707,9 @@ QUERIES = {
     "ind_rsi": measured(I.rsi("close", "rsi")),
     "ind_rsi_flags": rsi_flags,
     "ind_ema": measured(*[I.ema("close", n, f"ema_{n}") for n in (9, 12, 26)]),
+    "ind_ema_gaps": ema_gaps,
+    "ind_pct_change_gaps": pct_change_gaps,
+    "feat_training_gaps": training_gaps,
     "ind_macd": measured(I.macd("close")),
     "feat_bfill": feat_bfill,
     "feat_target": feat_target,
@@ -584,6 +735,7 @@ QUERIES = {
     "chart_feed": chart_feed,
     "change_info": change_info,
     "safe_names": safe_names,
+    "two_decimals": two_decimals,
     "alerts_batch": alerts_batch,
     "bars_240m": bars_240m,
     "band_breaches": band_breaches,
@@ -598,6 +750,8 @@ QUERIES = {
     "ml_walk_forward": ml_walk_forward,
     "ml_recursive_forecast": ml_recursive_forecast,
     "ml_rank": ml_rank,
+    "ml_ridge_one_lag": ml_ridge_one_lag,
+    "ml_tree_one_split": ml_tree_one_split,
     "ml_model_roundtrip": ml_model_roundtrip,
     "ml_model_catalog": ml_model_catalog,
 }

@@ -23,6 +23,10 @@ SETTINGS = {
 # Input per exchange partition. Windows hold one block at a time and sorts spill, so a partition
 # need not fit in memory; much smaller ones would make the exchange itself the burden at 100 TB.
 PARTITION_BYTES = 1024 * 1024 * 1024
+# Estimates of joined inputs can be far too large; no plan asks for more than this.
+MAX_PARTITIONS = 200_000
+
+_WRITTEN: list[str] = []
 
 
 def build_session(
@@ -44,6 +48,15 @@ def build_session(
     return builder.getOrCreate()
 
 
+def size_exchanges(df: DataFrame) -> None:
+    """Raise the session's number of exchange partitions to what the size of `df` asks for."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    now = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(size // PARTITION_BYTES, MAX_PARTITIONS)
+    if wanted > now:
+        df.sparkSession.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by `spark.checkpoint.dir`.
 
@@ -70,5 +83,49 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     recomputing the chain, and two consumers do not evaluate the chain twice.
     """
     path = scratch_path(df.sparkSession, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables that `cut` wrote after the first `since` ones, when nothing reads them."""
+    for path in _WRITTEN[since:]:
+        Files(spark, path).delete(path)
+    del _WRITTEN[since:]
+
+
+def written() -> int:
+    """How many tables of `cut` there are, to be given to `release`."""
+    return len(_WRITTEN)
+
+
+class Files:
+    """Folders and files on whatever file system a path is on."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        return self._fs.exists(self._path(path))
+
+    def names(self, path: str) -> list[str]:
+        """What lies directly below a folder; nothing when there is no such folder."""
+        if not self.exists(path):
+            return []
+        return sorted(f.getPath().getName() for f in self._fs.listStatus(self._path(path)))
+
+    def move(self, source: str, target: str) -> None:
+        """Put a file or folder in the place of another, if that exists."""
+        place = self._path(target)
+        self._fs.delete(place, True)
+        self._fs.mkdirs(place.getParent())
+        if not self._fs.rename(self._path(source), place):
+            raise OSError(f"cannot move {source} to {target}")
+
+    def touch(self, path: str) -> None:
+        self._fs.create(self._path(path), True).close()
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)

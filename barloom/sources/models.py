@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Model
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.functions import columns as C
@@ -14,7 +15,7 @@ def _name(ticker: str, feature_set: str) -> str:
 
 
 def save(
-    model: PipelineModel,
+    model: Model,
     params: DataFrame,
     root: str,
     ticker: str,
@@ -40,7 +41,7 @@ def save(
 
 
 def load(spark: SparkSession, root: str, ticker: str, feature_set: str):
-    """Model and scaler table; a missing file is an error."""
+    """Model, of the kind that was saved, and scaler table; a missing file is an error."""
     name = _name(ticker, feature_set)
-    model = PipelineModel.load(f"{root}/models/{name}_model")
+    model = DefaultParamsReader.loadParamsInstance(f"{root}/models/{name}_model", spark)
     return model, spark.read.parquet(f"{root}/models/{name}_scalers")

@@ -58,17 +58,27 @@ def read_records(
 
 
 def symbol_from_path(df: DataFrame, file: str = "_file") -> DataFrame:
-    """The symbol from `{symbol}/monthly/..` or `symbol={symbol}/..` in the file's path.
+    """The symbol from the file's path; null when the path has none.
 
-    Paths arrive percent-encoded, and partition folders are encoded once more on writing.
+    Known layouts are `{symbol}/YYYY-MM.json`, `{symbol}/monthly/YYYY-MM.json` and
+    `symbol={symbol}/..`. Paths arrive percent-encoded, and partition folders are encoded once more
+    on writing.
     """
 
     def decoded(text):
         return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
 
-    plain = F.regexp_extract(file, r"/([^/]+)/monthly/", 1)
+    def folder(text):
+        return F.replace(decoded(text), F.lit("%2F"), F.lit("/"))
+
+    monthly = F.regexp_extract(file, r"/([^/]+)/monthly/", 1)
+    plain = F.regexp_extract(file, r"/([^/]+)/\d{4}-\d{2}\.[^/]*$", 1)
     keyed = F.regexp_extract(file, r"/symbol=([^/]+)/", 1)
-    symbol = F.when(keyed != "", decoded(decoded(keyed))).otherwise(decoded(plain))
+    symbol = (
+        F.when(keyed != "", decoded(decoded(keyed)))
+        .when(monthly != "", folder(monthly))
+        .when(plain != "", folder(plain))
+    )
     return df.withColumn("symbol", symbol)
 
 

@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.operators.merge import WIDE, wide
 from barloom.schemas import TICKS
+from barloom.streaming.bars import tick_order
 
-LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+# The key of a line and the digits of its parts. As one number it keeps a hash aggregate.
+LINE_KEY = {"l_orderkey": 16, "l_linenumber": 2, "l_partkey": 10, "l_suppkey": 10}
+
+
+def _line_key() -> Column:
+    key = wide(0)
+    for name, digits in LINE_KEY.items():
+        key = key * wide(10**digits) + F.col(name).cast(WIDE)
+    return key
 
 
 def _bars(lines: DataFrame, symbol: str) -> DataFrame:
     price = F.col("l_extendedprice") / F.col("l_quantity")
-    key = F.struct(*LINE_KEY)
     return (
-        lines.withColumn("_price", price)
+        lines.withColumns({"_price": price, "_key": _line_key()})
         .groupBy(F.col(symbol).alias("symbol"), F.to_date("l_shipdate").alias("date"))
         .agg(
-            F.min_by("_price", key).alias("open"),
+            F.min_by("_price", "_key").alias("open"),
             F.max("_price").alias("high"),
             F.min("_price").alias("low"),
-            F.max_by("_price", key).alias("close"),
+            F.max_by("_price", "_key").alias("close"),
             F.sum("l_quantity").alias("volume"),
         )
     )
@@ -53,7 +62,7 @@ def ticks(spark: SparkSession, folder: str) -> DataFrame:
 
 def daily_ticks(spark: SparkSession, folder: str) -> DataFrame:
     """One bar per event type and day; volume counts the ticks."""
-    order = F.struct("ts", "event_id")
+    order = tick_order()
     return (
         ticks(spark, folder)
         .groupBy("symbol", F.to_date("ts").alias("date"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +13,12 @@ from pyspark.sql import types as T
 from barloom.functions import columns as C
 from barloom.operators import merge
 from barloom.schemas import BARS, OHLCV
+from barloom.session import Files, cut
 
 MONTH = "year_month"
+SLASH = "%2F"  # a slash in a symbol's folder name
+# Hidden names, which readers of the store pass over.
+STAGING, READY, MARKS = "_staging-", "_READY", "_marks"
 STORE = T.StructType([*BARS.fields, T.StructField(MONTH, T.StringType())])
 
 
@@ -36,6 +43,7 @@ def write_months(df: DataFrame, path: str, mode: str = "months") -> None:
 
 def read_months(spark: SparkSession, path: str, months: list[str] | None = None) -> DataFrame:
     """The bar store, or some months of it; empty when nothing was written yet."""
+    recover_months(spark, path)
     try:
         store = spark.read.schema(STORE).parquet(path)
     except AnalysisException as error:
@@ -45,16 +53,58 @@ def read_months(spark: SparkSession, path: str, months: list[str] | None = None)
     return store if months is None else store.where(F.col(MONTH).isin(months))
 
 
+def recover_months(spark: SparkSession, path: str) -> None:
+    """Finish or undo what an interrupted upsert left.
+
+    New months lie complete in a staging folder, marked ready, before the first old one goes. From
+    a ready folder the swap is completed, one without the mark is removed.
+    """
+    files = Files(spark, path)
+    for name in files.names(path):
+        if name.startswith(STAGING):
+            stage = f"{path}/{name}"
+            if files.exists(f"{stage}/{READY}"):
+                for month in files.names(stage):
+                    if month.startswith(f"{MONTH}="):
+                        files.move(f"{stage}/{month}", f"{path}/{month}")
+                if files.exists(f"{stage}/{MARKS}"):
+                    files.move(f"{stage}/{MARKS}", f"{path}/{MARKS}")
+            files.delete(stage)
+
+
+def read_marks(spark: SparkSession, path: str) -> DataFrame:
+    """(symbol, last_date), the newest stored date of each symbol.
+
+    Upserts keep it beside the months; for a store without it the months are read.
+    """
+    recover_months(spark, path)
+    if Files(spark, path).exists(f"{path}/{MARKS}"):
+        return spark.read.schema("symbol string, last_date date").parquet(f"{path}/{MARKS}")
+    return merge.high_water(read_months(spark, path))
+
+
 def upsert_months(incoming: DataFrame, path: str, order_cols: list[str] | None = None) -> None:
     """Merge new bars into the store; a stored row wins over a new one of the same date.
 
     Only the months of the new rows are read and rewritten. Their list follows the calendar (12 a
-    year), not the data. Files are replaced when the job commits, after they have been read.
+    year), not the data. The merged months and the new marks are written beside the store and then
+    put in the place of the old ones; `recover_months` completes that after an interruption.
     """
     spark = incoming.sparkSession
     months = [row[0] for row in incoming.select(C.month_key()).distinct().collect()]
+    if not months:
+        return
+    marks = merge.high_water(
+        read_marks(spark, path).withColumnRenamed("last_date", "date")
+        .unionByName(incoming.select("symbol", "date"))
+    )
     existing = read_months(spark, path, months).drop(MONTH)
-    write_months(merge.upsert(existing, incoming, order_cols), path)
+    merged = cut(merge.upsert(existing, incoming, order_cols), "merged")
+    stage = f"{path}/{STAGING}{uuid.uuid4().hex}"
+    write_months(merged, stage, mode="all")
+    marks.write.parquet(f"{stage}/{MARKS}")
+    Files(spark, path).touch(f"{stage}/{READY}")
+    recover_months(spark, path)
 
 
 def _records(df: DataFrame, *extra: str) -> DataFrame:
@@ -63,23 +113,35 @@ def _records(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(*extra, stamp, *[F.col(c).alias(c.capitalize()) for c in OHLCV])
 
 
-def publish_months(df: DataFrame, path: str) -> None:
-    """One JSON file per symbol and month, each a one-line array of records in date order.
+def publish_months(df: DataFrame, path: str, folder: str = "monthly/") -> None:
+    """One file `{symbol}/monthly/YYYY-MM.json` per symbol and month, as landed.
 
-    Copies of a date are merged first, so an array holds at most 31 records.
+    Each holds a one-line array of records in date order. Copies of a date are merged first, so an
+    array holds at most 31 records. Tasks write the files into a staging folder; the driver only
+    moves them to their names, replacing earlier ones. With an empty `folder` they lie directly
+    below the symbol.
     """
+    spark = df.sparkSession
     unique = merge.combine(df, [])
     records = _records(unique.withColumn(MONTH, C.month_key()), "symbol", MONTH)
     record = F.struct("Date", *[c.capitalize() for c in OHLCV])
+    stage = f"{path}/{STAGING}{uuid.uuid4().hex}"
     (
         records.groupBy("symbol", MONTH)
         .agg(F.to_json(F.array_sort(F.collect_list(record))).alias("value"))
         .repartition("symbol", MONTH)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("symbol", MONTH)
-        .text(path)
+        .write.partitionBy("symbol", MONTH)
+        .text(stage)
     )
+    files = Files(spark, path)
+    for name in files.names(stage):
+        if name.startswith("symbol="):
+            symbol = unquote(name.removeprefix("symbol=")).replace("/", SLASH)
+            for month in files.names(f"{stage}/{name}"):
+                (part,) = [n for n in files.names(f"{stage}/{name}/{month}") if n.startswith("part-")]
+                target = f"{path}/{symbol}/{folder}{month.removeprefix(f'{MONTH}=')}.json"
+                files.move(f"{stage}/{name}/{month}/{part}", target)
+    files.delete(stage)
 
 
 def split_months(df: DataFrame, path: str) -> None:
@@ -113,8 +175,13 @@ def write_csv(df: DataFrame, path: str) -> None:
     ).csv(path)
 
 
-def write_result(df: DataFrame, path: str, history: str | None = None) -> None:
-    """Result documents: the latest ones replace `path`; `history` keeps them all."""
+def write_result(df: DataFrame, path: str, history: str | None = None) -> DataFrame:
+    """Result documents: the latest ones replace `path`; `history` keeps them all.
+
+    Returns the documents as they were computed once for both.
+    """
+    df = cut(df, "result")
     df.write.mode("overwrite").json(path)
     if history:
         df.write.mode("append").json(history)
+    return df

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.operators.merge import WIDE, wide
+
+
+def tick_order() -> Column:
+    """Time and event id, which is not negative, as one number; it keeps a hash aggregate."""
+    micros = F.unix_micros("ts").cast(WIDE) + wide(1 << 62)
+    return micros * wide(10**19) + F.col("event_id").cast(WIDE)
+
 
 def bars(ticks: DataFrame, width: str = "240 minutes", watermark: str | None = None) -> DataFrame:
     """Open, high, low, close and tick count per symbol and window.
@@ -14,7 +22,7 @@ def bars(ticks: DataFrame, width: str = "240 minutes", watermark: str | None = N
     """
     if watermark:
         ticks = ticks.withWatermark("ts", watermark)
-    order = F.struct("ts", "event_id")
+    order = tick_order()
     return (
         ticks.groupBy(F.window("ts", width).alias("w"), "symbol")
         .agg(

@@ -85,8 +85,9 @@ def handle(
 
 
 def to_console(batch: DataFrame, batch_id: int) -> None:
-    """Print the first messages of a batch."""
-    batch.show(truncate=False)
+    """Print every message of a batch, one partition's worth at a time."""
+    for row in batch.toLocalIterator():
+        print(f"Received message: {row['value']} (key: {row['key']})")
 
 
 def into_table(path: str) -> Callable[[DataFrame, int], None]:

@@ -1,19 +1,20 @@
 """Every query with SQL, against DuckDB on the same tables; the others run and give rows."""
 
+import os
+
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 
-TABLES = ["lineitem", "part", "events"]
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
 def duck(testdata):
     con = duckdb.connect()
-    for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{testdata}/{name}.parquet'")
+    for file in sorted(os.listdir(testdata)):
+        con.execute(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM '{testdata}/{file}'")
     return con
 
 

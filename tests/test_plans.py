@@ -1,13 +1,16 @@
 """The chains end to end on small data."""
 
+import datetime as dt
 import json
 import os
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from barloom import session
 from barloom.operators import features, forecast, scale
 from barloom.plans import daily
 from barloom.schemas import BARS, RESULT
@@ -80,13 +83,124 @@ def test_train_publish_and_predict(spark, bars, tmp_path):
     assert out[0]["is_intraday"] is False
 
 
-def test_study_ranks_and_reports(spark, bars):
-    ranking, report = daily.study(bars, ("base",), runs=2)
-    assert {(r["symbol"], r["runs"], r["place"]) for r in ranking.collect()} == {
-        ("^A", 2, 1), ("B", 2, 1)
+def test_study_ranks_reports_and_fits_on_all_rows(spark, bars, tmp_path):
+    study = daily.study(bars, ("base",), runs=2)
+    assert {(r["symbol"], r["runs"], r["place"], r["failed"]) for r in study.ranking.collect()} == {
+        ("^A", 2, 1, 0), ("B", 2, 1, 0)
     }
-    rows = report.groupBy("symbol").agg(F.count("*").alias("n"), F.max(F.abs("error_pct")).alias("e"))
+    rows = study.report.groupBy("symbol").agg(F.count("*").alias("n"), F.max(F.abs("error_pct")).alias("e"))
     assert all(r["n"] == 30 and r["e"] < 60 for r in rows.collect())
+    # Scalers of the final model span whole series, which tails do not.
+    complete = features.indicators(bars)
+    spans = complete.groupBy("symbol").agg((F.max("close") - F.min("close")).alias("span"))
+    for r in spans.join(study.params, "symbol").collect():
+        assert r["span"] == pytest.approx(r["close_scale"])
+    cols, root = features.FEATURE_SETS[study.best], str(tmp_path)
+    models.save(study.model, study.params, root, "^ALL", study.best, cols, "2021-12-01 00:00:00")
+    model, params = models.load(spark, root, "^ALL", study.best)
+    assert model.coefficients == study.model.coefficients and params.count() == 2
+
+
+@pytest.mark.parametrize("name", features.FEATURE_SETS)
+def test_train_takes_every_named_set(name, bars):
+    cols = features.FEATURE_SETS[name]
+    rows = forecast.supervised(bars, cols)
+    assert set(cols) <= set(rows.columns) and rows.count() > 900
+    trained = daily.train(bars, name, trees=2, depth=3)
+    assert trained.next_day.count() == 2 and set(trained.importance) == set(cols)
+
+
+def test_train_refuses_unknown_columns(bars):
+    with pytest.raises(ValueError, match="no_such"):
+        forecast.supervised(bars, ["close", "no_such"])
+
+
+def test_failed_runs_are_skipped_and_counted(bars, monkeypatch):
+    rows = features.indicators(bars)
+    real, calls = forecast.fit_sequence, []
+
+    def sometimes(*args, **kwargs):
+        calls.append(1)
+        if len(calls) in (1, 4, 5):
+            raise PySparkException("no")
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(forecast, "fit_sequence", sometimes)
+    sets = {"close": ["close"], "volume": ["close", "volume"]}
+    ranked = forecast.compare_feature_sets(rows, sets, runs=3, length=20, train=60).collect()
+    assert {(r["feature_set"], r["runs"], r["failed"]) for r in ranked} == {("close", 2, 1), ("volume", 1, 2)}
+    monkeypatch.setattr(forecast, "fit_sequence", lambda *a, **k: (_ for _ in ()).throw(PySparkException("no")))
+    with pytest.raises(ValueError):
+        forecast.compare_feature_sets(rows, {"close": ["close"]}, runs=1, length=20, train=60)
+
+
+def test_draws_do_not_depend_on_the_partitioning(spark, bars):
+    once, again = (forecast.bootstrap(df, 5) for df in (bars, bars.repartition(7, "close")))
+    assert once.exceptAll(again).isEmpty()
+    mean = once.agg(F.sum("_times")).first()[0] / bars.count()
+    assert 0.9 < mean < 1.1 and not once.exceptAll(forecast.bootstrap(bars, 6)).isEmpty()
+
+
+def test_landing_layouts_and_lost_symbols(spark, tmp_path):
+    landing, store, bad = (str(tmp_path / n) for n in ("in", "store", "bad"))
+    for folder in ("AAPL", "MSFT"):
+        os.makedirs(f"{landing}/{folder}")
+        with open(f"{landing}/{folder}/2024-01.json", "w") as f:
+            f.write(json.dumps([record("2024-01-30", 1), record("2024-01-31", 2)]))
+    land(landing, "^IXIC", "2024-01", [record("2024-01-31", 3)])
+    os.makedirs(f"{landing}/odd")
+    with open(f"{landing}/odd/notes.json", "w") as f:
+        f.write(json.dumps([record("2024-01-31", 4)]))
+    new = daily.ingest(spark, landing, store, bad)
+    got = sorted((r["symbol"], r["close"]) for r in new.collect())
+    assert got == [("AAPL", 1.0), ("AAPL", 2.0), ("MSFT", 1.0), ("MSFT", 2.0), ("^IXIC", 3.0)]
+    for _ in range(2):
+        daily.ingest(spark, landing, store, bad)
+        assert [r["reason"] for r in spark.read.json(bad).collect()] == ["no symbol"]
+
+
+def test_published_files_are_ingested_again(spark, bars, tmp_path):
+    path = str(tmp_path / "published")
+    writers.publish_months(bars, path)
+    assert os.path.isfile(f"{path}/^A/monthly/2020-01.json")
+    assert sorted(os.listdir(path)) == ["B", "^A"]
+    daily.ingest(spark, path, str(tmp_path / "store"))
+    back = writers.read_months(spark, str(tmp_path / "store")).drop("year_month")
+    assert back.exceptAll(bars).isEmpty() and back.count() == bars.count()
+
+
+def test_ingest_reads_marks_and_not_the_store(spark, tmp_path, monkeypatch):
+    landing, store = str(tmp_path / "in"), str(tmp_path / "store")
+    land(landing, "A", "2024-01", [record("2024-01-30", 1)])
+    daily.ingest(spark, landing, store)
+    asked, real = [], writers.read_months
+    monkeypatch.setattr(writers, "read_months", lambda s, p, months=None: (asked.append(months), real(s, p, months))[1])
+    land(landing, "A", "2024-02", [record("2024-02-01", 2)])
+    assert daily.ingest(spark, landing, store).count() == 1
+    assert asked == [["2024-02"]]
+    assert [tuple(r) for r in writers.read_marks(spark, store).collect()] == [("A", dt.date(2024, 2, 1))]
+
+
+def test_an_interrupted_upsert_is_completed(spark, bars, tmp_path, monkeypatch):
+    store = str(tmp_path / "store")
+    writers.upsert_months(bars.where("symbol = 'B'"), store)
+    # The driver is lost after the new months are staged, before any is moved.
+    with monkeypatch.context() as m:
+        m.setattr(writers, "recover_months", lambda s, p: None)
+        writers.upsert_months(bars.where("symbol = '^A'"), store)
+    assert any(n.startswith("_staging-") for n in os.listdir(store))
+    assert writers.read_months(spark, store).count() == bars.count()
+    # One that was never marked ready leaves the store as it was.
+    os.makedirs(f"{store}/_staging-x/year_month=2020-01")
+    assert writers.read_months(spark, store).count() == bars.count()
+    assert not any(n.startswith("_staging-") for n in os.listdir(store))
+
+
+def test_released_tables_are_gone(spark, bars):
+    before = session.written()
+    path = session.cut(bars).inputFiles()[0]
+    session.release(spark, before)
+    assert session.written() == before and not os.path.exists(path.removeprefix("file://"))
 
 
 def test_recursive_forecast_against_brute_force(spark, bars):

@@ -79,30 +79,76 @@ def test_indicator_plans_hold_no_python(bars):
 
 
 def test_unused_columns_and_joins_go_away(bars):
-    text = plan(features.select(features.training(bars), "rf"))
+    text = plan(features.supervised(bars, features.FEATURE_SETS["rf"]))
     read = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     assert read and all("open" not in r and "high" not in r for r in read)
     assert "_edge" not in text
 
 
-def test_tails_are_cut_before_the_exchange(bars):
-    for df in (split.tail(bars), features.last_window(bars, ["close"]), features.latest(bars)):
-        lines = plan(df).splitlines()
-        below = [i for i, l in enumerate(lines) if "Exchange " in l][-1]
-        rest = "\n".join(lines[below:])
-        assert "WindowGroupLimit" in rest or "partial_max" in rest
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_no_exchange_between_a_block_and_its_fill(spark, bars):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        lines = plan(features.training(bars)).splitlines()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    join = next(i for i, l in enumerate(lines) if "SortMergeJoin" in l and "_block" in l)
-    main = lines[join + 1:]
-    first = next(l for l in main if "Exchange " in l)
-    assert "REPARTITION_BY_COL" in first
+@pytest.mark.parametrize("chain", [features.training, features.serving])
+def test_a_chain_runs_once(chain, spark, bars, no_broadcast, monkeypatch):
+    written, real = [], S.cut
+    monkeypatch.setattr(S, "cut", lambda df, name: (written.append(plan(df)), real(df, name))[1])
+    after = plan(chain(bars))
+    (before,) = written
+    # Rows move to be ranked and to their blocks; the other exchanges hold chunk sizes.
+    assert before.count("REPARTITION_BY_COL") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(symbol#\d+, _chunk#\d+", before)) == 3
+    assert len(re.findall(r"FileScan", before)) == 2 and "ReadSchema: struct<symbol:string,date:date>" in before
+    assert len(re.findall(r"lag\(close#\d+, 1", before)) <= 3
+    assert "lag(" not in after and "FileScan" in after and "REPARTITION_BY_COL" not in after
+
+
+def test_tails_rank_single_chunks(spark, bars, no_broadcast):
+    for df in (split.tail(bars), split.tail(bars, 30, 5000), features.last_window(bars, ["close"], 2000)):
+        text = plan(df)
+        ranks = re.findall(r"Window \[row_number\(\) windowspecdefinition\((\w+)#\d+L?, (\w+)#", text)
+        assert ranks and set(ranks) == {("symbol", "_chunk")}
+    assert "partial_max" in plan(features.latest(bars))
+
+
+def test_tails_treat_rows_alike_at_all_sizes(spark, bars):
+    rows = bars.unionByName(bars.limit(3).withColumn("symbol", F.lit(None).cast("string")))
+    whole = {tuple(r) for r in rows.where("symbol IS NOT NULL").collect()}
+    everything = {tuple(r[:-1]) for r in split.tail(rows, 30, 10**6).select(*rows.columns, "part").collect()}
+    assert everything == whole
+    for test, train in ((0, 1), (30, 420), (30, 1500)):
+        out = split.tail(rows, test, train)
+        assert out.where("symbol IS NULL").isEmpty()
+        for symbol, kept in out.groupBy("symbol").agg(F.count("*")).collect():
+            assert kept == min(test + train, sum(r[0] == symbol for r in whole))
+
+
+def test_only_the_border_chunk_of_a_split_is_ranked(bars, no_broadcast):
+    text = plan(split.random(bars))
+    assert len(re.findall(r"Window \[row_number\(\)", text)) == 1 and "Union" in text
+
+
+def test_first_records_and_bars_use_hash_aggregates(spark, testdata):
+    from barloom.registry import queries
+
+    for name in ("src_bars", "merge_combined", "bars_240m"):
+        text = plan(queries.QUERIES[name](spark, testdata))
+        assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+def test_a_block_may_not_pass_the_reach(bars):
+    with pytest.raises(ValueError, match="may hold"):
+        S.measure(bars, I.ema("close", 9, "e"), block_rows=9000).collect()
+
+
+def test_missing_values_fail_without_gaps(bars):
+    holes = bars.withColumn("close", F.when(F.dayofmonth("date") != 9, F.col("close")))
+    for chain in (features.training, features.serving, features.indicators):
+        with pytest.raises(Exception, match="close is missing"):
+            chain(holes).collect()
 
 
 def test_clashing_spans_take_several_passes():
