@@ -72,44 +72,86 @@ def _ceil(numerator: int, n: Column, denominator: int) -> Column:
     return F.floor((n * numerator + (denominator - 1)) / denominator).cast("int")
 
 
-def _signed(docs: DataFrame, classes: Column, share: Fraction) -> DataFrame:
-    """(doc_id, line, mark, n, sig, bits, more, prefix) of every line with a word.
+def _profile(share: Fraction) -> list[Column]:
+    """n, bits, more and prefix of `tokens`.
 
-    `mark` is a hash of the line as it is, `sig` stands for its set of words. `bits` has the
-    parities of 64 word classes; those of long lines are told apart into 128, the odd half of them
-    in `more`. Two sets of enough overlap share a word of their prefixes.
+    `bits` has the parities of 64 word classes; those of long lines are told apart into 128, the
+    odd half of them in `more`. Two sets of enough overlap share a word of their prefixes.
     """
-    rows = _rows(docs).select("doc_id", "line", F.xxhash64("content").alias("mark"),
-                              _tokens(_words(), classes).alias("tokens")).where(F.size("tokens") > 0)
     n, tokens = F.size("tokens"), F.col("tokens")
     prefix = n - _ceil(share.numerator, n, share.denominator) + 1
     more = F.when(n >= LONG, _parity(tokens, lambda t, bit: F.when(
         t.bitwiseAND(F.lit(64)) != 0, bit).otherwise(F.lit(0).cast("long"))))
-    return rows.select("doc_id", "line", "mark", n.alias("n"), F.xxhash64("tokens").alias("sig"),
-                       _parity(tokens, lambda t, bit: bit).alias("bits"), more.alias("more"),
-                       F.slice("tokens", 1, prefix).alias("prefix"))
+    return [n.alias("n"), _parity(tokens, lambda t, bit: bit).alias("bits"), more.alias("more"),
+            F.slice("tokens", 1, prefix).alias("prefix")]
+
+
+def _signed(docs: DataFrame, classes: Column, share: Fraction) -> DataFrame:
+    """(doc_id, line, mark, sig, n, bits, more, prefix) of every line with a word.
+
+    `mark` is a hash of the line as it is, `sig` stands for its set of words.
+    """
+    rows = _rows(docs).select("doc_id", "line", F.xxhash64("content").alias("mark"),
+                              _tokens(_words(), classes).alias("tokens")).where(F.size("tokens") > 0)
+    return rows.select("doc_id", "line", "mark", F.xxhash64("tokens").alias("sig"), *_profile(share))
+
+
+def _index(sets: DataFrame, share: Fraction, *more: str) -> DataFrame:
+    """A row per prefix word; sets so small that only their equals are alike are left out."""
+    lost = share.denominator - share.numerator
+    return sets.where(F.col("n") * lost >= share.numerator).select("sig", "n", "bits", "more", *more, F.posexplode("prefix").alias("at", "token"))
 
 
-def _candidates(sets: DataFrame, share: Fraction) -> DataFrame:
-    """(sig, other): pairs of sets that pass the prefix, length, position and bit filters.
+def _near(share: Fraction) -> Column:
+    """Whether index rows x and y pass the length, position and bit filters.
 
     An overlap of `share` means at least a = ceil(share / (1 + share) * (n + m)) common words. At
     the first word that two prefixes share, one more than the smaller rest must reach a; words in
     only one of the sets, at most n + m - 2 a, each flip one bit.
     """
-    index = sets.select("sig", "n", "bits", "more", F.posexplode("prefix").alias("at", "token"))
-    x, y = index.alias("x"), index.alias("y")
-    total = F.col("x.n") + F.col("y.n")
-    common = _ceil(share.numerator, total, share.numerator + share.denominator)
-    rest = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
-    once = (F.col("x.n") > F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.sig") < F.col("y.sig")))
+    n, m = F.col("x.n"), F.col("y.n")
+    common = _ceil(share.numerator, n + m, share.numerator + share.denominator)
+    rest = F.least(n - F.col("x.at"), m - F.col("y.at"))
     flipped = F.col("x.bits").bitwiseXOR(F.col("y.bits"))
     odd = F.col("x.more").bitwiseXOR(F.col("y.more"))
     differ = F.coalesce(F.bit_count(odd) + F.bit_count(flipped.bitwiseXOR(odd)), F.bit_count(flipped))
-    long_enough = F.col("y.n") * share.denominator >= F.col("x.n") * share.numerator
-    fits = once & long_enough & (rest >= common) & (differ <= total - 2 * common)
-    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & fits)
-    return pairs.select(F.col("x.sig").alias("sig"), F.col("y.sig").alias("other")).distinct()
+    lengths = F.least(n, m) * share.denominator >= F.greatest(n, m) * share.numerator
+    return lengths & (rest >= common) & (differ <= n + m - 2 * common)
+
+
+def _involved(sets: DataFrame, share: Fraction) -> DataFrame:
+    """The sets that pass all filters with some other set; a set comes out once, however many."""
+    x, y = _index(sets, share).alias("x"), _index(sets, share).alias("y")
+    fits = (F.col("x.token") == F.col("y.token")) & (F.col("x.sig") != F.col("y.sig")) & _near(share)
+    return x.join(y, fits, "left_semi").select("sig").distinct()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, share: Fraction) -> DataFrame:
+    """(sig, match): for each later set the earliest of its candidates (sig, other) that is alike."""
+    own = sets.select("sig", F.col("tokens").alias("a"))
+    others = sets.select(F.col("sig").alias("other"), F.col("tokens").alias("b"), F.col("first").alias("match"))
+    both = F.size(F.array_intersect("a", "b"))
+    alike = both * share.denominator >= (F.size("a") + F.size("b") - both) * share.numerator
+    found = pairs.distinct().join(own, "sig").join(others, "other").where(alike)
+    return found.groupBy("sig").agg(F.min("match").alias("match"))
+
+
+def _matched(sets: DataFrame, share: Fraction) -> DataFrame:
+    """(sig, match) of the sets (sig, first, tokens, ..) that are alike an earlier one.
+
+    Most of a group of variants are alike its earliest member, so each set is first compared with
+    the earliest set of each of its prefix words, one per index row. Only those left open are then
+    compared with all earlier sets, so a group of variants does not give all its pairs.
+    """
+    index = cut(_index(sets, share, "first"), "index")
+    lead = index.groupBy("token").agg(F.min(F.struct("first", "sig", "n", "bits", "more", "at")).alias("lead"))
+    x, y = index.alias("x"), lead.select("token", "lead.*").alias("y")
+    fits = (F.col("x.token") == F.col("y.token")) & (F.col("y.first") < F.col("x.first")) & _near(share)
+    pairs = x.join(y, fits).select(F.col("x.sig").alias("sig"), F.col("y.sig").alias("other"))
+    early = cut(_verified(pairs, sets, share), "matched")
+    x, y = index.join(early, "sig", "left_anti").alias("x"), index.alias("y")
+    pairs = x.join(y, fits).select(F.col("x.sig").alias("sig"), F.col("y.sig").alias("other"))
+    return early.unionByName(_verified(pairs, sets, share))
 
 
 def _chosen(docs: DataFrame, wanted: DataFrame, classes: Column) -> DataFrame:
@@ -132,25 +174,16 @@ def _chosen(docs: DataFrame, wanted: DataFrame, classes: Column) -> DataFrame:
 
 
 def _gone(docs: DataFrame, share: Fraction) -> DataFrame:
-    """(doc_id, line, mark, match): the lines that go, and the earliest line each matches."""
+    """(doc_id, line, mark, match): the lines that go, and an earlier line that each matches."""
     classes = _frequency_classes(docs)
     lines = cut(_signed(docs, classes, share), "lines")
-    sets = lines.groupBy("sig").agg(
-        F.min(F.struct("doc_id", "line")).alias("first"), F.first("n").alias("n"),
-        F.first("bits").alias("bits"), F.first("more").alias("more"), F.first("prefix").alias("prefix"))
-    pairs = cut(_candidates(sets.where(F.size("prefix") > 0), share), "pairs")
+    sets = lines.groupBy("sig").agg(*[F.first(c).alias(c) for c in ("n", "bits", "more", "prefix")])
+    involved = cut(_involved(sets, share), "involved")
     firsts = cut(lines.groupBy("sig").agg(F.min(F.struct("doc_id", "line")).alias("first")), "firsts")
-    ends = pairs.select("sig").union(pairs.select("other")).distinct()
-    wanted = cut(firsts.join(ends, "sig").select("sig", "first.doc_id", "first.line"), "wanted")
-    sets = cut(_chosen(docs, wanted, classes).join(firsts, "sig"), "sets")
-    left = sets.select("sig", F.col("tokens").alias("a"), F.col("first").alias("p"))
-    right = sets.select(F.col("sig").alias("other"), F.col("tokens").alias("b"), F.col("first").alias("q"))
-    both = F.size(F.array_intersect("a", "b"))
-    alike = both * share.denominator >= (F.size("a") + F.size("b") - both) * share.numerator
-    links = pairs.join(left, "sig").join(right, "other").where(alike & (F.col("p") != F.col("q")))
-    later = F.when(F.col("p") < F.col("q"), F.col("other")).otherwise(F.col("sig"))
-    before = links.groupBy(later.alias("sig")).agg(F.min(F.least("p", "q")).alias("match"))
-    known = firsts.join(before, "sig", "left")
+    wanted = cut(firsts.join(involved, "sig").select("sig", "first.doc_id", "first.line"), "wanted")
+    chosen = _chosen(docs, wanted, classes).join(firsts, "sig")
+    chosen = cut(chosen.select("sig", "first", "tokens", *_profile(share)), "chosen")
+    known = firsts.join(_matched(chosen, share), "sig", "left")
     match = F.coalesce("match", F.when((F.col("doc_id") != F.col("first.doc_id"))
                                        | (F.col("line") != F.col("first.line")), F.col("first")))
     gone = lines.select("doc_id", "line", "mark", "sig").join(known, "sig").withColumn("match", match)
@@ -158,7 +191,7 @@ def _gone(docs: DataFrame, share: Fraction) -> DataFrame:
 
 
 def matches(docs: DataFrame, share: Fraction = SIMILARITY) -> DataFrame:
-    """(doc_id, line, first_doc_id, first_line): the lines that go, each with the earliest line it
+    """(doc_id, line, like_doc_id, like_line): the lines that go, each with an earlier line that it
     matches.
 
     A line is the set of its words, runs of anything but ASCII white space. It goes if a line
@@ -172,7 +205,7 @@ def matches(docs: DataFrame, share: Fraction = SIMILARITY) -> DataFrame:
     Words are told apart by 58 bits of a hash, sets by 64 of another.
     """
     return _gone(docs, share).select(
-        "doc_id", "line", F.col("match.doc_id").alias("first_doc_id"), F.col("match.line").alias("first_line")).distinct()
+        "doc_id", "line", F.col("match.doc_id").alias("like_doc_id"), F.col("match.line").alias("like_line")).distinct()
 
 
 def report(docs: DataFrame, share: Fraction = SIMILARITY) -> DataFrame:

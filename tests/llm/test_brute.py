@@ -103,16 +103,12 @@ def test_models_find_random_runs_and_leave_words(docs):
 # Lines
 
 def matched_lines(rows):
-    """(doc_id, line, first_doc_id, first_line) of the lines that go."""
+    """(doc_id, line) of the lines that go, and all pairs with an earlier line they match."""
     lines = sorted({(i, k, frozenset(WORD.findall(line))) for i, t in rows if i is not None and t is not None
                     for k, line in enumerate(t.split("\n")) if WORD.search(line)}, key=lambda x: x[:2])
-    out = set()
-    for n, (i, k, words) in enumerate(lines):
-        for j, m, other in lines[:n]:
-            if (j, m) < (i, k) and 5 * len(words & other) >= 4 * len(words | other):
-                out.add((i, k, j, m))
-                break
-    return out
+    pairs = {(i, k, j, m) for n, (i, k, words) in enumerate(lines) for j, m, other in lines[:n]
+             if (j, m) < (i, k) and 5 * len(words & other) >= 4 * len(words | other)}
+    return {p[:2] for p in pairs}, pairs
 
 
 def test_lines(corpus, docs):
@@ -130,7 +126,16 @@ def test_lines(corpus, docs):
         made.append((1000 + i // 2 * 2, "\n".join(lines)))
     rows = corpus.where("doc_id < 60").select("doc_id", "text", "lang", "source", "n_chars").union(docs(made))
     got = {tuple(r) for r in line_dedup.matches(rows).collect()}
-    assert got == matched_lines(pairs(rows)) and len(got) > 50
+    gone, alike = matched_lines(pairs(rows))
+    assert {r[:2] for r in got} == gone and got <= alike and len(gone) > 50
+
+
+def test_a_group_of_variants_gives_no_square_of_pairs(spark, docs):
+    rng, base = random.Random(3), [f"word{i}" for i in range(40)]
+    rows = [(i, " ".join(w if rng.random() > 0.03 else f"v{rng.randrange(10**6)}" for w in base)) for i in range(300)]
+    gone, alike = matched_lines(rows)
+    got = {tuple(r) for r in line_dedup.matches(docs(rows)).collect()}
+    assert {r[:2] for r in got} == gone and got <= alike
 
 
 def test_trim_takes_lines_out(docs):
