@@ -41,7 +41,7 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.judge(table(spark, folder, "documents"))
+    return quality.judge(table(spark, folder, "documents")).drop("char_distance", "word_distance")
 
 
 def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:

@@ -37,10 +37,10 @@ def _leading(column: Column, skip: int) -> Column:
 
 
 def _scaled(value: Column, low: int, high: int, cells: int) -> Column:
-    """floor((value - low) * cells / (high - low + 1)) in exact integers."""
+    """(value - low) * cells div (high - low + 1) in exact integers."""
     wide = "decimal(38,0)"
-    shifted = (value.cast(wide) - F.lit(low).cast(wide)) * F.lit(cells)
-    return F.floor(shifted / F.lit(high - low + 1).cast(wide)).cast("long")
+    shifted = (value.cast(wide) - F.lit(str(low)).cast(wide)) * F.lit(cells)
+    return F.call_function("div", shifted.cast(wide), F.lit(str(high - low + 1)).cast(wide))
 
 
 def _common(low: str, high: str) -> int:
