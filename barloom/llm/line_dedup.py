@@ -91,8 +91,9 @@ def _signed(docs: DataFrame, classes: Column, share: Fraction) -> DataFrame:
 
     `mark` is a hash of the line as it is, `sig` stands for its set of words.
     """
-    rows = _rows(docs).select("doc_id", "line", F.xxhash64("content").alias("mark"),
-                              _tokens(_words(), classes).alias("tokens")).where(F.size("tokens") > 0)
+    # A filter on the tokens would be moved below them and compute them twice.
+    rows = _rows(docs).where(F.col("content").rlike(r"[^ \t\x0B\f\r]")).select(
+        "doc_id", "line", F.xxhash64("content").alias("mark"), _tokens(_words(), classes).alias("tokens"))
     return rows.select("doc_id", "line", "mark", F.xxhash64("tokens").alias("sig"), *_profile(share))
 
 
