@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import columns as C
 
+# The threshold in percent and the type that alerts carry.
 THRESHOLD = 1.0
 ALERT_TYPE = "intraday_price_difference"
 

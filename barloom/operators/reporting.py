@@ -77,5 +77,3 @@ def prediction_response(
         (F.col("_last") == F.col("prediction_date")).alias("is_intraday"),
         "historical_data",
     )
-
-

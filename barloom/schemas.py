@@ -34,6 +34,7 @@ MESSAGES = T.StructType([
     T.StructField("value", T.StringType()),
 ])
 
+# The field names of alerts, envelopes, model metadata and result documents.
 ALERT = T.StructType([
     T.StructField("ticker", T.StringType()),
     T.StructField("current_price", T.DoubleType()),

@@ -18,7 +18,7 @@ from barloom.functions import indicators as I  # noqa: E402
 from barloom.operators import features, merge, split  # noqa: E402
 from barloom.operators.series import measure  # noqa: E402
 from barloom.registry import queries as registry  # noqa: E402
-from barloom.session import build_session, cut  # noqa: E402
+from barloom.session import build_session, cut, release  # noqa: E402
 from barloom.sources import tables  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -86,6 +86,7 @@ def main() -> None:
         times[name] = round(run(spark, query), 3)
         if "--verbose" in sys.argv:
             print(name, times[name], file=sys.stderr, flush=True)
+    release(spark)
     spark.stop()
     print(json.dumps({
         "metric": "total_query_time",

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from barloom.session import build_session  # noqa: E402
+from barloom.session import build_session, release  # noqa: E402
 
 TESTDATA = "/root/testdata/sf0.001"
 
@@ -19,6 +19,7 @@ def spark():
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 
