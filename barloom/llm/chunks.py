@@ -19,7 +19,7 @@ from barloom.llm import text as T
 from barloom.session import cut
 
 CHUNK_BYTES = 2 * 1024 * 1024
-TEXT_LEVEL = 5
+TEXT_LEVEL = 3
 NO_ID = np.iinfo(np.int64).max
 SCHEMA = "chunk long, doc_ids array<long>, ends array<long>, n_bytes long, packed binary"
 
@@ -78,6 +78,8 @@ def each(batches: Iterable[pa.RecordBatch]) -> Iterator[Chunk]:
 
 def grouped(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each bucket with the places that belong to it, in their order."""
+    if len(bucket) and bucket.max() <= np.iinfo(np.int16).max:
+        bucket = bucket.astype(np.int16)  # sorted by radix
     order = np.argsort(bucket, kind="stable")
     found, starts = np.unique(bucket[order], return_index=True)
     for b, places in zip(found.tolist(), np.split(order, starts[1:])):

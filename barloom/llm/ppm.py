@@ -8,6 +8,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ WORD_END = -1
 FOLDS, HELD_OUT = 7, 2
 CHUNK_BYTES = 4 * 1024 * 1024
 BUCKET_BYTES = 4 * 1024 * 1024
+HELD_KEYS = 3_000_000  # that a task sums up before it sends them on
 SAMPLED = 16  # grams per bucket, to cut the ranges
 STEPS = 4096  # a gram's log10 probability is kept in steps of 1 / STEPS
 
@@ -108,7 +110,19 @@ def _distinct(values: np.ndarray) -> np.ndarray:
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training counts of a chunk's grams, with those it only asks for at 0, and of its words."""
+    """Training counts of grams, with those that are only asked for at 0, and of words; summed in
+    the task as far as its memory is bounded."""
+    parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def flush():
+        keys, counts = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 2
+        parts.clear()
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        counts = np.add.reduceat(counts, starts) if len(keys) else counts
+        return pa.RecordBatch.from_arrays([pa.array(keys[starts]), pa.array(counts)], ["key", "n"])
+
     for chunk in C.each(batches):
         found = Sequences(chunk)
         train = found.trained()
@@ -123,8 +137,10 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = np.fromiter(map(word_key, words), np.int64, len(words))
         counts = np.fromiter(words.values(), np.int64, len(words))
         keys = np.concatenate([grams, other, keys, [WORD_END]])
-        counts = np.concatenate([n, np.zeros(len(other), np.int64), counts, [texts]])
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
+        parts.append((keys, np.concatenate([n, np.zeros(len(other), np.int64), counts, [texts]])))
+        if sum(len(k) for k, _ in parts) > HELD_KEYS:
+            yield flush()
+    yield flush()
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -285,13 +301,16 @@ def _score(left: pa.Table, right: pa.Table, buckets: Buckets, tokens: int, disti
             values[at[n:]] = np.frombuffer(data, np.uint16, len(at) - n, 8 * n) / -STEPS
         ends = found.gram_ends
         total = np.add.reduceat(values[len(words) + 1:][place], np.concatenate([[0], ends[:-1]]))
-        count = dict(zip(words, values[:len(words)].tolist()))
-        end = values[len(words)]
-        scale = math.log10(tokens + distinct + 1)
-        for doc, held, ws, score in zip(found.chunk.doc_ids, found.held, found.words, total.tolist()):
-            c = np.append(np.fromiter(map(count.__getitem__, ws), float, len(ws)), end)
-            rows.append((doc, held, len(c), int((c > 0).sum()), tokens,
-                         float(np.log10(c + 1).sum() - len(c) * scale), score))
+        # The end of a text is one more token of it.
+        place = dict(zip([*words, None], range(len(words) + 1)))
+        sizes = np.array([len(ws) + 1 for ws in found.words], np.int64)
+        flat = chain.from_iterable((*ws, None) for ws in found.words)
+        ids = np.fromiter(map(place.__getitem__, flat), np.int64, sizes.sum())
+        starts, counts = np.cumsum(sizes) - sizes, values[:len(words) + 1]
+        known = np.add.reduceat((counts > 0).astype(np.int64)[ids], starts).tolist()
+        base = np.add.reduceat(np.log10(counts + 1)[ids], starts) - sizes * math.log10(tokens + distinct + 1)
+        rows = list(zip(found.chunk.doc_ids, found.held, sizes.tolist(), known, [tokens] * len(sizes),
+                        base.tolist(), total.tolist()))
     columns = zip(*rows) if rows else [()] * 7
     kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
     names = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
