@@ -23,8 +23,8 @@ SETTINGS = {
 # Input per exchange partition. Windows hold one block at a time and sorts spill, so a partition
 # need not fit in memory; much smaller ones would make the exchange itself the burden at 100 TB.
 PARTITION_BYTES = 1024 * 1024 * 1024
-# Estimates of joined inputs can be far too large; no plan asks for more than this.
-MAX_PARTITIONS = 200_000
+# The planner's size of an input it knows nothing about, and beyond.
+UNKNOWN_BYTES = 1 << 60
 
 _WRITTEN: list[str] = []
 
@@ -49,10 +49,14 @@ def build_session(
 
 
 def size_exchanges(df: DataFrame) -> None:
-    """Raise the session's number of exchange partitions to what the size of `df` asks for."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Raise the session's number of exchange partitions to what the inputs of `df` ask for.
+
+    The sizes of its scans are added up; an input of unknown size does not count.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     now = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(size // PARTITION_BYTES, MAX_PARTITIONS)
+    wanted = sum(s for s in sizes if s < UNKNOWN_BYTES) // PARTITION_BYTES
     if wanted > now:
         df.sparkSession.conf.set("spark.sql.shuffle.partitions", str(wanted))
 

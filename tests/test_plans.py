@@ -196,6 +196,18 @@ def test_an_interrupted_upsert_is_completed(spark, bars, tmp_path, monkeypatch):
     assert not any(n.startswith("_staging-") for n in os.listdir(store))
 
 
+def test_exchanges_follow_known_sizes_only(spark, bars, monkeypatch):
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    session.size_exchanges(bars)
+    session.size_exchanges(bars.join(session.cut(bars), "symbol"))
+    assert spark.conf.get(setting) == before
+    monkeypatch.setattr(session, "PARTITION_BYTES", 100)
+    session.size_exchanges(session.cut(bars))
+    assert int(before) < int(spark.conf.get(setting)) < 10_000
+    spark.conf.set(setting, before)
+
+
 def test_released_tables_are_gone(spark, bars):
     before = session.written()
     path = session.cut(bars).inputFiles()[0]
