@@ -11,7 +11,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm import text as T
@@ -128,6 +128,10 @@ class Reference:
     shares: np.ndarray
 
 
+def _language() -> Column:
+    return F.coalesce(F.col("lang").cast("string"), F.lit(""))
+
+
 def references(docs: DataFrame, rules: Rules = Rules()) -> list[Reference]:
     """References of the languages in `docs` (text, lang), counted over all of its rows.
 
@@ -135,7 +139,7 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> list[Reference]:
     pass needs exact counts only for the words of the few heavy buckets. What reaches the driver
     is bounded: at most 1 / language_share languages, 4096 buckets and 1 / share words of each.
     """
-    rows = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"))
+    rows = docs.select("text", _language().alias("lang"))
     profile = rows.mapInArrow(partial(_profile, rules=rules), "lang string, slot long, n long")
     slots = profile.groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     slots = slots.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("slot", "n"))).alias("slots"))
@@ -216,8 +220,11 @@ COLUMNS = {
 }
 
 
-def measures(texts: list[bytes], refs: list[Reference], rules: Rules) -> dict[str, np.ndarray]:
-    """The columns of COLUMNS for some texts."""
+def measures(
+    texts: list[bytes], refs: list[Reference], rules: Rules, langs: list[str] | None = None
+) -> dict[str, np.ndarray]:
+    """The columns of COLUMNS for some texts. With `langs`, the language of each, a text whose
+    language has no reference is left to the base rules."""
     rows = len(texts)
     split = [t.split() for t in texts]
     n_words = np.array([len(w) for w in split], np.int64)
@@ -247,6 +254,9 @@ def measures(texts: list[bytes], refs: list[Reference], rules: Rules) -> dict[st
     failed = (n_words < rules.min_words) | (100 * repeats > rules.repeat_percent * n_words)
     strange = (n_chars >= rules.min_chars) & (far_chars > limit_chars)
     strange |= (n_words >= rules.min_common) & (far_words > limit_words)
+    if langs is not None:
+        known = {ref.lang for ref in refs}
+        strange &= np.fromiter((lang in known for lang in langs), bool, rows)
     return {
         "n_words": n_words,
         "word_chars": n_chars - chars[:, SPACE],
@@ -262,7 +272,7 @@ def measures(texts: list[bytes], refs: list[Reference], rules: Rules) -> dict[st
 
 def _judge(batches: Iterable[pa.RecordBatch], refs, rules) -> Iterator[pa.RecordBatch]:
     for batch in T.portions(batches):
-        found = measures(T.raw(batch), refs, rules)
+        found = measures(T.raw(batch), refs, rules, batch.column("lang").to_pylist())
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), *map(pa.array, found.values())], ["doc_id", *found])
 
@@ -273,20 +283,26 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     Words are runs of anything but ASCII white space. A text fails when it has too few words or
     too many of them lie in repeated windows of five. One that does not fail is kept unless its
     character classes or its common words are further than chance allows from every language
-    reference; the references come from all rows, and the nearest counts, so a wrong or null
-    language does no harm. A null text is empty: it has no words, and fails. Other columns are
-    not looked at. An empty table gives an empty table.
+    reference; the references come from all rows, and the nearest counts, so the name of another
+    language that has a reference does no harm. A language too rare for a reference (null is one
+    too) has nothing to be held against: its texts pass on the base rules alone, and their
+    distances are those from the nearest foreign reference. A null text is empty: it has no words,
+    and fails. Other columns are not looked at. An empty table gives an empty table.
     """
     refs = references(docs, rules)
     schema = ", ".join(["doc_id long", *(f"{c} {t}" for c, t in COLUMNS.items())])
-    return T.texts(docs).mapInArrow(partial(_judge, refs=refs, rules=rules), schema)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _language().alias("lang"))
+    return rows.mapInArrow(partial(_judge, refs=refs, rules=rules), schema)
 
 
-def _filter(batches: Iterable[pa.RecordBatch], refs, rules) -> Iterator[pa.RecordBatch]:
+def _filter(batches: Iterable[pa.RecordBatch], refs, rules, lang: str) -> Iterator[pa.RecordBatch]:
     for batch in T.portions(batches):
-        yield batch.filter(pa.array(measures(T.raw(batch), refs, rules)["kept"]))
+        found = measures(T.raw(batch), refs, rules, batch.column(lang).to_pylist())
+        yield batch.filter(pa.array(found["kept"])).drop_columns([lang])
 
 
 def keep(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of `docs` that `judge` keeps, with all their columns."""
-    return docs.mapInArrow(partial(_filter, refs=references(docs, rules), rules=rules), docs.schema)
+    lang = T.fresh(docs, "judged_as")
+    judged = partial(_filter, refs=references(docs, rules), rules=rules, lang=lang)
+    return docs.withColumn(lang, _language()).mapInArrow(judged, docs.schema)

@@ -338,6 +338,20 @@ def test_common_words_are_exact(corpus):
         assert dict(zip(ref.words, ref.shares)) == pytest.approx(want)
 
 
+def test_a_language_without_a_reference_is_left_to_the_base_rules(spark):
+    rng = random.Random(8)
+    thai = "".join(map(chr, range(0x0E01, 0x0E2F)))
+    clean = " ".join("".join(rng.choice(thai) for _ in range(8)) for _ in range(40))
+    looping = "ก ข ค ง จ " * 4
+    rows = [(i, prose(i, 500), "en") for i in range(300)]
+    rows += [(400, clean, "th"), (401, clean, None), (402, clean, "en"), (403, looping, "th"), (404, prose(1), "th")]
+    made = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = {400, 401, 404, *range(300)}
+    assert {r.doc_id for r in quality.judge(made).where("kept").collect()} == want
+    kept = quality.keep(made)
+    assert kept.columns == made.columns and {r.doc_id for r in kept.collect()} == want
+
+
 def test_labels_agree(spark, testdata):
     rows = table(spark, testdata, "documents")
     judged = quality.judge(rows).join(table(spark, testdata, "labels"), "doc_id").where("n_words >= 50").collect()
