@@ -132,6 +132,19 @@ def _language() -> Column:
     return F.coalesce(F.col("lang").cast("string"), F.lit(""))
 
 
+def once(docs: DataFrame) -> DataFrame:
+    """(text, lang): each text of `docs` once per language, so copies do not bend a reference.
+
+    Texts are told apart by a 64-bit hash. Only copied texts are exchanged as long as the table of
+    their hashes is small enough for the planner to broadcast.
+    """
+    rows = docs.select("text", _language().alias("lang")).withColumn("hash", F.xxhash64("text"))
+    key = ["lang", "hash"]
+    copied = cut(rows.groupBy(key).count().where("count > 1").select(key), "copied")
+    firsts = cut(rows.join(copied, key, "left_semi").dropDuplicates(key).select("text", "lang"), "firsts")
+    return rows.join(copied, key, "left_anti").select("text", "lang").unionAll(firsts)
+
+
 def references(docs: DataFrame, rules: Rules = Rules()) -> list[Reference]:
     """References of the languages in `docs` (text, lang), counted over all of its rows.
 
@@ -283,13 +296,13 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     Words are runs of anything but ASCII white space. A text fails when it has too few words or
     too many of them lie in repeated windows of five. One that does not fail is kept unless its
     character classes or its common words are further than chance allows from every language
-    reference; the references come from all rows, and the nearest counts, so the name of another
-    language that has a reference does no harm. A language too rare for a reference (null is one
+    reference; the references come from all texts, copies counted once, and the nearest counts, so
+    the name of another language that has a reference does no harm. A language too rare for a reference (null is one
     too) has nothing to be held against: its texts pass on the base rules alone, and their
     distances are those from the nearest foreign reference. A null text is empty: it has no words,
     and fails. Other columns are not looked at. An empty table gives an empty table.
     """
-    refs = references(docs, rules)
+    refs = references(once(docs), rules)
     schema = ", ".join(["doc_id long", *(f"{c} {t}" for c, t in COLUMNS.items())])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _language().alias("lang"))
     return rows.mapInArrow(partial(_judge, refs=refs, rules=rules), schema)
@@ -304,5 +317,5 @@ def _filter(batches: Iterable[pa.RecordBatch], refs, rules, lang: str) -> Iterat
 def keep(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of `docs` that `judge` keeps, with all their columns."""
     lang = T.fresh(docs, "judged_as")
-    judged = partial(_filter, refs=references(docs, rules), rules=rules, lang=lang)
+    judged = partial(_filter, refs=references(once(docs), rules), rules=rules, lang=lang)
     return docs.withColumn(lang, _language()).mapInArrow(judged, docs.schema)

@@ -352,6 +352,26 @@ def test_a_language_without_a_reference_is_left_to_the_base_rules(spark):
     assert kept.columns == made.columns and {r.doc_id for r in kept.collect()} == want
 
 
+def test_a_third_of_all_rows_in_copies_moves_no_verdict(spark):
+    rng = random.Random(9)
+    common = ["el", "la", "de", "que", "y", "en", "un", "por", "con", "para"]
+    rare = ["".join(rng.choice("abcdeilmnorst") for _ in range(6)) for _ in range(400)]
+
+    def spanish(words):
+        return " ".join(rng.choice(common if rng.random() < 0.4 else rare) for _ in range(words))
+
+    rows = [(i, prose(i, 100), "en") for i in range(200)] + [(200 + i, spanish(100), "es") for i in range(40)]
+    hot = "uno dos tres cuatro cinco seis siete ocho nueve diez once doce " + spanish(48)
+    copies = [(1000 + i, hot, "es") for i in range(len(rows) // 2)]
+    schema = "doc_id long, text string, lang string"
+    want = {r.doc_id for r in quality.judge(spark.createDataFrame(rows, schema)).where("kept").collect()}
+    made = spark.createDataFrame(rows + copies, schema).repartition(3)
+    assert want == {i for i, *_ in rows}
+    assert {r.doc_id for r in quality.judge(made).where("kept AND doc_id < 1000").collect()} == want
+    assert {r.doc_id for r in quality.keep(made).where("doc_id < 1000").collect()} == want
+    assert sorted_rows(quality.once(made)) == sorted(((t, x) for t, x in {(t, x) for _, t, x in rows + copies}), key=repr)
+
+
 def test_labels_agree(spark, testdata):
     rows = table(spark, testdata, "documents")
     judged = quality.judge(rows).join(table(spark, testdata, "labels"), "doc_id").where("n_words >= 50").collect()
