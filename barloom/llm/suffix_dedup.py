@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterable, Iterator
 from functools import partial
 from itertools import repeat
@@ -21,6 +22,11 @@ SPAN = LENGTH - ANCHOR + 1
 BUCKET_BYTES = 2 * 1024 * 1024
 SAMPLED_CHUNKS = 64
 SAMPLED_PLACES = 2048
+# An anchor in more strings than this is compared by windows, about as many of them to a bucket.
+HOT_STRINGS = 16_384
+# Strings of an anchor in one chunk from which on they are counted; fewer count as one.
+COUNTED = 8
+SPREAD = 1 << 30
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 ASKED = "chunk long, bucket int, keys binary"
@@ -110,6 +116,23 @@ class Suffixes:
     def buckets(self, splitters: np.ndarray) -> np.ndarray:
         return np.searchsorted(splitters, self.lead, side="right")
 
+    def counted(self, short: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, pairs): the distinct short keys of some entries, and (place of a key, its number
+        of different strings) for keys of at least COUNTED."""
+        known, place, n = np.unique(short[at], return_inverse=True, return_counts=True)
+        many = np.flatnonzero(n[place] >= COUNTED)
+        strings: dict[int, set[bytes]] = {}
+        for key, entry in zip(place[many].tolist(), at[many].tolist()):
+            strings.setdefault(key, set()).add(self.string(entry))
+        pairs = [(key, len(found)) for key, found in sorted(strings.items()) if len(found) >= COUNTED]
+        return known, np.array(pairs, np.uint32).reshape(-1, 2)
+
+    def windows(self, entry: int) -> Iterator[tuple[int, bytes]]:
+        """The place and the bytes of each of an entry's windows."""
+        first = int(self.first[entry])
+        for start in range(first, first + int(self.count[entry])):
+            yield start, self.chunk.text[start:start + LENGTH]
+
 
 def _sample(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Leading bytes of some suffixes."""
@@ -139,30 +162,54 @@ def _short(keys: np.ndarray) -> np.ndarray:
 
 
 def _ask(batches: Iterable[pa.RecordBatch], cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Per bucket the hashed anchors that the chunk has, each once."""
+    """Per bucket the hashed anchors that the chunk has, each once, and the counts of frequent ones."""
     for chunk in C.each(batches):
         suffixes = Suffixes(chunk)
         short = _short(suffixes.key)
-        rows = [(b, np.unique(short[at]).tobytes()) for b, at in C.grouped(suffixes.buckets(cuts))]
+        rows = []
+        for bucket, at in C.grouped(suffixes.buckets(cuts)):
+            known, pairs = suffixes.counted(short, at)
+            rows.append((bucket, np.concatenate([[len(known)], known, pairs.ravel()]).astype(np.uint32).tobytes()))
         numbers, keys = zip(*rows) if rows else ((), ())
         yield pa.RecordBatch.from_arrays(
             [pa.array([chunk.number] * len(rows), pa.int64()), pa.array(numbers, pa.int32()),
              pa.array(keys, pa.binary())], ["chunk", "bucket", "keys"])
 
 
-def _answer(asked: pa.Table) -> pa.Table:
-    """Per chunk one bit for each of its anchors: whether another chunk has it."""
-    keys = [np.frombuffer(k, np.uint32) for k in asked.column("keys").to_pylist()]
+def _answer(asked: pa.Table, hot_strings: int) -> pa.Table:
+    """Per chunk one bit for each of its anchors, whether another chunk has it, and (place, number
+    of strings) of those that are hot: every chunk that has a hot anchor is told the same number."""
+    raw = [np.frombuffer(k, np.uint32) for k in asked.column("keys").to_pylist()]
+    keys = [r[1:1 + r[0]] for r in raw]
     every = np.concatenate(keys)
-    found, counts = np.unique(every, return_counts=True)
-    shared = counts[np.searchsorted(found, every)] > 1
-    bits = [np.packbits(s).tobytes() for s in np.split(shared, np.cumsum([len(k) for k in keys])[:-1])]
-    return asked.set_column(2, "keys", pa.array(bits, pa.binary()))
-
-
-def _send(left: pa.Table, right: pa.Table, cuts: np.ndarray) -> pa.Table:
-    """Per bucket the strings around anchors that occur elsewhere, with place and document."""
+    found, place, counts = np.unique(every, return_inverse=True, return_counts=True)
+    shared = counts[place] > 1
+    strings = counts.astype(np.int64)
+    for own, r in zip(keys, raw):
+        pairs = r[1 + r[0]:].reshape(-1, 2).astype(np.int64)
+        np.add.at(strings, np.searchsorted(found, own[pairs[:, 0]]), pairs[:, 1] - 1)
+    strings = np.minimum(strings, np.iinfo(np.uint32).max)[place]
+    ends = np.cumsum([len(k) for k in keys])[:-1]
+    answers = []
+    for bits, n in zip(np.split(shared, ends), np.split(strings, ends)):
+        hot = np.flatnonzero(n > hot_strings)
+        answers.append(np.packbits(bits).tobytes() + np.stack([hot, n[hot]], 1).astype(np.uint32).tobytes())
+    return asked.set_column(2, "keys", pa.array(answers, pa.binary()))
+
+
+def _packed(ids, first, count, offset, strings: bytes) -> bytes:
+    parts = (np.array([len(ids)]), ids, first, count, offset)
+    return C.squeeze(np.concatenate(parts).astype(np.int64).tobytes() + strings, C.TEXT_LEVEL)
+
+
+def _send(left: pa.Table, right: pa.Table, cuts: np.ndarray, hot_strings: int) -> pa.Table:
+    """Per bucket the strings around anchors that occur elsewhere, with place and document.
+
+    The strings of a hot anchor go as their single windows, to buckets by a hash of the window:
+    equal windows still meet, and no bucket has all strings of the anchor.
+    """
     rows: list[tuple[int, bytes]] = []
+    spread: dict[int, list[tuple[int, int, int, bytes]]] = {}
     if left.num_rows:
         suffixes = Suffixes(C.Chunk(left))
         short, ids = _short(suffixes.key), suffixes.chunk.ids[suffixes.owner]
@@ -171,13 +218,26 @@ def _send(left: pa.Table, right: pa.Table, cuts: np.ndarray) -> pa.Table:
         keep = ~suffixes.shadowed()
         for bucket, at in C.grouped(suffixes.buckets(cuts)):
             known, place = np.unique(short[at], return_inverse=True)
-            elsewhere = np.unpackbits(np.frombuffer(bits[bucket], np.uint8), count=len(known))[place] > 0
-            at = at[keep[at] & (elsewhere | local[at])]
+            size = -(-len(known) // 8)
+            elsewhere = np.unpackbits(np.frombuffer(bits[bucket][:size], np.uint8), count=len(known))[place] > 0
+            total = np.zeros(len(known), np.int64)
+            hot = np.frombuffer(bits[bucket][size:], np.uint32).reshape(-1, 2)
+            total[hot[:, 0]] = hot[:, 1]
+            total = total[place]
+            chosen = keep[at] & (elsewhere | local[at])
+            for e, n in zip(at[chosen & (total > 0)].tolist(), total[chosen & (total > 0)].tolist()):
+                parts = -(-n * SPAN // hot_strings)
+                for start, window in suffixes.windows(e):
+                    to = len(cuts) + 1 + (int(short[e]) + zlib.crc32(window) % parts) % SPREAD
+                    spread.setdefault(to, []).append((ids[e], start, suffixes.anchor[e] - start, window))
+            at = at[chosen & (total == 0)]
             if len(at):
                 strings = b"".join(suffixes.string(e) for e in at.tolist())
-                parts = (np.array([len(at)]), ids[at], suffixes.first[at], suffixes.count[at],
-                         suffixes.anchor[at] - suffixes.first[at])
-                rows.append((bucket, C.squeeze(np.concatenate(parts).tobytes() + strings, C.TEXT_LEVEL)))
+                rows.append((bucket, _packed(ids[at], suffixes.first[at], suffixes.count[at],
+                                             suffixes.anchor[at] - suffixes.first[at], strings)))
+    for bucket, found in spread.items():
+        docs, first, offset, windows = zip(*found)
+        rows.append((bucket, _packed(docs, first, np.ones(len(found)), offset, b"".join(windows))))
     numbers, packed = zip(*rows) if rows else ((), ())
     number = left.column("chunk")[0].as_py() if left.num_rows else None
     return pa.table({"chunk": pa.array([number] * len(rows), pa.int64()),
@@ -214,7 +274,8 @@ def _compare(sent: pa.Table) -> pa.Table:
 
     Entries of one string are one string with the smallest document that has it. Windows are only
     compared where an anchor lies in several strings. Splitters never part equal leading bytes, so
-    neighbours across a bucket's ends differ in them and no window's equals lie elsewhere.
+    neighbours across a bucket's ends differ in them and no window's equals lie elsewhere; those of
+    a hot anchor's windows all have the bucket of their hash.
     """
     chunk, doc, first, count, strings, offset = [], [], [], [], [], []
     for number, packed in zip(sent.column("chunk").to_pylist(), sent.column("packed").to_pylist()):
@@ -329,33 +390,40 @@ def _trimmed(left: pa.Table, right: pa.Table) -> pa.Table:
                      "spans": pa.array(spans, kind)})
 
 
-def _removed(docs: DataFrame, chunk_bytes: int, bucket_bytes: int):
-    """The packed documents and, per chunk, the byte ranges that go, both grouped by chunk."""
-    chunks = C.pack(docs, chunk_bytes)
+def sent(chunks: DataFrame, bucket_bytes: int, hot_strings: int = HOT_STRINGS) -> DataFrame:
+    """(chunk, bucket, packed): what each bucket has to compare."""
     cuts = splitters(chunks, bucket_bytes)
     asked = chunks.mapInArrow(partial(_ask, cuts=cuts), ASKED)
-    answered = asked.groupBy("bucket").applyInArrow(_answer, ASKED)
-    by_chunk = chunks.groupBy("chunk")
-    sent = by_chunk.cogroup(answered.groupBy("chunk")).applyInArrow(
-        lambda left, right: _send(left, right, cuts), SENT)
-    spans = sent.groupBy("bucket").applyInArrow(_compare, SPANS)
-    return by_chunk, spans.groupBy("chunk")
+    answered = asked.groupBy("bucket").applyInArrow(lambda asked: _answer(asked, hot_strings), ASKED)
+    return chunks.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(
+        lambda left, right: _send(left, right, cuts, hot_strings), SENT)
+
+
+def _removed(docs: DataFrame, chunk_bytes: int, bucket_bytes: int, hot_strings: int):
+    """The packed documents and, per chunk, the byte ranges that go, both grouped by chunk."""
+    chunks = C.pack(docs, chunk_bytes)
+    spans = sent(chunks, bucket_bytes, hot_strings).groupBy("bucket").applyInArrow(_compare, SPANS)
+    return chunks.groupBy("chunk"), spans.groupBy("chunk")
 
 
-def digest(docs: DataFrame, chunk_bytes: int = C.CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def digest(docs: DataFrame, chunk_bytes: int = C.CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES,
+           hot_strings: int = HOT_STRINGS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row of `docs`.
 
     A byte goes if a string of 50 bytes over it also starts in a document of smaller id, judged on
     the input. Texts are UTF-8 bytes, a null text is empty; strings never cross documents. A row
     without an id counts as larger than all ids, and rows of equal or no id take nothing from each
-    other. Chunks and buckets bound what a task holds; their sizes do not touch the result.
+    other. Chunks and buckets bound what a task holds, and an anchor in more than `hot_strings`
+    strings is spread over buckets by windows; none of the sizes touches the result. One string
+    still comes once per chunk that has it.
     """
-    chunks, spans = _removed(docs, chunk_bytes, bucket_bytes)
+    chunks, spans = _removed(docs, chunk_bytes, bucket_bytes, hot_strings)
     return chunks.cogroup(spans).applyInArrow(_digest, RESULT)
 
 
-def trim(docs: DataFrame, chunk_bytes: int = C.CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def trim(docs: DataFrame, chunk_bytes: int = C.CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES,
+         hot_strings: int = HOT_STRINGS) -> DataFrame:
     """(doc_id, text, spans): what is left of each text, and the byte ranges that went. A code
     point that lost some of its bytes goes with them."""
-    chunks, spans = _removed(docs, chunk_bytes, bucket_bytes)
+    chunks, spans = _removed(docs, chunk_bytes, bucket_bytes, hot_strings)
     return chunks.cogroup(spans).applyInArrow(_trimmed, KEPT)

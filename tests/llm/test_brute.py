@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from barloom.llm import (decontam, line_dedup, pieces, ppm, quality, secret_scan, shards, simhash,
+from barloom.llm import (chunks, decontam, line_dedup, pieces, ppm, quality, secret_scan, shards, simhash,
                          suffix_dedup, url_filter)
 from barloom.llm.components import components
 from barloom.llm.text import table
@@ -289,6 +289,29 @@ def test_suffixes(corpus, docs):
     assert sorted_rows(suffix_dedup.digest(corpus, 50_000, 20_000)) == removed_bytes(pairs(corpus))
 
 
+def test_a_phrase_in_many_documents_is_spread_over_buckets(docs):
+    rng = random.Random(4)
+    phrase = "Published daily by the River House, all"
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+    made = [(i, noise(60) + phrase + noise(60)) for i in range(400)]
+    made += [(1000 + i, text[20:-30]) for i, text in made[::7]] + [(2000 + i, made[0][1]) for i in range(20)]
+    rows = docs(made).repartition(3)
+
+    def largest(hot_strings):
+        sizes = Counter()
+        for r in suffix_dedup.sent(chunks.pack(rows, 4000), 500, hot_strings).collect():
+            sizes[r.bucket] += int(np.frombuffer(chunks.expand(r.packed), np.int64, 1)[0])
+        return max(sizes.values())
+
+    assert largest(1 << 30) > 400 and largest(50) < 200
+    want = removed_bytes(made)
+    for hot_strings in (1, 50, 1 << 30):
+        assert sorted_rows(suffix_dedup.digest(rows, 4000, 500, hot_strings)) == want
+
+
 def test_trimmed_text_and_spans(docs):
     passage = "x" + prose(9, 12)
     rows = docs([(1, passage), (2, "before " + passage + " after"), (3, None)])
