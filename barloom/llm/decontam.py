@@ -74,7 +74,7 @@ class Index:
     sampled words of an embedded item (its length and a sum) to items.
     """
 
-    ids: list[int]
+    ids: list[int | None]
     items: list[np.ndarray]
     vocab: dict[bytes, int]
     share: float
@@ -153,7 +153,7 @@ def _repetitions(index: Index, target: float) -> int:
     return int(np.argmax(found >= target)) + 1 if found[-1] >= target else MAX_REPETITIONS
 
 
-def build(items: list[tuple[int, bytes]], share: float = EDIT_SHARE, target: float = TARGET_RECALL) -> Index | None:
+def build(items: list[tuple[int | None, bytes]], share: float = EDIT_SHARE, target: float = TARGET_RECALL) -> Index | None:
     """The index of a block of items; None if none of them has a word."""
     split = [(i, words(t)) for i, t in items]
     split = [(i, w) for i, w in split if w]
@@ -266,9 +266,9 @@ def _search(batches: Iterable[pa.RecordBatch], index: Index) -> Iterator[pa.Reco
 
 
 def _indexes(benchmark: DataFrame, share: float, target: float, block_words: int) -> Iterator[Index]:
-    block: list[tuple[int, bytes]] = []
+    block: list[tuple[int | None, bytes]] = []
     size = 0
-    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(
+    items = benchmark.where("text IS NOT NULL").select(
         F.col("item_id").cast("long"), F.encode("text", "UTF-8")).orderBy("item_id", "text")
     for item, text in items.toLocalIterator():
         block.append((item, bytes(text)))
@@ -289,8 +289,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE,
     edits, then the first, is given. Windows of an item's size whose CGK embedding agrees with an
     item's in the sampled places of some repetition are verified; repetitions are as many as find
     `target` of edited items. Windows are looked at where a short word run is shared with an
-    item, which loses none. Null and empty texts and items match nothing; items without an id are
-    left out, documents without one are reported under null; repeated rows each give rows.
+    item, which loses none. Null and empty texts and items match nothing; items and
+    documents without an id are reported under null; repeated rows each give rows.
 
     The items are the query set: blocks of `block_words` words go to every task, one pass over the
     documents each, so memory does not grow with the benchmark.

@@ -54,6 +54,14 @@ def test_decontamination(nasty, benchmark):
     assert decontam.matches(nasty, benchmark.where("text IS NULL OR text = ''")).collect() == []
 
 
+def test_items_without_an_id(spark, docs):
+    item = "seven bridges under the cold morning light"
+    rows = docs([(1, f"once {item} again"), (2, "nothing of the kind here")])
+    benchmark = spark.createDataFrame([(None, item)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id, r.edits) for r in decontam.matches(rows, benchmark).collect()] == [(1, None, 0)]
+    assert [r.doc_id for r in decontam.keep_clean(rows, benchmark).collect()] == [2]
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES[:-1])
 def test_stages_keep_columns_and_rows(name, stage, spark, nasty, testdata):
     kept = stage(spark, nasty, testdata)
