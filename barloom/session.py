@@ -131,5 +131,15 @@ class Files:
     def touch(self, path: str) -> None:
         self._fs.create(self._path(path), True).close()
 
+    def write(self, path: str, data: bytes) -> None:
+        """A file of these bytes."""
+        out = self._fs.create(self._path(path), True)
+        out.write(bytearray(data))
+        out.close()
+
+    def full(self, path: str) -> str:
+        """The path with the name of its file system."""
+        return self._fs.makeQualified(self._path(path)).toString()
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
