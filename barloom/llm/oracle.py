@@ -220,10 +220,120 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed
 """
 
+OP11_SOURCE_DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+occurrences AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM occurrences GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+counts AS (SELECT lang, source, term, count(*) AS n FROM occurrences JOIN kept USING (lang, term) GROUP BY ALL),
+cells AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+shares AS (
+  SELECT *, 1 + CAST(1000000000 AS HUGEINT) * (n + 2)
+    // (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p
+  FROM cells),
+wholes AS (
+  SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (n + 2)
+    // (sum(n) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM cells GROUP BY ALL)),
+gaps AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN gaps g ON g.lang = a.lang AND g.source = a.source AND g.item = b.source),
+terms AS (
+  SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM shares JOIN wholes USING (lang, term) WHERE n > 0 AND p > q),
+found AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+          UNION ALL SELECT lang, source, 'term' AS part, item, value FROM terms)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 10
+"""
+
+OP12_MERKLE = r"""
+WITH RECURSIVE crc_steps AS (
+  SELECT i AS n, CAST(i AS UBIGINT) AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL
+  SELECT n, CASE WHEN c % 2 = 1 THEN xor(c // 2, CAST(3988292384 AS UBIGINT)) ELSE c // 2 END, k + 1
+  FROM crc_steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY n) AS t FROM crc_steps WHERE k = 8),
+digits AS (
+  SELECT doc_id, xor(list_reduce(
+      list_prepend(CAST(4294967295 AS UBIGINT),
+                   list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS UBIGINT))),
+      lambda c, x: xor(c // 256, t[CAST(xor(c, x) % 256 AS INTEGER) + 1])),
+    CAST(4294967295 AS UBIGINT)) AS crc FROM documents, crc_table),
+fields AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree,
+         list_transform([CAST(doc_id AS VARCHAR), source, lang], lambda v:
+           coalesce(octet_length(encode(v)) || ':' || v, '-')) AS before,
+         CAST(n_chars AS VARCHAR) AS n,
+         CAST(CASE WHEN crc % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS VARCHAR) AS changed,
+         coalesce(octet_length(encode(text)) || ':' || text, '-') AS last
+  FROM documents JOIN digits USING (doc_id)),
+leaves AS (
+  SELECT doc_id, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS idx,
+         sha256(array_to_string(before, '') || coalesce(octet_length(encode(n)) || ':' || n, '-') || last) AS leaf,
+         sha256(array_to_string(before, '') || coalesce(octet_length(encode(changed)) || ':' || changed, '-') || last)
+           AS claimed
+  FROM fields),
+levels AS (
+  SELECT tree, 0 AS level, list(leaf ORDER BY idx) AS nodes FROM leaves GROUP BY tree
+  UNION ALL
+  SELECT tree, level + 1, list_transform(range(0, len(nodes), 2),
+           lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM levels WHERE len(nodes) > 1),
+subroots AS (
+  SELECT tree, nodes[1] AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place FROM levels WHERE len(nodes) = 1),
+uppers AS (
+  SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(nodes), 2),
+           lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM uppers WHERE len(nodes) > 1),
+nodes AS (
+  SELECT tree, level, unnest(nodes) AS digest, unnest(range(len(nodes))) AS idx FROM levels WHERE len(nodes) > 1),
+tops AS (SELECT level, unnest(nodes) AS digest, unnest(range(len(nodes))) AS idx FROM uppers WHERE len(nodes) > 1),
+steps AS (
+  SELECT doc_id, own.level, own.idx % 2 AS slot, n.digest
+  FROM (SELECT doc_id, tree, level, idx >> level AS idx
+        FROM leaves JOIN (SELECT DISTINCT tree, level FROM nodes) USING (tree)) own
+  LEFT JOIN nodes n ON n.tree = own.tree AND n.level = own.level AND n.idx = xor(own.idx, 1)
+  UNION ALL
+  SELECT doc_id, 1000 + own.level, own.idx % 2, n.digest
+  FROM (SELECT doc_id, level, place >> level AS idx
+        FROM leaves JOIN subroots USING (tree), (SELECT DISTINCT level FROM tops)) own
+  LEFT JOIN tops n ON n.level = own.level AND n.idx = xor(own.idx, 1)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY level) AS k FROM steps),
+proofs AS (
+  SELECT doc_id, sha256(coalesce(string_agg(digest, '' ORDER BY k), '')) AS proof_sha256 FROM numbered GROUP BY doc_id),
+folded AS (
+  SELECT doc_id, 0 AS k, claimed AS digest FROM leaves
+  UNION ALL
+  SELECT f.doc_id, n.k, sha256(CASE WHEN n.slot = 1 THEN n.digest || f.digest
+                                    ELSE f.digest || coalesce(n.digest, '') END)
+  FROM folded f JOIN numbered n ON n.doc_id = f.doc_id AND n.k = f.k + 1)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+       folded_root = root AS verified
+FROM leaves JOIN subroots USING (tree) LEFT JOIN proofs USING (doc_id)
+JOIN (SELECT doc_id, arg_max(digest, k) AS folded_root FROM folded GROUP BY doc_id) USING (doc_id),
+     (SELECT nodes[1] AS root FROM uppers WHERE len(nodes) = 1)
+"""
+
 ORACLE = {
     "op1_sharding": _sharding(),
     "op3_line_dedup": OP3_LINE_DEDUP,
     "op4_url_filter": OP4_URL_FILTER,
     "op7_suffix_dedup": OP7_SUFFIX_DEDUP,
     "op8_quality": OP8_QUALITY,
+    "op11_source_divergence": OP11_SOURCE_DIVERGENCE,
+    "op12_merkle": OP12_MERKLE,
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import decontam, line_dedup, pieces, ppm, quality, secret_scan, shards, simhash, suffix_dedup, url_filter
+from barloom.llm import (bpe, decontam, divergence, line_dedup, merkle, pieces, ppm, quality, secret_scan, shards,
+                         simhash, suffix_dedup, url_filter)
 from barloom.llm.text import table
 
 
@@ -52,6 +53,18 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.compare(table(spark, folder, "documents"))
+
+
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.audit(table(spark, folder, "documents"))
+
+
+def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digest(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_secrets": op2_secrets,
@@ -63,4 +76,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_lm_score": op9_lm_score,
     "op10_simhash": op10_simhash,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_merkle": op12_merkle,
+    "op13_bpe": op13_bpe,
 }

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from barloom.llm import (decontam, line_dedup, pieces, ppm, quality, secret_scan, shards, simhash,
+from barloom.llm import (bpe, decontam, divergence, line_dedup, merkle, pieces, ppm, quality, secret_scan, shards, simhash,
                          suffix_dedup, url_filter)
 from tests.llm.conftest import sorted_rows
 
@@ -18,6 +18,9 @@ PER_ROW = {
     "quality": quality.judge,
     "ppm": ppm.score,
     "simhash": simhash.near_duplicates,
+    "merkle": merkle.audit,
+    "bpe": bpe.digest,
+    "bpe_ids": bpe.encode,
 }
 
 
@@ -75,6 +78,17 @@ def test_last_stage(spark, nasty, testdata):
     assert corpus_pipeline.STAGES[-1][1](spark, nasty, testdata).count() == nasty.count()
 
 
+def test_divergence_groups(nasty):
+    got = divergence.compare(nasty, least=1).collect()
+    groups = {(r.lang or "", r.source or "") for r in nasty.collect()}
+    several = {g for g in groups if sum(g[0] == h[0] for h in groups) > 1}
+    assert {(r.lang, r.source) for r in got if r.part == "pair"} == several
+    assert all(r.lang in ("en", "de", "fr", "ja", "") for r in got if r.part == "term" and r.lang != "xx")
+    assert {(r.item, r.value) for r in divergence.compare(nasty, least=99).collect()} == {
+        (s, 0) for lang, s in several}
+    assert divergence.compare(nasty.where("false")).collect() == []
+
+
 def test_url_rows(spark):
     rows = [(1, "http://a.example.net/en/x"), (2, None), (None, "no scheme"), (3, "http://A.Example.NET"),
             (3, "x://net/?q"), (4, "http://example.com/de"), (5, "s://q.org/fr/#"), (6, ""), (6, "")]
