@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from barloom.llm import text as T
-from barloom.session import Files, scratch_path
+from barloom.session import Files, cut, scratch_path
 
 MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 # Words of the automaton: the most frequent ones up to a length in bytes. Others are merged.
@@ -417,16 +417,28 @@ def _count_words(batches: Iterable[pa.RecordBatch], classes, special: list[bytes
 
 
 def frequent_words(docs: DataFrame, size: int = LEXICON_WORDS, model: str = MODEL) -> list[bytes]:
-    """The `size` most frequent words of all texts of `docs`, sorted; of equals the least ones.
+    """The most frequent words of all texts of `docs`, sorted: as many steps of the count as hold at
+    most `size` words together.
 
-    Words longer than LEXICON_LENGTH bytes do not count, so what comes to the driver is bounded.
+    The step is found from a histogram of the counts in 64 steps per doubling, so beyond it only the
+    chosen words come to the driver. Words longer than LEXICON_LENGTH bytes and words that occur
+    once do not count.
     """
     spark = docs.sparkSession
     classes = spark.sparkContext.broadcast(code_point_classes())
     counts = docs.select("text").mapInArrow(
         partial(_count_words, classes=classes, special=list(load(model).special)), "word binary, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
-    return sorted(bytes(r.word) for r in top.collect())
+    counts = counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+    counts = cut(counts.select("word", F.floor(F.log2("n") * 64).cast("int").alias("step")), "words")
+    least, chosen = None, 0
+    for row in sorted(counts.groupBy("step").count().collect(), reverse=True):
+        chosen += row["count"]
+        if chosen > size:
+            break
+        least = row.step
+    if least is None:
+        return []
+    return sorted(bytes(r.word) for r in counts.where(F.col("step") >= least).collect())
 
 
 def lexicon(sorted_words: list[bytes], model: str = MODEL) -> Lexicon:
