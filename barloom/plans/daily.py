@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import clean, features, forecast, merge, metrics, reporting
+from barloom.schemas import BARS
 from barloom.sources import models, readers, writers
 from barloom.session import cut, size_exchanges
 
@@ -20,35 +20,33 @@ def ingest(
 ) -> DataFrame:
     """Landed files into the store: new dates only, bad records set aside. Returns what was new.
 
-    The files are parsed once. Rejects are known by their place in their file, and a retry does
-    not add them again.
+    The store keeps a ledger of the files it has taken, by place, time and length. Only files that
+    are new or written again are opened, once each; when there are none, no file is. Rejects lie
+    in one folder per batch, and an interrupted batch is taken again as a whole: its rejects are
+    removed by the next ingest, and its bars, marks and ledger entries reach the store together.
     """
-    records = readers.symbol_from_path(readers.read_records(spark, landing, glob))
+    landed = cut(readers.landed_files(spark, landing, glob), "landed")
+    files = cut(writers.unseen(landed, store), "files")
+    count, first, last = files.agg(F.count("*"), F.min("modified"), F.max("modified")).first()
+    if not count:
+        return spark.createDataFrame([], BARS)
+    records = readers.read_records(spark, landing, glob, modified=(first, last))
     size_exchanges(records)
-    marked = cut(clean.mark_records(records), "marked")
+    if landed.where(F.col("modified").between(F.lit(first), F.lit(last))).count() > count:
+        # Some files of that time were taken before: read beside the new ones, and dropped here.
+        records = records.join(files.select(F.col("file").alias("_file")), "_file", "left_semi")
+    marked = cut(clean.mark_records(readers.symbol_from_path(records)), "marked")
     good, bad = clean.parted(marked)
-    if rejects:
-        _add_rejects(bad, rejects)
+    batch = writers.begin_batch(spark, store, rejects)
+    if rejects and not bad.isEmpty():
+        bad.drop("_start", "_seq").write.json(f"{rejects.rstrip('/')}/{writers.BATCH}={batch}")
     unique = merge.combine(good, readers.FILE_ORDER)
     new = cut(merge.new_rows(unique, writers.read_marks(spark, store)), "ingest")
-    writers.upsert_months(new, store)
+    writers.upsert_months(new, store, landed=files, batch=batch)
+    writers.end_batch(spark, store, batch)
     return new
 
 
-def _add_rejects(bad: DataFrame, path: str) -> None:
-    """Append the rejects that are not there yet, told apart by file, reason and content."""
-    bad = bad.drop("_start", "_seq").dropDuplicates()
-    try:
-        known = bad.sparkSession.read.schema(bad.schema).json(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    else:
-        same = [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in bad.columns]
-        bad = bad.alias("new").join(known.alias("old"), same, "left_anti")
-    cut(bad, "rejects").write.mode("append").json(path)
-
-
 def merge_store(spark: SparkSession, store: str, combined: str) -> None:
     """The whole store as one combined, ordered series per symbol."""
     rows = writers.read_months(spark, store).drop(writers.MONTH)

@@ -286,6 +286,13 @@ ORACLE = {
     "src_monthly_json": with_bars(f"SELECT symbol, date, {cols()} FROM bars"),
     "src_landed_layout": with_bars(
         f"SELECT symbol, date, {cols()}, strftime(date, '%Y-%m') AS year_month FROM bars"),
+    "src_incremental_landing": with_bars(
+        """SELECT 1 AS ingest, symbol, count(DISTINCT month) AS files, count(*) AS bars FROM months
+WHERE date <= DATE '1998-05-15' GROUP BY symbol
+UNION ALL
+SELECT 2 AS ingest, symbol, count(DISTINCT month) AS files, count(*) FILTER (date > DATE '1998-05-15') AS bars
+FROM months WHERE date >= DATE '1998-05-01' GROUP BY symbol""",
+        "months AS (SELECT *, strftime(date, '%Y-%m') AS month FROM bars)"),
     "src_jsonl_roundtrip": with_bars(f"SELECT symbol, date, {cols()} FROM bars"),
     "src_csv_roundtrip": with_bars(f"SELECT symbol, date, {cols()} FROM bars"),
     "src_ticker_from_path": with_bars(

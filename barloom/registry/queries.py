@@ -27,6 +27,7 @@ from barloom.streaming import topics
 AS_OF, STAMP = "2001-11-05", "2024-01-31 12:00:00"
 # The split between stored and incoming bars; ten days of overlap follow it.
 STORED_UNTIL, INCOMING_FROM = "2000-06-30", "2000-06-21"
+LANDED_UNTIL = "1998-05-15"
 
 
 def r4(c: str | Column, name: str | None = None) -> Column:
@@ -105,6 +106,27 @@ def landed_layout(spark, sf):
     return _ingested(spark, tables.bars(spark, sf), "")
 
 
+def incremental_landing(spark, sf):
+    """Files read and bars taken, per ingest and symbol.
+
+    Bars up to a day within a month are landed first, then that month again with its later days
+    and the months after it; the third ingest finds nothing new.
+    """
+    path, rows = scratch_path(spark, "landing"), stored(spark, sf)
+    parts = [F.col("date") <= F.lit(LANDED_UNTIL).cast("date"),
+             F.col("date") >= F.trunc(F.lit(LANDED_UNTIL).cast("date"), "month"), F.lit(False)]
+    out, seen = None, writers.read_ledger(spark, f"{path}/store")
+    for ingest, part in enumerate(parts, 1):
+        writers.publish_months(rows.where(part), f"{path}/in")
+        new = daily.ingest(spark, f"{path}/in", f"{path}/store").groupBy("symbol").agg(F.count("*").alias("bars"))
+        ledger = cut(writers.read_ledger(spark, f"{path}/store"), "ledger")
+        taken = readers.symbol_from_path(ledger.exceptAll(seen), "file")
+        taken, seen = taken.groupBy("symbol").agg(F.count("*").alias("files")), ledger
+        step = taken.join(new, "symbol", "full").select(F.lit(ingest).alias("ingest"), "symbol", "files", "bars")
+        out = step if out is None else out.unionByName(step)
+    return out
+
+
 def normalise(spark, sf):
     raw = tables.bars(spark, sf).withColumnsRenamed(
         {"date": "Date", **{c: f"{c.capitalize()}.X" for c in OHLCV}}
@@ -680,6 +702,7 @@ QUERIES = {
     "src_range_90d": range_90d,
     "src_monthly_json": monthly_json,
     "src_landed_layout": landed_layout,
+    "src_incremental_landing": incremental_landing,
     "src_jsonl_roundtrip": jsonl_roundtrip,
     "src_csv_roundtrip": csv_roundtrip,
     "src_ticker_from_path": ticker_from_path,

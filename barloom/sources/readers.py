@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,21 +31,49 @@ def lookback(df: DataFrame, as_of, days: int = 90) -> DataFrame:
     return df.where((F.col("date") >= F.date_sub(until, days)) & (F.col("date") < until))
 
 
+def landed_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    """(file, modified, length) of the files below `path`, from their listing: no file is opened."""
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", glob)
+        .load(path)
+    )
+    return listed.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+        F.col("_metadata.file_size").alias("length"),
+    )
+
+
+def _bound(modified: dt.datetime, step: int) -> str:
+    """A time in UTC, a millisecond after or before `modified`, which Spark's bounds leave out."""
+    return (modified.astimezone(dt.timezone.utc) + dt.timedelta(milliseconds=step)).strftime("%Y-%m-%dT%H:%M:%S.%f")
+
+
 def read_records(
     spark: SparkSession,
     path: str | list[str],
     glob: str = "*.json",
     schema: T.StructType = RECORDS,
+    modified: tuple[dt.datetime, dt.datetime] | None = None,
 ) -> DataFrame:
     """Landed JSON: one array of records or one record per line, as text dates and doubles.
 
+    With `modified`, only files last changed between these two times, both included; others are
+    left out when files are listed.
+
     Adds `_corrupt`, the text of an unreadable line, and the columns of `FILE_ORDER`. A split of a
     file is read in order by one task, so these three give the order of records in their files
     however splits are packed into tasks.
     """
     fields = [*schema.fields, T.StructField(CORRUPT, T.StringType())]
+    bounds = {}
+    if modified:
+        bounds = {"modifiedAfter": _bound(modified[0], -1), "modifiedBefore": _bound(modified[1], 1), "timeZone": "UTC"}
     return (
         spark.read.schema(T.StructType(fields))
+        .options(**bounds)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)

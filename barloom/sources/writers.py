@@ -18,7 +18,9 @@ from barloom.session import Files, cut
 MONTH = "year_month"
 SLASH = "%2F"  # a slash in a symbol's folder name
 # Hidden names, which readers of the store pass over.
-STAGING, READY, MARKS = "_staging-", "_READY", "_marks"
+STAGING, READY, MARKS, LANDED, PENDING = "_staging-", "_READY", "_marks", "_landed", "_pending-"
+BATCH = "batch"
+LEDGER = "file string, modified timestamp, length long"
 STORE = T.StructType([*BARS.fields, T.StructField(MONTH, T.StringType())])
 
 
@@ -69,6 +71,9 @@ def recover_months(spark: SparkSession, path: str) -> None:
                         files.move(f"{stage}/{month}", f"{path}/{month}")
                 if files.exists(f"{stage}/{MARKS}"):
                     files.move(f"{stage}/{MARKS}", f"{path}/{MARKS}")
+                for batch in files.names(f"{stage}/{LANDED}"):
+                    if batch.startswith(f"{BATCH}="):
+                        files.move(f"{stage}/{LANDED}/{batch}", f"{path}/{LANDED}/{batch}")
             files.delete(stage)
 
 
@@ -83,26 +88,75 @@ def read_marks(spark: SparkSession, path: str) -> DataFrame:
     return merge.high_water(read_months(spark, path))
 
 
-def upsert_months(incoming: DataFrame, path: str, order_cols: list[str] | None = None) -> None:
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """(file, modified, length, batch) of every version of a landed file that the store has taken."""
+    recover_months(spark, path)
+    schema = f"{LEDGER}, {BATCH} string"
+    if not Files(spark, path).exists(f"{path}/{LANDED}"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{LANDED}")
+
+
+def unseen(landed: DataFrame, path: str) -> DataFrame:
+    """The landed files that the store has not taken in this version.
+
+    A file that was written again has another time or length and counts as new.
+    """
+    known = read_ledger(landed.sparkSession, path).drop(BATCH)
+    return landed.join(known, ["file", "modified", "length"], "left_anti")
+
+
+def begin_batch(spark: SparkSession, path: str, beside: str | None = None) -> str:
+    """A name for a batch that is about to be taken.
+
+    What earlier batches that never reached the store left in the folder `beside` is removed.
+    """
+    files = Files(spark, path)
+    recover_months(spark, path)
+    for name in files.names(path):
+        if name.startswith(PENDING):
+            batch = f"{BATCH}={name.removeprefix(PENDING)}"
+            if beside and not files.exists(f"{path}/{LANDED}/{batch}"):
+                Files(spark, beside).delete(f"{beside}/{batch}")
+            files.delete(f"{path}/{name}")
+    batch = uuid.uuid4().hex
+    files.touch(f"{path}/{PENDING}{batch}")
+    return batch
+
+
+def end_batch(spark: SparkSession, path: str, batch: str) -> None:
+    Files(spark, path).delete(f"{path}/{PENDING}{batch}")
+
+
+def upsert_months(
+    incoming: DataFrame, path: str, order_cols: list[str] | None = None,
+    landed: DataFrame | None = None, batch: str | None = None,
+) -> None:
     """Merge new bars into the store; a stored row wins over a new one of the same date.
 
+    The `landed` files that the bars come from are entered in the store's ledger under the name
+    of their `batch`, with the months or not at all.
+
     Only the months of the new rows are read and rewritten. Their list follows the calendar (12 a
     year), not the data. The merged months and the new marks are written beside the store and then
     put in the place of the old ones; `recover_months` completes that after an interruption.
     """
     spark = incoming.sparkSession
     months = [row[0] for row in incoming.select(C.month_key()).distinct().collect()]
-    if not months:
+    if not months and landed is None:
         return
-    marks = merge.high_water(
-        read_marks(spark, path).withColumnRenamed("last_date", "date")
-        .unionByName(incoming.select("symbol", "date"))
-    )
-    existing = read_months(spark, path, months).drop(MONTH)
-    merged = cut(merge.upsert(existing, incoming, order_cols), "merged")
     stage = f"{path}/{STAGING}{uuid.uuid4().hex}"
-    write_months(merged, stage, mode="all")
-    marks.write.parquet(f"{stage}/{MARKS}")
+    if months:
+        marks = merge.high_water(
+            read_marks(spark, path).withColumnRenamed("last_date", "date")
+            .unionByName(incoming.select("symbol", "date"))
+        )
+        existing = read_months(spark, path, months).drop(MONTH)
+        merged = cut(merge.upsert(existing, incoming, order_cols), "merged")
+        write_months(merged, stage, mode="all")
+        marks.write.parquet(f"{stage}/{MARKS}")
+    if landed is not None:
+        landed.write.parquet(f"{stage}/{LANDED}/{BATCH}={batch or uuid.uuid4().hex}")
     Files(spark, path).touch(f"{stage}/{READY}")
     recover_months(spark, path)
 

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import time
 
 import numpy as np
 import pandas as pd
@@ -181,6 +182,73 @@ def test_ingest_reads_marks_and_not_the_store(spark, tmp_path, monkeypatch):
     assert [tuple(r) for r in writers.read_marks(spark, store).collect()] == [("A", dt.date(2024, 2, 1))]
 
 
+def opened(monkeypatch):
+    """The files that each read of records opens, as its plan lists them."""
+    out, real = [], daily.readers.read_records
+
+    def noted(*args, **kwargs):
+        df = real(*args, **kwargs)
+        out.append(sorted("/".join(f.split("/")[-3:]) for f in df.inputFiles()))
+        return df
+
+    monkeypatch.setattr(daily.readers, "read_records", noted)
+    return out
+
+
+def test_ingest_opens_new_and_rewritten_files_only(spark, tmp_path, monkeypatch):
+    landing, store, bad = (str(tmp_path / n) for n in ("in", "store", "bad"))
+    asked = opened(monkeypatch)
+    for month in ("2024-01", "2024-02"):
+        land(landing, "^A", month, [record(f"{month}-03", 1), {"Date": f"{month}-04"}])
+        land(landing, "B", month, [record(f"{month}-03", 1)])
+    assert daily.ingest(spark, landing, store, bad).count() == 4
+    assert len(asked.pop()) == 4
+    # An unchanged tree: no file is opened, and what was there is not read, whatever it holds.
+    for _ in range(2):
+        assert daily.ingest(spark, landing, store, bad).isEmpty() and asked == []
+    time.sleep(0.05)
+    land(landing, "B", "2024-02", [record("2024-02-03", 7), record("2024-02-05", 2), {"Date": "x"}])
+    assert [(r.symbol, r.date.day, r.close) for r in daily.ingest(spark, landing, store, bad).collect()] == [("B", 5, 2.0)]
+    assert asked == [["B/monthly/2024-02.json"]]
+    assert spark.read.json(bad).count() == 3
+    assert writers.read_ledger(spark, store).select("batch").distinct().count() == 2
+
+
+def test_old_times_of_new_files_are_found(spark, tmp_path, monkeypatch):
+    landing, store, bad = (str(tmp_path / n) for n in ("in", "store", "bad"))
+    asked = opened(monkeypatch)
+    for day, month in enumerate(("2024-01", "2024-02", "2024-03")):
+        land(landing, "A", month, [record(f"{month}-03", 1), {"Date": month}])
+        os.utime(f"{landing}/A/monthly/{month}.json", (1_700_000_000 + day, 1_700_000_000 + day))
+    assert daily.ingest(spark, landing, store, bad).count() == 3
+    # One between times already taken: the read is bounded to its time.
+    land(landing, "Z", "2024-02", [record("2024-02-03", 5), {"Date": "x"}])
+    os.utime(f"{landing}/Z/monthly/2024-02.json", (1_700_000_001, 1_700_000_001))
+    assert [r.symbol for r in daily.ingest(spark, landing, store, bad).collect()] == ["Z"]
+    assert asked[1] == ["A/monthly/2024-02.json", "Z/monthly/2024-02.json"]
+    assert spark.read.json(bad).count() == 4
+
+
+def test_an_interrupted_ingest_is_taken_again(spark, tmp_path, monkeypatch):
+    landing, store, bad = (str(tmp_path / n) for n in ("in", "store", "bad"))
+    land(landing, "A", "2024-01", [record("2024-01-03", 1), {"Date": "2024-01-04"}])
+    with monkeypatch.context() as m:
+        m.setattr(writers, "upsert_months", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            daily.ingest(spark, landing, store, bad)
+    assert spark.read.json(bad).count() == 1 and writers.read_ledger(spark, store).isEmpty()
+    assert daily.ingest(spark, landing, store, bad).count() == 1
+    assert spark.read.json(bad).count() == 1 and writers.read_ledger(spark, store).count() == 1
+    assert not any(n.startswith(writers.PENDING) for n in os.listdir(store))
+    # Staged and marked ready, but not moved: the ledger comes with the months.
+    land(landing, "A", "2024-02", [record("2024-02-03", 1), {"Date": "2024-02-04"}])
+    with monkeypatch.context() as m:
+        m.setattr(writers, "recover_months", lambda s, p: None)
+        daily.ingest(spark, landing, store, bad)
+    assert daily.ingest(spark, landing, store, bad).isEmpty()
+    assert writers.read_months(spark, store).count() == 2 and spark.read.json(bad).count() == 2
+
+
 def test_an_interrupted_upsert_is_completed(spark, bars, tmp_path, monkeypatch):
     store = str(tmp_path / "store")
     writers.upsert_months(bars.where("symbol = 'B'"), store)
