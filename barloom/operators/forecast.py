@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import math
+from collections.abc import Callable
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import columns as C
 from barloom.functions import indicators as I
-from barloom.operators import features, metrics, scale, split
+from barloom.operators import features, metrics, scale, split, trees
 from barloom.operators.series import measure
 from barloom.session import cut
 
@@ -290,20 +291,67 @@ def recursive(
     The other features take their true values. State per symbol is one window of `length` rows
     and the `test` rows, whatever the length of the series.
     """
+    weights, bias = F.lit(model.coefficients.toArray().tolist()), F.lit(float(model.intercept))
+    return recursive_by(_dot(weights, bias), rows, params, cols, length, test)
+
+
+def _dot(weights: Column, bias: Column) -> Callable[[Column], Column]:
+    """A linear model of the flattened window."""
+
+    def guess(values: Column) -> Column:
+        products = F.zip_with(values, weights, lambda a, b: a * b)
+        return F.aggregate(products, bias, lambda a, b: a + b)
+
+    return guess
+
+
+def recursive_ridge(
+    models: DataFrame, rows: DataFrame, params: DataFrame, cols: list[str],
+    length: int = WINDOW_ROWS, test: int = TEST_ROWS,
+) -> DataFrame:
+    """`recursive` with a linear model per symbol: (symbol, weights, bias)."""
+    guess = _dot(F.col("weights"), F.col("bias"))
+    return recursive_by(guess, rows, params, cols, length, test, models.select("symbol", "weights", "bias"))
+
+
+def recursive_trees(
+    forests: DataFrame, rows: DataFrame, params: DataFrame, cols: list[str], depth: int,
+    length: int = WINDOW_ROWS, test: int = TEST_ROWS,
+) -> DataFrame:
+    """`recursive` with trees as arrays: (symbol, trees) for a forest per symbol, or one row (trees)
+    for a forest of all. The trees, at most `depth` deep, are walked inside the fold over the test
+    rows; their columns are those of the flattened window, oldest row first."""
+    if "symbol" not in forests.columns:
+        forests = rows.select("symbol").distinct().withColumn("_all", F.lit(1)).join(
+            forests.withColumn("_all", F.lit(1)), "_all").drop("_all")
+    return recursive_by(lambda values: trees.walked(F.col("trees"), values, depth),
+                        rows, params, cols, length, test, forests.select("symbol", "trees"))
+
+
+def recursive_by(
+    model: Callable[[Column], Column],
+    rows: DataFrame,
+    params: DataFrame,
+    cols: list[str],
+    length: int = WINDOW_ROWS,
+    test: int = TEST_ROWS,
+    beside: DataFrame | None = None,
+) -> DataFrame:
+    """`recursive` with any model that is an expression of the flattened window.
+
+    `beside` has one row per symbol with the columns that the expression uses; symbols without
+    one are left out.
+    """
     names = list(dict.fromkeys([*cols, "close"]))
     scaled = scale.apply(rows, params, names)
     item = F.struct("date", F.array(*cols).alias("v"), F.col("close").alias("y"))
     parts = _tail_rows(scaled.drop("part"), test, length, item).where(F.size("_before") == length)
-    weights = F.lit(model.coefficients.toArray().tolist())
-    bias = F.lit(float(model.intercept))
+    if beside is not None:
+        parts = parts.join(beside, "symbol")
     fed_back = [F.lit(name == "close") for name in cols]
 
-    def guess(window: Column) -> Column:
-        products = F.zip_with(F.flatten(window), weights, lambda a, b: a * b)
-        return F.aggregate(products, bias, lambda a, b: a + b)
-
     def step(state: Column, row: Column) -> Column:
-        value = guess(state["window"])
+        value = model(F.flatten(state["window"]))
         mixed = F.zip_with(
             row["v"], F.array(*fed_back), lambda v, own: F.when(own, value).otherwise(v)
         )

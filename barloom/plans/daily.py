@@ -9,7 +9,8 @@ from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators import clean, features, forecast, merge, metrics, reporting
+from barloom.functions import columns as C
+from barloom.operators import clean, features, forecast, merge, metrics, reporting, trees
 from barloom.schemas import BARS
 from barloom.sources import models, readers, writers
 from barloom.session import cut, size_exchanges
@@ -98,6 +99,47 @@ def train(
     )
 
 
+@dataclass(frozen=True)
+class TrainedEach:
+    forests: DataFrame
+    metrics: DataFrame
+    next_day: DataFrame
+    importance: DataFrame
+
+
+def train_each(
+    bars: DataFrame,
+    feature_set: str = "rf",
+    growth: trees.Growth = trees.Growth(),
+    share: float = 0.2,
+    seed: int = 42,
+    gaps: bool = False,
+) -> TrainedEach:
+    """Features, hold-out, a forest of its own for every symbol, errors and the next-day predictions.
+
+    All forests grow together, level by level, and none is looped over. Columns are not scaled:
+    splits of a tree do not depend on it.
+    """
+    cols = features.FEATURE_SETS[feature_set]
+    size_exchanges(bars)
+    rows = cut(forecast.supervised(bars, cols, gaps), "features")
+    if rows.isEmpty():
+        raise ValueError("no bars to train on")
+    samples = cut(forecast.holdout(rows, share, seed), "holdout")
+    forests = cut(trees.fit(samples.where(F.col("part") == "train"), cols, growth=growth), "forests")
+    tested = samples.where(F.col("part") == "test")
+    guessed = tested.join(trees.predict(forests, tested, cols), ["symbol", "date"])
+    newest = features.latest(rows.select("symbol", "date", *dict.fromkeys(["close", *cols])))
+    next_day = trees.predict(forests, newest, cols, "predicted_close").join(
+        newest.select("symbol", F.col("close").alias("current_close")), "symbol")
+    return TrainedEach(
+        forests,
+        metrics.evaluate(guessed, actual="target"),
+        next_day.select("symbol", C.next_date("date", "day").alias("prediction_date"), "current_close", "predicted_close"),
+        trees.importance(forests, cols),
+    )
+
+
 def publish(trained: Trained, root: str, ticker: str, feature_set: str, created: str) -> DataFrame:
     """Save model, scalers, metadata and the result document."""
     cols = features.FEATURE_SETS[feature_set]
