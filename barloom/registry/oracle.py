@@ -197,6 +197,22 @@ BACK = f"""back AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY da
 PARTS = """parts AS (SELECT *, CASE WHEN back <= 30 THEN 'test' ELSE 'train' END AS part
   FROM back WHERE back <= 450)"""
 
+def _split(name: str, rows: str, key: str) -> str:
+    """The best split of each node of `rows` (symbol, node, month, day, y), and the rows below it."""
+    return f"""{name}_best AS (
+  SELECT symbol, {key}, f, border FROM (
+    SELECT symbol, {key}, f, border, count(*) FILTER (v <= border) AS a, count(*) FILTER (v > border) AS b,
+           sum(y) FILTER (v <= border) AS s, sum(y) FILTER (v > border) AS t
+    FROM (SELECT *, unnest([0, 1]) AS f, unnest([month, day]) AS v FROM {rows}), range(0, 12) r(border)
+    GROUP BY ALL)
+  WHERE a >= 2 AND b >= 2
+  QUALIFY row_number() OVER (PARTITION BY symbol, {key} ORDER BY s * s / a + t * t / b DESC, f, border) = 1),
+{name} AS (
+  SELECT r.* EXCLUDE ({key}), 2 * r.{key} + CASE WHEN CASE f WHEN 0 THEN month ELSE day END > border
+         THEN 1 ELSE 0 END AS {key}
+  FROM {rows} r JOIN {name}_best USING (symbol, {key}))"""
+
+
 OVERLAP = """old AS (SELECT *, 'a' AS source FROM bars WHERE date <= DATE '2000-06-30'),
 incoming AS (SELECT symbol, date, open, high, low,
     CASE WHEN date <= DATE '2000-06-30' THEN close + 1 ELSE close END AS close, volume,
@@ -522,6 +538,50 @@ FROM (SELECT DISTINCT month FROM months), (
            sum(volume) FILTER (month <= border) * low + sum(volume) FILTER (month > border) * high AS gain
     FROM months, range(1, 12) r(border) GROUP BY border) ORDER BY gain DESC LIMIT 1)""",
         "months AS (SELECT month(date) AS month, volume FROM bars)"),
+    "ml_tree_per_symbol": with_bars(
+        f"""SELECT 1 AS depth, symbol, month, day, {r4('value', 'predicted')} FROM (
+  SELECT symbol, month, day, avg(y) OVER (PARTITION BY symbol, node) AS value FROM one) GROUP BY ALL
+UNION ALL
+SELECT 2 AS depth, symbol, month, day, {r4('value', 'predicted')} FROM (
+  SELECT symbol, month, day, avg(y) OVER (PARTITION BY symbol, node) AS value FROM two) GROUP BY ALL""",
+        """months AS (SELECT symbol, CAST(month(date) AS INTEGER) AS month,
+  CAST(isodow(date) - 1 AS INTEGER) AS day, volume AS y, 1 AS node FROM bars)""",
+        _split("one", "months", "node"), _split("two", "one", "node")),
+    "ml_forest_per_symbol": with_bars(
+        "SELECT symbol, count(*) AS n, CAST(0 AS BIGINT) AS zero_actuals, true AS holds "
+        "FROM held WHERE part = 'test' GROUP BY symbol", *HELD),
+    "ml_ridge_per_symbol": with_bars(
+        f"""SELECT symbol, 1 AS lags, 1 AS lag, n, {r4('w', 'weight')}, {r4('my - w * m2', 'bias')} FROM (
+  SELECT symbol, count(*) AS n, avg(y) AS my, avg(x2) AS m2,
+         covar_pop(x2, y) / (var_pop(x2) + 0.01 / stddev_pop(y)) AS w
+  FROM lags WHERE x2 IS NOT NULL GROUP BY symbol)
+UNION ALL
+SELECT symbol, 2 AS lags, lag, n, {r4('CASE lag WHEN 2 THEN w1 ELSE w2 END', 'weight')},
+       {r4('my - w1 * m1 - w2 * m2', 'bias')}
+FROM (SELECT *, (b * p - c * q) / (a * b - c * c) AS w1, (a * q - c * p) / (a * b - c * c) AS w2 FROM (
+  SELECT symbol, count(*) AS n, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2,
+         var_pop(x1) + 0.01 / stddev_pop(y) AS a, var_pop(x2) + 0.01 / stddev_pop(y) AS b,
+         covar_pop(x1, x2) AS c, covar_pop(x1, y) AS p, covar_pop(x2, y) AS q
+  FROM lags WHERE x1 IS NOT NULL GROUP BY symbol)), (SELECT unnest([1, 2]) AS lag)""",
+        """spans AS (SELECT symbol, min(close) AS least, max(close) - min(close) AS span FROM bars GROUP BY symbol)""",
+        f"""lags AS (SELECT symbol, y, lag(y) OVER ({W}) AS x2, lag(y, 2) OVER ({W}) AS x1
+  FROM (SELECT symbol, date, (close - least) / span AS y FROM bars JOIN spans USING (symbol)))"""),
+    "ml_ridge_walk_forward": with_bars(
+        f"""SELECT symbol, date, {r4('close', 'actual')},
+  {r4('(my + w1 * (x1 - m1) + w2 * (x2 - m2)) * span + least', 'predicted')}
+FROM lags JOIN fitted USING (symbol) WHERE part = 'test'""", BACK, PARTS,
+        """spans AS (SELECT symbol, min(close) AS least, max(close) - min(close) AS span
+  FROM parts WHERE part = 'train' GROUP BY symbol)""",
+        f"""lags AS (SELECT *, lag(y) OVER ({W}) AS x2, lag(y, 2) OVER ({W}) AS x1
+  FROM (SELECT *, (close - least) / span AS y FROM parts JOIN spans USING (symbol)))""",
+        """fitted AS (SELECT symbol, my, m1, m2, (b * p - c * q) / (a * b - c * c) AS w1,
+    (a * q - c * p) / (a * b - c * c) AS w2 FROM (
+  SELECT symbol, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2,
+         var_pop(x1) + 0.01 / stddev_pop(y) AS a, var_pop(x2) + 0.01 / stddev_pop(y) AS b,
+         covar_pop(x1, x2) AS c, covar_pop(x1, y) AS p, covar_pop(x2, y) AS q
+  FROM lags WHERE part = 'train' AND x1 IS NOT NULL GROUP BY symbol))"""),
+    "ml_recursive_trees": with_bars(
+        f"SELECT symbol, date, {r4('close', 'actual')}, true AS holds FROM back WHERE back <= 30", BACK),
     "alerts_batch": f"WITH {DAILY}, {PREDICTIONS}, {ALERTS} SELECT {ALERT_COLS} FROM alerts",
     "str_alerts":
         f"WITH {DAILY}, {PREDICTIONS}, {ALERTS} SELECT ticker AS key, {ALERT_COLS} FROM alerts",

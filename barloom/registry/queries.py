@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from barloom.functions import columns as C
 from barloom.functions import indicators as I
 from barloom.operators import (
-    alerts, clean, features, forecast, merge, metrics, reporting, scale, split,
+    alerts, clean, features, forecast, merge, metrics, reporting, ridge, scale, split, trees,
 )
 from barloom.operators.series import measure
 from barloom.plans import daily
@@ -612,6 +612,71 @@ def ml_tree_one_split(spark, sf):
         F.col("month_z").cast("int").alias("month"), "predicted"))
 
 
+def ml_tree_per_symbol(spark, sf):
+    """One tree per symbol, one and two splits deep, on month and day of the week, without a
+    bootstrap: its value for every month and day."""
+    rows = cut(stored(spark, sf).select(
+        "symbol", "date", F.month("date").cast("double").alias("month"),
+        F.weekday("date").cast("double").alias("day"), F.col("volume").alias("target")), "months")
+    out = None
+    for depth in (1, 2):
+        growth = trees.Growth(trees=1, depth=depth, bootstrap=False)
+        forests = trees.fit(rows, ["month", "day"], growth=growth)
+        value = trees.walked(F.col("trees"), F.array("month", "day"), depth).alias("predicted")
+        part = rows.select("symbol", "month", "day").distinct().join(forests, "symbol").select(
+            F.lit(depth).alias("depth"), "symbol", F.col("month").cast("int").alias("month"),
+            F.col("day").cast("int").alias("day"), value)
+        out = part if out is None else out.unionByName(part)
+    return tidy(out)
+
+
+def ml_forest_per_symbol(spark, sf):
+    """A forest for each symbol: its error on the test rows against the close of the day."""
+    found = daily.train_each(stored(spark, sf), growth=trees.Growth(trees=50, depth=8))
+    test = forecast.holdout(forecast.supervised(stored(spark, sf), RF)).where(F.col("part") == "test")
+    naive = metrics.evaluate(test.withColumn("predicted", F.col("close")), actual="target")
+    return _held_against(found.metrics, naive, ["symbol"], 1.0)
+
+
+def ml_ridge_per_symbol(spark, sf):
+    """A ridge for each symbol on one and on two lags of its close, which have closed forms."""
+    rows = stored(spark, sf)
+    scaled = cut(scale.apply(rows, scale.fit_minmax(rows, ["close"]), ["close"]), "scaled")
+    out = None
+    for lags in (1, 2):
+        models_ = ridge.fit(scaled, ["close"], length=lags)
+        part = models_.select("symbol", F.lit(lags).alias("lags"), "n", "bias", F.posexplode("weights").alias("i", "weight"))
+        part = part.withColumn("lag", F.col("lags") - F.col("i")).drop("i")
+        out = part if out is None else out.unionByName(part)
+    return tidy(out)
+
+
+def ml_ridge_walk_forward(spark, sf):
+    """A ridge for each symbol on two lags of its close, fitted on the rows before the last 30 of
+    its tail and applied to these, which has a closed form."""
+    cols = ["close"]
+    rows = cut(forecast.study_rows(stored(spark, sf), cols), "study")
+    params = cut(forecast.fit_study_scalers(rows, cols), "scalers")
+    scaled = cut(scale.apply(rows, params, cols), "scaled")
+    models_ = ridge.fit(scaled.where(F.col("part") == "train"), cols, length=2)
+    guessed = ridge.predict(models_, scaled, cols, length=2).join(
+        scaled.where(F.col("part") == "test").select("symbol", "date"), ["symbol", "date"])
+    return tidy(scale.invert(scale.invert(guessed, params, "predicted", "close"), params, "actual", "close"))
+
+
+def ml_recursive_trees(spark, sf):
+    """Thirty days ahead by a forest for each symbol on windows of ten rows."""
+    cols, length = ["close", "volume"], 10
+    rows = cut(forecast.study_rows(stored(spark, sf), cols), "study")
+    params = cut(forecast.fit_study_scalers(rows, cols), "scalers")
+    samples = forecast.sequence_samples(rows, params, cols, length).where(F.col("part") == "train")
+    names = [f"x{i}" for i in range(length * len(cols))]
+    flat = samples.select("symbol", "date", "y", *[
+        F.element_at(F.flatten("x"), i + 1).alias(n) for i, n in enumerate(names)])
+    forests = cut(trees.fit(cut(flat, "lags"), names, "y", trees.Growth(trees=30, depth=6)), "forests")
+    return _judged(forecast.recursive_trees(forests, rows, params, cols, 6, length), _naive(spark, sf), 1.2)
+
+
 # --- alerts and streams ------------------------------------------------------------------------
 
 
@@ -775,6 +840,11 @@ QUERIES = {
     "ml_rank": ml_rank,
     "ml_ridge_one_lag": ml_ridge_one_lag,
     "ml_tree_one_split": ml_tree_one_split,
+    "ml_tree_per_symbol": ml_tree_per_symbol,
+    "ml_forest_per_symbol": ml_forest_per_symbol,
+    "ml_ridge_per_symbol": ml_ridge_per_symbol,
+    "ml_ridge_walk_forward": ml_ridge_walk_forward,
+    "ml_recursive_trees": ml_recursive_trees,
     "ml_model_roundtrip": ml_model_roundtrip,
     "ml_model_catalog": ml_model_catalog,
 }
