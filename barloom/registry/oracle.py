@@ -508,6 +508,10 @@ FROM back WHERE back = 1""", BACK),
         """SELECT '^ALL' AS ticker, 'rf' AS feature_set, '2024-01-31 12:00:00' AS created_date,
   'close,volume,macd,signal_line' AS features, count(*) AS train_rows, count(DISTINCT symbol) AS symbols
 FROM held WHERE part = 'train'""", *HELD),
+    "ml_model_versions": with_bars(
+        f"""SELECT symbol, {r4('min(close)', 'low')}, {r4('max(close) - min(close)', 'span')}, '^ALL' AS ticker,
+  '2024-01-31 12:00:00' AS created_date, 2 AS lags, 2 AS weights
+FROM parts WHERE part = 'train' GROUP BY symbol""", BACK, PARTS),
     "ml_seq_regression": with_bars(
         """SELECT symbol, count(*) - 120 AS n, CAST(0 AS BIGINT) AS zero_actuals, true AS holds
 FROM bars GROUP BY symbol"""),

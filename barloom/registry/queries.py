@@ -528,9 +528,9 @@ def ml_model_roundtrip(spark, sf):
 def ml_model_catalog(spark, sf):
     _, params, scaled, model = _forest(spark, sf)
     root = scratch_path(spark, "models")
-    models.save(model, params, root, "^ALL", "rf", RF, STAMP)
+    meta = models.save(model, params, root, "^ALL", "rf", RF, STAMP)
     trained = scaled.where(F.col("part") == "train").agg(F.count("*").alias("train_rows"))
-    scalers = spark.read.parquet(f"{root}/models/ALL_rf_scalers").agg(F.count("*").alias("symbols"))
+    scalers = spark.read.parquet(meta["scaler_path"]).agg(F.count("*").alias("symbols"))
     catalog = readers.read_catalog(spark, f"{root}/meta").drop("path", "scaler_path")
     one = F.lit(1).alias("_one")
     counts = trained.withColumn("_one", one).join(scalers.withColumn("_one", one), "_one")
@@ -538,6 +538,23 @@ def ml_model_catalog(spark, sf):
     return out.withColumn("features", F.array_join("features", ","))
 
 
+def ml_model_versions(spark, sf):
+    """Two saves and one that breaks off before its metadata: the second one is loaded, whole."""
+    rows, root = stored(spark, sf), scratch_path(spark, "models")
+    for length, created in ((1, "2024-01-30 12:00:00"), (2, STAMP)):
+        tail = cut(forecast.study_rows(rows, ["close"]), "study")
+        params = forecast.fit_study_scalers(tail, ["close"])
+        model = forecast.fit_sequence(cut(forecast.sequence_samples(tail, params, ["close"], length), "samples"))
+        meta = models.save(model, params, root, "^ALL", "close", ["close"] * length, created)
+    model.write().save(f"{meta['model_path']}/../../v-broken/model")
+    model, params = models.load(spark, root, "^ALL", "close")
+    found = readers.read_catalog(spark, f"{root}/meta").select("ticker", "created_date", F.size("features").alias("lags"))
+    one = F.lit(1).alias("_one")
+    spans = params.select("symbol", r4("close_shift", "low"), r4("close_scale", "span"), one)
+    return spans.join(found.withColumn("_one", one), "_one").drop("_one").withColumn(
+        "weights", F.lit(len(model.coefficients)))
+
+
 def _sequence(spark, sf, cols):
     rows = cut(forecast.study_rows(stored(spark, sf), cols), "study")
     params = forecast.fit_study_scalers(rows, cols)
@@ -847,6 +864,7 @@ QUERIES = {
     "ml_recursive_trees": ml_recursive_trees,
     "ml_model_roundtrip": ml_model_roundtrip,
     "ml_model_catalog": ml_model_catalog,
+    "ml_model_versions": ml_model_versions,
 }
 
 

@@ -108,6 +108,7 @@ class Files:
     """Folders and files on whatever file system a path is on."""
 
     def __init__(self, spark: SparkSession, root: str):
+        self._spark = spark
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -128,6 +129,14 @@ class Files:
         if not self._fs.rename(self._path(source), place):
             raise OSError(f"cannot move {source} to {target}")
 
+    def replace(self, source: str, target: str) -> None:
+        """Put a file in the place of another in one step, so readers see one of the two."""
+        jvm = self._spark._jvm.org.apache.hadoop.fs
+        overwrite = self._spark.sparkContext._gateway.new_array(jvm.Options.Rename, 1)
+        overwrite[0] = jvm.Options.Rename.OVERWRITE
+        context = jvm.FileContext.getFileContext(self._fs.getUri(), self._spark._jsc.hadoopConfiguration())
+        context.rename(self._fs.makeQualified(self._path(source)), self._fs.makeQualified(self._path(target)), overwrite)
+
     def touch(self, path: str) -> None:
         self._fs.create(self._path(path), True).close()
 

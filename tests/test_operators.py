@@ -10,6 +10,7 @@ from barloom.functions import columns as C
 from barloom.operators import (
     alerts, clean, features, forecast, merge, metrics, reporting, scale, split,
 )
+from barloom.session import cut
 from barloom.sources import readers
 
 from .conftest import column
@@ -108,6 +109,18 @@ def test_random_split_is_exact_and_repeatable(series):
     assert sizes == {"A": 500, "B": 2, "C": 1}
     again = split.random(rows.repartition(7)).where("part = 'test'")
     assert out.exceptAll(again).isEmpty()
+    for share, sizes in ((0.0, set()), (1.0, {2498, 10, 1})):
+        out = split.random(rows, share).where("part = 'test'")
+        assert {r["count"] for r in out.groupBy("symbol").count().collect()} == sizes
+
+
+def test_random_split_moves_no_row_but_the_border_chunk(series, monkeypatch):
+    written = []
+    monkeypatch.setattr(split, "cut", lambda df, name: written.append(cut(df, name)) or written[-1])
+    rows = cut(series(A=range(3000), B=range(500)))
+    plan = split.random(rows)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join") == 1 and "BroadcastHashJoin" in plan and "BuildRight" in plan
+    assert written[0].count() == 2
 
 
 def test_targets_and_sequences(series):

@@ -5,6 +5,8 @@ import json
 import os
 
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from barloom.operators import clean, merge
@@ -170,3 +172,34 @@ def test_catalog_fills_absent_keys_and_skips_bad_files(spark, tmp_path):
     assert [(r["ticker"], r["feature_set"], r["created_date"]) for r in out] == [
         ("^IXIC", "Unknown", "Unknown")
     ]
+
+
+def test_a_save_broken_at_any_step_leaves_the_earlier_version(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame([(float(i), 2.0 * i + 1, "A") for i in range(9)], "x double, y double, symbol string")
+    vector = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    fitted = [LinearRegression(labelCol="y", regParam=p).fit(vector) for p in (0.0, 5.0)]
+    root = str(tmp_path / "models")
+    scalers = [rows.select("symbol").distinct().withColumn("close_shift", F.lit(v)) for v in (1.0, 2.0)]
+    models.save(fitted[0], scalers[0], root, "A", "rf", ["x"], "2024-01-01")
+
+    def newest():
+        model, params = models.load(spark, root, "A", "rf")
+        meta = models.metadata(spark, root, "A", "rf")
+        return model.coefficients[0], params.first()["close_shift"], meta["created_date"]
+
+    before = newest()
+    real = {n: getattr(models.Files, n) for n in ("write", "replace")}
+    for step in ("write", "replace"):
+        with monkeypatch.context() as m:
+            m.setattr(models.Files, step, lambda *a: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError):
+                models.save(fitted[1], scalers[1], root, "A", "rf", ["x"], "2024-01-02")
+        assert newest() == before
+    with pytest.raises(Exception):
+        models.save(fitted[1], scalers[1].withColumn("bad", F.raise_error(F.lit("lost"))), root, "A", "rf", ["x"], "2024-01-02")
+    assert newest() == before and all(getattr(models.Files, n) is f for n, f in real.items())
+    models.save(fitted[1], scalers[1], root, "A", "rf", ["x"], "2024-01-03")
+    after = newest()
+    assert after[0] != before[0] and after[1:] == (2.0, "2024-01-03")
+    assert readers.read_catalog(spark, f"{root}/meta").count() == 1
+    assert models.prune(spark, root, "A", "rf") == 4 and newest() == after
