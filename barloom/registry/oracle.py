@@ -589,6 +589,22 @@ FROM lags JOIN fitted USING (symbol) WHERE part = 'test'""", BACK, PARTS,
     "alerts_batch": f"WITH {DAILY}, {PREDICTIONS}, {ALERTS} SELECT {ALERT_COLS} FROM alerts",
     "str_alerts":
         f"WITH {DAILY}, {PREDICTIONS}, {ALERTS} SELECT ticker AS key, {ALERT_COLS} FROM alerts",
+    "str_alerts_changing": f"""WITH {DAILY}, {PREDICTIONS}, made AS (
+  SELECT symbol, prediction_date, predicted, CAST(prediction_date AS TIMESTAMP) AS made_at FROM predictions
+  UNION ALL
+  SELECT symbol, date + 1, close, CAST(date + 1 AS TIMESTAMP) + INTERVAL '12 hours' FROM daily),
+compared AS (
+  SELECT e.event_type AS ticker, e.value AS price, p.predicted, p.prediction_date, e.ts,
+         row_number() OVER (PARTITION BY e.event_id ORDER BY p.made_at DESC) AS place
+  FROM events e JOIN made p ON e.event_type = p.symbol AND CAST(e.ts AS DATE) = p.prediction_date AND p.made_at <= e.ts)
+SELECT ticker AS key, ticker, {r4('price', 'current_price')}, {r4('predicted', 'predicted_price')},
+  {r4('abs(predicted - price) / nullif(price, 0) * 100', 'price_diff_percent')},
+  strftime(prediction_date, '%Y-%m-%d') AS prediction_date, strftime(ts, '%Y-%m-%d %H:%M:%S') AS last_update,
+  '2024-01-31T12:00:00' AS alert_timestamp, 'intraday_price_difference' AS alert_type,
+  CASE WHEN predicted > price THEN 'up' ELSE 'down' END AS direction
+FROM compared WHERE place = 1 AND abs(predicted - price) / nullif(price, 0) * 100 >= 1.0""",
+    "str_consume_each": """SELECT event_type AS symbol, count(*) AS messages,
+  CAST(sum(event_id) AS BIGINT) AS event_ids FROM events GROUP BY event_type""",
     "str_envelope": ENVELOPES,
     "str_consume": """SELECT event_type AS symbol, count(*) AS messages,
   CAST(sum(event_id) AS BIGINT) AS event_ids FROM events GROUP BY event_type""",

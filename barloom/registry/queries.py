@@ -21,7 +21,7 @@ from barloom.session import cut, scratch_path
 from barloom.sources import models, readers, tables, writers
 from barloom.streaming import alerts as alert_stream
 from barloom.streaming import bars as intraday
-from barloom.streaming import topics
+from barloom.streaming import changing, topics
 
 # The day the queries are run "as of" and the stamp they carry.
 AS_OF, STAMP = "2001-11-05", "2024-01-31 12:00:00"
@@ -731,6 +731,35 @@ def str_alerts(spark, sf):
     return tidy(_typed(_through_stream(spark, stream, "alerts")))
 
 
+def str_alerts_changing(spark, sf):
+    """Alerts against predictions from a stream: the mean of five closes from midnight on, and from
+    noon on the close of the day before."""
+    path, daily_bars = scratch_path(spark, "predictions"), cut(tables.daily_ticks(spark, sf), "daily")
+    midnight = F.col("prediction_date").cast("timestamp")
+    first = predictions(spark, sf).withColumn("made_at", midnight)
+    second = daily_bars.select("symbol", C.next_date("date").alias("prediction_date"), F.col("close").alias("predicted"))
+    second = second.withColumn("made_at", F.timestamp_add("HOUR", F.lit(12), midnight))
+    made = first.unionByName(second)
+    made.write.parquet(path)
+    arriving = spark.readStream.schema(made.schema).parquet(path)
+    stream = changing.stream(_tick_stream(spark, sf), arriving, STAMP, salts=3)
+    return tidy(_typed(_through_stream(spark, stream, "changing")))
+
+
+def str_consume_each(spark, sf):
+    """Envelopes handled in the tasks that read them, each part of an epoch once."""
+    path = scratch_path(spark, "each")
+    topic = topics.Topic(format="json", path=f"{path}/topic")
+    topics.write_topic(topics.envelope(_said(_tick_stream(spark, sf))), topic, f"{path}/sent", wait=True)
+    handler = topics.OncePerPart(f"{path}/handled")
+    topics.handle_each(topics.read_topic(spark, topic), handler, f"{path}/received", wait=True)
+    body = F.from_json("value", ENVELOPE)["message"]
+    return spark.read.schema(MESSAGES).json(f"{path}/handled").groupBy(
+        F.split_part(body, F.lit(" "), F.lit(1)).alias("symbol")).agg(
+        F.count("*").alias("messages"),
+        F.sum(F.split_part(body, F.lit(" "), F.lit(2)).cast("long")).alias("event_ids"))
+
+
 def _said(ticks: DataFrame) -> DataFrame:
     return ticks.withColumn("message", F.concat_ws(" ", "symbol", "event_id"))
 
@@ -845,6 +874,8 @@ QUERIES = {
     "bars_240m": bars_240m,
     "band_breaches": band_breaches,
     "str_alerts": str_alerts,
+    "str_alerts_changing": str_alerts_changing,
+    "str_consume_each": str_consume_each,
     "str_envelope": str_envelope,
     "str_consume": str_consume,
     "str_bars_240m": str_bars_240m,

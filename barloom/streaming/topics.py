@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import re
+import uuid
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow.fs import FileSystem, FileType
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+import barloom
 from barloom.schemas import MESSAGES
 
+cloudpickle.register_pickle_by_value(barloom)
+
 
 @dataclass(frozen=True)
 class Topic:
@@ -84,12 +92,64 @@ def handle(
     return _start(writer, wait)
 
 
-def to_console(batch: DataFrame, batch_id: int) -> None:
-    """Print every message of a batch, one partition's worth at a time."""
-    for row in batch.toLocalIterator():
+def _print_all(rows: Iterable[Row]) -> None:
+    for row in rows:
         print(f"Received message: {row['value']} (key: {row['key']})")
 
 
+def to_console(batch: DataFrame, batch_id: int) -> None:
+    """Print every message of a batch where it lies, on the console of its executor."""
+    batch.foreachPartition(_print_all)
+
+
+class OncePerPart:
+    """Handles messages in the tasks that read them, each part of an epoch once.
+
+    `open` refuses a part that an earlier attempt completed, so an epoch that is replayed after a
+    failure changes nothing for the parts that were done. What a part wrote is put in its place
+    when the part is complete; a part that fails leaves nothing. Subclasses say in `handled` what
+    to write for a message; it may also act on the message, which for a part that fails and is
+    tried again happens again.
+    """
+
+    def __init__(self, path: str):
+        self.path = re.sub(r"^file:/+", "/", path.rstrip("/"))
+
+    def handled(self, row: Row) -> str | None:
+        """One line for a message, or nothing."""
+        return json.dumps(row.asDict())
+
+    def open(self, partition_id: int, epoch_id: int) -> bool:
+        self._fs, folder = FileSystem.from_uri(self.path)
+        self._target = f"{folder}/epoch={epoch_id}/part-{partition_id:05d}.json"
+        if self._fs.get_file_info(self._target).type != FileType.NotFound:
+            return False
+        self._fs.create_dir(self._target.rsplit("/", 1)[0], recursive=True)
+        self._draft = f"{self._target.replace('part-', '_part-')}.{uuid.uuid4().hex}"
+        self._out = self._fs.open_output_stream(self._draft)
+        return True
+
+    def process(self, row: Row) -> None:
+        line = self.handled(row)
+        if line is not None:
+            self._out.write(f"{line}\n".encode())
+
+    def close(self, error: Exception | None) -> None:
+        if getattr(self, "_out", None) is None:
+            return  # nothing was opened
+        self._out.close()
+        self._out = None
+        if error is None:
+            self._fs.move(self._draft, self._target)
+        else:
+            self._fs.delete_file(self._draft)
+
+
+def handle_each(df: DataFrame, handler: OncePerPart, checkpoint: str, wait: bool = False) -> StreamingQuery:
+    """Give every message to a handler in the task that read it; no message comes to the driver."""
+    return _start(df.writeStream.option("checkpointLocation", checkpoint).foreach(handler), wait)
+
+
 def into_table(path: str) -> Callable[[DataFrame, int], None]:
     """A handler that stores each batch in its own folder, so a repeated batch replaces itself."""
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from barloom.schemas import MESSAGES, TICKS
 from barloom.sources import tables
 from barloom.streaming import alerts as alert_stream
 from barloom.streaming import bars as intraday
-from barloom.streaming import topics
+from barloom.streaming import changing, topics
 
 STAMP = "2024-01-31 12:00:00"
 
@@ -108,3 +109,79 @@ def test_band_breaches(spark, ticks):
         "symbol string, prediction_date date, predicted_high double, predicted_low double")
     out = intraday.band_breaches(intraday.bars(table), bands).orderBy("window_start").collect()
     assert [(r["window_start"].hour, r["side"]) for r in out] == [(4, "above"), (8, "below")]
+
+
+MADE = "symbol string, prediction_date date, predicted double, made_at timestamp"
+
+
+def test_predictions_that_land_and_change_while_the_stream_runs(spark, tmp_path):
+    day = dt.date(2024, 1, 2)
+    folders = {n: str(tmp_path / n) for n in ("ticks", "made", "out", "check")}
+
+    def land(name, rows, schema):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folders[name])
+
+    tick = "symbol string, ts timestamp, price double"
+    land("ticks", [("A", at(2, 9), 90.0), ("A", at(2, 11), 100.0), ("B", at(2, 9), 5.0)], tick)
+    land("made", [("Z", day, 1.0, at(2, 0))], MADE)
+
+    def run():
+        out = changing.stream(spark.readStream.schema(tick).parquet(folders["ticks"]),
+                              spark.readStream.schema(MADE).parquet(folders["made"]), STAMP, lateness="2 days", salts=2)
+        topics.write_table(out, folders["out"], folders["check"], wait=True)
+        bodies = [json.loads(r["value"]) for r in spark.read.parquet(folders["out"]).collect()]
+        return sorted((b["ticker"], b["last_update"][11:16], b["predicted_price"]) for b in bodies)
+
+    assert run() == []
+    # Made in the morning, landed after the ticks: the waiting ticks after it are answered.
+    land("made", [("A", day, 100.0, at(2, 8))], MADE)
+    assert run() == [("A", "09:00", 100.0)]
+    # Replaced at noon: ticks from then on meet the new one, earlier late ones still the old one.
+    land("made", [("A", day, 50.0, at(2, 12)), ("B", day, 9.0, at(2, 10))], MADE)
+    land("ticks", [("A", at(2, 13), 100.0), ("A", at(2, 10), 80.0), ("B", at(2, 12), 9.0), (None, at(2, 12), 1.0)], tick)
+    assert run() == [("A", "09:00", 100.0), ("A", "10:00", 100.0), ("A", "13:00", 50.0)]
+    # Of the same time the greatest counts; a prediction for a day that is over is no error.
+    land("made", [("A", day, 60.0, at(2, 12)), ("A", dt.date(2023, 1, 1), 1.0, at(2, 12))], MADE)
+    land("ticks", [("A", at(2, 14), 60.0), ("A", at(9, 1), 7.0)], tick)
+    assert len(run()) == 3
+    # A week later the day's state has gone: its ticks are too late, and nothing fails.
+    land("ticks", [("A", at(2, 15), 1.0), ("A", at(9, 2), 7.0)], tick)
+    assert len(run()) == 3
+
+
+class Failing(topics.OncePerPart):
+    """Fails at a message until a file says otherwise."""
+
+    def __init__(self, path, allowed):
+        super().__init__(path)
+        self.allowed = allowed
+
+    def handled(self, row):
+        if "bad" in row["value"] and not os.path.exists(self.allowed):
+            raise ValueError("bad message")
+        return super().handled(row)
+
+
+def test_messages_are_handled_in_tasks_once_per_part(spark, tmp_path):
+    folder, out, check = (str(tmp_path / n) for n in ("topic", "out", "check"))
+    for value in ("one", "bad", "three"):
+        spark.createDataFrame([(value, value)], MESSAGES).coalesce(1).write.mode("append").json(folder)
+    topic = topics.Topic(format="json", path=folder)
+    handler = Failing(out, str(tmp_path / "allowed"))
+    with pytest.raises(Exception, match="bad message"):
+        topics.handle_each(topics.read_topic(spark, topic), handler, check, wait=True)
+    kept = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("part-*")}
+    assert not any("bad" in p.read_text() for p in kept)
+    (tmp_path / "allowed").touch()
+    topics.handle_each(topics.read_topic(spark, topic), handler, check, wait=True)
+    # The epoch was replayed: parts that were done are as they were, and every message is there once.
+    assert all(p.stat().st_mtime_ns == t for p, t in kept.items())
+    rows_ = spark.read.schema(MESSAGES).json(out).collect()
+    assert sorted(r["value"] for r in rows_) == ["bad", "one", "three"]
+    assert not list((tmp_path / "out").rglob("_part-*"))
+
+
+def test_console_prints_in_tasks(spark, capfd):
+    batch = spark.createDataFrame([("k", "v")], MESSAGES)
+    batch.toLocalIterator = None  # the driver takes no row
+    topics.to_console(batch, 0)
