@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from barloom.functions import columns as C
 from barloom.functions import indicators as I
-from barloom.operators import features, metrics, scale, split, trees
-from barloom.operators.series import measure
+from barloom.operators import features, metrics, quantile, scale, split, trees
+from barloom.operators.series import LENGTH, POSITION, measure
 from barloom.session import cut
 
 log = logging.getLogger(__name__)
@@ -75,6 +75,35 @@ def rank_baselines(df: DataFrame, names: tuple[str, ...] = BASELINES, runs: int
     return metrics.rank(rows.withColumn("run", run).where(picked != F.col("run")))
 
 
+def predicted_band(
+    df: DataFrame, n: int = 5, coverage: float = 0.9, test: int = TEST_ROWS
+) -> DataFrame:
+    """The next day's predicted close, high and low, and how often such a band held.
+
+    The close is the mean of the newest n closes. High and low lie where days lay relative to such
+    a mean before: at the exact quantiles (1 + coverage) / 2 of the highs' and (1 - coverage) / 2 of
+    the lows' distance, over all days but the last `test` ones. `held` is the share of these whose
+    high and low lay within the band around their own mean.
+    """
+    rows = measure(df, I.trailing_mean("close", n, "predicted"), keep_position=True)
+    rows = cut(rows.where(F.col("predicted").isNotNull()).select(
+        "symbol", (F.col(POSITION) >= F.col(LENGTH) - test).alias("tested"),
+        (F.col("high") - F.col("predicted")).alias("above"), (F.col("low") - F.col("predicted")).alias("below"),
+    ), "distances")
+    known = rows.where(~F.col("tested"))
+    upper = quantile.exact(known, "above", [(1 + coverage) / 2]).withColumnRenamed("q0", "upper")
+    lower = quantile.exact(known, "below", [(1 - coverage) / 2]).withColumnRenamed("q0", "lower")
+    band = upper.join(lower, "symbol")
+    inside = ((F.col("above") <= F.col("upper")) & (F.col("below") >= F.col("lower"))).cast("double")
+    held = rows.where("tested").join(band, "symbol").groupBy("symbol").agg(
+        F.avg(inside).alias("held"), F.count("*").alias("n"))
+    out = next_day_baseline(df, n).where(F.col("predicted_close").isNotNull()).join(band, "symbol").join(held, "symbol")
+    return out.select(
+        "symbol", "prediction_date", "predicted_close",
+        (F.col("predicted_close") + F.col("lower")).alias("predicted_low"),
+        (F.col("predicted_close") + F.col("upper")).alias("predicted_high"), "held", "n")
+
+
 def _hash(*parts) -> Column:
     """28 bits of the MD5 of some values, the same on every engine and cluster."""
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 7), 16, 10).cast("long")

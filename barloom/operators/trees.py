@@ -374,3 +374,38 @@ def importance(forests: DataFrame, cols: list[str]) -> DataFrame:
     parts = [F.struct(F.lit(c).alias("feature"), F.coalesce(F.try_divide(c, whole), F.lit(0.0)).alias("importance"))
              for c in cols]
     return means.select("symbol", F.inline(F.array(*parts)))
+
+
+def permutation_importance(
+    forests: DataFrame, rows: DataFrame, cols: list[str], target: str = "target", depth: int = 15, seed: int = 42,
+    part_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """(symbol, feature, importance): by how much the mean squared error grows when a column's values
+    are dealt to other rows of the symbol.
+
+    Rows are dealt by a hash into parts of about `part_rows`; inside a part each row takes the value
+    of the row before it in the order of the hash, the first one that of the last. One window serves
+    all columns, and one pass gives all errors. A column that does not vary has importance 0.
+    """
+    known = rows.dropna(subset=["symbol", target, *cols])
+    many = known.groupBy("symbol").agg(F.ceil(F.count("*") / part_rows).alias("_parts"))
+    key = F.md5(F.concat_ws("|", "symbol", F.date_format("date", "yyyy-MM-dd"), F.lit(seed)))
+    dealt = known.join(many, "symbol").withColumn("_key", key)
+    dealt = dealt.withColumn("_part", F.pmod(F.xxhash64("_key"), "_parts"))
+    order = Window.partitionBy("symbol", "_part").orderBy("_key")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    other = {c: F.coalesce(F.lag(c).over(order), F.last(c).over(whole)).alias(f"_{i}") for i, c in enumerate(cols)}
+    beside = dealt.select("symbol", F.col(target).alias("_y"), *[F.col(c).cast("double").alias(c) for c in cols],
+                          *[o.cast("double").alias(f"_{i}") for i, o in enumerate(other.values())])
+    beside = beside.join(forests, "symbol")
+
+    def error(changed: int | None) -> Column:
+        values = F.array(*[F.col(f"_{i}") if i == changed else F.col(c) for i, c in enumerate(cols)])
+        miss = F.col("_y") - walked(F.col("trees"), values, depth)
+        return miss * miss
+
+    errors = beside.groupBy("symbol").agg(
+        F.avg(error(None)).alias("_base"), *[F.avg(error(i)).alias(f"_{i}") for i in range(len(cols))])
+    parts = [F.struct(F.lit(c).alias("feature"), (F.col(f"_{i}") - F.col("_base")).alias("importance"))
+             for i, c in enumerate(cols)]
+    return errors.select("symbol", F.inline(F.array(*parts)))

@@ -551,6 +551,26 @@ SELECT 2 AS depth, symbol, month, day, {r4('value', 'predicted')} FROM (
         """months AS (SELECT symbol, CAST(month(date) AS INTEGER) AS month,
   CAST(isodow(date) - 1 AS INTEGER) AS day, volume AS y, 1 AS node FROM bars)""",
         _split("one", "months", "node"), _split("two", "one", "node")),
+    "ml_permutation_importance": with_bars(
+        f"""SELECT symbol, feature, {r4('avg((y - other) * (y - other)) - avg((y - own) * (y - own))', 'importance')}
+FROM (
+  SELECT symbol, feature, y, CASE WHEN CASE f WHEN 0 THEN month ELSE day END <= border THEN low ELSE high END AS own,
+         CASE WHEN CASE WHEN f = 0 AND feature = 'month' THEN other_month WHEN f = 1 AND feature = 'day' THEN other_day
+                        WHEN f = 0 THEN month ELSE day END <= border THEN low ELSE high END AS other
+  FROM dealt JOIN one_best USING (symbol) JOIN leaves USING (symbol),
+       (SELECT unnest(['month', 'day', 'one']) AS feature))
+GROUP BY ALL""",
+        """months AS (SELECT symbol, date, CAST(month(date) AS INTEGER) AS month,
+  CAST(isodow(date) - 1 AS INTEGER) AS day, volume AS y, 1 AS node FROM bars)""",
+        _split("one", "months", "node"),
+        """leaves AS (SELECT symbol, avg(y) FILTER (node = 2) AS low, avg(y) FILTER (node = 3) AS high FROM one GROUP BY symbol)""",
+        """keyed AS (SELECT *, md5(symbol || '|' || strftime(date, '%Y-%m-%d') || '|42') AS key FROM months)""",
+        """dealt AS (SELECT symbol, month, day, y,
+  coalesce(lag(month) OVER w, last(month) OVER (PARTITION BY symbol ORDER BY key
+    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS other_month,
+  coalesce(lag(day) OVER w, last(day) OVER (PARTITION BY symbol ORDER BY key
+    ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS other_day
+FROM keyed WINDOW w AS (PARTITION BY symbol ORDER BY key))"""),
     "ml_forest_per_symbol": with_bars(
         "SELECT symbol, count(*) AS n, CAST(0 AS BIGINT) AS zero_actuals, true AS holds "
         "FROM held WHERE part = 'test' GROUP BY symbol", *HELD),
@@ -611,6 +631,21 @@ FROM compared WHERE place = 1 AND abs(predicted - price) / nullif(price, 0) * 10
     "bars_240m": BARS_240M,
     "str_bars_240m": f"""SELECT * FROM ({BARS_240M})
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'""",
+    "str_bars_open": f"SELECT *, CAST(0 AS BIGINT) AS late FROM ({BARS_240M})",
+    "band_predicted": with_bars(
+        f"""SELECT symbol, date + 1 AS prediction_date, {r4('mean', 'predicted_close')},
+  {r4('mean + lower', 'predicted_low')}, {r4('mean + upper', 'predicted_high')}, {r4('held', 'held')}, n
+FROM (SELECT symbol, date, back, {mean('close', 5)} AS mean FROM back) JOIN edges USING (symbol)
+JOIN judged USING (symbol) WHERE back = 1""", BACK,
+        f"""distances AS (SELECT symbol, back, high - guess AS above, low - guess AS below
+  FROM (SELECT *, {before('close', 5)} AS guess FROM back) WHERE guess IS NOT NULL)""",
+        """places AS (SELECT *, count(*) OVER (PARTITION BY symbol) AS k,
+    row_number() OVER (PARTITION BY symbol ORDER BY above) AS i,
+    row_number() OVER (PARTITION BY symbol ORDER BY below) AS j FROM distances WHERE back > 30)""",
+        """edges AS (SELECT symbol, max(above) FILTER (i = greatest(1, ceil(round(k * 0.95, 6)))) AS upper,
+    max(below) FILTER (j = greatest(1, ceil(round(k * 0.05, 6)))) AS lower FROM places GROUP BY symbol)""",
+        """judged AS (SELECT symbol, avg(CASE WHEN above <= upper AND below >= lower THEN 1 ELSE 0 END) AS held,
+    count(*) AS n FROM distances JOIN edges USING (symbol) WHERE back <= 30 GROUP BY symbol)"""),
     "band_breaches": f"""WITH {DAILY}, intraday AS ({BARS_240M})
 SELECT i.symbol, CAST(window_start AS DATE) AS prediction_date, window_start,
   {r4('i.high', 'high')}, {r4('i.low', 'low')}, {r4('d.high', 'predicted_high')},

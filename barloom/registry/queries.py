@@ -647,6 +647,17 @@ def ml_tree_per_symbol(spark, sf):
     return tidy(out)
 
 
+def ml_permutation_importance(spark, sf):
+    """Importance of month, weekday and a constant for a tree of one split per symbol."""
+    rows = cut(stored(spark, sf).select(
+        "symbol", "date", F.month("date").cast("double").alias("month"),
+        F.weekday("date").cast("double").alias("day"), F.lit(1.0).alias("one"), F.col("volume").alias("target")), "months")
+    cols = ["month", "day", "one"]
+    forests = cut(trees.fit(rows, cols, growth=trees.Growth(trees=1, depth=1, bootstrap=False)), "forests")
+    # One part per symbol, whatever its length, so that SQL can deal the values the same way.
+    return tidy(trees.permutation_importance(forests, rows, cols, depth=1, part_rows=1 << 40))
+
+
 def ml_forest_per_symbol(spark, sf):
     """A forest for each symbol: its error on the test rows against the close of the day."""
     found = daily.train_each(stored(spark, sf), growth=trees.Growth(trees=50, depth=8))
@@ -795,6 +806,19 @@ def str_bars_240m(spark, sf):
     return tidy(_through_stream(spark, stream, "bars"))
 
 
+def str_bars_open(spark, sf):
+    """All windows, also those that a watermark would keep open, and the ticks that came late."""
+    path = scratch_path(spark, "windows")
+    topics.handle(_tick_stream(spark, sf), intraday.into_windows(f"{path}/out"), f"{path}/checkpoint", wait=True)
+    intraday.compact_windows(spark, f"{path}/out", 0)
+    return tidy(intraday.read_windows(spark, f"{path}/out"))
+
+
+def band_predicted(spark, sf):
+    """A band for the next day of each symbol from exact quantiles, and how often it held."""
+    return tidy(forecast.predicted_band(stored(spark, sf)))
+
+
 def band_breaches(spark, sf):
     """Intraday bars outside the high and low of the day before."""
     bands = tables.daily_ticks(spark, sf).select(
@@ -873,6 +897,8 @@ QUERIES = {
     "alerts_batch": alerts_batch,
     "bars_240m": bars_240m,
     "band_breaches": band_breaches,
+    "band_predicted": band_predicted,
+    "str_bars_open": str_bars_open,
     "str_alerts": str_alerts,
     "str_alerts_changing": str_alerts_changing,
     "str_consume_each": str_consume_each,
@@ -890,6 +916,7 @@ QUERIES = {
     "ml_tree_one_split": ml_tree_one_split,
     "ml_tree_per_symbol": ml_tree_per_symbol,
     "ml_forest_per_symbol": ml_forest_per_symbol,
+    "ml_permutation_importance": ml_permutation_importance,
     "ml_ridge_per_symbol": ml_ridge_per_symbol,
     "ml_ridge_walk_forward": ml_ridge_walk_forward,
     "ml_recursive_trees": ml_recursive_trees,

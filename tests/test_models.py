@@ -10,7 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
-from barloom.operators import forecast, ridge, scale, trees
+from barloom.operators import forecast, quantile, ridge, scale, trees
 from barloom.plans import daily
 from barloom.schemas import BARS
 
@@ -107,6 +107,33 @@ def test_forest_edge_cases(spark, samples):
     assert {round(r.predicted, 9) for r in out.collect()} == {3.0}
 
 
+def test_permutation_importance(samples):
+    rows = samples.withColumn("c", F.lit(2.0))
+    forests = trees.fit(rows, ["a", "b", "c"], growth=trees.Growth(trees=4, depth=4)).cache()
+    for part in (4096, 100):
+        got = {(r.symbol, r.feature): r.importance for r in trees.permutation_importance(
+            forests, rows, ["a", "b", "c"], depth=4, part_rows=part).collect()}
+        # Dealing out the column that moves the target by 4 costs about 2 * var = 8 * 0.4 * 0.6 * 4.
+        assert 5 < got["A", "a"] < 11 and 0 < got["A", "b"] < 2 and got["A", "c"] == 0 == got["one", "a"]
+
+
+@pytest.mark.parametrize("slices,precision", [(128, 2000), (4, 10), (2, 3)])
+def test_exact_quantiles(spark, slices, precision, monkeypatch):
+    monkeypatch.setattr(quantile, "SLICES", slices)
+    monkeypatch.setattr(quantile, "PRECISION", precision)
+    rng = np.random.default_rng(4)
+    values = {"A": rng.normal(size=3000), "ties": rng.integers(0, 3, 500) * 1.0, "far": np.append(rng.random(400), 1e300),
+              "one": np.array([7.0]), "same": np.full(90, 2.0)}
+    rows = [(s, float(v)) for s, vs in values.items() for v in vs] + [("A", None), (None, 1.0), ("none", None)]
+    shares = [0.0, 0.05, 0.5, 0.95, 1.0]
+    got = quantile.exact(spark.createDataFrame(rows, "symbol string, v double").repartition(5), "v", shares).collect()
+    assert {r.symbol for r in got} == set(values)
+    for r in got:
+        ordered = np.sort(values[r.symbol])
+        ranks = [max(1, int(np.ceil(round(s * len(ordered), 6)))) for s in shares]
+        assert list(r)[1:] == [ordered[k - 1] for k in ranks]
+
+
 # --- ridge -------------------------------------------------------------------------------------
 
 

@@ -185,3 +185,35 @@ def test_console_prints_in_tasks(spark, capfd):
     batch = spark.createDataFrame([("k", "v")], MESSAGES)
     batch.toLocalIterator = None  # the driver takes no row
     topics.to_console(batch, 0)
+
+
+def test_open_windows_and_late_ticks_are_kept(spark, ticks, tmp_path):
+    stream, table = ticks(
+        [(1, "A", at(2, 1), 10), (2, "A", at(2, 2), 12)],
+        [(3, "A", at(2, 13), 11), (9, "B", at(2, 13), 5)],
+        [(4, "A", at(2, 3), 99), (5, "A", at(2, 0), 8)],
+        [(6, "A", at(2, 13, 30), 14)],
+    )
+    path, calls = str(tmp_path / "windows"), []
+    handler = intraday.into_windows(path)
+
+    def twice(batch, epoch):
+        handler(batch, epoch)
+        handler(batch, epoch)  # replayed
+        calls.append(epoch)
+
+    topics.handle(stream, twice, str(tmp_path / "c"), wait=True)
+    assert len(calls) == 4
+    got = intraday.read_windows(spark, path)
+    assert rows(got.drop("late")) == rows(intraday.bars(table))
+    assert {(r["symbol"], r["window_start"].hour): r["late"] for r in got.collect()} == {
+        ("A", 0): 2, ("A", 12): 0, ("B", 12): 0}
+    before = rows(got)
+    intraday.compact_windows(spark, path, 2)
+    assert sorted(n for n in os.listdir(path) if n.startswith("epoch")) == ["epoch=2", "epoch=3"]
+    assert rows(intraday.read_windows(spark, path)) == before
+    # A compaction that broke off after its result was named is finished by the next reader.
+    intraday._merged(intraday._partials(spark, path)).write.parquet(f"{path}/_compact-3")
+    assert rows(intraday.read_windows(spark, path)) == before
+    assert [n for n in os.listdir(path) if n.startswith("epoch")] == ["epoch=3"]
+    assert intraday.read_windows(spark, str(tmp_path / "nothing")).collect() == []
