@@ -30,13 +30,16 @@ SPANS_WORDS = re.compile(r"[^ ] |.[\n\t\v\f]|[\n\t\v\f].", re.DOTALL)
 
 @dataclass(frozen=True)
 class Pieces:
-    """A model's pieces with plain spaces for its mark: score and id of each, and byte ids."""
+    """A model's pieces with plain spaces for its mark: score and id of each, and byte ids.
+
+    `beginnings` has the scores, and every beginning of a piece that is no piece, with None.
+    """
 
     scores: dict[str, float]
+    beginnings: dict[str, float | None]
     ids: dict[str, bytes]
     bytes_ids: list[bytes]
     texts: list[bytes]
-    longest: int
     unknown: float
 
 
@@ -73,29 +76,42 @@ def load(model: str = MODEL) -> Pieces:
         ranked = sorted(plain, key=lambda p: (-p[2], p[0]))
         scores = {piece: -math.log(rank + 2) for rank, (_, piece, _) in enumerate(ranked)}
     ids = {piece: _id(i) for i, piece, _ in plain}
-    return Pieces(scores, ids, byte_ids, texts, max(map(len, scores)), min(scores.values()) - UNKNOWN_PENALTY)
+    unknown = min(scores.values()) - UNKNOWN_PENALTY
+    beginnings = {piece[:n]: None for piece in scores for n in range(1, len(piece))}
+    return Pieces(scores, beginnings | scores, ids, byte_ids, texts, unknown)
 
 
 def segment(words: Iterable[str], pieces: Pieces) -> Iterator[tuple[str, bytes]]:
     """Each distinct word with the ids, as packed 32-bit integers, of its best pieces.
 
     Sorted words are the leaves of a trie in depth-first order: the forward scores of the prefix
-    that a word shares with the one before it are kept, the rest is computed. Of paths of equal
-    score the one whose last piece is longest wins, and so on backwards.
+    that a word shares with the one before it are kept, the rest is computed. With the score of a
+    prefix the starts are kept from which a piece may still go on, so a start is followed only as
+    far as some piece begins with what was read. Of paths of equal score the one whose last piece
+    is longest wins, and so on backwards.
     """
-    scores, longest = pieces.scores, pieces.longest
-    best, back, before = [0.0], [0], ""
+    find, unknown, gone = pieces.beginnings.get, pieces.unknown, object()
+    best, back, open_, before = [0.0], [0], [()], ""
     for word in sorted(words):
         shared = len(os.path.commonprefix((word, before)))
-        del best[shared + 1:], back[shared + 1:]
+        del best[shared + 1:], back[shared + 1:], open_[shared + 1:]
         for end in range(shared + 1, len(word) + 1):
-            top, at = best[end - 1] + scores.get(word[end - 1:end], pieces.unknown), end - 1
-            for start in range(max(0, end - longest), end - 1):
-                score = scores.get(word[start:end])
-                if score is not None and (best[start] + score > top or at == end - 1 and best[start] + score == top):
-                    top, at = best[start] + score, start
+            alone = find(word[end - 1:end], gone)
+            top, at = best[end - 1] + (unknown if alone is None or alone is gone else alone), end - 1
+            starts = []
+            for start in open_[end - 1]:
+                score = find(word[start:end], gone)
+                if score is not gone:
+                    starts.append(start)
+                    if score is not None:
+                        score += best[start]
+                        if score > top or at == end - 1 and score == top:
+                            top, at = score, start
+            if alone is not gone:
+                starts.append(end - 1)
             best.append(top)
             back.append(at)
+            open_.append(starts)
         before = word
         out, end = [], len(word)
         while end:
