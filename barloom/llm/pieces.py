@@ -127,8 +127,10 @@ def encode_texts(texts: list[str], pieces: Pieces, known: dict[str, bytes]) -> l
     split = [WORD.findall(" " + t) if t else [] for t in texts]
     new = {w for ws in split for w in ws}.difference(known)
     if len(known) + len(new) > CACHE_WORDS:
-        known.clear()
-        new = {w for ws in split for w in ws}
+        # Frequent words come early: what was met first stays.
+        for word in list(known)[CACHE_WORDS // 3:]:
+            del known[word]
+        new = {w for ws in split for w in ws}.difference(known)
     known.update(segment(new, pieces))
     out = [b"".join(map(known.__getitem__, ws)) for ws in split]
     for word in [w for w in new if len(w) > CACHED_LENGTH]:
