@@ -146,6 +146,14 @@ class Files:
         out.write(bytearray(data))
         out.close()
 
+    def read(self, path: str) -> bytes:
+        """The bytes of a small file."""
+        stream = self._fs.open(self._path(path))
+        try:
+            return bytes(stream.readAllBytes())
+        finally:
+            stream.close()
+
     def full(self, path: str) -> str:
         """The path with the name of its file system."""
         return self._fs.makeQualified(self._path(path)).toString()

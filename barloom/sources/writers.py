@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterable, Iterator
+from functools import partial
 from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow.fs import FileSystem, FileType
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import barloom
 from barloom.functions import columns as C
 from barloom.operators import merge
 from barloom.schemas import BARS, OHLCV
 from barloom.session import Files, cut
 
+cloudpickle.register_pickle_by_value(barloom)
+
 MONTH = "year_month"
 SLASH = "%2F"  # a slash in a symbol's folder name
 # Hidden names, which readers of the store pass over.
@@ -171,11 +180,13 @@ def publish_months(df: DataFrame, path: str, folder: str = "monthly/") -> None:
     """One file `{symbol}/monthly/YYYY-MM.json` per symbol and month, as landed.
 
     Each holds a one-line array of records in date order. Copies of a date are merged first, so an
-    array holds at most 31 records. Tasks write the files into a staging folder; the driver only
-    moves them to their names, replacing earlier ones. With an empty `folder` they lie directly
-    below the symbol.
+    array holds at most 31 records. Tasks write the files into a staging folder, which is marked
+    when complete, and tasks move them to their names, replacing earlier ones; a task that is tried
+    again goes on where it was. What an interrupted call left is completed by the next one, or
+    removed if it was not marked. With an empty `folder` they lie directly below the symbol.
     """
     spark = df.sparkSession
+    finish_publishing(spark, path)
     unique = merge.combine(df, [])
     records = _records(unique.withColumn(MONTH, C.month_key()), "symbol", MONTH)
     record = F.struct("Date", *[c.capitalize() for c in OHLCV])
@@ -187,15 +198,54 @@ def publish_months(df: DataFrame, path: str, folder: str = "monthly/") -> None:
         .write.partitionBy("symbol", MONTH)
         .text(stage)
     )
+    Files(spark, path).write(f"{stage}/{READY}", folder.encode())
+    finish_publishing(spark, path)
+
+
+def finish_publishing(spark: SparkSession, path: str) -> None:
+    """Move the files of staging folders that are marked complete to their names; drop the others."""
     files = Files(spark, path)
-    for name in files.names(stage):
-        if name.startswith("symbol="):
-            symbol = unquote(name.removeprefix("symbol=")).replace("/", SLASH)
-            for month in files.names(f"{stage}/{name}"):
-                (part,) = [n for n in files.names(f"{stage}/{name}/{month}") if n.startswith("part-")]
-                target = f"{path}/{symbol}/{folder}{month.removeprefix(f'{MONTH}=')}.json"
-                files.move(f"{stage}/{name}/{month}/{part}", target)
-    files.delete(stage)
+    for name in files.names(path):
+        if name.startswith(STAGING):
+            stage = f"{path}/{name}"
+            if files.exists(f"{stage}/{READY}"):
+                folder = files.read(f"{stage}/{READY}").decode()
+                parts = spark.read.format("binaryFile").option("recursiveFileLookup", True).option(
+                    "pathGlobFilter", "part-*").load(stage).select(F.col("_metadata.file_path").alias("file"))
+                target = re.sub(r"^file:/+", "/", files.full(path))
+                try:
+                    FileSystem.from_uri(target)
+                except (pa.ArrowInvalid, OSError):
+                    _move_here(files, parts, path, folder)
+                else:
+                    moved = parts.mapInArrow(partial(_moved, target=target, folder=folder), "moved long")
+                    moved.agg(F.sum("moved")).collect()
+            files.delete(stage)
+
+
+def _target(file: str, target: str, folder: str) -> tuple[str, str]:
+    """Where a staged file lies and where it goes."""
+    plain = re.sub(r"^file:/+", "/", unquote(file))
+    symbol, month = re.search(rf"/symbol=([^/]+)/{MONTH}=([^/]+)/part-", plain).groups()
+    return plain, f"{target}/{unquote(symbol).replace('/', SLASH)}/{folder}{month}.json"
+
+
+def _moved(batches: Iterable[pa.RecordBatch], target: str, folder: str) -> Iterator[pa.RecordBatch]:
+    fs, _ = FileSystem.from_uri(target)
+    for batch in batches:
+        for file in batch.column("file").to_pylist():
+            source, place = (FileSystem.from_uri(p)[1] for p in _target(file, target, folder))
+            if fs.get_file_info(source).type == FileType.NotFound:
+                continue  # moved by an earlier attempt
+            fs.create_dir(place.rsplit("/", 1)[0], recursive=True)
+            fs.move(source, place)
+        yield pa.RecordBatch.from_pydict({"moved": [batch.num_rows]})
+
+
+def _move_here(files: Files, parts: DataFrame, path: str, folder: str) -> None:
+    """The same from the driver, on a file system that only Spark reaches."""
+    for row in parts.toLocalIterator():
+        files.move(*_target(row["file"], path, folder))
 
 
 def split_months(df: DataFrame, path: str) -> None:

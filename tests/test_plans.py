@@ -170,6 +170,38 @@ def test_published_files_are_ingested_again(spark, bars, tmp_path):
     assert back.exceptAll(bars).isEmpty() and back.count() == bars.count()
 
 
+def test_files_are_published_by_tasks(spark, bars, tmp_path, monkeypatch):
+    path = str(tmp_path / "published")
+    odd = bars.withColumn("symbol", F.concat("symbol", F.lit("/x y%25+é")))
+    with monkeypatch.context() as m:
+        m.setattr(writers.Files, "move", lambda *a: (_ for _ in ()).throw(AssertionError("moved by the driver")))
+        writers.publish_months(odd, path)
+        writers.publish_months(odd.withColumn("close", F.col("close") + 1), path)
+    assert not any(n.startswith("_") for n in os.listdir(path))
+    daily.ingest(spark, path, str(tmp_path / "store"))
+    back = writers.read_months(spark, str(tmp_path / "store")).drop("year_month")
+    assert back.exceptAll(odd.withColumn("close", F.col("close") + 1)).isEmpty() and back.count() == bars.count()
+
+
+def test_interrupted_publishing_is_completed_or_dropped(spark, bars, tmp_path, monkeypatch):
+    path = str(tmp_path / "published")
+    with monkeypatch.context() as m:
+        real = writers.finish_publishing
+        calls = []
+        m.setattr(writers, "finish_publishing", lambda s, p: calls.append(p) or (real(s, p) if len(calls) == 1 else None))
+        writers.publish_months(bars.where("symbol = 'B'"), path, "")
+    assert [n[:9] for n in os.listdir(path)] == ["_staging-"]
+    os.makedirs(f"{path}/_staging-broken/symbol=Z/year_month=2020-01")
+    writers.finish_publishing(spark, path)
+    assert os.listdir(path) == ["B"] and os.path.isfile(f"{path}/B/2020-01.json")
+    # The same from the driver, for file systems that tasks cannot open.
+    with monkeypatch.context() as m:
+        closed = type("Closed", (), {"from_uri": staticmethod(lambda p: (_ for _ in ()).throw(OSError(p)))})
+        m.setattr(writers, "FileSystem", closed)
+        writers.publish_months(bars.where("symbol = '^A'"), path)
+    assert os.path.isfile(f"{path}/^A/monthly/2020-01.json")
+
+
 def test_ingest_reads_marks_and_not_the_store(spark, tmp_path, monkeypatch):
     landing, store = str(tmp_path / "in"), str(tmp_path / "store")
     land(landing, "A", "2024-01", [record("2024-01-30", 1)])
