@@ -42,25 +42,27 @@ def random(
     """Exactly ceil(share * n) rows of each series as test, chosen by a hash of their key.
 
     The order is the hash. Its leading hex `digits` cut a series into chunks whose counts name the
-    chunk that the border runs through; only that chunk's rows are ranked, for the hash at the
-    border. Then every row is compared with the border of its symbol, a table of one row per
-    symbol, and no row is moved unless that table is too large to broadcast. `df` is read three
-    times: cut it first if it is costly. Rows of one symbol and date are on the same side; rows
-    without a symbol are left out.
+    chunk that the border runs through. Every row is compared with that border, from a table of one
+    row per symbol, and only the rows of the border's own chunk are moved and ranked; no other row
+    is, unless the table is too large to broadcast. `df` is read three times: cut it first if it is
+    costly. Rows without a symbol are left out.
     """
     key = F.concat_ws("|", "symbol", F.date_format("date", "yyyy-MM-dd"), F.lit(seed))
     hashed = without_position(df).where(F.col("symbol").isNotNull()).withColumn("_hash", F.md5(key))
-    short = hashed.select("symbol", "_hash", F.substring("_hash", 1, digits).alias("_chunk"))
-    sizes = short.groupBy("symbol", "_chunk").agg(F.count("*").alias("_rows"))
+    hashed = hashed.withColumn("_chunk", F.substring("_hash", 1, digits))
+    sizes = hashed.groupBy("symbol", "_chunk").agg(F.count("*").alias("_rows"))
     series = Window.partitionBy("symbol")
     earlier = series.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     # The product is rounded before the ceiling, so that 0.2 * 10 stays 2.
     limit = F.ceil(F.round(F.sum("_rows").over(series) * F.lit(share), 6))
     left = limit - F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    chunks = sizes.withColumn("_left", left).where((F.col("_left") > 0) & (F.col("_left") <= F.col("_rows")))
+    borders = sizes.withColumn("_left", left).where((F.col("_left") > 0) & (F.col("_left") <= F.col("_rows")))
+    # Written, so the planner knows the table's size before it moves rows.
+    borders = cut(borders.select("symbol", F.col("_chunk").alias("_border"), "_left"), "borders")
+    placed = hashed.join(borders, "symbol", "left")
+    inside = F.coalesce(F.col("_chunk") == F.col("_border"), F.lit(False))
+    sure = placed.where(~inside).withColumn(
+        "part", F.when(F.col("_chunk") < F.col("_border"), "test").otherwise("train"))
     rank = F.row_number().over(series.orderBy("_hash"))
-    ranked = short.join(chunks.drop("_rows"), ["symbol", "_chunk"]).withColumn("_rank", rank)
-    borders = ranked.where(F.col("_rank") == F.col("_left")).select("symbol", F.col("_hash").alias("_border"))
-    borders = cut(borders, "borders")  # so the planner knows its size before rows are moved
-    part = F.when(F.col("_hash") <= F.col("_border"), "test").otherwise("train")
-    return hashed.join(borders, "symbol", "left").withColumn("part", part).drop("_hash", "_border")
+    border = placed.where(inside).withColumn("part", F.when(rank <= F.col("_left"), "test").otherwise("train"))
+    return sure.unionByName(border).drop("_hash", "_chunk", "_border", "_left")

@@ -119,8 +119,12 @@ def test_random_split_moves_no_row_but_the_border_chunk(series, monkeypatch):
     monkeypatch.setattr(split, "cut", lambda df, name: written.append(cut(df, name)) or written[-1])
     rows = cut(series(A=range(3000), B=range(500)))
     plan = split.random(rows)._jdf.queryExecution().sparkPlan().toString()
-    assert plan.count("Join") == 1 and "BroadcastHashJoin" in plan and "BuildRight" in plan
+    # No join sorts or deals the rows, and what is ranked are the rows of one chunk per symbol.
+    assert plan.count("BroadcastHashJoin") == plan.count("BuildRight") == plan.count("Join") and "Window" in plan
     assert written[0].count() == 2
+    twice = rows.unionAll(rows)
+    sizes = {r["symbol"]: r["count"] for r in split.random(twice).where("part = 'test'").groupBy("symbol").count().collect()}
+    assert sizes == {"A": 1200, "B": 200}
 
 
 def test_targets_and_sequences(series):
