@@ -162,37 +162,43 @@ shapes AS (
     length(regexp_replace(t, '[^\x00-\x08\x0E-\x1F\x7F]', '', 'g')) AS n_control FROM docs)),
 words AS (SELECT r, lang, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM split),
 sizes AS (SELECT r, len(ws) AS n_words, len(t) AS n_chars FROM split),
+plain AS (
+  SELECT r, coalesce(sum(n) FILTER (kind <> 'space'), 0) AS visible,
+         coalesce(sum(n) FILTER (kind IN ('lower', 'upper', 'letter', 'mark')), 0) AS letters
+  FROM shapes GROUP BY r),
+firsts AS (SELECT lang, min(r) AS r FROM docs WHERE lang <> '' GROUP BY lang, t),
 languages AS (
-  SELECT lang, total FROM (SELECT lang, count(*) AS total FROM words GROUP BY lang)
-  WHERE total >= 0.001 * (SELECT count(*) FROM words)),
+  SELECT lang, sum(n_words) AS total FROM firsts JOIN sizes USING (r) JOIN plain USING (r) GROUP BY lang
+  HAVING count(*) FILTER (n_words > 0) >= 30 AND sum(n_words) >= 1000 AND 100 * sum(letters) >= 75 * sum(visible)),
 common AS (
-  SELECT lang, word, n / total AS q FROM (SELECT lang, word, count(*) AS n FROM words GROUP BY ALL)
+  SELECT lang, word, n / total AS q
+  FROM (SELECT w.lang, word, count(*) AS n FROM words w JOIN firsts f USING (r) GROUP BY ALL)
   JOIN languages USING (lang) WHERE n >= 0.005 * total),
 shape_refs AS (
   SELECT lang, kind, n / sum(n) OVER (PARTITION BY lang) AS q
-  FROM (SELECT lang, kind, sum(n) AS n FROM shapes JOIN docs USING (r) JOIN languages USING (lang) GROUP BY ALL)),
-own_shapes AS (SELECT r, kind, n / nullif(sum(n) OVER (PARTITION BY r), 0) AS p FROM shapes),
+  FROM (SELECT lang, kind, sum(n) AS n FROM shapes JOIN firsts USING (r) JOIN languages USING (lang) GROUP BY ALL)),
+own_shapes AS (
+  SELECT r, lang, kind, n / nullif(sum(n) OVER (PARTITION BY r), 0) AS p FROM shapes JOIN docs USING (r)),
 far_shapes AS (
-  SELECT r, min(coalesce(d, 1)) AS char_distance FROM (
-    SELECT r, lang, sqrt(greatest(sum(
-      CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 * p END
-      + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 * p END) / 2, 0)) AS d
-    FROM own_shapes JOIN shape_refs USING (kind) GROUP BY ALL) GROUP BY r),
+  SELECT r, sqrt(greatest(sum(
+    CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 * p END
+    + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 * p END) / 2, 0)) AS char_distance
+  FROM own_shapes JOIN shape_refs USING (lang, kind) GROUP BY r),
 hits AS (
-  SELECT w.r, c.lang, c.word, c.q, count(*) AS n FROM words w JOIN common c USING (word) GROUP BY ALL),
+  SELECT w.r, c.word, c.q, count(*) AS n FROM words w JOIN common c USING (lang, word) GROUP BY ALL),
 found AS (
-  SELECT r, lang, sum(n) AS n, sum(q) AS q,
+  SELECT r, sum(n) AS n, sum(q) AS q,
          sum(n / n_words * log2(n / n_words / ((n / n_words + q) / 2)) + q * log2(q / ((n / n_words + q) / 2))) AS s
   FROM hits JOIN sizes USING (r) GROUP BY ALL),
 rest AS (SELECT lang, sum(q) AS listed FROM common GROUP BY lang),
 far_words AS (
-  SELECT r, min(CASE WHEN n_words = 0 THEN 1 ELSE sqrt(greatest((s + missing
+  SELECT r, CASE WHEN n_words = 0 THEN 1 ELSE sqrt(greatest((s + missing
     + CASE WHEN p > 0 THEN p * log2(p / ((p + o) / 2)) ELSE 0 END
-    + CASE WHEN o > 0 THEN o * log2(o / ((p + o) / 2)) ELSE 0 END) / 2, 0)) END) AS word_distance
+    + CASE WHEN o > 0 THEN o * log2(o / ((p + o) / 2)) ELSE 0 END) / 2, 0)) END AS word_distance
   FROM (SELECT z.r, n_words, coalesce(f.s, 0) AS s, coalesce(listed, 0) - coalesce(f.q, 0) AS missing,
                1 - coalesce(f.n, 0) / nullif(n_words, 0) AS p, 1 - coalesce(listed, 0) AS o
-        FROM sizes z CROSS JOIN languages l LEFT JOIN rest USING (lang)
-        LEFT JOIN found f ON f.r = z.r AND f.lang = l.lang) GROUP BY r),
+        FROM sizes z JOIN docs USING (r) JOIN languages USING (lang) LEFT JOIN rest USING (lang)
+        LEFT JOIN found f ON f.r = z.r)),
 windows AS (
   SELECT r, i, array_to_string(list_slice(ws, i + 1, i + 5), ' ') AS w
   FROM (SELECT r, ws, unnest(range(len(ws) - 4)) AS i FROM split WHERE len(ws) >= 5)),
@@ -209,14 +215,15 @@ counts AS (
          CAST(n_chars - (SELECT n FROM shapes s WHERE s.r = d.r AND kind = 'space') AS BIGINT) AS word_chars,
          CAST((SELECT n FROM shapes s WHERE s.r = d.r AND kind = 'symbol') AS BIGINT) AS n_symbols,
          coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
-         n_chars, char_distance, word_distance
-  FROM docs d JOIN sizes USING (r) LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r)
+         n_chars, letters, visible, total IS NULL AS bare, char_distance, word_distance
+  FROM docs d JOIN sizes USING (r) JOIN plain USING (r) LEFT JOIN languages USING (lang) LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r)
   LEFT JOIN far_shapes USING (r) LEFT JOIN far_words USING (r)),
 failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed
-  AND NOT (n_chars >= 200 AND char_distance > 0.12 + 3.2 / sqrt(n_chars))
-  AND NOT (n_words >= 50 AND word_distance > 0.12 + 1.6 / sqrt(n_words)) AS kept
+  AND NOT (n_chars >= 200 AND coalesce(char_distance, 0) > 0.12 + 3.2 / sqrt(n_chars))
+  AND NOT (n_words >= 50 AND coalesce(word_distance, 0) > 0.12 + 1.6 / sqrt(n_words))
+  AND NOT (bare AND n_chars >= 200 AND 100 * letters < 75 * visible) AS kept
 FROM failed
 """
 

@@ -6,7 +6,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 from itertools import chain
 
 import numpy as np
@@ -20,6 +20,7 @@ from barloom.session import cut
 WINDOW = 5
 LOWER, UPPER, DIGIT, SPACE, MARK, SYMBOL, LETTER, CONTROL, INNER = range(9)
 CLASSES = 8  # INNER, the later bytes of a code point, counts nowhere
+LETTERS = (LOWER, UPPER, LETTER, MARK)
 
 
 def _classes() -> np.ndarray:
@@ -39,8 +40,10 @@ CLASS = _classes()
 class Rules:
     """Limits of the rules. A distance may exceed its base by what chance adds to a short text:
     the limit for n characters or words is base + noise / sqrt(n). Texts under a minimum are not
-    judged by that histogram. A word is common from `share` of a language's words on; a language
-    has a reference from `language_share` of all words on, so both tables are bounded."""
+    judged by that histogram. A word is common from `share` of a language's words on. A language
+    has a reference if at least `reference_documents` different texts with `reference_words` words
+    in all are in it, and `letter_percent` of what they show are letters or punctuation. References
+    of `languages` languages at a time go to the tasks; more take more passes over the texts."""
 
     min_words: int = 10
     repeat_percent: int = 20
@@ -51,7 +54,10 @@ class Rules:
     words_base: float = 0.12
     words_noise: float = 1.6
     share: float = 0.005
-    language_share: float = 0.001
+    reference_documents: int = 30
+    reference_words: int = 1000
+    letter_percent: int = 75
+    languages: int = 1000
     buckets: int = 4096
     flush: int = 100_000
 
@@ -68,7 +74,8 @@ def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
 
 
 def _profile(batches: Iterable[pa.RecordBatch], rules: Rules) -> Iterator[pa.RecordBatch]:
-    """Per language: characters by class (slots below CLASSES) and words by hash bucket."""
+    """Per language: characters by class (slots below CLASSES), words by hash bucket, and in the
+    last slot the texts that have words."""
     totals: dict[str, np.ndarray] = {}
 
     def flush():
@@ -81,9 +88,10 @@ def _profile(batches: Iterable[pa.RecordBatch], rules: Rules) -> Iterator[pa.Rec
 
     for batch in T.portions(batches):
         for lang, texts in _by_language(batch):
-            total = totals.setdefault(lang, np.zeros(CLASSES + rules.buckets, np.int64))
+            total = totals.setdefault(lang, np.zeros(CLASSES + rules.buckets + 1, np.int64))
             total[:CLASSES] += _char_counts(b" ".join(texts))
             total[SPACE] -= len(texts) - 1
+            total[-1] += sum(1 for t in texts if t.split(None, 1))
             for word, n in Counter(chain.from_iterable(t.split() for t in texts)).items():
                 total[CLASSES + zlib.crc32(word) % rules.buckets] += n
         if len(totals) > 64:
@@ -145,24 +153,39 @@ def once(docs: DataFrame) -> DataFrame:
     return rows.join(copied, key, "left_anti").select("text", "lang").unionAll(firsts)
 
 
-def references(docs: DataFrame, rules: Rules = Rules()) -> list[Reference]:
-    """References of the languages in `docs` (text, lang), counted over all of its rows.
+def languages(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """(lang, slots, words) of the languages in `rows` (text, lang) that have a reference.
 
-    Words are first counted in hash buckets. A common word makes its bucket heavy, so a second
-    pass needs exact counts only for the words of the few heavy buckets. What reaches the driver
-    is bounded: at most 1 / language_share languages, 4096 buckets and 1 / share words of each.
+    Nothing but a language's own texts decides whether it has one. Texts without a language have
+    none: a mix of languages is like no text.
     """
-    rows = docs.select("text", _language().alias("lang"))
-    profile = rows.mapInArrow(partial(_profile, rules=rules), "lang string, slot long, n long")
+    profile = rows.where("lang <> ''").mapInArrow(partial(_profile, rules=rules), "lang string, slot long, n long")
     slots = profile.groupBy("lang", "slot").agg(F.sum("n").alias("n"))
     slots = slots.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("slot", "n"))).alias("slots"))
-    words = F.aggregate(F.map_entries("slots"), F.lit(0).cast("long"), lambda a, e: a + F.when(
-        e["key"] >= CLASSES, e["value"]).otherwise(0))
-    slots = cut(slots.withColumn("words", words), "profiles")
-    total = slots.agg(F.sum("words")).first()[0] or 0
-    profiles = slots.where((F.col("words") > 0) & (F.col("words") >= rules.language_share * total)).collect()
+
+    def total(wanted):
+        return F.aggregate(F.map_entries("slots"), F.lit(0).cast("long"),
+                           lambda a, e: a + F.when(wanted(e["key"]), e["value"]).otherwise(0))
+
+    texts = F.coalesce(F.element_at("slots", F.lit(CLASSES + rules.buckets).cast("long")), F.lit(0))
+    visible = total(lambda s: (s < CLASSES) & (s != SPACE))
+    slots = slots.withColumn("words", total(lambda s: (s >= CLASSES) & (s < CLASSES + rules.buckets)))
+    written = (texts >= rules.reference_documents) & (F.col("words") >= rules.reference_words)
+    written &= 100 * total(lambda s: s.isin(*LETTERS)) >= rules.letter_percent * visible
+    return cut(slots.where(written), "profiles")
+
+
+def references(rows: DataFrame, rules: Rules = Rules(), profiles: DataFrame | None = None) -> list[Reference]:
+    """References of the languages of `profiles`, or of all that have one, in `rows` (text, lang),
+    counted over all rows.
+
+    Words are first counted in hash buckets. A common word makes its bucket heavy, so a second
+    pass needs exact counts only for the words of the few heavy buckets. What reaches the driver
+    is 4096 buckets and at most 1 / share words of each language.
+    """
+    profiles = (languages(rows, rules) if profiles is None else profiles).collect()
     heavy = {p.lang: {s - CLASSES for s, n in p.slots.items()
-                      if s >= CLASSES and n >= rules.share * p.words} for p in profiles}
+                      if CLASSES <= s < CLASSES + rules.buckets and n >= rules.share * p.words} for p in profiles}
     counted = rows.mapInArrow(partial(_candidates, heavy=heavy, rules=rules),
                               "lang string, word binary, n long")
     sizes = F.create_map(*chain.from_iterable((F.lit(p.lang), F.lit(p.words)) for p in profiles)) \
@@ -234,10 +257,9 @@ COLUMNS = {
 
 
 def measures(
-    texts: list[bytes], refs: list[Reference], rules: Rules, langs: list[str] | None = None
+    texts: list[bytes], refs: list[Reference], rules: Rules, langs: list[str]
 ) -> dict[str, np.ndarray]:
-    """The columns of COLUMNS for some texts. With `langs`, the language of each, a text whose
-    language has no reference is left to the base rules."""
+    """The columns of COLUMNS for some texts in `langs`; distances are NaN without a reference."""
     rows = len(texts)
     split = [t.split() for t in texts]
     n_words = np.array([len(w) for w in split], np.int64)
@@ -249,30 +271,35 @@ def measures(
     ids = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
     chars = np.array([_char_counts(t) for t in texts]).reshape(rows, CLASSES)
     repeats = _repeated(ids, owner, rows)
-    far_chars, far_words = np.zeros((len(refs), rows)), np.zeros((len(refs), rows))
-    for i, ref in enumerate(refs):
-        width = len(ref.words) + 1
-        column = np.full(len(number), width - 1)
-        for c, word in enumerate(ref.words):
-            if word in number:
-                column[number[word]] = c
-        counts = np.bincount(owner * width + column[ids], minlength=rows * width)
-        far_words[i] = divergence(counts.reshape(rows, width), ref.shares)
-        far_chars[i] = divergence(chars, ref.chars)
-    far_chars = far_chars.min(axis=0, initial=1.0) if refs else np.zeros(rows)
-    far_words = far_words.min(axis=0, initial=1.0) if refs else np.zeros(rows)
+    far_chars, far_words = np.full(rows, np.nan), np.full(rows, np.nan)
+    own: dict[str, list[int]] = {}
+    for i, lang in enumerate(langs):
+        own.setdefault(lang, []).append(i)
+    for ref in refs:
+        if ref.lang in own:
+            at = np.array(own[ref.lang])
+            width = len(ref.words) + 1
+            column = np.full(len(number), width - 1)
+            for c, word in enumerate(ref.words):
+                if word in number:
+                    column[number[word]] = c
+            row = np.full(rows, -1)
+            row[at] = np.arange(len(at))
+            inside = row[owner] >= 0
+            counts = np.bincount(row[owner[inside]] * width + column[ids[inside]], minlength=len(at) * width)
+            far_words[at] = divergence(counts.reshape(len(at), width), ref.shares)
+            far_chars[at] = divergence(chars[at], ref.chars)
     n_chars = chars.sum(axis=1)
     limit_chars = rules.chars_base + rules.chars_noise / np.sqrt(np.maximum(n_chars, 1))
     limit_words = rules.words_base + rules.words_noise / np.sqrt(np.maximum(n_words, 1))
     failed = (n_words < rules.min_words) | (100 * repeats > rules.repeat_percent * n_words)
     strange = (n_chars >= rules.min_chars) & (far_chars > limit_chars)
     strange |= (n_words >= rules.min_common) & (far_words > limit_words)
-    if langs is not None:
-        known = {ref.lang for ref in refs}
-        strange &= np.fromiter((lang in known for lang in langs), bool, rows)
+    visible, letters = n_chars - chars[:, SPACE], chars[:, LETTERS].sum(axis=1)
+    strange |= np.isnan(far_chars) & (n_chars >= rules.min_chars) & (100 * letters < rules.letter_percent * visible)
     return {
         "n_words": n_words,
-        "word_chars": n_chars - chars[:, SPACE],
+        "word_chars": visible,
         "n_symbols": chars[:, SYMBOL],
         "n_dup_lines": np.array([_dup_lines(t) for t in texts], np.int64),
         "n_repeat_words": repeats,
@@ -287,7 +314,17 @@ def _judge(batches: Iterable[pa.RecordBatch], refs, rules) -> Iterator[pa.Record
     for batch in T.portions(batches):
         found = measures(T.raw(batch), refs, rules, batch.column("lang").to_pylist())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *map(pa.array, found.values())], ["doc_id", *found])
+            [batch.column("doc_id"), *(pa.array(c, from_pandas=True) for c in found.values())], ["doc_id", *found])
+
+
+def _passes(docs: DataFrame, rules: Rules) -> Iterator[tuple[Column, list[Reference]]]:
+    """Which rows of a table with the column `lang` a pass takes, and the references it needs."""
+    rows = once(docs)
+    found = languages(rows, rules)
+    passes = -(-found.count() // rules.languages)
+    for i in range(max(passes, 1)):
+        here = F.pmod(F.xxhash64(_language()), F.lit(passes)) == i if passes > 1 else F.lit(True)
+        yield here, references(rows.where(here), rules, found.where(here))
 
 
 def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -295,17 +332,19 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     Words are runs of anything but ASCII white space. A text fails when it has too few words or
     too many of them lie in repeated windows of five. One that does not fail is kept unless its
-    character classes or its common words are further than chance allows from every language
-    reference; the references come from all texts, copies counted once, and the nearest counts, so
-    the name of another language that has a reference does no harm. A language too rare for a reference (null is one
-    too) has nothing to be held against: its texts pass on the base rules alone, and their
-    distances are those from the nearest foreign reference. A null text is empty: it has no words,
-    and fails. Other columns are not looked at. An empty table gives an empty table.
+    character classes or its common words are further than chance allows from the reference of its
+    language, which comes from all its texts, copies counted once. No text has a say in the
+    verdicts of another language, so what a made-up language holds changes nothing outside it. A
+    text whose language has no reference (null is such a language) is held against what all
+    scripts share: one of `min_chars` characters goes if too few are letters or punctuation. Its
+    distances are null. A null text is empty: it has no words, and fails. Texts are judged whole,
+    however long. Other columns are not looked at. An empty table gives an empty table.
     """
-    refs = references(once(docs), rules)
     schema = ", ".join(["doc_id long", *(f"{c} {t}" for c, t in COLUMNS.items())])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _language().alias("lang"))
-    return rows.mapInArrow(partial(_judge, refs=refs, rules=rules), schema)
+    return reduce(DataFrame.unionAll, [
+        rows.where(here).mapInArrow(partial(_judge, refs=refs, rules=rules), schema)
+        for here, refs in _passes(docs, rules)])
 
 
 def _filter(batches: Iterable[pa.RecordBatch], refs, rules, lang: str) -> Iterator[pa.RecordBatch]:
@@ -317,5 +356,7 @@ def _filter(batches: Iterable[pa.RecordBatch], refs, rules, lang: str) -> Iterat
 def keep(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of `docs` that `judge` keeps, with all their columns."""
     lang = T.fresh(docs, "judged_as")
-    judged = partial(_filter, refs=references(once(docs), rules), rules=rules, lang=lang)
-    return docs.withColumn(lang, _language()).mapInArrow(judged, docs.schema)
+    return reduce(DataFrame.unionAll, [
+        docs.where(here).withColumn(lang, _language()).mapInArrow(
+            partial(_filter, refs=refs, rules=rules, lang=lang), docs.schema)
+        for here, refs in _passes(docs, rules)])

@@ -395,6 +395,29 @@ def test_a_third_of_all_rows_in_copies_moves_no_verdict(spark):
     assert sorted_rows(quality.once(made)) == sorted(((t, x) for t, x in {(t, x) for _, t, x in rows + copies}), key=repr)
 
 
+def test_junk_of_a_made_up_language_moves_no_verdict_and_stays_out(spark, testdata):
+    rng = random.Random(10)
+    rows = table(spark, testdata, "documents").select("doc_id", "text", "lang")
+
+    def junk(i, lang):
+        return 10_000 + i, " ".join("".join(rng.choice("0123456789abcdef") for _ in range(8)) for _ in range(300)), lang
+
+    made = spark.createDataFrame([junk(0, "en"), *(junk(1 + i, "zz") for i in range(60))], rows.schema)
+    want = {(r.doc_id, r.kept) for r in quality.judge(rows).collect()}
+    for wanted in (60, 20):
+        judged = quality.judge(rows.union(made.where(F.col("doc_id") <= 10_000 + wanted))).collect()
+        assert {(r.doc_id, r.kept) for r in judged if r.doc_id < 10_000} == want
+        assert not any(r.kept for r in judged if r.doc_id >= 10_000)
+
+
+def test_references_in_passes_change_nothing(spark, testdata):
+    rows = table(spark, testdata, "documents")
+    want = sorted_rows(quality.judge(rows))
+    assert sorted_rows(quality.judge(rows, quality.Rules(languages=1))) == want
+    kept = {r.doc_id for r in quality.keep(rows, quality.Rules(languages=1)).collect()}
+    assert kept == {r[0] for r in want if r[-1]}
+
+
 def test_labels_agree(spark, testdata):
     rows = table(spark, testdata, "documents")
     judged = quality.judge(rows).join(table(spark, testdata, "labels"), "doc_id").where("n_words >= 50").collect()

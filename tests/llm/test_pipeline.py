@@ -9,7 +9,7 @@ from tests.llm.test_brute import infix_distance, matched_lines, plain_print
 def test_run_equals_plain_stages(spark, testdata):
     rows = [r.asDict() for r in table(spark, testdata, "documents").collect()]
     refs = quality.references(table(spark, testdata, "documents"))
-    kept = quality.measures([r["text"].encode() for r in rows], refs, quality.Rules())["kept"]
+    kept = quality.measures([r["text"].encode() for r in rows], refs, quality.Rules(), [r["lang"] for r in rows])["kept"]
     rows = [r for r, k in zip(rows, kept) if k]
 
     gone, _ = matched_lines([(r["doc_id"], r["text"]) for r in rows])
