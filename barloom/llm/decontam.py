@@ -19,11 +19,14 @@ EDIT_SHARE = 0.2
 TARGET_RECALL = 0.98
 SAMPLED = 3
 STRETCH = 3
+# A walk through n words takes 2 n steps on average; places after its end would tell nothing.
+WALKED = 2
 SEED_WORDS = 3
 # Benchmark words that tasks hold at a time; more items take more passes over the documents.
 BLOCK_WORDS = 200_000
 WINDOWS_AT_ONCE = 2048
-CALIBRATION_ITEMS = 64
+TRIALS = 256  # edited windows per item length
+TRIED_FIRST = 32
 MAX_REPETITIONS = 512
 
 # A-Z become a-z and ASCII punctuation becomes a space; other bytes stay.
@@ -71,7 +74,9 @@ class Index:
     `vocab` numbers the items' words from 1. `grams` are the items' distinct seeds, word runs of
     `width`; seed g occurs at item and offset `places[starts[g]:starts[g + 1]]`. Repetition r of
     the embedding steps on by the top bit of `mul[r] * word + add[r]`. `tables[r]` maps the
-    sampled words of an embedded item (its length and a sum) to items.
+    sampled words of an embedded item (its length and a sum) to items; items of length n are in
+    the first `counts[n]` of them. Where no number of repetitions reaches the target recall, all
+    windows of that length are verified with the items in `unsampled`.
     """
 
     ids: list[int | None]
@@ -83,7 +88,9 @@ class Index:
     add: np.ndarray
     weight: np.ndarray
     sampled: dict[int, np.ndarray]
+    counts: dict[int, int]
     tables: list[dict[tuple[int, int], list[int]]]
+    unsampled: dict[int, list[int]]
 
 
 def _seed_words(n: int, share: float) -> int:
@@ -141,16 +148,28 @@ def _edited(item: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarra
     return np.array((out + [0] * edits)[: len(item)], np.int64)
 
 
-def _repetitions(index: Index, target: float) -> int:
-    """Repetitions that find `target` of windows at the edit limit, tried on some of the items."""
+def _repetitions(index: Index, target: float) -> dict[int, int]:
+    """Per item length the repetitions that find `target` of windows at the edit limit, by trial on
+    its items; 0 if MAX_REPETITIONS find fewer."""
     rng = np.random.default_rng(11)
-    step = -(-len(index.items) // CALIBRATION_ITEMS)
-    tried = [x for x in index.items[::step] for _ in range(8)]
-    edited = [_edited(x, allowed(len(x), index.share), rng) for x in tried]
-    every = slice(0, MAX_REPETITIONS)
-    hits = _walk(*_matrix(tried), index, every) == _walk(*_matrix(edited), index, every)
-    found = np.cumsum(hits, axis=1).astype(bool).mean(axis=0)
-    return int(np.argmax(found >= target)) + 1 if found[-1] >= target else MAX_REPETITIONS
+    by_length: dict[int, list[np.ndarray]] = {}
+    for item in index.items:
+        by_length.setdefault(len(item), []).append(item)
+    counts = {}
+    for n, items in sorted(by_length.items()):
+        tried = [items[i % len(items)] for i in range(TRIALS)]
+        edited = [_edited(x, allowed(n, index.share), rng) for x in tried]
+        found, low, counts[n] = np.zeros(TRIALS, bool), 0, 0
+        while low < MAX_REPETITIONS and not counts[n]:
+            some = slice(low, min(2 * low + TRIED_FIRST, MAX_REPETITIONS))
+            hits = _walk(*_matrix(tried), index, some) == _walk(*_matrix(edited), index, some)
+            hits[:, 0] |= found
+            hits = np.logical_or.accumulate(hits, axis=1)
+            enough = np.flatnonzero(hits.mean(axis=0) >= target)
+            if len(enough):
+                counts[n] = low + int(enough[0]) + 1
+            found, low = hits[:, -1], some.stop
+    return counts
 
 
 def build(items: list[tuple[int | None, bytes]], share: float = EDIT_SHARE, target: float = TARGET_RECALL) -> Index | None:
@@ -182,18 +201,20 @@ def build(items: list[tuple[int | None, bytes]], share: float = EDIT_SHARE, targ
     lengths = sorted({len(x) for x in rows})
     sampled = {n: np.zeros((MAX_REPETITIONS, steps), bool) for n in lengths}
     for n in lengths:
-        at = rng.integers(STRETCH * n, size=(MAX_REPETITIONS, SAMPLED))
+        at = rng.integers(WALKED * n, size=(MAX_REPETITIONS, SAMPLED))
         np.put_along_axis(sampled[n], at, True, axis=1)
     index = Index([i for i, _ in split], rows, vocab, share, seeds, random(MAX_REPETITIONS, steps),
-                  random(MAX_REPETITIONS, steps), random(steps) | np.uint64(1), sampled, [])
-    count = _repetitions(index, target)
-    for _ in range(count):
-        index.tables.append({})
+                  random(MAX_REPETITIONS, steps), random(steps) | np.uint64(1), sampled, {}, [], {})
+    index.counts.update(_repetitions(index, target))
+    index.tables.extend({} for _ in range(max(index.counts.values())))
     for low in range(0, len(rows), WINDOWS_AT_ONCE):
         part = rows[low:low + WINDOWS_AT_ONCE]
-        for i, sums in enumerate(_walk(*_matrix(part), index, slice(0, count)).tolist(), low):
-            for found, value in zip(index.tables, sums):
-                found.setdefault((len(rows[i]), value), []).append(i)
+        for i, sums in enumerate(_walk(*_matrix(part), index, slice(0, len(index.tables))).tolist(), low):
+            n = len(rows[i])
+            if not index.counts[n]:
+                index.unsampled.setdefault(n, []).append(i)
+            for found, value in zip(index.tables[:index.counts[n]], sums):
+                found.setdefault((n, value), []).append(i)
     return index
 
 
@@ -234,8 +255,10 @@ def find(texts: list[bytes], index: Index) -> list[tuple[int, int, int, int, int
         at = part[:, :1] + np.arange(part[:, 1].max())
         inside = at < (first + sizes)[doc][:, None]
         rows = np.where(inside, ids[np.minimum(at, len(ids) - 1)], 0)
-        sums = _walk(rows, part[:, 1], index, slice(0, len(index.tables))).tolist()
+        used = max(index.counts[n] for n in np.unique(part[:, 1]).tolist())
+        sums = _walk(rows, part[:, 1], index, slice(0, used)).tolist()
         for (begin, n), values in zip(part.tolist(), sums):
+            candidates.update((begin, item) for item in index.unsampled.get(n, ()))
             for table, value in zip(index.tables, values):
                 for item in table.get((n, value), ()):
                     candidates.add((begin, item))
@@ -288,7 +311,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE,
     most `share` of its words turn it into a run of the text's words; the run with the fewest
     edits, then the first, is given. Windows of an item's size whose CGK embedding agrees with an
     item's in the sampled places of some repetition are verified; repetitions are as many as find
-    `target` of edited items. Windows are looked at where a short word run is shared with an
+    `target` of edited items of each length. Where that takes too many, all windows are verified. Windows are looked at where a short word run is shared with an
     item, which loses none. Null and empty texts and items match nothing; items and
     documents without an id are reported under null; repeated rows each give rows.
 

@@ -196,6 +196,27 @@ def test_edited_items_are_found(spark, docs):
             assert infix_distance(decontam.words(items[r.item_id].encode()), part) == r.edits
 
 
+def test_sampling_selects_and_reaches_its_recall(monkeypatch):
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [(n, " ".join(rng.choice(vocabulary, n)).encode()) for n in (15, 22, 37, 45, 59) for _ in range(4)]
+    index = decontam.build(items)
+    assert min(index.counts.values()) > 0 and not index.unsampled
+    for n, count in index.counts.items():
+        own = [x for x in index.items if len(x) == n]
+        tried = [own[i % 4] for i in range(300)]
+        edited = [decontam._edited(x, decontam.allowed(n, index.share), rng) for x in tried]
+        other = [rng.integers(1, len(index.vocab), n) for _ in tried]
+        mine, near, far = (decontam._walk(*decontam._matrix(x), index, slice(0, count)) for x in (tried, edited, other))
+        assert (mine == near).any(axis=1).mean() >= 0.95
+        assert (mine == far).any(axis=1).mean() <= 0.1
+    monkeypatch.setattr(decontam, "MAX_REPETITIONS", 2)
+    strict = decontam.build(items)
+    assert set(strict.counts.values()) == {0} and sum(map(len, strict.unsampled.values())) == len(items)
+    text = b"one two " + b" ".join(items[7][1].split()[1:]) + b" three"
+    assert [(0, i) for _, i, *_ in decontam.find([text], strict)] == [(0, i) for _, i, *_ in decontam.find([text], index)] != []
+
+
 def test_verbatim_items_in_the_corpus(spark, testdata, corpus):
     benchmark = table(spark, testdata, "benchmark")
     found = {(r.doc_id, r.item_id) for r in decontam.matches(corpus, benchmark).collect()}
