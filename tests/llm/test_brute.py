@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -500,6 +501,34 @@ def test_model_prefers_text_to_noise(corpus, docs):
     assert min(scores[i] for i in held[1::2]) > max(scores[i] for i in held[::2])
 
 
+def test_ranges_split_by_hash_change_no_score(corpus, monkeypatch):
+    rows = corpus.select("doc_id", "text")
+    want = sorted_rows(ppm.score(rows, chunk_bytes=40_000, bucket_bytes=20_000))
+    monkeypatch.setattr(ppm, "RANGES", 3)
+    assert sorted_rows(ppm.score(rows, chunk_bytes=40_000, bucket_bytes=20_000)) == want
+
+
+def test_small_probabilities_are_kept(spark):
+    prices = -np.array([0, 0.5, 15.9999, 16, 16.5, 3, 28.2, 400.25])
+    packed = b"12345678" + ppm._steps(prices)
+    assert ppm._prices(packed, len(prices), 8) == pytest.approx(prices, abs=0.5 / ppm.STEPS)
+    assert len(ppm._prices(b"", 0, 0)) == 0
+    grams = np.array([(1 << 45) | 7, (1 << 45) | 8])
+    price = ppm.code_lengths(grams, np.array([10**17, 1]), np.array([7, 8]), np.array([10**17, 1]))
+    known = {"key": grams, "value": price, "bucket": np.zeros(2, np.int32)}
+    asked = pa.table({"chunk": [0], "bucket": [0], "keys": [chunks.squeeze(np.diff(grams, prepend=0).tobytes())]})
+    answer = chunks.expand(ppm._answer(asked, pa.table(known)).column("keys")[0].as_py())
+    assert price[1] < -17 and ppm._prices(answer, 2, 0) == pytest.approx(price, abs=1e-3)
+
+
+def test_hashed_places():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 5000):
+        distinct = np.unique(rng.integers(0, 1 << 54, n))
+        keys = rng.choice(distinct, 3 * n) if n else distinct
+        assert (ppm._places(distinct, keys) == np.searchsorted(distinct, keys)).all()
+
+
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(3)
     context = (rng.integers(0, 3, 400)[:, None] << (ppm.BITS * np.arange(5, 2, -1))).sum(axis=1)
