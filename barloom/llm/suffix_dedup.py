@@ -6,6 +6,7 @@ import hashlib
 import math
 import zlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import partial
 from itertools import repeat
 
@@ -22,6 +23,7 @@ SPAN = LENGTH - ANCHOR + 1
 BUCKET_BYTES = 2 * 1024 * 1024
 SAMPLED_CHUNKS = 64
 SAMPLED_PLACES = 2048
+RANGES = 8192  # of leading bytes at most; more buckets than that split each range by anchor
 # An anchor in more strings than this is compared by windows, about as many of them to a bucket.
 HOT_STRINGS = 16_384
 # Strings of an anchor in one chunk from which on they are counted; fewer count as one.
@@ -36,6 +38,23 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 KEPT = "doc_id long, text string, spans array<struct<start:int,end:int>>"
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Suffixes go to buckets by range of their leading bytes, and within a range that is more than
+    one bucket by a hash of their anchor: equal anchors meet, however many buckets there are."""
+
+    cuts: np.ndarray
+    parts: int
+
+    @property
+    def number(self) -> int:
+        return (len(self.cuts) + 1) * self.parts
+
+    def of(self, lead: np.ndarray, key: np.ndarray) -> np.ndarray:
+        part = (key >> np.uint64(8)) % np.uint64(self.parts)
+        return np.searchsorted(self.cuts, lead, side="right") * self.parts + part.astype(np.int64)
+
+
 def _words(data: np.ndarray) -> np.ndarray:
     """The 8 bytes at each place as a number."""
     return np.lib.stride_tricks.as_strided(data.view(), (max(len(data) - 7, 0), 8), (1, 1)).copy().view("<u8")[:, 0]
@@ -113,8 +132,8 @@ class Suffixes:
             out[entry] = least[string] < doc
         return out
 
-    def buckets(self, splitters: np.ndarray) -> np.ndarray:
-        return np.searchsorted(splitters, self.lead, side="right")
+    def buckets(self, buckets: Buckets) -> np.ndarray:
+        return buckets.of(self.lead, self.key)
 
     def counted(self, short: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(keys, pairs): the distinct short keys of some entries, and (place of a key, its number
@@ -143,31 +162,34 @@ def _sample(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(lead)], ["lead"])
 
 
-def splitters(chunks: DataFrame, bucket_bytes: int) -> np.ndarray:
-    """Leading bytes at which buckets begin, from a bounded sample; they do not touch results."""
+def splitters(chunks: DataFrame, bucket_bytes: int) -> Buckets:
+    """Leading bytes at which ranges begin, from a bounded sample, and the buckets of each range;
+    they do not touch results. The number of buckets grows with the text."""
     n, size = chunks.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
-    buckets = math.ceil(size / bucket_bytes)
-    if buckets < 2:
-        return np.zeros(0, np.uint64)
+    buckets = max(1, math.ceil(size / bucket_bytes))
+    ranges = min(buckets, RANGES)
+    parts = -(-buckets // ranges)
+    if ranges < 2:
+        return Buckets(np.zeros(0, np.uint64), parts)
     some = chunks.sample(min(1.0, SAMPLED_CHUNKS / n), seed=5) if n > SAMPLED_CHUNKS else chunks
     leads = some.mapInArrow(_sample, "lead long").toArrow().column("lead").to_numpy()
     leads = np.sort(leads.astype(np.int64).view(np.uint64))
     if not len(leads):
-        return np.zeros(0, np.uint64)
-    return np.unique(leads[np.arange(1, buckets) * len(leads) // buckets])
+        return Buckets(np.zeros(0, np.uint64), parts)
+    return Buckets(np.unique(leads[np.arange(1, ranges) * len(leads) // ranges]), parts)
 
 
 def _short(keys: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(32)).astype(np.uint32)
 
 
-def _ask(batches: Iterable[pa.RecordBatch], cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _ask(batches: Iterable[pa.RecordBatch], buckets: Buckets) -> Iterator[pa.RecordBatch]:
     """Per bucket the hashed anchors that the chunk has, each once, and the counts of frequent ones."""
     for chunk in C.each(batches):
         suffixes = Suffixes(chunk)
         short = _short(suffixes.key)
         rows = []
-        for bucket, at in C.grouped(suffixes.buckets(cuts)):
+        for bucket, at in C.grouped(suffixes.buckets(buckets)):
             known, pairs = suffixes.counted(short, at)
             rows.append((bucket, np.concatenate([[len(known)], known, pairs.ravel()]).astype(np.uint32).tobytes()))
         numbers, keys = zip(*rows) if rows else ((), ())
@@ -202,7 +224,7 @@ def _packed(ids, first, count, offset, strings: bytes) -> bytes:
     return C.squeeze(np.concatenate(parts).astype(np.int64).tobytes() + strings, C.TEXT_LEVEL)
 
 
-def _send(left: pa.Table, right: pa.Table, cuts: np.ndarray, hot_strings: int) -> pa.Table:
+def _send(left: pa.Table, right: pa.Table, buckets: Buckets, hot_strings: int) -> pa.Table:
     """Per bucket the strings around anchors that occur elsewhere, with place and document.
 
     The strings of a hot anchor go as their single windows, to buckets by a hash of the window:
@@ -216,7 +238,7 @@ def _send(left: pa.Table, right: pa.Table, cuts: np.ndarray, hot_strings: int) -
         bits = dict(zip(right.column("bucket").to_pylist(), right.column("keys").to_pylist()))
         local = _locally_shared(suffixes)
         keep = ~suffixes.shadowed()
-        for bucket, at in C.grouped(suffixes.buckets(cuts)):
+        for bucket, at in C.grouped(suffixes.buckets(buckets)):
             known, place = np.unique(short[at], return_inverse=True)
             size = -(-len(known) // 8)
             elsewhere = np.unpackbits(np.frombuffer(bits[bucket][:size], np.uint8), count=len(known))[place] > 0
@@ -228,7 +250,7 @@ def _send(left: pa.Table, right: pa.Table, cuts: np.ndarray, hot_strings: int) -
             for e, n in zip(at[chosen & (total > 0)].tolist(), total[chosen & (total > 0)].tolist()):
                 parts = -(-n * SPAN // hot_strings)
                 for start, window in suffixes.windows(e):
-                    to = len(cuts) + 1 + (int(short[e]) + zlib.crc32(window) % parts) % SPREAD
+                    to = buckets.number + (int(short[e]) + zlib.crc32(window) % parts) % SPREAD
                     spread.setdefault(to, []).append((ids[e], start, suffixes.anchor[e] - start, window))
             at = at[chosen & (total == 0)]
             if len(at):
@@ -392,11 +414,11 @@ def _trimmed(left: pa.Table, right: pa.Table) -> pa.Table:
 
 def sent(chunks: DataFrame, bucket_bytes: int, hot_strings: int = HOT_STRINGS) -> DataFrame:
     """(chunk, bucket, packed): what each bucket has to compare."""
-    cuts = splitters(chunks, bucket_bytes)
-    asked = chunks.mapInArrow(partial(_ask, cuts=cuts), ASKED)
+    buckets = splitters(chunks, bucket_bytes)
+    asked = chunks.mapInArrow(partial(_ask, buckets=buckets), ASKED)
     answered = asked.groupBy("bucket").applyInArrow(lambda asked: _answer(asked, hot_strings), ASKED)
     return chunks.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(
-        lambda left, right: _send(left, right, cuts, hot_strings), SENT)
+        lambda left, right: _send(left, right, buckets, hot_strings), SENT)
 
 
 def _removed(docs: DataFrame, chunk_bytes: int, bucket_bytes: int, hot_strings: int):

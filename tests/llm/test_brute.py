@@ -311,6 +311,23 @@ def test_suffixes(corpus, docs):
     assert sorted_rows(suffix_dedup.digest(corpus, 50_000, 20_000)) == removed_bytes(pairs(corpus))
 
 
+def test_few_ranges_still_give_many_buckets(corpus, monkeypatch):
+    packed = chunks.pack(corpus, 20_000)
+    whole = packed.agg(F.sum("n_bytes")).first()[0]
+
+    def sizes():
+        found = Counter()
+        for r in suffix_dedup.sent(packed, 2000).collect():
+            found[r.bucket] += int(np.frombuffer(chunks.expand(r.packed), np.int64, 1)[0])
+        return found
+
+    want, most = sorted_rows(suffix_dedup.digest(corpus, 20_000, 2000)), max(sizes().values())
+    monkeypatch.setattr(suffix_dedup, "RANGES", 2)
+    assert suffix_dedup.splitters(packed, 2000).number >= whole / 2000
+    assert sorted_rows(suffix_dedup.digest(corpus, 20_000, 2000)) == want
+    assert max(sizes().values()) <= 3 * most
+
+
 def test_a_phrase_in_many_documents_is_spread_over_buckets(docs):
     rng = random.Random(4)
     phrase = "Published daily by the River House, all"
