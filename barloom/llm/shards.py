@@ -11,7 +11,6 @@ from barloom.session import cut
 
 BITS = 4
 CELLS = 1 << BITS
-FINE = 4096
 LEADING = 6
 
 
@@ -124,40 +123,30 @@ def assign(rows: DataFrame, shards: int, dimensions=DOCUMENT_DIMENSIONS, key: st
            ties: tuple[str, ...] = ()) -> DataFrame:
     """`rows` with hilbert, shard and slot: runs of equal row count along the curve.
 
-    Rows are ordered by curve index, key and `ties`; run i holds the rows from rank
+    Rows are ordered by curve index, key (null first) and `ties`; run i holds the rows from rank
     ceil(i * n / shards) on, so counts differ by one at most; slots count from 0 in each shard.
-    Each row is ranked inside its chunk, a curve index and a fine slice of the key, and chunk
-    counts give the offsets, so no task holds more than a chunk. Rows without a key are sliced by
-    a hash of the ties and come first in their slice. Rows equal in key and ties take their slots
-    in any order. The dimensions' bounds and the row count are all that reaches the driver. Input
-    columns named hilbert, shard, slot or beginning with an underscore are replaced.
+    Rows are range-partitioned and sorted once; their written place in a partition and one row per
+    partition give the rank, so neither outlying keys nor a curve index or key with very many rows
+    make a large task. Rows equal in key and ties take their slots in any order. The dimensions'
+    bounds and the row count are all that reaches the driver. Input columns named hilbert, shard,
+    slot or beginning with an underscore are replaced.
     """
-    rows = cut(rows, "shard-rows")
+    rows = cut(rows.withColumn("_own", F.monotonically_increasing_id()), "shard-rows")
     n = rows.count()
-    bounds = _bounds(rows, (*dimensions, Dimension(key, "number")))
+    bounds = _bounds(rows, dimensions)
     placed = rows.withColumn("hilbert", _curve([_cell(d, *bounds[d.column]) for d in dimensions]))
-    loose = F.pmod(F.xxhash64(*ties) if ties else F.lit(0), F.lit(FINE)).cast("long")
-    low, high = bounds[key]
-    fine = loose if low is None else F.coalesce(_scaled(F.col(key), low, high, FINE * CELLS), loose)
-    placed = placed.withColumn("_fine", fine)
-
-    chunk = ["hilbert", "_fine"]
-    counts = placed.groupBy(*chunk).agg(F.count("*").alias("_n"))
-    inside = Window.partitionBy("hilbert").orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    # At most 65,536 curve indices exist, so their offsets fit one task.
-    cells = counts.groupBy("hilbert").agg(F.sum("_n").alias("_cell"))
-    along = Window.orderBy("hilbert").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select("hilbert", F.coalesce(F.sum("_cell").over(along), F.lit(0)).alias("_start"))
-    offsets = counts.join(cells, "hilbert").select(*chunk, (F.col("_before") + F.col("_start")).alias("_offset"))
-
-    order = Window.partitionBy(*chunk).orderBy(key, *ties)
-    rank = F.col("_offset") + F.row_number().over(order) - 1
-    ranked = placed.join(offsets, chunk).withColumn("_rank", rank)
+    order = ["hilbert", key, *ties, "_own"]
+    dealt = placed.repartitionByRange(*order).sortWithinPartitions(*order).drop("_own")
+    dealt = cut(dealt.withColumn("_place", F.monotonically_increasing_id()), "shard-order")
+    dealt = dealt.withColumn("_part", F.shiftright("_place", 33))
+    runs = dealt.groupBy("_part").agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")
+    runs = runs.select("_part", (before - F.col("_first")).alias("_shift"))
+    ranked = dealt.join(runs, "_part").withColumn("_rank", F.col("_place") + F.col("_shift"))
     shard = F.expr(f"_rank * {shards} div {max(n, 1)}")
     ranked = ranked.withColumn("shard", shard.cast("int"))
     begin = F.expr(f"(shard * {n}L + {shards - 1}) div {shards}")
-    return ranked.withColumn("slot", (F.col("_rank") - begin).cast("long")).drop("_fine", "_offset", "_rank")
+    return ranked.withColumn("slot", (F.col("_rank") - begin).cast("long")).drop("_part", "_place", "_shift", "_rank")
 
 
 def assign_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
@@ -165,8 +154,9 @@ def assign_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
 
     Only ids, sizes, checksums, language and source are moved, never the text. Size is the UTF-8
     length of the text plus 8; a null text is empty. The law is "rows": counts of shards differ by
-    one at most. Null languages and sources lie at the lower end of their axis. An empty table
-    gives an empty table; other columns are not looked at.
+    one at most. Null languages and sources lie at the lower end of their axis. Texts of any length
+    are read once, for their size and checksum. An empty table gives an empty table; other columns
+    are not looked at.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     slim = docs.select(

@@ -13,6 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from barloom import session
 from barloom.llm import (chunks, decontam, line_dedup, pieces, ppm, quality, secret_scan, shards, simhash,
                          suffix_dedup, url_filter)
 from barloom.llm.components import components
@@ -48,6 +49,31 @@ def test_shards_differ_by_one_row_and_slots_have_no_gaps(corpus):
     assert [r.hilbert for r in order] == sorted(r.hilbert for r in rows)
 
 
+def test_an_outlying_id_and_a_hot_id_make_no_large_task(spark, monkeypatch):
+    largest = []
+
+    def watched(df, name="cut"):
+        out = session.cut(df, name)
+        if name == "shard-order":
+            largest.append(out.groupBy(F.shiftright("_place", 33)).count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(shards, "cut", watched)
+    ids = [*range(2000), 2**62, *[7] * 1000]
+    rows = spark.createDataFrame([(i, "same text", "en", "s") for i in ids], "doc_id long, text string, lang string, source string")
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merged, "false")  # small partitions would be read together
+    try:
+        got = shards.assign_documents(rows.repartition(3), 7).collect()
+    finally:
+        spark.conf.unset(merged)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert parts > 1 and max(largest) <= 1.6 * len(ids) / parts
+    sizes = Counter(r.shard for r in got)
+    assert len(got) == len(ids) and max(sizes.values()) - min(sizes.values()) <= 1
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(n)) for s, n in sizes.items())
+
+
 def test_curve_visits_neighbours(spark):
     axes = [F.shiftright("id", 4 * i).bitwiseAND(F.lit(15)).cast("long").alias(f"a{i}") for i in range(3)]
     cells = spark.range(1 << 12).select(*axes)
