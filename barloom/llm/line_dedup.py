@@ -51,13 +51,17 @@ def _frequency_classes(docs: DataFrame) -> Column:
 
 
 def _tokens(words: Column, classes: Column) -> Column:
-    """The distinct words as numbers in ascending order, rare ones first."""
+    """The distinct words as numbers in ascending order, rare ones first.
 
-    def token(word):
-        kind = F.get(classes, F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")).cast("long")
-        return F.shiftleft(kind, HASH_BITS).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 64 - HASH_BITS))
+    Words are hashed once. Numbers that cannot be null are sorted as plain longs.
+    """
+
+    def token(h):
+        kind = F.coalesce(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")), F.lit(0)).cast("long")
+        return F.shiftleft(kind, HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
 
-    return F.sort_array(F.array_distinct(F.transform(words, token)))
+    hashes = F.transform(words, lambda word: F.xxhash64(word))
+    return F.sort_array(F.array_distinct(F.transform(hashes, token)))
 
 
 def _parity(tokens: Column, counted) -> Column:
