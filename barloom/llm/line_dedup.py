@@ -21,6 +21,10 @@ HASH_BITS = 58
 LONG = 64
 # 64-bit words of the filter that picks the lines to be verified; a bound on what is broadcast.
 FILTER_WORDS = 1 << 16
+# A set in more than one of HOT_SHARE lines has its lines dealt out by SALTS numbers; there are
+# fewer than HOT_SHARE such sets.
+HOT_SHARE = 1 << 12
+SALTS = 64
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -184,17 +188,30 @@ def _gone(docs: DataFrame, share: Fraction) -> DataFrame:
     lines = cut(_signed(docs, classes, share), "lines")
     sets = lines.groupBy("sig").agg(*[F.first(c).alias(c) for c in ("n", "bits", "more", "prefix")])
     involved = cut(_involved(sets, share), "involved")
-    firsts = cut(lines.groupBy("sig").agg(F.min(F.struct("doc_id", "line")).alias("first")), "firsts")
+    firsts = lines.groupBy("sig").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("copies"))
+    firsts = cut(firsts, "firsts")
     wanted = cut(firsts.join(involved, "sig").select("sig", "first.doc_id", "first.line"), "wanted")
-    chosen = _chosen(docs, wanted, classes).join(firsts, "sig")
+    chosen = _chosen(docs, wanted, classes).join(firsts.select("sig", "first"), "sig")
     chosen = cut(chosen.select("sig", "first", "tokens", *_profile(share)), "chosen")
-    known = firsts.join(_matched(chosen, share), "sig", "left")
+    # Lines go only by a set with a match or with several lines.
+    known = firsts.join(_matched(chosen, share), "sig", "left").where("match IS NOT NULL OR copies > 1")
     match = F.coalesce("match", F.when((F.col("doc_id") != F.col("first.doc_id"))
                                        | (F.col("line") != F.col("first.line")), F.col("first")))
-    gone = lines.select("doc_id", "line", "mark", "sig").join(known, "sig").withColumn("match", match)
+    gone = _met(lines.select("doc_id", "line", "mark", "sig"), known, firsts, lines.count()).withColumn("match", match)
     return gone.where("match IS NOT NULL").select("doc_id", "line", "mark", "match")
 
 
+def _met(lines: DataFrame, known: DataFrame, firsts: DataFrame, total: int) -> DataFrame:
+    """`lines` joined with `known` by `sig`; the lines of a very common set meet a copy of its row
+    for each of SALTS numbers."""
+    common = F.col("copies") * HOT_SHARE > total
+    hot = firsts.where(common).select("sig", F.lit(True).alias("hot"))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "line"), F.lit(SALTS))).otherwise(0).cast("int")
+    lines = lines.join(F.broadcast(hot), "sig", "left").withColumn("salt", salt).drop("hot")
+    salts = F.when(common, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return lines.join(known.withColumn("salt", F.explode(salts)), ["sig", "salt"])
+
+
 def matches(docs: DataFrame, share: Fraction = SIMILARITY) -> DataFrame:
     """(doc_id, line, like_doc_id, like_line): the lines that go, each with an earlier line that it
     matches.

@@ -165,6 +165,23 @@ def test_a_group_of_variants_gives_no_square_of_pairs(spark, docs):
     assert {r[:2] for r in got} == gone and got <= alike
 
 
+def test_a_common_line_is_dealt_out(docs, monkeypatch):
+    met = []
+    inner = line_dedup._met
+
+    def watched(lines, known, firsts, total):
+        met.append(inner(lines, known, firsts, total).groupBy("sig", "salt").count())
+        return inner(lines, known, firsts, total)
+
+    monkeypatch.setattr(line_dedup, "_met", watched)
+    monkeypatch.setattr(line_dedup, "HOT_SHARE", 8)
+    rows = [(i, f"the same line everywhere\nonly here w{i} x{i} y{i}") for i in range(1500)]
+    got = {tuple(r) for r in line_dedup.matches(docs(rows)).collect()}
+    assert got == {(i, 0, 0, 0) for i in range(1, 1500)}
+    sizes = [r["count"] for r in met[0].collect()]
+    assert len(sizes) == line_dedup.SALTS and sum(sizes) == 1500 and max(sizes) < 60
+
+
 def test_trim_takes_lines_out(docs):
     rows = docs([(2, "a b c\nkeep this one\na b c"), (1, "x\na b c"), (3, None), (4, "a b c")])
     assert dict(pairs(line_dedup.trim(rows))) == {1: "x\na b c", 2: "keep this one", 3: None, 4: ""}
