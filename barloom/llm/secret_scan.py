@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,16 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"  # whole runs, so shorter ones need not be found first
 LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 
+# Alphabets that random strings are written in; each has a model of its own.
+WRITTEN_IN = {
+    "hex": "0123456789abcdef",
+    "upper hex": "0123456789ABCDEF",
+    "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base36": "abcdefghijklmnopqrstuvwxyz0123456789",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-",
+}
+RULERS = "-=_/+"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
 SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -24,14 +34,20 @@ SPAN = "array<struct<start:int,kind:int,end:int>>"
 class Scan:
     """Runs of `shortest` or more characters are judged. They are secrets if the log-likelihood
     ratio of random to ordinary is `per_char` for each of their characters at least, and `total` in
-    all. Ordinary strings are learned from about `documents` documents chosen by hash, from their
-    runs of `ordinary` or more characters."""
+    all. Without `per_char` the limit is set by trial on labelled samples that were held out.
+
+    Ordinary strings are learned from about `documents` documents chosen by hash: from their runs
+    of `ordinary` or more characters, and from identifiers made of up to `identifiers` groups of
+    words spread over each of these texts. Random strings of each alphabet are learned from
+    `strings` drawn ones, and from the values that the rules accept in all documents."""
 
     shortest: int = 20
     ordinary: int = 5
-    per_char: float = 0.4
-    total: float = 12.0
+    per_char: float | None = None
+    total: float = 6.0
     documents: int = 2000
+    identifiers: int = 10
+    strings: int = 2000
 
 
 def _located(text: Column, pattern: str, matches: Column, kind: str, keep) -> Column:
@@ -82,48 +98,134 @@ def _with_base(rows: DataFrame) -> DataFrame:
     })
 
 
-def _pairs(strings: DataFrame) -> dict[tuple[str, str], int]:
-    """Counts of neighbouring characters, at most 67 * 67 rows."""
+def _pairs(strings: DataFrame) -> dict[tuple[str, str, str], int]:
+    """Counts of neighbouring characters of `s` by `kind`, at most 67 * 67 rows a kind."""
     at = F.sequence(F.lit(1), F.length("s") - 1)
     pairs = strings.where(F.length("s") > 1).select(
-        F.explode(F.transform(at, lambda i: F.col("s").substr(i, F.lit(2)))).alias("pair"))
-    rows = pairs.groupBy("pair").agg(F.count("*").alias("n")).collect()
-    return {(r.pair[0], r.pair[1]): r.n for r in rows}
-
-
-def log_ratios(random: dict, ordinary: dict) -> list[float]:
-    """ln P(b | a, random) - ln P(b | a, ordinary) by places in the alphabet, add-one smoothed."""
-
-    def given(counts, a):
-        total = sum(counts.get((a, b), 0) for b in ALPHABET) + len(ALPHABET)
-        return [math.log((counts.get((a, b), 0) + 1) / total) for b in ALPHABET]
-
-    return [x - y for a in ALPHABET for x, y in zip(given(random, a), given(ordinary, a))]
+        "kind", F.explode(F.transform(at, lambda i: F.col("s").substr(i, F.lit(2)))).alias("pair"))
+    rows = pairs.groupBy("kind", "pair").agg(F.count("*").alias("n")).collect()
+    return {(r.kind, r.pair[0], r.pair[1]): r.n for r in rows}
+
+
+def log_ratios(counts: dict) -> list[float]:
+    """ln P(b | a, random) - ln P(b | a, ordinary) by kind of random string and places in the
+    alphabet, add-one smoothed."""
+
+    def given(kind, a):
+        total = sum(counts.get((kind, a, b), 0) for b in ALPHABET) + len(ALPHABET)
+        return [math.log((counts.get((kind, a, b), 0) + 1) / total) for b in ALPHABET]
+
+    usual = {a: given("ordinary", a) for a in ALPHABET}
+    return [x - y for kind in WRITTEN_IN for a in ALPHABET for x, y in zip(given(kind, a), usual[a])]
+
+
+def _drawn(spark, start: int, strings: int) -> DataFrame:
+    """(kind, s): random strings of 20 to 64 characters of each alphabet, drawn by a hash."""
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(v).alias("written")) for k, v in WRITTEN_IN.items()))
+    rows = spark.range(start, start + strings).select("id", F.explode(kinds).alias("k")).select("id", "k.*")
+    places = F.sequence(F.lit(1), F.pmod(F.xxhash64("id", "kind"), F.lit(45)).cast("int") + 20)
+    letters = F.transform(places, lambda i: F.col("written").substr(
+        F.pmod(F.xxhash64("id", "kind", i), F.length("written")).cast("int") + 1, F.lit(1)))
+    return rows.select("kind", F.array_join(letters, "").alias("s"))
+
+
+def _identifiers(texts: DataFrame, groups: int) -> DataFrame:
+    """s: identifiers in usual styles, made of words that follow each other in the texts, and rulers."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit(r"[a-z]{2,}"), F.lit(0))
+    rows = texts.select("doc_id", words.alias("words")).where(F.size("words") >= 5)
+    step = F.greatest(F.lit(5), F.ceil(F.size("words") / groups).cast("int"))
+    rows = rows.select("doc_id", "words", F.explode(F.sequence(F.lit(1), F.size("words") - 4, step)).alias("at"))
+    w = F.slice("words", F.col("at"), 5)
+    number = F.pmod(F.xxhash64("doc_id", "at"), F.lit(10_000)).cast("string")
+    rows = rows.select(w.alias("w"), number.alias("number"))
+    titled = F.transform("w", lambda x: F.initcap(x))
+    upper = F.transform("w", lambda x: F.upper(x))
+    day = F.concat(F.lit("20"), F.lpad(F.substring("number", 1, 2), 2, "1"), F.lit("-0"),
+                   F.substring("number", 1, 1), F.lit("-1"), F.substring("number", -1, 1))
+    rest = F.array_join(F.slice(titled, 2, 4), "")
+    styles = [
+        F.concat(F.get("w", F.lit(0)), rest), F.array_join(titled, ""),
+        F.concat(F.upper(F.substring(F.get("w", F.lit(0)), 1, 4)), rest),
+        F.concat(F.get("w", F.lit(0)), rest, "number"), F.array_join(F.col("w"), ""),
+        *(F.array_join(F.col("w"), sign) for sign in "_-/="), *(F.array_join(upper, sign) for sign in "_-"),
+        F.array_join(upper, ""), F.array_join(titled, "-"),
+        F.concat_ws("_", F.array_join(F.slice("w", 1, 4), "_"), "number"),
+        F.concat_ws("-", F.array_join(F.slice("w", 1, 3), "-"), day),
+        F.concat_ws("/", day, F.array_join(F.slice("w", 1, 3), "/")),
+        F.repeat(F.element_at(F.array(*map(F.lit, RULERS)), F.pmod(F.col("number").cast("int"), F.lit(len(RULERS))) + 1), F.lit(30)),
+    ]
+    return rows.select(F.explode(F.array(*styles)).alias("s"))
+
+
+def _usual(rows: DataFrame, scan: Scan, part: int, parts: int = 4) -> DataFrame:
+    """The sampled texts, of the held-out part (0) or of the others (1), without what the rules match."""
+    share = min(1.0, scan.documents / max(rows.count(), 1))
+    h = F.xxhash64("doc_id", F.octet_length("text"))
+    chosen = F.pmod(h, F.lit(1 << 20)) < share * (1 << 20)
+    held_out = F.pmod(F.shiftrightunsigned(h, 20), F.lit(parts)) == 0
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, "."), ACCESS, "."), HEX, ".")
+    return rows.where(chosen & (held_out if part == 0 else ~held_out)).select("doc_id", bare.alias("text"))
 
 
 def train(docs: DataFrame, scan: Scan = Scan()) -> list[float]:
-    """The table of log ratios. Labels come from the rules: values they accept, in all documents,
-    are random; other runs in the sampled documents are ordinary."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    """The table of log ratios, by kind of random string.
+
+    Random samples are drawn strings, and those values that the rules accept, in all documents,
+    that have a digit; each counts for the first alphabet that holds it. Ordinary samples are the
+    sampled documents' other runs, and identifiers made of their words.
+    """
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = _matched(rows)
     values = F.concat(
         F.filter("v_assign", lambda v: F.length(v) >= LEAST_ASSIGN),
         F.filter("m_access", lambda v: F.length(v) >= LEAST_ACCESS), "m_hex")
-    random = _pairs(found.select(F.explode(values).alias("s")))
-    share = min(1.0, scan.documents / max(rows.count(), 1))
-    some = rows.where(F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(1 << 20)) < share * (1 << 20))
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, "."), ACCESS, "."), HEX, ".")
-    runs = F.regexp_extract_all(bare, F.lit(RUN % scan.ordinary), F.lit(0))
-    return log_ratios(random, _pairs(some.select(F.explode(runs).alias("s"))))
-
-
-def _ratio(table: Column, run: Column) -> Column:
-    """The summed log ratio of a run of the alphabet."""
+    kind = F.coalesce(*(F.when(F.col("s").rlike(f"^[{v.replace('-', '')}{'-' if '-' in v else ''}]+$"), k)
+                        for k, v in WRITTEN_IN.items()))
+    accepted = found.select(F.explode(values).alias("s")).where(F.col("s").rlike("[0-9]"))
+    usual = _usual(rows, scan, 1)
+    runs = usual.select(F.explode(F.regexp_extract_all("text", F.lit(RUN % scan.ordinary), F.lit(0))).alias("s"))
+    plain = runs.unionByName(_identifiers(usual, scan.identifiers)).select(F.lit("ordinary").alias("kind"), "s")
+    random = accepted.select(kind.alias("kind"), "s").where("kind IS NOT NULL")
+    return log_ratios(_pairs(plain.unionByName(random).unionByName(_drawn(docs.sparkSession, 0, scan.strings))))
+
+
+def fitted(docs: DataFrame, ratios: list[float], scan: Scan = Scan()) -> Scan:
+    """`scan` with its limit: halfway between what 999 of 1,000 held-out ordinary strings stay
+    below and what 99 of 100 held-out random ones reach, or the former where the two overlap.
+
+    Without ordinary samples that are long enough nothing can be told apart, and 1 a character is
+    the limit.
+    """
+    if scan.per_char is not None:
+        return scan
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    usual = _usual(rows, scan, 0)
+    runs = usual.select(F.explode(F.regexp_extract_all("text", F.lit(RUN % scan.shortest), F.lit(0))).alias("s"))
+    plain = runs.unionByName(_identifiers(usual, scan.identifiers)).where(F.length("s") >= scan.shortest)
+    random = _drawn(docs.sparkSession, scan.strings, max(1, scan.strings // 4))
+    samples = plain.select(F.lit("ordinary").alias("kind"), "s").unionByName(random)
+    at_each = samples.select("kind", (_ratio(_table(ratios), F.col("s"), len(ratios)) / F.length("s")).alias("x"))
+    ordinary = F.col("kind") == "ordinary"
+    low, high = at_each.agg(F.percentile_approx(F.when(ordinary, F.col("x")), 0.999, 10_000),
+                            F.percentile_approx(F.when(~ordinary, F.col("x")), 0.01, 10_000)).first()
+    limit = 1.0 if low is None or high is None else low if high < low else (low + high) / 2
+    return replace(scan, per_char=limit)
+
+
+def _table(ratios: list[float]) -> Column:
+    """A foldable expression: the planner turns it into one array constant."""
+    return F.split(F.lit(",".join(f"{r:.4f}" for r in ratios)), ",").cast("array<double>")
+
+
+def _ratio(table: Column, run: Column, size: int) -> Column:
+    """The summed log ratio of a run of the alphabet, by the kind of random string that fits best."""
+    square = len(ALPHABET) ** 2
     places = F.transform(F.split(run, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
     codes = F.filter(places, lambda p: p >= 0)
     both = F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes)),
-                      lambda a, b: F.get(table, a * len(ALPHABET) + b))
-    return F.aggregate(both, F.lit(0.0), lambda done, x: done + F.coalesce(x, F.lit(0.0)))
+                      lambda a, b: a * len(ALPHABET) + b)
+    return F.greatest(*(F.aggregate(both, F.lit(0.0), lambda done, p: done + F.coalesce(
+        F.get(table, p + first), F.lit(0.0))) for first in range(0, size, square)), F.lit(float("-inf")))
 
 
 def _shown(spans: Column) -> Column:
@@ -137,15 +239,14 @@ def find(docs: DataFrame, ratios: list[float], scan: Scan = Scan()) -> DataFrame
     """(doc_id, assign, access, hex, markov) of every row: arrays of spans in code points."""
     rows = _with_base(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                                   F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
-    # A foldable expression: the planner turns it into one array constant.
-    table = F.split(F.lit(",".join(f"{r:.4f}" for r in ratios)), ",").cast("array<double>")
+    table, least = _table(ratios), 0.0 if scan.per_char is None else scan.per_char
     pattern = RUN % scan.shortest
     rows = rows.withColumn("m_run", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
-    rows = rows.withColumn("ratios", F.transform("m_run", lambda r: _ratio(table, r)))
+    rows = rows.withColumn("ratios", F.transform("m_run", lambda r: _ratio(table, r, len(ratios))))
 
     def random(i):
         ratio, size = F.get(F.col("ratios"), i), F.length(F.get(F.col("m_run"), i))
-        return (ratio >= scan.total) & (ratio >= scan.per_char * size)
+        return (ratio >= scan.total) & (ratio >= least * size)
 
     rows = rows.withColumn("runs", _located(F.col("text"), pattern, F.col("m_run"), "markov", random))
     base = F.concat("assign", "access", "hex")
@@ -157,11 +258,13 @@ def report(docs: DataFrame, scan: Scan = Scan()) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, n_markov, base_sha256, spans) of every row of `docs`.
 
     Matches of a rule are leftmost and do not overlap; too short ones are dropped after matching.
-    The models add runs that overlap no span of the rules. A null text is empty; repeated rows and
-    ids each give a row; other columns are not looked at. Without any match of the rules there is
-    nothing to learn random strings from, and the models only add what no ordinary string is like.
+    The models add runs that overlap no span of the rules. A null text is empty; a very long one is
+    scanned whole, its ordinary runs count in training like others; repeated rows and ids each give
+    a row; an empty table gives none; other columns are not looked at. Random strings are drawn for
+    each alphabet, so the models need no match of the rules.
     """
-    found = find(docs, train(docs, scan), scan)
+    ratios = train(docs, scan)
+    found = find(docs, ratios, fitted(docs, ratios, scan))
     base = F.concat("assign", "access", "hex")
     return found.select(
         "doc_id",

@@ -127,6 +127,39 @@ def test_models_find_random_runs_and_leave_words(docs):
     assert all(got[i].spans == secret_spans(t) and got[i].n_assign == 1 for i, t in rows[:60])
 
 
+# Styles of names that are no secrets.
+ORDINARY = (
+    "thisIsAnOrdinaryCamelCaseIdentifierName", "AbstractSingletonProxyFactoryBean", "max_retries_per_connection_pool",
+    "MAXIMUM_NUMBER_OF_CONNECTIONS", "some-kebab-case-component-name", "src/main/java/org/example/service",
+    "internationalizationandlocalization", "HTTPRequestHandlerFactory", "release-notes-2023-04-17-final",
+    "--------------------------------", "================================", "getUserAccountBalanceById2",
+    "data/processed/training/batch_0012", "Content-Security-Policy-Report-Only")
+
+
+def test_models_tell_random_runs_from_names(corpus, docs):
+    """Recall on random runs of each alphabet, and no name taken, as one brute-force log ratio tells."""
+    rng = random.Random(12)
+    ratios = secret_scan.train(corpus)
+    scan = secret_scan.fitted(corpus, ratios)
+    made = [(kind, "".join(rng.choice(letters) for _ in range(rng.randrange(20, 65))))
+            for kind, letters in secret_scan.WRITTEN_IN.items() for _ in range(100)]
+    made += [("name", name) for name in ORDINARY]
+    rows = docs([(i, f"é {s} {prose(i, 5)}") for i, (_, s) in enumerate(made)])
+    got = {r.doc_id: r for r in secret_scan.find(rows, ratios, scan).collect()}
+    place, square = {c: i for i, c in enumerate(secret_scan.ALPHABET)}, len(secret_scan.ALPHABET) ** 2
+    caught = Counter()
+    for i, (kind, s) in enumerate(made):
+        best = max(sum(round(ratios[first + place[a] * 67 + place[b]], 4) for a, b in zip(s, s[1:]))
+                   for first in range(0, len(ratios), square))
+        margin = min(best - scan.total, best - scan.per_char * len(s))
+        by_rule = bool(secret_spans(s))
+        if abs(margin) > 1e-6 and not by_rule:
+            assert [(m.start, m.end) for m in got[i].markov] == ([(2, 2 + len(s))] if margin > 0 else []), s
+        caught[kind] += bool(got[i].markov) or by_rule
+    assert caught["name"] == 0, [s for i, (k, s) in enumerate(made) if k == "name" and got[i].markov]
+    assert all(caught[kind] >= 90 for kind in secret_scan.WRITTEN_IN), caught
+
+
 # Lines
 
 def matched_lines(rows):
