@@ -47,7 +47,7 @@ class Scan:
     total: float = 6.0
     documents: int = 2000
     identifiers: int = 10
-    strings: int = 2000
+    strings: int = 1000
 
 
 def _located(text: Column, pattern: str, matches: Column, kind: str, keep) -> Column:
@@ -157,7 +157,7 @@ def _identifiers(texts: DataFrame, groups: int) -> DataFrame:
     return rows.select(F.explode(F.array(*styles)).alias("s"))
 
 
-def _usual(rows: DataFrame, scan: Scan, part: int, parts: int = 4) -> DataFrame:
+def _usual(rows: DataFrame, scan: Scan, part: int, parts: int = 8) -> DataFrame:
     """The sampled texts, of the held-out part (0) or of the others (1), without what the rules match."""
     share = min(1.0, scan.documents / max(rows.count(), 1))
     h = F.xxhash64("doc_id", F.octet_length("text"))
@@ -201,13 +201,13 @@ def fitted(docs: DataFrame, ratios: list[float], scan: Scan = Scan()) -> Scan:
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     usual = _usual(rows, scan, 0)
     runs = usual.select(F.explode(F.regexp_extract_all("text", F.lit(RUN % scan.shortest), F.lit(0))).alias("s"))
-    plain = runs.unionByName(_identifiers(usual, scan.identifiers)).where(F.length("s") >= scan.shortest)
+    plain = runs.unionByName(_identifiers(usual, max(1, scan.identifiers // 2))).where(F.length("s") >= scan.shortest)
     random = _drawn(docs.sparkSession, scan.strings, max(1, scan.strings // 4))
     samples = plain.select(F.lit("ordinary").alias("kind"), "s").unionByName(random)
-    at_each = samples.select("kind", (_ratio(_table(ratios), F.col("s"), len(ratios)) / F.length("s")).alias("x"))
-    ordinary = F.col("kind") == "ordinary"
-    low, high = at_each.agg(F.percentile_approx(F.when(ordinary, F.col("x")), 0.999, 10_000),
-                            F.percentile_approx(F.when(~ordinary, F.col("x")), 0.01, 10_000)).first()
+    runs = _ratios(samples.select((F.col("kind") == "ordinary").alias("ordinary"), F.array("s").alias("runs")), "runs", ratios)
+    each = runs.select("ordinary", (F.get("ratios", F.lit(0)) / F.length(F.get("runs", F.lit(0)))).alias("x"))
+    shares = dict(tuple(r) for r in each.groupBy("ordinary").agg(F.percentile_approx("x", [0.01, 0.999], 10_000)).collect())
+    low, high = shares.get(True, (None, None))[1], shares.get(False, (None, None))[0]
     limit = 1.0 if low is None or high is None else low if high < low else (low + high) / 2
     return replace(scan, per_char=limit)
 
@@ -217,15 +217,26 @@ def _table(ratios: list[float]) -> Column:
     return F.split(F.lit(",".join(f"{r:.4f}" for r in ratios)), ",").cast("array<double>")
 
 
-def _ratio(table: Column, run: Column, size: int) -> Column:
-    """The summed log ratio of a run of the alphabet, by the kind of random string that fits best."""
-    square = len(ALPHABET) ** 2
+def _places(run: Column) -> Column:
+    """The places of neighbouring characters of a run of the alphabet in a table of ratios."""
     places = F.transform(F.split(run, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
     codes = F.filter(places, lambda p: p >= 0)
-    both = F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes)),
+    return F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes)),
                       lambda a, b: a * len(ALPHABET) + b)
-    return F.greatest(*(F.aggregate(both, F.lit(0.0), lambda done, p: done + F.coalesce(
-        F.get(table, p + first), F.lit(0.0))) for first in range(0, size, square)), F.lit(float("-inf")))
+
+
+def _ratios(rows: DataFrame, runs: str, ratios: list[float]) -> DataFrame:
+    """`rows` with `ratios`: for each of the `runs` the summed log ratio by the kind of random
+    string that fits best."""
+    table = _table(ratios)
+
+    def summed(places, first):
+        return F.aggregate(places, F.lit(0.0), lambda done, p: done + F.coalesce(F.get(table, p + first), F.lit(0.0)))
+
+    # A column of its own, or each kind would compute the places anew.
+    rows = rows.withColumn("places", F.transform(runs, _places))
+    return rows.withColumn("ratios", F.transform("places", lambda p: F.greatest(
+        *(summed(p, first) for first in range(0, len(ratios), len(ALPHABET) ** 2)), F.lit(float("-inf")))))
 
 
 def _shown(spans: Column) -> Column:
@@ -239,10 +250,10 @@ def find(docs: DataFrame, ratios: list[float], scan: Scan = Scan()) -> DataFrame
     """(doc_id, assign, access, hex, markov) of every row: arrays of spans in code points."""
     rows = _with_base(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                                   F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
-    table, least = _table(ratios), 0.0 if scan.per_char is None else scan.per_char
+    least = 0.0 if scan.per_char is None else scan.per_char
     pattern = RUN % scan.shortest
     rows = rows.withColumn("m_run", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
-    rows = rows.withColumn("ratios", F.transform("m_run", lambda r: _ratio(table, r, len(ratios))))
+    rows = _ratios(rows, "m_run", ratios)
 
     def random(i):
         ratio, size = F.get(F.col("ratios"), i), F.length(F.get(F.col("m_run"), i))
