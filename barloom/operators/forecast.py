@@ -5,11 +5,13 @@ from __future__ import annotations
 import logging
 import math
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
 from py4j.protocol import Py4JError
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -25,6 +27,8 @@ log = logging.getLogger(__name__)
 
 BASELINES = ("last_close", "sma_5", "sma_20", "sma_60")
 TEST_ROWS, TRAIN_ROWS, WINDOW_ROWS = 30, 420, 120
+# Rows of the pooled forest in one task, trees grown by one fit, and fits that run at a time.
+FOREST_ROWS, FOREST_TREES, FOREST_FITS = 1 << 16, 50, 4
 
 
 def _span(name: str) -> int:
@@ -181,25 +185,54 @@ def fit_forest(
     seed: int = 42,
     bootstrap: bool = True,
 ) -> PipelineModel:
-    """One forest over scaled rows of all given symbols; pass one symbol's rows for its own."""
-    forest = RandomForestRegressor(
-        featuresCol="features",
-        labelCol="target_z",
-        predictionCol="predicted",
-        numTrees=trees,
-        maxDepth=depth,
-        minInstancesPerNode=min_leaf,
-        featureSubsetStrategy="all",
-        maxBins=256,
-        bootstrap=bootstrap,
-        seed=seed,
-    )
+    """One forest over scaled rows of all given symbols; pass one symbol's rows for its own.
+
+    Every task of a fit counts all open nodes, however few rows it has, so the number of tasks
+    follows from the number of rows, not from the files they lie in; rows are dealt and ordered by
+    their values, and the trees depend on nothing else. Trees are grown by several fits at a time,
+    and their forests are stages of the model, with the mean of all trees behind them.
+    """
+    inputs = list(dict.fromkeys([*_z(cols), "target_z"]))
+    tasks = max(1, math.ceil(train.count() / FOREST_ROWS))
     vector = VectorAssembler(inputCols=_z(cols), outputCol="features")
-    return Pipeline(stages=[vector, forest]).fit(train)
+    dealt = train.select(*inputs).repartition(tasks, *inputs).sortWithinPartitions(*inputs)
+    dealt = vector.transform(dealt).persist()
+    firsts = range(0, trees, FOREST_TREES)
+    names = ["predicted"] if len(firsts) == 1 else [f"_predicted_{first}" for first in firsts]
+    sizes = [min(FOREST_TREES, trees - first) for first in firsts]
+
+    def fit(name: str, size: int, first: int):
+        # Spark draws by seed and number of partition: seeds lie further apart than these go.
+        forest = RandomForestRegressor(
+            featuresCol="features",
+            labelCol="target_z",
+            predictionCol=name,
+            numTrees=size,
+            maxDepth=depth,
+            minInstancesPerNode=min_leaf,
+            featureSubsetStrategy="all",
+            maxBins=256,
+            bootstrap=bootstrap,
+            seed=seed + first * 1_000_003,
+        )
+        return forest.fit(dealt)
+
+    try:
+        with ThreadPool(min(FOREST_FITS, len(names))) as pool:
+            forests = pool.starmap(inheritable_thread_target(train.sparkSession)(fit), zip(names, sizes, firsts), 1)
+    finally:
+        dealt.unpersist()
+    if len(forests) == 1:
+        return PipelineModel([vector, *forests])
+    total = " + ".join(f"{name} * {size}" for name, size in zip(names, sizes))
+    mean = f"SELECT * EXCEPT ({', '.join(names)}), ({total}) / {trees} AS predicted FROM __THIS__"
+    return PipelineModel([vector, *forests, SQLTransformer(statement=mean)])
 
 
 def importance(model: PipelineModel, cols: list[str]) -> dict[str, float]:
-    return dict(zip(cols, model.stages[-1].featureImportances.toArray().tolist(), strict=True))
+    """Each column's share of what the splits gain; forests of a model count by their trees."""
+    total = sum(f.featureImportances.toArray() * f.getNumTrees for f in trees.forests(model))
+    return dict(zip(cols, (total / (total.sum() or 1.0)).tolist(), strict=True))
 
 
 def importance_map(model: PipelineModel, cols: list[str]) -> Column:

@@ -284,18 +284,28 @@ def _gathered(nodes: DataFrame, *by: str) -> DataFrame:
     return found.select(*by, F.col("found.arrays").alias("trees"))
 
 
+def forests(model) -> list:
+    """The Spark ML forests of a pipeline model, in order; a forest or tree is its own."""
+    return [stage for stage in getattr(model, "stages", [model]) if hasattr(stage, "featureImportances")]
+
+
 def from_ml(model, spark: SparkSession) -> DataFrame:
-    """The trees of a fitted Spark ML regression forest or tree, as one row of arrays.
+    """The trees of a fitted Spark ML regression forest or tree, or of all forests of a pipeline
+    model, as one row of arrays.
 
     The model is written as Spark writes it, and its node table is read back, so no node passes
     through the driver. Nodes keep their numbers, which begin with 0 at the root.
     """
-    path = scratch_path(spark, "forest")
-    model.write().save(path)
-    data = spark.read.parquet(f"{path}/data")
-    node = F.col("nodeData") if "nodeData" in data.columns else F.struct("*")
-    rows = data.select((F.col("treeID") if "treeID" in data.columns else F.lit(0)).alias("tree"), node.alias("n"))
-    return _gathered(rows.select(
+    found, trees = None, 0
+    for forest in forests(model):
+        path = scratch_path(spark, "forest")
+        forest.write().save(path)
+        data = spark.read.parquet(f"{path}/data")
+        node = F.col("nodeData") if "nodeData" in data.columns else F.struct("*")
+        tree = F.col("treeID") if "treeID" in data.columns else F.lit(0)
+        rows = data.select((tree + trees).alias("tree"), node.alias("n"))
+        found, trees = rows if found is None else found.unionByName(rows), trees + getattr(forest, "getNumTrees", 1)
+    return _gathered(found.select(
         "tree", F.col("n.id").alias("node"), F.col("n.split.featureIndex").alias("feature"),
         F.get("n.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
         F.col("n.leftChild").alias("left"), F.col("n.rightChild").alias("right"),

@@ -5,7 +5,7 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
@@ -271,6 +271,29 @@ def test_recursive_ridge_and_trees_equal_a_plain_loop(spark, walk):
             np.testing.assert_allclose(series, expected, rtol=1e-9, err_msg=name)
 
 
+def test_pooled_forest_does_not_depend_on_where_rows_lie(spark, frame, tmp_path, monkeypatch):
+    rows = spark.createDataFrame(frame).select(
+        "symbol", "date", F.col("a").alias("a_z"), F.col("b").alias("b_z"), F.col("target").alias("target_z"))
+    monkeypatch.setattr(forecast, "FOREST_TREES", 4, raising=False)
+    monkeypatch.setattr(forecast, "FOREST_ROWS", 1000, raising=False)
+    found = []
+    for laid in (rows.repartition(7), rows.orderBy("date").coalesce(1)):
+        model = forecast.fit_forest(laid.cache(), ["a", "b"], trees=10, depth=5)
+        shares = forecast.importance(model, ["a", "b"])
+        assert sum(shares.values()) == pytest.approx(1) and shares["a"] > shares["b"] > 0
+        found.append((shares, model.transform(rows).orderBy("symbol", "date").toPandas()["predicted"]))
+    assert found[0][0] == found[1][0] and (found[0][1] == found[1][1]).all()
+
+    # The model predicts the mean of all trees, also when it was saved and read again.
+    model.write().save(f"{tmp_path}/model")
+    again = PipelineModel.load(f"{tmp_path}/model").transform(rows)
+    assert again.columns == [*rows.columns, "features", "predicted"]
+    one = trees.from_ml(model, spark).cache()
+    assert len(one.first().trees) == 10
+    steps = again.join(one).select("predicted", trees.walked(F.col("trees"), F.array("a_z", "b_z"), 5).alias("walked"))
+    assert steps.count() == len(frame) and steps.where(F.abs(F.col("walked") - F.col("predicted")) > 1e-12).isEmpty()
+
+
 def test_plan_of_a_model_per_symbol(spark):
     rng = np.random.default_rng(5)
     parts = []
