@@ -13,6 +13,8 @@ from barloom.session import cut
 
 SIMILARITY = Fraction(4, 5)
 SPACES = r"[ \t\x0B\f\r]+"
+# White space besides the plain one.
+ODD_SPACES = "\t\x0B\f\r"
 # Words are ordered by the frequency class of their hash bucket, then by hash.
 BUCKETS = 1 << 16
 CLASSES = 32
@@ -28,15 +30,19 @@ SALTS = 64
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, content): the lines of each text, numbered from 0."""
+    """(doc_id, odd, line, content): the lines of each text, numbered from 0; `odd` tells whether
+    the text holds white space besides plain spaces and line feeds."""
     rows = T.texts(docs).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    return rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
+    odd = F.col("text").contains(ODD_SPACES[0])
+    for space in ODD_SPACES[1:]:
+        odd = odd | F.col("text").contains(space)
+    # Beside the generator it would be computed once per line.
+    return rows.withColumn("odd", odd).select("doc_id", "odd", F.posexplode(F.split("text", "\n")).alias("line", "content"))
 
 
 def _words() -> Column:
     """The words of `content`; splitting at plain spaces, where that is enough, costs less."""
-    odd = F.col("content").rlike(r"[\t\x0B\f\r]")
-    split = F.when(odd, F.split("content", SPACES)).otherwise(F.split("content", " "))
+    split = F.when(F.col("odd"), F.split("content", SPACES)).otherwise(F.split("content", " "))
     return F.array_remove(split, "")
 
 
@@ -51,28 +57,29 @@ def _frequency_classes(docs: DataFrame) -> Column:
     classes = [min(CLASSES - 1, int(2 * math.log2(1 + counts.get(b, 0)))) for b in range(BUCKETS)]
     place = {c: i for i, c in enumerate(sorted(set(classes)))}
     # A foldable expression: the planner turns it into one array constant.
-    return F.split(F.lit(",".join(str(place[c]) for c in classes)), ",").cast("array<int>")
+    return F.split(F.lit(",".join(str(place[c]) for c in classes)), ",").cast("array<long>")
 
 
 def _tokens(words: Column, classes: Column) -> Column:
     """The distinct words as numbers in ascending order, rare ones first.
 
-    Words are hashed once. Numbers that cannot be null are sorted as plain longs.
+    Words are hashed once, and equal ones dropped before they get their class. Numbers that cannot
+    be null are sorted as plain longs.
     """
 
     def token(h):
-        kind = F.coalesce(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")), F.lit(0)).cast("long")
+        kind = F.coalesce(F.get(classes, h.bitwiseAND(F.lit(BUCKETS - 1))), F.lit(0).cast("long"))
         return F.shiftleft(kind, HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - HASH_BITS))
 
-    hashes = F.transform(words, lambda word: F.xxhash64(word))
-    return F.sort_array(F.array_distinct(F.transform(hashes, token)))
+    hashes = F.array_distinct(F.transform(words, lambda word: F.xxhash64(word)))
+    return F.sort_array(F.transform(hashes, token))
 
 
-def _parity(tokens: Column, counted) -> Column:
-    """A bit for each of 64 classes of tokens that holds an odd number of those counted."""
+def _parity(tokens: Column) -> Column:
+    """A bit for each of 64 classes of tokens that holds an odd number of them."""
     one = F.lit(1).cast("long")
     return F.aggregate(tokens, F.lit(0).cast("long"), lambda done, t: done.bitwiseXOR(
-        counted(t, F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int")))))
+        F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _ceil(numerator: int, n: Column, denominator: int) -> Column:
@@ -88,9 +95,8 @@ def _profile(share: Fraction) -> list[Column]:
     """
     n, tokens = F.size("tokens"), F.col("tokens")
     prefix = n - _ceil(share.numerator, n, share.denominator) + 1
-    more = F.when(n >= LONG, _parity(tokens, lambda t, bit: F.when(
-        t.bitwiseAND(F.lit(64)) != 0, bit).otherwise(F.lit(0).cast("long"))))
-    return [n.alias("n"), _parity(tokens, lambda t, bit: bit).alias("bits"), more.alias("more"),
+    more = F.when(n >= LONG, _parity(F.filter(tokens, lambda t: t.bitwiseAND(F.lit(64)) != 0)))
+    return [n.alias("n"), _parity(tokens).alias("bits"), more.alias("more"),
             F.slice("tokens", 1, prefix).alias("prefix")]
 
 
@@ -100,7 +106,7 @@ def _signed(docs: DataFrame, classes: Column, share: Fraction) -> DataFrame:
     `mark` is a hash of the line as it is, `sig` stands for its set of words.
     """
     # A filter on the tokens would be moved below them and compute them twice.
-    rows = _rows(docs).where(F.col("content").rlike(r"[^ \t\x0B\f\r]")).select(
+    rows = _rows(docs).where(F.ltrim("content", F.lit(" " + ODD_SPACES)) != "").select(
         "doc_id", "line", F.xxhash64("content").alias("mark"), _tokens(_words(), classes).alias("tokens"))
     return rows.select("doc_id", "line", "mark", F.xxhash64("tokens").alias("sig"), *_profile(share))
 
@@ -114,18 +120,18 @@ def _index(sets: DataFrame, share: Fraction, *more: str) -> DataFrame:
 def _near(share: Fraction) -> Column:
     """Whether index rows x and y pass the length, position and bit filters.
 
-    An overlap of `share` means at least a = ceil(share / (1 + share) * (n + m)) common words. At
-    the first word that two prefixes share, one more than the smaller rest must reach a; words in
-    only one of the sets, at most n + m - 2 a, each flip one bit.
+    An overlap of `share` means at least a = share / (1 + share) * (n + m) common words. At the
+    first word that two prefixes share, the smaller rest must reach a, which is out of reach for
+    lengths that differ by too much; words in only one of the sets, at most n + m - 2 a, each flip
+    one bit.
     """
-    n, m = F.col("x.n"), F.col("y.n")
-    common = _ceil(share.numerator, n + m, share.numerator + share.denominator)
-    rest = F.least(n - F.col("x.at"), m - F.col("y.at"))
+    p, q = share.numerator, share.denominator
+    both = F.col("x.n") + F.col("y.n")
+    rest = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     flipped = F.col("x.bits").bitwiseXOR(F.col("y.bits"))
     odd = F.col("x.more").bitwiseXOR(F.col("y.more"))
     differ = F.coalesce(F.bit_count(odd) + F.bit_count(flipped.bitwiseXOR(odd)), F.bit_count(flipped))
-    lengths = F.least(n, m) * share.denominator >= F.greatest(n, m) * share.numerator
-    return lengths & (rest >= common) & (differ <= n + m - 2 * common)
+    return (rest * (p + q) >= both * p) & (differ * (p + q) <= both * (q - p))
 
 
 def _involved(sets: DataFrame, share: Fraction) -> DataFrame:
@@ -164,7 +170,7 @@ def _matched(sets: DataFrame, share: Fraction) -> DataFrame:
 
 
 def _chosen(docs: DataFrame, wanted: DataFrame, classes: Column) -> DataFrame:
-    """(sig, tokens) of the wanted lines (doc_id, line, sig).
+    """(sig, first, tokens) of the wanted lines (doc_id, line, sig).
 
     A filter of fixed size, one bit per hash, keeps most other lines out of the exchange, and from
     being split into words.
@@ -177,9 +183,12 @@ def _chosen(docs: DataFrame, wanted: DataFrame, classes: Column) -> DataFrame:
     words = place(wanted).groupBy("word").agg(F.bit_or(one).alias("filter"))
     held = F.call_function("shiftright", F.col("filter"), F.col("bit")).bitwiseAND(F.lit(1)) != 0
     lines = place(_rows(docs)).join(F.broadcast(words), "word").where(held)
-    lines = lines.select("doc_id", "line", "content").join(wanted.select("doc_id", "line").distinct(), ["doc_id", "line"])
-    tokens = lines.select(_tokens(_words(), classes).alias("tokens")).withColumn("sig", F.xxhash64("tokens"))
-    return tokens.join(wanted.select("sig"), "sig").groupBy("sig").agg(F.first("tokens").alias("tokens"))
+    lines = lines.select("doc_id", "odd", "line", "content").join(wanted, ["doc_id", "line"])
+    found = lines.select("sig", "doc_id", "line", _tokens(_words(), classes).alias("tokens"))
+    # Rows that repeat an id may have other words at this place.
+    own = F.when(F.xxhash64("tokens") == F.col("sig"), F.col("tokens"))
+    return found.groupBy("sig").agg(
+        F.first(F.struct("doc_id", "line")).alias("first"), F.first(own, ignorenulls=True).alias("tokens"))
 
 
 def _gone(docs: DataFrame, share: Fraction) -> DataFrame:
@@ -191,10 +200,11 @@ def _gone(docs: DataFrame, share: Fraction) -> DataFrame:
     firsts = lines.groupBy("sig").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("copies"))
     firsts = cut(firsts, "firsts")
     wanted = cut(firsts.join(involved, "sig").select("sig", "first.doc_id", "first.line"), "wanted")
-    chosen = _chosen(docs, wanted, classes).join(firsts.select("sig", "first"), "sig")
+    chosen = _chosen(docs, wanted, classes)
     chosen = cut(chosen.select("sig", "first", "tokens", *_profile(share)), "chosen")
     # Lines go only by a set with a match or with several lines.
-    known = firsts.join(_matched(chosen, share), "sig", "left").where("match IS NOT NULL OR copies > 1")
+    known = firsts.where("copies > 1").join(_matched(chosen, share), "sig", "full")
+    known = known.withColumn("copies", F.coalesce("copies", F.lit(1)))
     match = F.coalesce("match", F.when((F.col("doc_id") != F.col("first.doc_id"))
                                        | (F.col("line") != F.col("first.line")), F.col("first")))
     gone = _met(lines.select("doc_id", "line", "mark", "sig"), known, firsts, lines.count()).withColumn("match", match)
@@ -233,10 +243,11 @@ def matches(docs: DataFrame, share: Fraction = SIMILARITY) -> DataFrame:
 def report(docs: DataFrame, share: Fraction = SIMILARITY) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed) of every document id: its lines and the numbers of
     those that go, in order, comma-joined; a null or empty text has one line."""
-    gone = matches(docs, share).groupBy("doc_id").agg(
+    gone = _gone(docs, share).groupBy("doc_id").agg(
         F.array_sort(F.collect_set("line")).alias("removed"))
+    feeds = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
     lines = T.texts(docs).groupBy("doc_id").agg(
-        F.max(F.size(F.split(F.coalesce("text", F.lit("")), "\n"))).cast("long").alias("n_lines"))
+        F.max(F.coalesce(feeds, F.lit(0)) + 1).cast("long").alias("n_lines"))
     n = F.coalesce(F.size("removed"), F.lit(0)).cast("long")
     joined = F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit(""))
     return lines.join(gone, "doc_id", "left").select(

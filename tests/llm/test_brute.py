@@ -215,6 +215,18 @@ def test_a_common_line_is_dealt_out(docs, monkeypatch):
     assert len(sizes) == line_dedup.SALTS and sum(sizes) == 1500 and max(sizes) < 60
 
 
+def test_chosen_lines_bring_their_place_with_one_join(docs):
+    rows = docs([(1, "a b c d e\nb\tc  d\x0be"), (1, "f g h i j\n  \n"), (2, "b c d e")])
+    classes = line_dedup._frequency_classes(rows)
+    signed = line_dedup._signed(rows, classes, line_dedup.SIMILARITY)
+    assert "RLIKE" not in signed._jdf.queryExecution().optimizedPlan().toString()
+    wanted = signed.where("doc_id = 1").select("sig", "doc_id", "line")
+    chosen = line_dedup._chosen(rows, wanted.localCheckpoint(), classes)
+    assert chosen._jdf.queryExecution().optimizedPlan().toString().count("Join") == 2  # the filter's, and one
+    got = sorted((tuple(r["first"]), len(r["tokens"])) for r in chosen.collect())
+    assert got == [((1, 0), 5), ((1, 0), 5), ((1, 1), 4)]
+
+
 def test_trim_takes_lines_out(docs):
     rows = docs([(2, "a b c\nkeep this one\na b c"), (1, "x\na b c"), (3, None), (4, "a b c")])
     assert dict(pairs(line_dedup.trim(rows))) == {1: "x\na b c", 2: "keep this one", 3: None, 4: ""}
